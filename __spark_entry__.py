@@ -18,7 +18,7 @@ from termloom.plans.index import CorpusIndex, build_index, load_index
 from termloom.plans.search import ranked_by_solver, result_listing, search, search_batch
 from termloom.session import scratch_path
 from termloom.sources import text_index
-from termloom.sources.corpus import as_corpus, read_corpus
+from termloom.sources.corpus import as_corpus, read_corpus, spread
 
 # One query text with a repeated word, words of two languages, a rare word and one that no document has.
 QUERY = "The thorreou of eauouon, and THE ouen qqqq"
@@ -30,9 +30,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
     return as_corpus(
-        docs,
+        spread(_table(spark, sf_dir, "documents")),
         id=F.col("doc_id"),
         title=F.concat(F.lit("document "), "doc_id", F.lit(" in "), "lang", F.lit(" from "), "source"),
         url=F.concat(F.lit("doc://"), "source", F.lit("/"), "doc_id"),

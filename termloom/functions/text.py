@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 # Fixed value: a separator is a run of characters outside the Unicode category "letter".
 SEPARATOR = r"[^\p{L}]+"
 
-NO_TOKENS = F.array().cast("array<string>")
-
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often the body mentions it."""
@@ -30,7 +28,8 @@ def tokens(text: Column, drop_empty: bool = False) -> Column:
     lower-casing sees each word on its own: a letter whose lower case holds a separator stays one token.
     """
     words = F.rtrim(F.lower(F.regexp_replace(text, SEPARATOR, " ")))
-    result = bind(words, lambda w: F.when((w == "") & (text != ""), NO_TOKENS).otherwise(F.split(w, " ")))
+    none = F.array().cast("array<string>")
+    result = bind(words, lambda w: F.when((w == "") & (text != ""), none).otherwise(F.split(w, " ")))
     return F.array_remove(result, "") if drop_empty else result
 
 

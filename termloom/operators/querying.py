@@ -19,10 +19,14 @@ def query_terms(queries: DataFrame, drop_empty: bool = False) -> DataFrame:
     return words.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
 
 
-def fits_broadcast(terms: DataFrame) -> bool:
-    """Whether query terms, measured by a job of their own, are small enough to send to every executor."""
+def measure(terms: DataFrame) -> tuple[int, bool]:
+    """How many queries there are, and whether their terms are small enough to send to every executor.
+
+    This is a job of its own: nothing is broadcast on an estimate.
+    """
     width = F.octet_length("term") + F.octet_length(F.col("query_id").cast("string")) + 64
-    return (terms.agg(F.sum(width.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES
+    row = terms.agg(F.count_distinct("query_id").alias("n"), F.sum(width.cast("long")).alias("bytes")).first()
+    return row["n"], (row["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def known_terms(terms: DataFrame, vocab: DataFrame, small: bool) -> DataFrame:

@@ -6,6 +6,7 @@ in one pass over the text and one exchange of the analysed documents; a saved in
 
 from __future__ import annotations
 
+import copy
 import functools
 import hashlib
 import math
@@ -24,8 +25,11 @@ from termloom.sources.corpus import first_of_each_id, require_unique_ids
 
 POSTINGS_SCHEMA = "term STRING, id STRING, tf BIGINT, doc_length BIGINT"
 
-# Up to this many terms are compared one by one in the scan; longer queries are filtered by their join alone.
-PUSHED_TERMS = 256
+# Up to this many values are compared one by one in the scan; longer lists are filtered by their join alone.
+PUSHED_VALUES = 256
+
+# Ranked rows up to this many are broadcast to the documents.
+BROADCAST_ROWS = 100_000
 
 # Most directories the stored documents are divided into.
 DOCUMENT_SHARDS = 1024
@@ -62,19 +66,17 @@ class Index:
 
     def restricted(self, terms: list[str]) -> Index:
         """The same index with the vocabulary and postings of these terms only."""
-        if len(terms) > PUSHED_TERMS:
+        if len(terms) > PUSHED_VALUES:
             return self
-        # One equality per term: a scan pushes each of them down, however many there are.
-        wanted = functools.reduce(operator.or_, [F.col("term") == term for term in terms], F.lit(False))
-        narrow = Index(
-            self.docs, self.stats, self.vocab.where(wanted), self.postings.where(wanted), self.idf_type, self.drop_empty
-        )
-        narrow.with_documents = self.with_documents
+        wanted = equals_any("term", terms)
+        narrow = copy.copy(self)
+        narrow.vocab = self.vocab.where(wanted)
+        narrow.postings = self.postings.where(wanted)
         return narrow
 
-    def with_documents(self, ranked: DataFrame, few: bool) -> DataFrame:
-        """Title and url for ranked rows; ``few`` rows are broadcast, so documents are not exchanged."""
-        return self.docs.select("id", "title", "url").join(F.broadcast(ranked) if few else ranked, "id")
+    def with_documents(self, ranked: DataFrame, at_most: int) -> DataFrame:
+        """Title and url for at most so many ranked rows; few are broadcast, so documents are not exchanged."""
+        return self.docs.select("id", "title", "url").join(broadcast_few(ranked, at_most), "id")
 
     def vocabulary(self) -> DataFrame:
         """``(term, df, idf, word_id)``; word ids count from 0 in byte order of the terms."""
@@ -89,9 +91,11 @@ class Index:
         weighted = self._weighted(self.vocabulary())
         # A group holds the distinct words of one document.
         vectors = weighted.groupBy("id").agg(
-            F.array_sort(F.collect_list(F.struct("word_id", F.col("tfidf").alias("weight")))).alias("vector")
+            F.max("doc_length").alias("doc_length"),
+            F.sort_array(F.collect_list(F.struct("word_id", F.col("tfidf").alias("weight")))).alias("vector"),
         )
-        return self.docs.join(vectors, "id").select("id", "title", "url", "doc_length", "vector")
+        titles = self.docs.select("id", "title", "url")
+        return titles.join(vectors, "id").select("id", "title", "url", "doc_length", "vector")
 
     def _weighted(self, vocab: DataFrame) -> DataFrame:
         hot = hot_keys(vocab, "term", "df")
@@ -130,10 +134,10 @@ class CorpusIndex(Index):
     def save(self, path: str, buckets: int | None = None) -> StoredIndex:
         """Write the index to a path that must not exist.
 
-        The text is analysed once. The analysed documents are exchanged once, by id, into ``buckets`` parts
-        (default: the session's shuffle partitions) that hold whole documents; ids are unique, so the parts
-        are even however common a word is. Postings are sorted by term within each part and bucketed by id:
-        a search prunes to its terms and adds up each document where it lies.
+        The documents are exchanged once, by id, into ``buckets`` parts (default: the session's shuffle
+        partitions), and analysed once, after it: their text is smaller than their postings. Ids are unique, so
+        the parts are even however common a word is. Postings are sorted by term within each part and bucketed
+        by id: a search prunes to its terms and adds up each document where it lies.
         """
         spark = self.spark
         if path_exists(spark, path):
@@ -144,9 +148,9 @@ class CorpusIndex(Index):
         staged_path = scratch_path(spark, "analysed")
         described = analysis(F.col("text"), self.drop_empty)
         (
-            self.corpus.select("id", "title", "url", described.alias("a"))
+            self.corpus.repartition(buckets, "id")
+            .select("id", "title", "url", described.alias("a"))
             .select("id", "title", "url", "a.doc_length", "a.terms")
-            .repartition(buckets, "id")
             .write.parquet(staged_path)
         )
         staged = spark.read.parquet(staged_path)
@@ -230,11 +234,27 @@ class StoredIndex(Index):
     def tfidf_postings(self) -> DataFrame:
         return self._weighted(self.vocab).select("term", "id", "tf", "doc_length", "tfidf")
 
-    def with_documents(self, ranked: DataFrame, few: bool) -> DataFrame:
-        """As for any index; the shards of the ranked documents are the only ones read."""
-        ranked = ranked.withColumn("shard", document_shard(self.shards))
-        docs = self.docs.select("shard", "id", "title", "url")
-        return docs.join(F.broadcast(ranked) if few else ranked, ["shard", "id"]).drop("shard")
+    def with_documents(self, ranked: DataFrame, at_most: int) -> DataFrame:
+        """As for any index; for a short list only the shards and row groups of its documents are read."""
+        if at_most > PUSHED_VALUES:
+            return super().with_documents(ranked, at_most)
+        # At most PUSHED_VALUES rows come back to the driver, to name their documents in the scan.
+        located = ranked.withColumn("shard", document_shard(self.shards))
+        rows = located.collect()
+        listed = self.spark.createDataFrame(rows, located.schema).drop("shard")
+        shards = sorted({row["shard"] for row in rows})
+        docs = self.docs.where(F.col("shard").isin(shards)).where(equals_any("id", [row["id"] for row in rows]))
+        return docs.select("id", "title", "url").join(F.broadcast(listed), "id")
+
+
+def equals_any(column: str, values: list[str]) -> Column:
+    """One equality per value: a scan pushes each of them down, where a long ``IN`` would become a range."""
+    return functools.reduce(operator.or_, [F.col(column) == value for value in values], F.lit(False))
+
+
+def broadcast_few(rows: DataFrame, at_most: int) -> DataFrame:
+    """The rows, marked for broadcast if their number is known to be small."""
+    return F.broadcast(rows) if at_most <= BROADCAST_ROWS else rows
 
 
 def document_shard(shards: int) -> Column:

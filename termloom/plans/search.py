@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +13,9 @@ from termloom.functions.text import tokens
 from termloom.operators import querying
 from termloom.operators.evaluation import average_precision, mean_average_precision
 from termloom.operators.ranking import top_n
-from termloom.plans.index import Index
+from termloom.plans.index import BROADCAST_ROWS, Index
 from termloom.session import durable, path_exists
 
-# Ranked rows up to this many are broadcast to the documents.
-FEW_RANKED = 100_000
-
 RESULT_COLUMNS = ("query_id", "rank", "id", "title", "url", "relevance")
 
 
@@ -30,13 +28,15 @@ def search(index: Index, text: str, n: int, solver: str | Scorer = "BM25") -> Da
     """The ``n`` most relevant documents for one text: ``(rank, id, title, url, relevance)``, best first."""
     check_n(n)
     scorer(solver)
-    query = index.spark.createDataFrame([(0, text)], "query_id bigint, text string")
+    spark = index.spark
     # The words of the text itself, read back so that they can be pushed into the scans.
-    words = query.select(F.array_distinct(tokens(F.col("text"), index.drop_empty)).alias("w")).first()["w"]
-    terms = querying.query_terms(query, index.drop_empty)
-    ranked = _ranked(index.restricted(words), terms, n, solver, small=True)
-    found = index.with_documents(ranked, few=n <= FEW_RANKED)
-    return found.select(*RESULT_COLUMNS[1:]).orderBy("rank")
+    words = spark.range(1).select(tokens(F.lit(text), index.drop_empty).alias("w")).first()["w"]
+    counts = [(0, word, count) for word, count in Counter(words).items()]
+    terms = spark.createDataFrame(counts, "query_id bigint, term string, qtf bigint")
+    ranked = _ranked(index.restricted([word for _, word, _ in counts]), terms, n, solver, small=True)
+    found = index.with_documents(ranked, at_most=n).select(*RESULT_COLUMNS[1:]).orderBy("rank")
+    # There are at most n rows; saying so sorts a short list without sampling it for a range exchange first.
+    return found.limit(n) if n <= BROADCAST_ROWS else found
 
 
 def search_batch(index: Index, queries: DataFrame, n: int, solver: str | Scorer = "BM25") -> DataFrame:
@@ -47,10 +47,9 @@ def search_batch(index: Index, queries: DataFrame, n: int, solver: str | Scorer
     check_n(n)
     scorer(solver)
     terms = querying.query_terms(queries, index.drop_empty)
-    small = querying.fits_broadcast(terms)
+    n_queries, small = querying.measure(terms)
     ranked = _ranked(index, terms, n, solver, small)
-    few = small and n * terms.select("query_id").distinct().count() <= FEW_RANKED
-    return index.with_documents(ranked, few).select(*RESULT_COLUMNS)
+    return index.with_documents(ranked, at_most=n * n_queries).select(*RESULT_COLUMNS)
 
 
 def _ranked(index: Index, terms: DataFrame, n: int, solver: str | Scorer, small: bool) -> DataFrame:
@@ -101,7 +100,7 @@ def ranked_by_solver(index: Index, queries: DataFrame, n: int) -> dict[str, Data
     """``(query_id, rank, id, relevance)`` for each solver; the scores are worked out once and kept."""
     check_n(n)
     terms = querying.query_terms(queries, index.drop_empty)
-    small = querying.fits_broadcast(terms)
+    _, small = querying.measure(terms)
     matched = querying.matching_postings(index.postings, querying.known_terms(terms, index.vocab, small), small)
     scores = querying.term_scores(matched, index.avgdl, {name: name for name in SOLVERS})
     summed = scores.groupBy("query_id", "id").agg(*(F.sum(name).alias(name) for name in SOLVERS))

@@ -16,7 +16,17 @@ def read_corpus(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     A line that is not JSON, and a document without one of the fields, fail the job that reads them.
     """
-    return as_corpus(spark.read.schema(SCHEMA).option("mode", "FAILFAST").json(path))
+    return as_corpus(spread(spark.read.schema(SCHEMA).option("mode", "FAILFAST").json(path)))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A freshly read frame, over all cores if its files give fewer splits than there are cores.
+
+    Analysing a text costs far more than moving it. An input with splits enough, which any large one made of
+    splittable files has, is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def as_corpus(

@@ -1,0 +1,53 @@
+import json
+
+import pytest
+
+from termloom import build_index, read_corpus
+from termloom.sources.corpus import first_of_each_id
+
+
+def write_lines(path, *documents):
+    path.write_text("\n".join(d if isinstance(d, str) else json.dumps(d) for d in documents), encoding="utf-8")
+    return str(path)
+
+
+GOOD = {"id": "1", "title": "T", "url": "u", "text": "Größe\nand more", "extra": 3}
+
+
+def test_reads_directories_globs_and_lists(spark, tmp_path):
+    a = write_lines(tmp_path / "a.json", GOOD, dict(GOOD, id="2"))
+    b = write_lines(tmp_path / "b.json", dict(GOOD, id="3"))
+    for source in (str(tmp_path), str(tmp_path / "*"), [a, b]):
+        rows = read_corpus(spark, source).orderBy("id").collect()
+        assert [r["id"] for r in rows] == ["1", "2", "3"]
+        assert rows[0].asDict() == {"id": "1", "title": "T", "url": "u", "text": "Größe\nand more"}
+
+
+def test_missing_field_fails_when_it_is_used(spark, tmp_path):
+    path = write_lines(tmp_path / "a.json", GOOD, {"id": "2", "title": "T", "text": "x"})
+    corpus = read_corpus(spark, path)
+    assert corpus.select("id", "text").count() == 2
+    with pytest.raises(Exception, match="no url"):
+        corpus.collect()
+
+
+def test_line_that_is_not_json_fails(spark, tmp_path):
+    path = write_lines(tmp_path / "a.json", GOOD, "not json")
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        read_corpus(spark, path).collect()
+
+
+def test_repeated_ids(spark, make_corpus):
+    corpus = make_corpus(("1", "b text"), ("2", "x"), ("1", "a text"))
+    with pytest.raises(ValueError, match="'1' occurs 2 times"):
+        build_index(corpus)
+    assert build_index(corpus, validate=False).stats.first()["n_docs"] == 3
+    kept = build_index(corpus, dedupe="first")
+    assert kept.stats.first()["n_docs"] == 2
+    assert {r["id"]: r["text"] for r in first_of_each_id(corpus).collect()} == {"1": "a text", "2": "x"}
+
+
+@pytest.mark.parametrize("option", [{"idf_type": "other"}, {"avgdl": "mean"}, {"dedupe": "last"}])
+def test_bad_options(micro, option):
+    with pytest.raises(ValueError):
+        build_index(micro, **option)

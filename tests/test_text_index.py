@@ -1,0 +1,61 @@
+import json
+
+import pytest
+
+from termloom import build_index, export_text_index, read_text_index, search
+from termloom.functions import vectors
+from termloom.sources import text_index
+from pyspark.sql import functions as F
+
+
+def test_vector_text_both_ways(spark):
+    frame = spark.createDataFrame([([(1, 0.1), (20, 3e-7)],), ([],)], f"v {vectors.VECTOR_TYPE}")
+    rows = frame.select("v", vectors.encode(F.col("v")).alias("t")).withColumn("back", vectors.decode(F.col("t")))
+    for row in rows.collect():
+        assert row["back"] == row["v"]
+    assert rows.first()["t"] == "1:0.1;20:3.0E-7"
+
+
+def test_lines(micro):
+    index = build_index(micro, "normal")
+    assert sorted(r[0] for r in text_index.term_count_lines(index).collect())[:2] == ["bird\t1", "bird\t1"]
+    assert [r[0] for r in text_index.stats_lines(index).collect()] == ["3\t3.0"]
+    assert sorted(r[0] for r in text_index.word_lines(index).collect())[1] == "cat\t1.0\t1"
+    lines = [r[0].split("\t") for r in text_index.vector_lines(index).collect()]
+    assert {tag for tag, _ in lines} == {"d"}
+    first = min((json.loads(text) for _, text in lines), key=lambda d: d["id"])
+    assert first == {"id": "1", "title": "A", "url": "u/1", "docLength": 3, "vectorized": "1:2.0;2:0.5"}
+
+
+@pytest.mark.parametrize("idf_type", ["log", "normal"])
+def test_round_trip(spark, tables_corpus, tmp_path, idf_type):
+    index = build_index(tables_corpus, idf_type, validate=False)
+    path = str(tmp_path / "text")
+    export_text_index(index, path)
+    back = read_text_index(spark, path, idf_type)
+    for name in ("term", "df", "idf", "word_id"):
+        assert sorted(r[0] for r in back.vocabulary().select(name).collect()) == sorted(
+            r[0] for r in index.vocabulary().select(name).collect()
+        )
+    assert sorted(map(tuple, back.postings.collect())) == sorted(map(tuple, index.postings.collect()))
+    for solver in ("BM25", "Basic"):
+        found = [
+            [(r["rank"], r["id"], r["title"], round(r["relevance"], 6)) for r in search(i, "the of la", 9, solver).collect()]
+            for i in (index, back)
+        ]
+        assert found[0] == found[1] and len(found[0]) == 9
+    with pytest.raises(FileExistsError):
+        export_text_index(index, path)
+
+
+def test_word_in_every_document(spark, make_corpus, tmp_path):
+    path = str(tmp_path / "text")
+    export_text_index(build_index(make_corpus("the cat", "the dog")), path)
+    back = read_text_index(spark, path)
+    assert [r["id"] for r in search(back, "the dog", 5).collect()] == ["2"]
+    assert {r["tf"] for r in back.postings.where("term = 'the'").collect()} == {None}
+
+
+def test_incomplete(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_text_index(spark, str(tmp_path))
