@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import termloom
-from termloom.functions import scoring, text, vectors
+from termloom.functions import scoring, text
 from termloom.operators import evaluation, querying, statistics
-from termloom.plans.index import CorpusIndex, build_index, load_index
+from termloom.plans.index import CorpusIndex, broadcast_few, build_index, load_index
 from termloom.plans.search import ranked_by_solver, result_listing, search, search_batch
-from termloom.session import scratch_path
+from termloom.session import durable, scratch_path
 from termloom.sources import text_index
 from termloom.sources.corpus import as_corpus, read_corpus, spread
 
@@ -62,10 +62,6 @@ def _round(frame: DataFrame, *names: str) -> DataFrame:
     return frame.withColumns({name: F.round(name, 6) for name in names})
 
 
-def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _corpus(spark, sf_dir).select("id", text.tokens(F.col("text")).alias("tokens"))
-
-
 # --- scans and tokens
 
 
@@ -81,11 +77,11 @@ def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tokens(spark, sf_dir).select("id", F.array_join("tokens", " ").alias("tokens"))
+    return _corpus(spark, sf_dir).select("id", F.array_join(text.tokens(F.col("text")), " ").alias("tokens"))
 
 
 def token_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tokens(spark, sf_dir).select("id", F.explode("tokens").alias("token"))
+    return _corpus(spark, sf_dir).select("id", F.explode(text.tokens(F.col("text"))).alias("token"))
 
 
 def doc_length(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,14 +263,13 @@ def _judged(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], Dat
     """
     items = _benchmark(spark, sf_dir)
     results = ranked_by_solver(_index(spark, sf_dir), items, TOP)
-    pool = results["BM25"].unionByName(results["Basic"]).select("query_id", "id").distinct()
+    returned = results["BM25"].unionByName(results["Basic"]).select("query_id", "id").distinct()
+    pool = returned.join(items, "query_id")
+    # The pool has TOP rows for each item and solver; the documents stay where they are.
+    pool = broadcast_few(pool, at_most=2 * TOP * items.count())
     documents = _corpus(spark, sf_dir).select("id", F.col("text").alias("document"))
-    qrels = (
-        pool.join(documents, "id")
-        .join(items, "query_id")
-        .select("query_id", "id", F.contains("document", "text").cast("int").alias("rel"))
-    )
-    return results, qrels
+    rel = F.contains("document", "text").cast("int").alias("rel")
+    return results, durable(documents.join(pool, "id").select("query_id", "id", rel))
 
 
 def average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:

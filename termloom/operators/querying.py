@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +21,24 @@ def query_terms(queries: DataFrame, drop_empty: bool = False) -> DataFrame:
     return words.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
 
 
-def measure(terms: DataFrame) -> tuple[int, bool]:
-    """How many queries there are, and whether their terms are small enough to send to every executor.
+class QuerySize(NamedTuple):
+    queries: int
+    terms: int
+    small: bool
+
+
+def measure(terms: DataFrame) -> QuerySize:
+    """How many queries and distinct terms there are, and whether they are small enough to broadcast.
 
-    This is a job of its own: nothing is broadcast on an estimate.
+    This is a job of its own: nothing is sent to every executor on an estimate.
     """
     width = F.octet_length("term") + F.octet_length(F.col("query_id").cast("string")) + 64
-    row = terms.agg(F.count_distinct("query_id").alias("n"), F.sum(width.cast("long")).alias("bytes")).first()
-    return row["n"], (row["bytes"] or 0) <= BROADCAST_BYTES
+    row = terms.agg(
+        F.count_distinct("query_id").alias("queries"),
+        F.count_distinct("term").alias("terms"),
+        F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes"),
+    ).first()
+    return QuerySize(row["queries"], row["terms"], row["bytes"] <= BROADCAST_BYTES)
 
 
 def known_terms(terms: DataFrame, vocab: DataFrame, small: bool) -> DataFrame:

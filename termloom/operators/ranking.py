@@ -38,19 +38,25 @@ def number_rows(frame: DataFrame, *order: str | Column, name: str = "row_index")
     )
 
 
-def top_n(scored: DataFrame, n: int, per: str = "query_id") -> DataFrame:
-    """The ``n`` best rows of each ``per`` by relevance, then id, with ``rank`` from 1."""
+def top_n(scored: DataFrame, n: int, per: tuple[str, ...] = ("query_id",), single: bool = False) -> DataFrame:
+    """The ``n`` best rows of each ``per`` by relevance, then id, with ``rank`` from 1.
+
+    ``single`` promises that all rows have the same ``per``.
+    """
     order = [F.round("relevance", SCORE_DECIMALS).desc(), F.col("id")]
     threshold = int(scored.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n <= threshold:
+        if single:
+            # Every task keeps its own best n in a heap, without sorting its rows.
+            scored = scored.orderBy(*order).limit(n)
         # Every task keeps its own best n before the exchange.
-        ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy(per).orderBy(*order)))
+        ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy(*per).orderBy(*order)))
         return ranked.where(F.col("rank") <= n)
     # A long result list is numbered by a distributed sort instead of one window task per query.
-    numbered = number_rows(scored, F.col(per), *order)
-    first = numbered.groupBy(per).agg(F.min("row_index").alias("first"), F.count("*").alias("matches"))
-    hot = hot_keys(first, per, "matches")
-    ranked = salted_join(numbered, first, hot, per, "id").withColumn(
-        "rank", (F.col("row_index") - F.col("first") + 1).cast("int")
+    numbered = number_rows(scored, *per, *order).withColumn("_list", F.struct(*per))
+    first = numbered.groupBy("_list").agg(F.min("row_index").alias("_first"), F.count("*").alias("_matches"))
+    hot = hot_keys(first, "_list", "_matches")
+    ranked = salted_join(numbered, first, hot, "_list", "id").withColumn(
+        "rank", (F.col("row_index") - F.col("_first") + 1).cast("int")
     )
-    return ranked.where(F.col("rank") <= n).drop("row_index", "first", "matches")
+    return ranked.where(F.col("rank") <= n).drop("row_index", "_list", "_first", "_matches")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.functions.text import analysis, doc_length, tokens
+from termloom.functions.text import doc_length, entries, tokens
 
 AVGDL_MODES = ("floor", "exact")
 
@@ -16,9 +16,8 @@ def documents(corpus: DataFrame, drop_empty: bool = False) -> DataFrame:
 
 
 def term_frequency(corpus: DataFrame, drop_empty: bool = False, only: list[str] | None = None) -> DataFrame:
-    """``(id, doc_length, term, tf)``, one row per document and distinct term; no exchange."""
-    described = corpus.select("id", analysis(F.col("text"), drop_empty, only).alias("a"))
-    return described.select("id", F.col("a.doc_length").alias("doc_length"), F.inline("a.terms"))
+    """``(id, term, tf, doc_length)``, one row per document and distinct term; no exchange."""
+    return corpus.select("id", F.inline(entries(F.col("text"), drop_empty, only)))
 
 
 def distinct_terms(corpus: DataFrame, drop_empty: bool = False, only: list[str] | None = None) -> DataFrame:

@@ -20,9 +20,12 @@ from termloom.functions.text import analysis
 from termloom.operators import statistics
 from termloom.operators.ranking import number_rows
 from termloom.operators.skew import hot_keys, salted_join
-from termloom.session import durable, path_exists, scratch_path
+from termloom.session import durable, path_exists, written
 from termloom.sources.corpus import first_of_each_id, require_unique_ids
 
+STATS_SCHEMA = (
+    "n_docs BIGINT, total_tokens BIGINT, avgdl DOUBLE, idf_type STRING, drop_empty BOOLEAN, buckets INT, shards INT"
+)
 POSTINGS_SCHEMA = "term STRING, id STRING, tf BIGINT, doc_length BIGINT"
 
 # Up to this many values are compared one by one in the scan; longer lists are filtered by their join alone.
@@ -105,9 +108,8 @@ class Index:
     def summary(self) -> DataFrame:
         """One row: documents, tokens, average length, distinct terms, postings."""
         sizes = self.vocab.agg(F.count("*").alias("n_terms"), F.coalesce(F.sum("df"), F.lit(0)).alias("n_postings"))
-        return self.stats.withColumns(
-            {name: sizes.select(name).scalar() for name in ("n_terms", "n_postings")}
-        )
+        both = self.stats.withColumn("sizes", sizes.select(F.struct("n_terms", "n_postings")).scalar())
+        return both.select("n_docs", "total_tokens", "avgdl", "sizes.*")
 
     def save(self, path: str, buckets: int | None = None) -> StoredIndex:
         raise NotImplementedError("this index has no corpus to write")
@@ -145,44 +147,42 @@ class CorpusIndex(Index):
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         shards = math.gcd(buckets, DOCUMENT_SHARDS)
 
-        staged_path = scratch_path(spark, "analysed")
-        described = analysis(F.col("text"), self.drop_empty)
-        (
+        analysed = (
             self.corpus.repartition(buckets, "id")
-            .select("id", "title", "url", described.alias("a"))
+            .select("id", "title", "url", analysis(F.col("text"), self.drop_empty).alias("a"))
             .select("id", "title", "url", "a.doc_length", "a.terms")
-            .write.parquet(staged_path)
-        )
-        staged = spark.read.parquet(staged_path)
-
-        stats = statistics.corpus_stats(staged, self.avgdl_mode)
-        settings = {"idf_type": self.idf_type, "drop_empty": self.drop_empty, "buckets": buckets, "shards": shards}
-        # One row.
-        stats.withColumns({k: F.lit(v) for k, v in settings.items()}).coalesce(1).write.parquet(f"{path}/stats")
-
-        n_docs = spark.read.parquet(f"{path}/stats").select("n_docs").scalar()
-        df = statistics.document_frequency(staged.select(F.explode("terms.term").alias("term")))
-        vocab = df.withColumn("idf", scoring.idf(F.col("df"), n_docs, self.idf_type))
-        number_rows(vocab, "term", name="word_id").sortWithinPartitions("term").write.parquet(f"{path}/vocab")
-
-        # A staged part lies wholly in one shard, so neither write below needs another exchange.
-        (
-            staged.select("id", "title", "url", "doc_length", document_shard(shards))
-            .sortWithinPartitions("shard", "id")
-            .write.partitionBy("shard")
-            .parquet(f"{path}/docs")
-        )
-        table = _table_name(path)
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        (
-            staged.select("id", "doc_length", F.inline("terms"))
-            .select("term", "id", "tf", "doc_length")
-            .write.format("parquet")
-            .bucketBy(buckets, "id")
-            .sortBy("term", "id")
-            .option("path", f"{path}/postings")
-            .saveAsTable(table)
         )
+        with written(analysed, "analysed") as staged:
+            n_docs = staged.agg(F.count("*")).scalar()
+            df = statistics.document_frequency(staged.select(F.explode("terms.term").alias("term")))
+            vocab = df.withColumn("idf", scoring.idf(F.col("df"), n_docs, self.idf_type))
+            number_rows(vocab, "term", name="word_id").sortWithinPartitions("term").write.parquet(f"{path}/vocab")
+
+            # A staged part lies wholly in one shard and one bucket, so these two need no exchange.
+            (
+                staged.select("id", "title", "url", "doc_length", document_shard(shards))
+                .sortWithinPartitions("shard", "id")
+                .write.partitionBy("shard")
+                .parquet(f"{path}/docs")
+            )
+            table = _table_name(path)
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            (
+                staged.select("id", "doc_length", F.inline("terms"))
+                .select("term", "id", "tf", "doc_length")
+                .write.format("parquet")
+                .bucketBy(buckets, "id")
+                .sortBy("term", "id")
+                .option("path", f"{path}/postings")
+                .saveAsTable(table)
+            )
+
+            # One row, written last: an index that has it is complete.
+            settings = {
+                "idf_type": self.idf_type, "drop_empty": self.drop_empty, "buckets": buckets, "shards": shards
+            }
+            stats = statistics.corpus_stats(staged, self.avgdl_mode)
+            stats.withColumns({name: F.lit(v) for name, v in settings.items()}).write.parquet(f"{path}/stats")
         return StoredIndex(spark, path)
 
 
@@ -190,12 +190,13 @@ class StoredIndex(Index):
     """A saved index, read from its path."""
 
     def __init__(self, spark: SparkSession, path: str):
-        datasets = ("stats", "vocab", "docs", "postings")
-        missing = [name for name in datasets if not path_exists(spark, f"{path}/{name}/_SUCCESS")]
+        missing = [name for name in ("vocab", "docs", "postings", "stats") if not path_exists(spark, f"{path}/{name}")]
         if missing:
             raise FileNotFoundError(f"{path} is not a complete index: no {', '.join(missing)}")
-        stats = spark.read.parquet(f"{path}/stats")
+        stats = spark.read.schema(STATS_SCHEMA).parquet(f"{path}/stats")
         row = stats.first()
+        if row is None:
+            raise FileNotFoundError(f"{path} is not a complete index: stats has no row")
         self.path = path
         self.buckets = row["buckets"]
         self.shards = row["shards"]

@@ -13,7 +13,7 @@ from termloom.functions.text import tokens
 from termloom.operators import querying
 from termloom.operators.evaluation import average_precision, mean_average_precision
 from termloom.operators.ranking import top_n
-from termloom.plans.index import BROADCAST_ROWS, Index
+from termloom.plans.index import BROADCAST_ROWS, PUSHED_VALUES, Index
 from termloom.session import durable, path_exists
 
 RESULT_COLUMNS = ("query_id", "rank", "id", "title", "url", "relevance")
@@ -33,7 +33,11 @@ def search(index: Index, text: str, n: int, solver: str | Scorer = "BM25") -> Da
     words = spark.range(1).select(tokens(F.lit(text), index.drop_empty).alias("w")).first()["w"]
     counts = [(0, word, count) for word, count in Counter(words).items()]
     terms = spark.createDataFrame(counts, "query_id bigint, term string, qtf bigint")
-    ranked = _ranked(index.restricted([word for _, word, _ in counts]), terms, n, solver, small=True)
+    narrow = index.restricted([word for _, word, _ in counts])
+    known = querying.known_terms(terms, narrow.vocab, small=True)
+    matched = querying.matching_postings(narrow.postings, known, small=True)
+    scores = querying.term_scores(matched, index.avgdl, {"score": solver})
+    ranked = top_n(querying.relevance(scores), n, single=True)
     found = index.with_documents(ranked, at_most=n).select(*RESULT_COLUMNS[1:]).orderBy("rank")
     # There are at most n rows; saying so sorts a short list without sampling it for a range exchange first.
     return found.limit(n) if n <= BROADCAST_ROWS else found
@@ -47,17 +51,17 @@ def search_batch(index: Index, queries: DataFrame, n: int, solver: str | Scorer
     check_n(n)
     scorer(solver)
     terms = querying.query_terms(queries, index.drop_empty)
-    n_queries, small = querying.measure(terms)
-    ranked = _ranked(index, terms, n, solver, small)
-    return index.with_documents(ranked, at_most=n * n_queries).select(*RESULT_COLUMNS)
+    size = querying.measure(terms)
+    scores = querying.term_scores(_matched(index, terms, size), index.avgdl, {"score": solver})
+    ranked = top_n(querying.relevance(scores), n)
+    return index.with_documents(ranked, at_most=n * size.queries).select(*RESULT_COLUMNS)
 
 
-def _ranked(index: Index, terms: DataFrame, n: int, solver: str | Scorer, small: bool) -> DataFrame:
-    """``(query_id, rank, id, relevance)``, still without titles."""
-    known = querying.known_terms(terms, index.vocab, small)
-    matched = querying.matching_postings(index.postings, known, small)
-    scores = querying.term_scores(matched, index.avgdl, {"score": solver})
-    return top_n(querying.relevance(scores), n)
+def _matched(index: Index, terms: DataFrame, size: querying.QuerySize) -> DataFrame:
+    if size.terms <= PUSHED_VALUES:
+        index = index.restricted([row["term"] for row in terms.select("term").distinct().collect()])
+    known = querying.known_terms(terms, index.vocab, size.small)
+    return querying.matching_postings(index.postings, known, size.small)
 
 
 def result_listing(results: DataFrame) -> DataFrame:
@@ -100,15 +104,10 @@ def ranked_by_solver(index: Index, queries: DataFrame, n: int) -> dict[str, Data
     """``(query_id, rank, id, relevance)`` for each solver; the scores are worked out once and kept."""
     check_n(n)
     terms = querying.query_terms(queries, index.drop_empty)
-    _, small = querying.measure(terms)
-    matched = querying.matching_postings(index.postings, querying.known_terms(terms, index.vocab, small), small)
+    matched = _matched(index, terms, querying.measure(terms))
     scores = querying.term_scores(matched, index.avgdl, {name: name for name in SOLVERS})
     summed = scores.groupBy("query_id", "id").agg(*(F.sum(name).alias(name) for name in SOLVERS))
-    lists = [
-        top_n(summed.select("query_id", "id", F.col(name).alias("relevance")).where("relevance <> 0"), n).withColumn(
-            "solver", F.lit(name)
-        )
-        for name in SOLVERS
-    ]
-    kept = durable(lists[0].unionByName(lists[1]))
+    by_solver = F.array(*(F.struct(F.lit(name).alias("solver"), F.col(name).alias("relevance")) for name in SOLVERS))
+    scored = summed.select("query_id", "id", F.inline(by_solver)).where("relevance <> 0")
+    kept = durable(top_n(scored, n, per=("solver", "query_id")))
     return {name: kept.where(F.col("solver") == name).drop("solver") for name in SOLVERS}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +38,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/termloom/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def written(frame: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The frame as a Parquet table in the checkpoint folder, dropped when the block ends."""
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    frame.write.parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        files, target = _file_system(spark, path)
+        files.delete(target, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target

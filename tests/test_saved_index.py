@@ -57,7 +57,7 @@ def test_paths_are_checked(spark, saved, tmp_path):
     lazy, _, path = saved
     with pytest.raises(FileExistsError):
         lazy.save(path)
-    with pytest.raises(FileNotFoundError, match="stats, vocab, docs, postings"):
+    with pytest.raises(FileNotFoundError, match="vocab, docs, postings, stats"):
         load_index(spark, str(tmp_path))
     with pytest.raises(NotImplementedError):
         load_index(spark, path).save(str(tmp_path / "copy"))

@@ -130,7 +130,7 @@ def test_large_query_side_is_joined_by_exchange(spark, tables_corpus, monkeypatc
     queries = spark.createDataFrame(list(enumerate(QUERIES)), "query_id bigint, text string")
     expected = sorted((r["query_id"], r["rank"], r["id"]) for r in search_batch(index, queries, 9).collect())
     monkeypatch.setattr(querying, "BROADCAST_BYTES", 10)
-    assert querying.measure(querying.query_terms(queries)) == (3, False)
+    assert querying.measure(querying.query_terms(queries)) [0::2] == (3, False)
     exchanged = search_batch(index, queries, 9)
     assert sorted((r["query_id"], r["rank"], r["id"]) for r in exchanged.collect()) == expected
 

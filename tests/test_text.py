@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from termloom.functions.text import analysis, tokens
+from termloom.functions.text import analysis, entries, tokens
 
 
 @pytest.mark.parametrize(
@@ -60,13 +60,15 @@ def test_whole_corpus_against_python(spark, tables_corpus):
         assert {e["term"]: e["tf"] for e in row["a"]["terms"]} == {w: expected.count(w) for w in set(expected)}
 
 
-def test_bag_is_sorted_and_may_be_narrowed(spark):
+def test_entries_are_sorted_and_may_be_narrowed(spark):
     frame = spark.createDataFrame([("b a b c",)], "text string")
-    row = frame.select(analysis(F.col("text"), only=["b", "z"]).alias("a")).first()["a"]
-    assert row["doc_length"] == 4
-    assert [tuple(e) for e in row["terms"]] == [("b", 2)]
-    full = frame.select(analysis(F.col("text")).alias("a")).first()["a"]
-    assert [tuple(e) for e in full["terms"]] == [("a", 1), ("b", 2), ("c", 1)]
+    narrow = frame.select(F.inline(entries(F.col("text"), only=["b", "z"])))
+    assert [tuple(r) for r in narrow.collect()] == [("b", 2, 4)]
+    full = frame.select(F.inline(entries(F.col("text"))))
+    assert full.columns == ["term", "tf", "doc_length"]
+    assert [tuple(r) for r in full.collect()] == [("a", 1, 4), ("b", 2, 4), ("c", 1, 4)]
+    described = frame.select(analysis(F.col("text")).alias("a")).first()["a"]
+    assert (described["doc_length"], [tuple(e) for e in described["terms"]]) == (4, [("a", 1), ("b", 2), ("c", 1)])
 
 
 def test_term_counts_need_no_exchange(spark, micro):
@@ -75,4 +77,5 @@ def test_term_counts_need_no_exchange(spark, micro):
     for frame in (term_frequency(micro), distinct_terms(micro)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan
+        assert plan.count("regexp_replace") == 1  # the text is analysed once
         assert "Python" not in plan
