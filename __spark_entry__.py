@@ -17,6 +17,7 @@ from termloom.operators import evaluation, querying, statistics
 from termloom.plans.index import CorpusIndex, broadcast_few, build_index, load_index
 from termloom.plans.search import ranked_by_solver, result_listing, search, search_batch
 from termloom.session import durable, scratch_path
+from termloom.sources import corpus as corpus_source
 from termloom.sources import text_index
 from termloom.sources.corpus import as_corpus, read_corpus, spread
 
@@ -71,6 +72,24 @@ def scan_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_corpus(spark, path)
 
 
+def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_source.repeated_ids(_turns(spark, sf_dir))
+
+
+def first_of_each_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_source.first_of_each_id(_turns(spark, sf_dir))
+
+
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A corpus whose ids repeat: one document per turn, with the conversation's id."""
+    return as_corpus(
+        _table(spark, sf_dir, "conversations"),
+        id="conv_id",
+        title="role",
+        url=F.concat(F.lit("turn://"), "conv_id", F.lit("/"), "turn"),
+    )
+
+
 def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     return events.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
@@ -145,6 +164,12 @@ def vector_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_index.vector_lines(_index(spark, sf_dir))
 
 
+def text_index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "text-index")
+    text_index.export_text_index(_index(spark, sf_dir), path)
+    return text_index.read_text_index(spark, path).postings
+
+
 def index_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _index(spark, sf_dir).summary()
 
@@ -295,9 +320,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
-        scan_corpus, json_extract, tokenize, token_explode, doc_length,
+        scan_corpus, repeated_ids, first_of_each_id, json_extract, tokenize, token_explode, doc_length,
         term_frequency, distinct_terms, document_frequency, corpus_stats, corpus_stats_exact, idf_log, idf_normal,
-        vocabulary, tfidf_postings, document_vectors, vector_parse, vector_json, index_summary,
+        vocabulary, tfidf_postings, document_vectors, vector_parse, vector_json, text_index_postings, index_summary,
         saved_index_summary, saved_postings, saved_vocabulary,
         query_vector_basic, query_vector_bm25, matching_postings,
         bm25_term_scores, basic_term_scores, bm25_scores, basic_scores,
@@ -432,6 +457,11 @@ def oracle_sql() -> dict[str, str]:
     known = base + _BATCH + _KNOWN + end
     return {
         "scan_corpus": base + end + "SELECT id, title, url, text FROM corpus",
+        "repeated_ids": "SELECT CAST(conv_id AS VARCHAR) AS id, count(*) AS copies FROM conversations "
+        "GROUP BY conv_id HAVING count(*) > 1",
+        "first_of_each_id": "SELECT id, title, url, text FROM (SELECT *, row_number() OVER (PARTITION BY id "
+        "ORDER BY title, url, text) AS n FROM (SELECT CAST(conv_id AS VARCHAR) AS id, role AS title, "
+        "'turn://' || conv_id || '/' || turn AS url, text FROM conversations)) WHERE n = 1",
         "json_extract": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
         "tokenize": base + end + "SELECT id, lower(array_to_string(words, ' ')) AS tokens FROM tokenized",
         "token_explode": base + end + "SELECT id, term AS token FROM occurrences",
@@ -453,6 +483,7 @@ def oracle_sql() -> dict[str, str]:
         + vectors_sql,
         "index_summary": base + end + summary,
         "saved_index_summary": base + end + summary,
+        "text_index_postings": base + end + "SELECT term, id, tf, doc_length FROM tf JOIN docs USING (id)",
         "saved_postings": base + end + "SELECT term, id, tf, doc_length FROM tf JOIN docs USING (id)",
         "query_vector_basic": known + "SELECT query_id, term, qtf, round(qtf * idf, 6) AS q_weight FROM known",
         "query_vector_bm25": known + "SELECT query_id, term, qtf, round(idf, 6) AS q_weight FROM known",

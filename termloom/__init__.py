@@ -11,7 +11,7 @@ from termloom.plans.search import (
     write_results,
 )
 from termloom.sources.corpus import as_corpus, read_corpus
-from termloom.sources.text_index import export_text_index, read_text_index
+from termloom.sources.text_index import export_results, export_text_index, read_text_index
 
 __all__ = [
     "Index",
@@ -21,6 +21,7 @@ __all__ = [
     "build_index",
     "compare_results",
     "compare_solvers",
+    "export_results",
     "export_text_index",
     "load_index",
     "mean_average_precision",

@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.scoring import SOLVERS, Scorer, scorer
 from termloom.functions.text import tokens
-from termloom.operators.skew import hot_keys, salted_join
-
-# A query side of at most this many bytes is broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
+from termloom.operators import skew
 
 
 def query_terms(queries: DataFrame, drop_empty: bool = False) -> DataFrame:
@@ -32,13 +29,12 @@ def measure(terms: DataFrame) -> QuerySize:
 
     This is a job of its own: nothing is sent to every executor on an estimate.
     """
-    width = F.octet_length("term") + F.octet_length(F.col("query_id").cast("string")) + 64
     row = terms.agg(
         F.count_distinct("query_id").alias("queries"),
         F.count_distinct("term").alias("terms"),
-        F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes"),
+        skew.byte_size(terms).alias("bytes"),
     ).first()
-    return QuerySize(row["queries"], row["terms"], row["bytes"] <= BROADCAST_BYTES)
+    return QuerySize(row["queries"], row["terms"], row["bytes"] <= skew.BROADCAST_BYTES)
 
 
 def known_terms(terms: DataFrame, vocab: DataFrame, small: bool) -> DataFrame:
@@ -64,7 +60,8 @@ def matching_postings(postings: DataFrame, known: DataFrame, small: bool) -> Dat
     if small:
         return postings.join(F.broadcast(known.drop("df")), "term").select(*columns)
     sizes = known.groupBy("term").agg(F.first("df").alias("df"))
-    return salted_join(postings, known.drop("df"), hot_keys(sizes, "term", "df"), "term", "id").select(*columns)
+    hot = skew.hot_keys(sizes, "term", "df")
+    return skew.salted_join(postings, known.drop("df"), hot, "term", "id").select(*columns)
 
 
 def term_scores(matched: DataFrame, avgdl: Column, solvers: dict[str, str | Scorer]) -> DataFrame:

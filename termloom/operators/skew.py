@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Frames measured to hold at most this many bytes are broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
 # A key is hot when it holds more than 1/HOT_KEYS of all rows; hence there are fewer than HOT_KEYS of them.
 HOT_KEYS = 4096
 
 
+def byte_size(frame: DataFrame) -> Column:
+    """Aggregate: about how many bytes the rows of a frame of plain columns take in a broadcast."""
+    width = F.lit(32)
+    for column in frame.columns:
+        width = width + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0)) + 16
+    return F.coalesce(F.sum(width.cast("long")), F.lit(0))
+
+
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str, spread: str) -> DataFrame:
+    """Inner join of rows with a lookup that has each key once, and in ``weight`` its number of rows.
+
+    The lookup is measured by a job of its own: a small one is broadcast and the rows stay where they are, a
+    larger one is joined by exchange with the rows of hot keys divided.
+    """
+    if lookup.agg(byte_size(lookup)).first()[0] <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(lookup.drop(weight)), key)
+    return salted_join(rows, lookup.drop(weight), hot_keys(lookup, key, weight), key, spread)
+
+
 def hot_keys(sizes: DataFrame, key: str, weight: str) -> DataFrame:
     """``(key, splits)`` of the hot keys, given one row per key with its number of rows.
 

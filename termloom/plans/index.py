@@ -19,13 +19,15 @@ from termloom.functions import scoring
 from termloom.functions.text import analysis
 from termloom.operators import statistics
 from termloom.operators.ranking import number_rows
-from termloom.operators.skew import hot_keys, salted_join
+from termloom.operators.skew import lookup_join
 from termloom.session import durable, path_exists, written
 from termloom.sources.corpus import first_of_each_id, require_unique_ids
 
 STATS_SCHEMA = (
     "n_docs BIGINT, total_tokens BIGINT, avgdl DOUBLE, idf_type STRING, drop_empty BOOLEAN, buckets INT, shards INT"
 )
+DOCS_SCHEMA = "id STRING, title STRING, url STRING, doc_length BIGINT, shard INT"
+VOCAB_SCHEMA = "term STRING, df BIGINT, idf DOUBLE, word_id BIGINT"
 POSTINGS_SCHEMA = "term STRING, id STRING, tf BIGINT, doc_length BIGINT"
 
 # Up to this many values are compared one by one in the scan; longer lists are filtered by their join alone.
@@ -101,8 +103,7 @@ class Index:
         return titles.join(vectors, "id").select("id", "title", "url", "doc_length", "vector")
 
     def _weighted(self, vocab: DataFrame) -> DataFrame:
-        hot = hot_keys(vocab, "term", "df")
-        joined = salted_join(self.postings, vocab.drop("df"), hot, "term", "id")
+        joined = lookup_join(self.postings, vocab, "term", weight="df", spread="id")
         return joined.withColumn("tfidf", scoring.tfidf(F.col("tf"), F.col("idf")))
 
     def summary(self) -> DataFrame:
@@ -114,6 +115,11 @@ class Index:
     def save(self, path: str, buckets: int | None = None) -> StoredIndex:
         raise NotImplementedError("this index has no corpus to write")
 
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> StoredIndex:
+        """A saved index; every part of it must be there."""
+        return StoredIndex(spark, path)
+
 
 class CorpusIndex(Index):
     """An index over a corpus frame, computed when used."""
@@ -202,9 +208,9 @@ class StoredIndex(Index):
         self.shards = row["shards"]
         self._totals = row
         super().__init__(
-            docs=spark.read.parquet(f"{path}/docs"),
+            docs=spark.read.schema(DOCS_SCHEMA).parquet(f"{path}/docs"),
             stats=stats.select("n_docs", "total_tokens", "avgdl"),
-            vocab=spark.read.parquet(f"{path}/vocab"),
+            vocab=spark.read.schema(VOCAB_SCHEMA).parquet(f"{path}/vocab"),
             postings=self._bucketed_postings(spark),
             idf_type=row["idf_type"],
             drop_empty=row["drop_empty"],
@@ -290,7 +296,7 @@ def build_index(
 
 
 def load_index(spark: SparkSession, path: str) -> StoredIndex:
-    """A saved index; every part of it must be there."""
+    """The same as ``Index.load``."""
     return StoredIndex(spark, path)
 
 

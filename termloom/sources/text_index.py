@@ -4,6 +4,8 @@
 * ``doc_info``: ``documents TAB average length``
 * ``words``: ``word TAB idf TAB word id``
 * ``vectorized``: ``d TAB {"id", "title", "url", "docLength", "vectorized": "id:weight;..."}``
+
+Search results have one too: ``{"title", "url", "relevance"} TAB relevance``.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions import vectors
-from termloom.operators.skew import hot_keys, salted_join
+from termloom.operators.skew import lookup_join
 from termloom.plans.index import Index
 from termloom.session import durable, path_exists
 
@@ -37,6 +39,21 @@ def vector_lines(index: Index) -> DataFrame:
     return index.vectors().select(F.concat_ws("\t", F.lit("d"), json).alias("value"))
 
 
+def result_lines(results: DataFrame) -> DataFrame:
+    """``{"title", "url", "relevance"} TAB relevance``, best first."""
+    json = F.to_json(F.struct("title", "url", "relevance"))
+    order = [c for c in ("query_id", "rank") if c in results.columns]
+    line = F.concat_ws("\t", json, F.col("relevance").cast("string"))
+    return results.orderBy(*order).select(line.alias("value"))
+
+
+def export_results(results: DataFrame, path: str) -> None:
+    """Write result lines to a path that must not exist."""
+    if path_exists(results.sparkSession, path):
+        raise FileExistsError(f"{path} already exists")
+    result_lines(results).write.text(path)
+
+
 def export_text_index(index: Index, path: str) -> None:
     """Write the four text datasets under a path that must not exist."""
     if path_exists(index.spark, path):
@@ -88,7 +105,7 @@ def read_text_index(spark: SparkSession, path: str, idf_type: str = "log") -> In
 
     parsed = parse_vector_lines(spark.read.option("pathGlobFilter", "part*").text(f"{path}/vectorized"))
     entries = parsed.select("id", "doc_length", F.inline("vector"))
-    postings = salted_join(entries, vocab.drop("df"), hot_keys(vocab, "word_id", "df"), "word_id", "id").select(
+    postings = lookup_join(entries, vocab, "word_id", weight="df", spread="id").select(
         "term", "id", F.round(F.try_divide("weight", "idf")).cast("long").alias("tf"), "doc_length"
     )
     return TextIndex(parsed.drop("vector"), stats, vocab, postings, idf_type, drop_empty=False)

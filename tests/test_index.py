@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termloom import build_index
+from termloom.operators import skew
 
 
 def pairs(frame, key, value):
@@ -71,6 +72,22 @@ def test_vectors(micro):
     assert (rows["3"]["title"], rows["3"]["url"], rows["3"]["doc_length"]) == ("C", "u/3", 4)
 
 
+def test_large_vocabulary_is_joined_by_exchange(tables_corpus, monkeypatch):
+    index = build_index(tables_corpus, validate=False)
+
+    def found():
+        weights = {(r["id"], r["term"]): r["tfidf"] for r in index.tfidf_postings().collect()}
+        vectors = {r["id"]: [tuple(e) for e in r["vector"]] for r in index.vectors().collect()}
+        return weights, vectors
+
+    broadcast = found()
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 10)
+    plan = index.tfidf_postings()._jdf.queryExecution().optimizedPlan().toString()
+    assert "salt" in plan
+    assert found() == broadcast
+    assert len(broadcast[0]) == 50193 and len(broadcast[1]) == 200
+
+
 def test_counts_add_up(tables_corpus):
     index = build_index(tables_corpus)
     stats = index.stats.first()

@@ -13,7 +13,7 @@ WITHOUT_SQL = {"vector_json"}
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in ("documents", "benchmark", "events"):
+    for table in ("documents", "benchmark", "events", "conversations"):
         connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL_TABLES}/{table}.parquet'")
     return connection
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from termloom import build_index, result_listing, search, search_batch, write_results
 from termloom.functions import scoring
-from termloom.operators import querying
+from termloom.operators import querying, skew
 
 COLUMNS = ["rank", "id", "title", "url", "relevance"]
 
@@ -129,7 +129,7 @@ def test_large_query_side_is_joined_by_exchange(spark, tables_corpus, monkeypatc
     index = build_index(tables_corpus, validate=False)
     queries = spark.createDataFrame(list(enumerate(QUERIES)), "query_id bigint, text string")
     expected = sorted((r["query_id"], r["rank"], r["id"]) for r in search_batch(index, queries, 9).collect())
-    monkeypatch.setattr(querying, "BROADCAST_BYTES", 10)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 10)
     assert querying.measure(querying.query_terms(queries)) [0::2] == (3, False)
     exchanged = search_batch(index, queries, 9)
     assert sorted((r["query_id"], r["rank"], r["id"]) for r in exchanged.collect()) == expected

@@ -2,10 +2,11 @@ import json
 
 import pytest
 
-from termloom import build_index, export_text_index, read_text_index, search
+from pyspark.sql import functions as F
+
+from termloom import build_index, export_results, export_text_index, read_text_index, search
 from termloom.functions import vectors
 from termloom.sources import text_index
-from pyspark.sql import functions as F
 
 
 def test_vector_text_both_ways(spark):
@@ -56,6 +57,18 @@ def test_word_in_every_document(spark, make_corpus, tmp_path):
     assert {r["tf"] for r in back.postings.where("term = 'the'").collect()} == {None}
 
 
+def test_result_lines(spark, micro, tmp_path):
+    path = str(tmp_path / "results")
+    export_results(search(build_index(micro, "normal"), "dog cat", 5, "Basic"), path)
+    lines = [r[0].split("\t") for r in spark.read.text(path).collect()]
+    assert [(json.loads(text), score) for text, score in lines] == [
+        ({"title": "A", "url": "u/1", "relevance": 2.25}, "2.25"),
+        ({"title": "B", "url": "u/2", "relevance": 0.25}, "0.25"),
+    ]
+    with pytest.raises(FileExistsError):
+        export_results(search(build_index(micro), "dog", 5), path)
+
+
 def test_incomplete(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_text_index(spark, str(tmp_path))
