@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import termloom
-from termloom.functions import scoring, text
+from termloom.functions import scoring, text, vectors
 from termloom.operators import evaluation, querying, statistics
 from termloom.plans.index import CorpusIndex, broadcast_few, build_index, load_index
 from termloom.plans.search import ranked_by_solver, result_listing, search, search_batch
@@ -157,7 +157,8 @@ def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vector_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = text_index.parse_vector_lines(text_index.vector_lines(_index(spark, sf_dir)))
-    return _round(parsed.select("id", "title", "url", "doc_length", F.inline("vector")), "weight")
+    entries = F.inline(vectors.decode(F.col("vectorized")))
+    return _round(parsed.select("id", "title", "url", "doc_length", entries), "weight")
 
 
 def vector_json(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,14 +65,14 @@ def export_text_index(index: Index, path: str) -> None:
 
 
 def parse_vector_lines(lines: DataFrame) -> DataFrame:
-    """``(id, title, url, doc_length, vector)`` from ``d TAB json`` lines."""
+    """``(id, title, url, doc_length, vectorized)`` from ``d TAB json`` lines; the vector is still text."""
     parsed = vectors.parse_document_json(F.split_part("value", F.lit("\t"), F.lit(2)))
     return lines.select(parsed.alias("d")).select(
         "d.id",
         "d.title",
         "d.url",
         F.col("d.docLength").alias("doc_length"),
-        vectors.decode(F.col("d.vectorized")).alias("vector"),
+        F.col("d.vectorized").alias("vectorized"),
     )
 
 
@@ -104,11 +104,11 @@ def read_text_index(spark: SparkSession, path: str, idf_type: str = "log") -> In
     vocab = durable(words.withColumn("df", F.round(df).cast("long")))
 
     parsed = parse_vector_lines(spark.read.option("pathGlobFilter", "part*").text(f"{path}/vectorized"))
-    entries = parsed.select("id", "doc_length", F.inline("vector"))
+    entries = parsed.select("id", "doc_length", F.inline(vectors.decode(F.col("vectorized"))))
     postings = lookup_join(entries, vocab, "word_id", weight="df", spread="id").select(
         "term", "id", F.round(F.try_divide("weight", "idf")).cast("long").alias("tf"), "doc_length"
     )
-    return TextIndex(parsed.drop("vector"), stats, vocab, postings, idf_type, drop_empty=False)
+    return TextIndex(parsed.drop("vectorized"), stats, vocab, postings, idf_type, drop_empty=False)
 
 
 class TextIndex(Index):

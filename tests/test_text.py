@@ -1,6 +1,9 @@
+import random
 import re
+from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from termloom.functions.text import analysis, entries, tokens
@@ -79,3 +82,24 @@ def test_term_counts_need_no_exchange(spark, micro):
         assert "Exchange" not in plan
         assert plan.count("regexp_replace") == 1  # the text is analysed once
         assert "Python" not in plan
+
+
+# Letters of several scripts (with a dotted capital I and both sigmas), marks, digits, punctuation, blanks, symbols.
+ALPHABET = list("aZéßİıΣσςΔжЯ漢かא") + ["\U00010400"] + list("́̇19٣_'-.,/ \t\n  €😀")
+
+
+def test_random_texts_against_a_model(spark):
+    random.seed(7)
+    texts = ["".join(random.choices(ALPHABET, k=random.randrange(12))) for _ in range(4000)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = frame.select("text", tokens(F.col("text")).alias("t"), analysis(F.col("text")).alias("a")).collect()
+    for row in rows:
+        words = regex.split(r"[^\p{L}]+", row["text"])
+        if row["text"]:
+            while words and not words[-1]:
+                words.pop()
+        words = [w.lower() for w in words]
+        assert row["t"] == words, row["text"]
+        counts = Counter(words)
+        assert [tuple(e) for e in row["a"]["terms"]] == sorted(counts.items(), key=lambda e: e[0].encode())
+        assert row["a"]["doc_length"] == len(words)
