@@ -47,7 +47,7 @@ def _index(spark: SparkSession, sf_dir: str, idf_type: str = "log") -> CorpusInd
 
 def _saved(spark: SparkSession, sf_dir: str) -> termloom.StoredIndex:
     path = scratch_path(spark, "index")
-    _index(spark, sf_dir).save(path)
+    build_index(_corpus(spark, sf_dir)).save(path)
     return load_index(spark, path)
 
 

@@ -21,7 +21,7 @@ from termloom.operators import statistics
 from termloom.operators.ranking import number_rows
 from termloom.operators.skew import lookup_join
 from termloom.session import durable, path_exists, written
-from termloom.sources.corpus import first_of_each_id, require_unique_ids
+from termloom.sources.corpus import count_unique, first_of_each_id
 
 STATS_SCHEMA = (
     "n_docs BIGINT, total_tokens BIGINT, avgdl DOUBLE, idf_type STRING, drop_empty BOOLEAN, buckets INT, shards INT"
@@ -36,6 +36,10 @@ PUSHED_VALUES = 256
 # Ranked rows up to this many are broadcast to the documents.
 BROADCAST_ROWS = 100_000
 
+# Documents per bucket of a saved index.
+LEAST_PER_BUCKET = 500
+MOST_PER_BUCKET = 1_000_000
+
 # Most directories the stored documents are divided into.
 DOCUMENT_SHARDS = 1024
 
@@ -61,10 +65,6 @@ class Index:
     def spark(self) -> SparkSession:
         return self.docs.sparkSession
 
-    @property
-    def n_docs(self) -> Column:
-        return self.stats.select("n_docs").scalar()
-
     @property
     def avgdl(self) -> Column:
         return self.stats.select("avgdl").scalar()
@@ -134,6 +134,7 @@ class CorpusIndex(Index):
         super().__init__(docs, stats, vocab, postings, idf_type, drop_empty)
         self.corpus = corpus
         self.avgdl_mode = avgdl
+        self.counted: int | None = None  # documents, if a check of the ids has counted them
 
     def restricted(self, terms: list[str]) -> Index:
         """Drops all other words of a document before they are counted."""
@@ -142,15 +143,15 @@ class CorpusIndex(Index):
     def save(self, path: str, buckets: int | None = None) -> StoredIndex:
         """Write the index to a path that must not exist.
 
-        The documents are exchanged once, by id, into ``buckets`` parts (default: the session's shuffle
-        partitions), and analysed once, after it: their text is smaller than their postings. Ids are unique, so
-        the parts are even however common a word is. Postings are sorted by term within each part and bucketed
+        The documents are exchanged once, by id, into ``buckets`` parts (default: see ``default_buckets``), and
+        analysed once, after it: their text is smaller than their postings. Ids are unique, so the parts are
+        even however common a word is. Postings are sorted by term within each part and bucketed
         by id: a search prunes to its terms and adds up each document where it lies.
         """
         spark = self.spark
         if path_exists(spark, path):
             raise FileExistsError(f"{path} already exists")
-        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = buckets or default_buckets(self.counted, int(spark.conf.get("spark.sql.shuffle.partitions")))
         shards = math.gcd(buckets, DOCUMENT_SHARDS)
 
         analysed = (
@@ -206,7 +207,7 @@ class StoredIndex(Index):
         self.path = path
         self.buckets = row["buckets"]
         self.shards = row["shards"]
-        self._totals = row
+        self._avgdl = row["avgdl"]
         super().__init__(
             docs=spark.read.schema(DOCS_SCHEMA).parquet(f"{path}/docs"),
             stats=stats.select("n_docs", "total_tokens", "avgdl"),
@@ -227,13 +228,9 @@ class StoredIndex(Index):
         )
         return spark.table(table)
 
-    @property
-    def n_docs(self) -> Column:
-        return F.lit(self._totals["n_docs"])
-
     @property
     def avgdl(self) -> Column:
-        return F.lit(self._totals["avgdl"])
+        return F.lit(self._avgdl)
 
     def vocabulary(self) -> DataFrame:
         return self.vocab.select("term", "df", "idf", "word_id")
@@ -264,6 +261,15 @@ def broadcast_few(rows: DataFrame, at_most: int) -> DataFrame:
     return F.broadcast(rows) if at_most <= BROADCAST_ROWS else rows
 
 
+def default_buckets(documents: int | None, partitions: int) -> int:
+    """Parts of a saved index: the shuffle partitions, but neither tiny nor huge where the count is known."""
+    if documents is None:
+        return partitions
+    wanted = max(math.ceil(documents / MOST_PER_BUCKET), min(partitions, math.ceil(documents / LEAST_PER_BUCKET)), 1)
+    # Large numbers become multiples of the shards, so that each bucket lies in one shard.
+    return wanted if wanted <= DOCUMENT_SHARDS else math.ceil(wanted / DOCUMENT_SHARDS) * DOCUMENT_SHARDS
+
+
 def document_shard(shards: int) -> Column:
     """The directory of a document, from the hash that also chooses its bucket."""
     return F.pmod(F.hash("id"), F.lit(shards)).alias("shard")
@@ -290,9 +296,10 @@ def build_index(
         raise ValueError(f"dedupe must be None or 'first', not {dedupe!r}")
     if dedupe == "first":
         corpus = first_of_each_id(corpus)
-    elif validate:
-        require_unique_ids(corpus)
-    return CorpusIndex(corpus, idf_type, avgdl, drop_empty)
+    index = CorpusIndex(corpus, idf_type, avgdl, drop_empty)
+    if validate and dedupe is None:
+        index.counted = count_unique(corpus)
+    return index
 
 
 def load_index(spark: SparkSession, path: str) -> StoredIndex:

@@ -28,6 +28,8 @@ def search(index: Index, text: str, n: int, solver: str | Scorer = "BM25") -> Da
     """The ``n`` most relevant documents for one text: ``(rank, id, title, url, relevance)``, best first."""
     check_n(n)
     scorer(solver)
+    if not isinstance(text, str):
+        raise ValueError(f"the query must be a text, not {text!r}")
     spark = index.spark
     # The words of the text itself, read back so that they can be pushed into the scans.
     words = spark.range(1).select(tokens(F.lit(text), index.drop_empty).alias("w")).first()["w"]

@@ -54,11 +54,15 @@ def repeated_ids(corpus: DataFrame) -> DataFrame:
     return corpus.groupBy("id").agg(F.count("*").alias("copies")).where("copies > 1")
 
 
-def require_unique_ids(corpus: DataFrame) -> DataFrame:
-    example = repeated_ids(corpus).limit(1).first()
-    if example is not None:
-        raise ValueError(f"document id {example['id']!r} occurs {example['copies']} times")
-    return corpus
+def count_unique(corpus: DataFrame) -> int:
+    """The number of documents; raises if two have the same id."""
+    copies = corpus.groupBy("id").agg(F.count("*").alias("copies"))
+    row = copies.agg(F.sum("copies").alias("documents"), F.max(F.struct("copies", "id")).alias("most")).first()
+    if row["documents"] is None:
+        return 0
+    if row["most"]["copies"] > 1:
+        raise ValueError(f"document id {row['most']['id']!r} occurs {row['most']['copies']} times")
+    return row["documents"]
 
 
 def first_of_each_id(corpus: DataFrame) -> DataFrame:

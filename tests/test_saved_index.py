@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termloom import build_index, load_index, search, search_batch
+from termloom.plans.index import default_buckets
 
 
 @pytest.fixture(scope="module")
@@ -72,6 +73,22 @@ def test_options_are_kept(spark, make_corpus, tmp_path):
     assert {r["term"]: r["idf"] for r in stored.vocab.collect()} == dict.fromkeys("abcde", 1.0)
 
 
+def test_default_buckets():
+    assert default_buckets(None, 200) == 200
+    assert default_buckets(0, 200) == 1
+    assert default_buckets(1_200, 200) == 3
+    assert default_buckets(10_000_000, 200) == 200
+    assert default_buckets(500_000_000, 200) == 500
+    assert default_buckets(20_000_000_000, 200) == 20_480
+
+
+def test_empty_corpus(make_corpus, tmp_path):
+    stored = build_index(make_corpus("a").where("false")).save(str(tmp_path / "index"))
+    assert stored.stats.first().asDict() == {"n_docs": 0, "total_tokens": 0, "avgdl": 0.0}
+    assert search(stored, "a", 5).collect() == []
+    assert stored.vectors().collect() == []
+
+
 def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 

@@ -75,6 +75,8 @@ def test_unknown_solver(micro, spark):
         search_batch(build_index(micro), spark.createDataFrame([], "query_id int, text string"), 3, "bm25")
     with pytest.raises(ValueError):
         scoring.bm25(b=2)
+    with pytest.raises(ValueError):
+        search(build_index(micro), None, 3)
 
 
 def test_own_solver(micro):
