@@ -64,27 +64,27 @@ def term_bag(token_array: Column) -> Column:
     return bind(F.sort_array(token_array), runs)
 
 
-def analysis(text: Column, drop_empty: bool = False) -> Column:
-    """``struct<doc_length, terms>`` of a text."""
+def analysis(text: Column, drop_empty: bool = False, only: list[str] | None = None) -> Column:
+    """``struct<doc_length, terms>`` of a text; ``only`` keeps these terms, the length still counts all."""
 
     def describe(words: Column) -> Column:
-        return F.struct(doc_length(words).alias("doc_length"), term_bag(words).alias("terms"))
+        kept = words if only is None else F.filter(words, lambda w: w.isin(only))
+        return F.struct(doc_length(words).alias("doc_length"), term_bag(kept).alias("terms"))
 
     return bind(tokens(text, drop_empty), describe)
 
 
-def entries(text: Column, drop_empty: bool = False, only: list[str] | None = None) -> Column:
+def entries(text: Column, drop_empty: bool = False) -> Column:
     """``array<struct<term, tf, doc_length>>`` of a text, to ``inline``.
 
-    ``only`` keeps these terms; the length still counts all. Give the expression to the generator as it is: the
-    optimizer filters on a generator's input when that is a column, and would compute the array again for it.
+    Give the expression to the generator as it is: the optimizer filters on a generator's input when that is a
+    column, and would compute the array again for it.
     """
 
     def describe(words: Column) -> Column:
-        kept = words if only is None else F.filter(words, lambda w: w.isin(only))
         length = doc_length(words)
         return F.transform(
-            term_bag(kept), lambda e: F.struct(e["term"].alias("term"), e["tf"].alias("tf"), length.alias("doc_length"))
+            term_bag(words), lambda e: F.struct(e["term"].alias("term"), e["tf"].alias("tf"), length.alias("doc_length"))
         )
 
     return bind(tokens(text, drop_empty), describe)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.functions.text import doc_length, entries, tokens
+from termloom.functions.text import analysis, doc_length, entries, tokens
 
 AVGDL_MODES = ("floor", "exact")
 
@@ -15,17 +15,23 @@ def documents(corpus: DataFrame, drop_empty: bool = False) -> DataFrame:
     return corpus.select("id", "title", "url", doc_length(tokens(F.col("text"), drop_empty)).alias("doc_length"))
 
 
-def term_frequency(corpus: DataFrame, drop_empty: bool = False, only: list[str] | None = None) -> DataFrame:
+def analysed(corpus: DataFrame, drop_empty: bool = False, only: list[str] | None = None) -> DataFrame:
+    """``(id, title, url, doc_length, terms)``: whole documents with the counts of their terms, or of ``only`` some.
+
+    Keep this somewhere before using it twice, or the texts are analysed twice.
+    """
+    described = corpus.select("id", "title", "url", analysis(F.col("text"), drop_empty, only).alias("a"))
+    return described.select("id", "title", "url", "a.doc_length", "a.terms")
+
+
+def term_frequency(corpus: DataFrame, drop_empty: bool = False) -> DataFrame:
     """``(id, term, tf, doc_length)``, one row per document and distinct term; no exchange."""
-    return corpus.select("id", F.inline(entries(F.col("text"), drop_empty, only)))
+    return corpus.select("id", F.inline(entries(F.col("text"), drop_empty)))
 
 
-def distinct_terms(corpus: DataFrame, drop_empty: bool = False, only: list[str] | None = None) -> DataFrame:
+def distinct_terms(corpus: DataFrame, drop_empty: bool = False) -> DataFrame:
     """``(id, term)``: each term of a document once; no exchange."""
-    words = tokens(F.col("text"), drop_empty)
-    if only is not None:
-        words = F.filter(words, lambda w: w.isin(only))
-    return corpus.select("id", F.explode(F.array_distinct(words)).alias("term"))
+    return corpus.select("id", F.explode(F.array_distinct(tokens(F.col("text"), drop_empty))).alias("term"))
 
 
 def document_frequency(pairs: DataFrame) -> DataFrame:

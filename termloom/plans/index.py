@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions import scoring
-from termloom.functions.text import analysis
 from termloom.operators import statistics
 from termloom.operators.ranking import number_rows
 from termloom.operators.skew import lookup_join
@@ -124,21 +123,27 @@ class Index:
 class CorpusIndex(Index):
     """An index over a corpus frame, computed when used."""
 
-    def __init__(self, corpus: DataFrame, idf_type: str, avgdl: str, drop_empty: bool, only: list[str] | None = None):
+    def __init__(self, corpus: DataFrame, idf_type: str, avgdl: str, drop_empty: bool):
         docs = statistics.documents(corpus, drop_empty)
         stats = statistics.corpus_stats(docs, avgdl)
-        pairs = statistics.distinct_terms(corpus, drop_empty, only)
+        pairs = statistics.distinct_terms(corpus, drop_empty)
         idf = scoring.idf(F.col("df"), stats.select("n_docs").scalar(), idf_type)
         vocab = statistics.document_frequency(pairs).withColumn("idf", idf)
-        postings = statistics.term_frequency(corpus, drop_empty, only).select("term", "id", "tf", "doc_length")
+        postings = statistics.term_frequency(corpus, drop_empty).select("term", "id", "tf", "doc_length")
         super().__init__(docs, stats, vocab, postings, idf_type, drop_empty)
         self.corpus = corpus
         self.avgdl_mode = avgdl
         self.counted: int | None = None  # documents, if a check of the ids has counted them
 
     def restricted(self, terms: list[str]) -> Index:
-        """Drops all other words of a document before they are counted."""
-        return CorpusIndex(self.corpus, self.idf_type, self.avgdl_mode, self.drop_empty, only=terms)
+        """Reads the texts once, now: the documents' lengths and counts of these terms are kept."""
+        narrow = statistics.analysed(self.corpus, self.drop_empty, only=terms).drop("title", "url")
+        kept = durable(narrow)
+        stats = statistics.corpus_stats(kept, self.avgdl_mode)
+        df = statistics.document_frequency(kept.select(F.explode("terms.term").alias("term")))
+        vocab = df.withColumn("idf", scoring.idf(F.col("df"), stats.select("n_docs").scalar(), self.idf_type))
+        postings = kept.select("id", "doc_length", F.inline("terms")).select("term", "id", "tf", "doc_length")
+        return Index(self.docs, stats, vocab, postings, self.idf_type, self.drop_empty)
 
     def save(self, path: str, buckets: int | None = None) -> StoredIndex:
         """Write the index to a path that must not exist.
@@ -154,11 +159,7 @@ class CorpusIndex(Index):
         buckets = buckets or default_buckets(self.counted, int(spark.conf.get("spark.sql.shuffle.partitions")))
         shards = math.gcd(buckets, DOCUMENT_SHARDS)
 
-        analysed = (
-            self.corpus.repartition(buckets, "id")
-            .select("id", "title", "url", analysis(F.col("text"), self.drop_empty).alias("a"))
-            .select("id", "title", "url", "a.doc_length", "a.terms")
-        )
+        analysed = statistics.analysed(self.corpus.repartition(buckets, "id"), self.drop_empty)
         with written(analysed, "analysed") as staged:
             n_docs = staged.agg(F.count("*")).scalar()
             df = statistics.document_frequency(staged.select(F.explode("terms.term").alias("term")))

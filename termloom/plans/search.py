@@ -38,7 +38,7 @@ def search(index: Index, text: str, n: int, solver: str | Scorer = "BM25") -> Da
     narrow = index.restricted([word for _, word, _ in counts])
     known = querying.known_terms(terms, narrow.vocab, small=True)
     matched = querying.matching_postings(narrow.postings, known, small=True)
-    scores = querying.term_scores(matched, index.avgdl, {"score": solver})
+    scores = querying.term_scores(matched, narrow.avgdl, {"score": solver})
     ranked = top_n(querying.relevance(scores), n, single=True)
     found = index.with_documents(ranked, at_most=n).select(*RESULT_COLUMNS[1:]).orderBy("rank")
     # There are at most n rows; saying so sorts a short list without sampling it for a range exchange first.
@@ -54,16 +54,18 @@ def search_batch(index: Index, queries: DataFrame, n: int, solver: str | Scorer
     scorer(solver)
     terms = querying.query_terms(queries, index.drop_empty)
     size = querying.measure(terms)
-    scores = querying.term_scores(_matched(index, terms, size), index.avgdl, {"score": solver})
+    scores = _term_scores(index, terms, size, {"score": solver})
     ranked = top_n(querying.relevance(scores), n)
     return index.with_documents(ranked, at_most=n * size.queries).select(*RESULT_COLUMNS)
 
 
-def _matched(index: Index, terms: DataFrame, size: querying.QuerySize) -> DataFrame:
+def _term_scores(
+    index: Index, terms: DataFrame, size: querying.QuerySize, solvers: dict[str, str | Scorer]
+) -> DataFrame:
     if size.terms <= PUSHED_VALUES:
         index = index.restricted([row["term"] for row in terms.select("term").distinct().collect()])
     known = querying.known_terms(terms, index.vocab, size.small)
-    return querying.matching_postings(index.postings, known, size.small)
+    return querying.term_scores(querying.matching_postings(index.postings, known, size.small), index.avgdl, solvers)
 
 
 def result_listing(results: DataFrame) -> DataFrame:
@@ -106,8 +108,7 @@ def ranked_by_solver(index: Index, queries: DataFrame, n: int) -> dict[str, Data
     """``(query_id, rank, id, relevance)`` for each solver; the scores are worked out once and kept."""
     check_n(n)
     terms = querying.query_terms(queries, index.drop_empty)
-    matched = _matched(index, terms, querying.measure(terms))
-    scores = querying.term_scores(matched, index.avgdl, {name: name for name in SOLVERS})
+    scores = _term_scores(index, terms, querying.measure(terms), {name: name for name in SOLVERS})
     summed = scores.groupBy("query_id", "id").agg(*(F.sum(name).alias(name) for name in SOLVERS))
     by_solver = F.array(*(F.struct(F.lit(name).alias("solver"), F.col(name).alias("relevance")) for name in SOLVERS))
     scored = summed.select("query_id", "id", F.inline(by_solver)).where("relevance <> 0")
