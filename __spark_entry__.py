@@ -15,7 +15,7 @@ import termloom
 from termloom.functions import scoring, text, vectors
 from termloom.operators import evaluation, querying, statistics
 from termloom.plans.index import CorpusIndex, broadcast_few, build_index, load_index
-from termloom.plans.search import ranked_by_solver, result_listing, search, search_batch
+from termloom.plans.search import ranked_by_solver, result_listing, search, search_batch, write_results
 from termloom.session import durable, scratch_path
 from termloom.sources import corpus as corpus_source
 from termloom.sources import text_index
@@ -258,6 +258,13 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result_listing(search(_index(spark, sf_dir), QUERY, TOP))
 
 
+def written_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "results")
+    write_results(search(_index(spark, sf_dir), QUERY, TOP), path)
+    schema = "rank int, id string, title string, url string, relevance double"
+    return _round(spark.read.schema(schema).json(path), "relevance")
+
+
 def search_all_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """More results than a window keeps per task: the ranks come from a distributed sort."""
     return _round(search(_index(spark, sf_dir), QUERY, 1_000_000), "relevance")
@@ -328,6 +335,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         query_vector_basic, query_vector_bm25, matching_postings,
         bm25_term_scores, basic_term_scores, bm25_scores, basic_scores,
         search_bm25, search_bm25_normal_idf, search_basic, search_custom_bm25, search_all_matches,
+        written_results,
         search_batch_bm25, search_batch_basic, saved_search_bm25, saved_search_batch_bm25,
         average_precision, map_score, solver_comparison,
     )
@@ -496,6 +504,7 @@ def oracle_sql() -> dict[str, str]:
         "basic_scores": basic + end + "SELECT query_id, id, round(relevance, 6) AS relevance FROM scored",
         "search_bm25": _top(_BM25_DEFAULT),
         "saved_search_bm25": _top(_BM25_DEFAULT),
+        "written_results": _top(_BM25_DEFAULT),
         "search_bm25_normal_idf": _top(_BM25_DEFAULT, idf=_NORMAL),
         "search_basic": _top(_BASIC),
         "search_custom_bm25": _top(_BM25.format(k1=1.2, b=0.5)),

@@ -56,7 +56,6 @@ def top_n(scored: DataFrame, n: int, per: tuple[str, ...] = ("query_id",), singl
     numbered = number_rows(scored, *per, *order).withColumn("_list", F.struct(*per))
     first = numbered.groupBy("_list").agg(F.min("row_index").alias("_first"), F.count("*").alias("_matches"))
     hot = hot_keys(first, "_list", "_matches")
-    ranked = salted_join(numbered, first, hot, "_list", "id").withColumn(
-        "rank", (F.col("row_index") - F.col("_first") + 1).cast("int")
-    )
-    return ranked.where(F.col("rank") <= n).drop("row_index", "_list", "_first", "_matches")
+    place = F.col("row_index") - F.col("_first")
+    best = salted_join(numbered, first, hot, "_list", "id").where(place < n)
+    return best.withColumn("rank", (place + 1).cast("int")).drop("row_index", "_list", "_first", "_matches")

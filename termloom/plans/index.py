@@ -1,7 +1,7 @@
 """The index: documents, corpus statistics, vocabulary and postings.
 
-An index built from a corpus is lazy: each of its frames is a plan over the corpus. :meth:`Index.save` writes it
-in one pass over the text and one exchange of the analysed documents; a saved index is laid out for queries.
+An index built from a corpus is lazy: each of its frames is a plan over the corpus. :meth:`CorpusIndex.save` writes
+it with one exchange and one analysis of the documents; a saved index is laid out for queries.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from termloom.functions import scoring
 from termloom.operators import statistics
 from termloom.operators.ranking import number_rows
 from termloom.operators.skew import lookup_join
-from termloom.session import durable, path_exists, written
+from termloom.session import durable, path_exists, qualified, written
 from termloom.sources.corpus import count_unique, first_of_each_id
 
 STATS_SCHEMA = (
@@ -150,10 +150,11 @@ class CorpusIndex(Index):
 
         The documents are exchanged once, by id, into ``buckets`` parts (default: see ``default_buckets``), and
         analysed once, after it: their text is smaller than their postings. Ids are unique, so the parts are
-        even however common a word is. Postings are sorted by term within each part and bucketed
-        by id: a search prunes to its terms and adds up each document where it lies.
+        even however common a word is. Postings are sorted by term within each part and bucketed by id: a search
+        prunes to its terms and adds up each document where it lies.
         """
         spark = self.spark
+        path = qualified(spark, path)
         if path_exists(spark, path):
             raise FileExistsError(f"{path} already exists")
         buckets = buckets or default_buckets(self.counted, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -198,6 +199,7 @@ class StoredIndex(Index):
     """A saved index, read from its path."""
 
     def __init__(self, spark: SparkSession, path: str):
+        path = qualified(spark, path)
         missing = [name for name in ("vocab", "docs", "postings", "stats") if not path_exists(spark, f"{path}/{name}")]
         if missing:
             raise FileNotFoundError(f"{path} is not a complete index: no {', '.join(missing)}")
@@ -222,7 +224,7 @@ class StoredIndex(Index):
         # The catalog entry tells Spark that the files are bucketed; dropping it leaves the files alone.
         table = _table_name(self.path)
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-        location = spark.sql("SELECT :path AS p", {"path": f"{self.path}/postings"}).first()["p"].replace("'", "\\'")
+        location = f"{self.path}/postings".replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE {table} ({POSTINGS_SCHEMA}) USING parquet "
             f"CLUSTERED BY (id) SORTED BY (term, id) INTO {self.buckets} BUCKETS LOCATION '{location}'"

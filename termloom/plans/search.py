@@ -20,8 +20,8 @@ RESULT_COLUMNS = ("query_id", "rank", "id", "title", "url", "relevance")
 
 
 def check_n(n: int) -> None:
-    if isinstance(n, bool) or not isinstance(n, int) or n < 0:
-        raise ValueError(f"n must be a whole number of at least 0, not {n!r}")
+    if isinstance(n, bool) or not isinstance(n, int) or not 0 <= n < 2**31:
+        raise ValueError(f"n must be a whole number of at least 0 and below 2**31, not {n!r}")
 
 
 def search(index: Index, text: str, n: int, solver: str | Scorer = "BM25") -> DataFrame:

@@ -43,8 +43,8 @@ def written(frame: DataFrame, name: str) -> Iterator[DataFrame]:
     """The frame as a Parquet table in the checkpoint folder, dropped when the block ends."""
     spark = frame.sparkSession
     path = scratch_path(spark, name)
-    frame.write.parquet(path)
     try:
+        frame.write.parquet(path)
         yield spark.read.parquet(path)
     finally:
         files, target = _file_system(spark, path)
@@ -56,6 +56,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full form of a path, which means the same to a reader and to the catalog."""
+    files, target = _file_system(spark, path)
+    return files.makeQualified(target).toString()
+
+
 def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target

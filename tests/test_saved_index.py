@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +66,13 @@ def test_paths_are_checked(spark, saved, tmp_path):
         load_index(spark, path).save(str(tmp_path / "copy"))
 
 
+def test_relative_path(spark, make_corpus, tmp_path):
+    path = os.path.relpath(tmp_path / "index")
+    build_index(make_corpus("a b", "a")).save(path)
+    assert [r["id"] for r in search(load_index(spark, path), "b", 5).collect()] == ["1"]
+    assert (tmp_path / "index" / "postings" / "_SUCCESS").exists()
+
+
 def test_options_are_kept(spark, make_corpus, tmp_path):
     path = str(tmp_path / "index")
     build_index(make_corpus(" a b c", "d e"), "normal", avgdl="exact", drop_empty=True).save(path)

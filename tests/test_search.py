@@ -63,7 +63,7 @@ def test_n(micro):
     assert search(index, "dog", 0).collect() == []
     assert len(search(index, "dog", 1).collect()) == 1
     assert len(search(index, "dog", 50).collect()) == 2
-    for bad in (-1, 1.5, "3", True, None):
+    for bad in (-1, 1.5, "3", True, None, 2**31):
         with pytest.raises(ValueError):
             search(index, "dog", bad)
 
