@@ -39,7 +39,14 @@ def measure(terms: DataFrame) -> QuerySize:
 
 def known_terms(terms: DataFrame, vocab: DataFrame, small: bool) -> DataFrame:
     """Query terms that are in the vocabulary, with its ``df`` and ``idf``; the vocabulary is never broadcast."""
-    return vocab.select("term", "df", "idf").join(F.broadcast(terms) if small else terms, "term")
+    words = vocab.select("term", "df", "idf")
+    if small:
+        return words.join(F.broadcast(terms), "term")
+    return skew.salted_join(terms, words, skew.hot_keys(_askers(terms), "term", "askers"), "term", "query_id")
+
+
+def _askers(terms: DataFrame) -> DataFrame:
+    return terms.groupBy("term").agg(F.count("*").alias("askers"))
 
 
 def query_vector(terms: DataFrame, vocab: DataFrame, solver: str = "BM25", small: bool = False) -> DataFrame:
@@ -54,14 +61,16 @@ def matching_postings(postings: DataFrame, known: DataFrame, small: bool) -> Dat
     """``(query_id, id, term, tf, doc_length, idf, qtf)`` of every posting whose term a query holds.
 
     A small query side is broadcast and the postings stay where they are. Otherwise both sides are exchanged
-    by term, with the postings of the commonest terms divided over many tasks.
+    by term, with the postings, and the queries, of the commonest terms divided over many tasks.
     """
     columns = ["query_id", "id", "term", "tf", "doc_length", "idf", "qtf"]
     if small:
         return postings.join(F.broadcast(known.drop("df")), "term").select(*columns)
     sizes = known.groupBy("term").agg(F.first("df").alias("df"))
-    hot = skew.hot_keys(sizes, "term", "df")
-    return skew.salted_join(postings, known.drop("df"), hot, "term", "id").select(*columns)
+    many_postings = skew.hot_keys(sizes, "term", "df")
+    many_queries = skew.hot_keys(_askers(known), "term", "askers").withColumnRenamed("splits", "copies")
+    hot = many_postings.join(many_queries, "term", "full")
+    return skew.salted_join(postings, known.drop("df"), hot, "term", "id", "query_id").select(*columns)
 
 
 def term_scores(matched: DataFrame, avgdl: Column, solvers: dict[str, str | Scorer]) -> DataFrame:

@@ -41,19 +41,30 @@ def hot_keys(sizes: DataFrame, key: str, weight: str) -> DataFrame:
     return sizes.where(F.col(weight) * HOT_KEYS > total).select(key, F.ceil(share).cast("int").alias("splits"))
 
 
-def salted_join(rows: DataFrame, lookup: DataFrame, hot: DataFrame, key: str, spread: str) -> DataFrame:
+def salted_join(
+    rows: DataFrame, lookup: DataFrame, hot: DataFrame, key: str, spread: str, spread_lookup: str | None = None
+) -> DataFrame:
     """Inner equi-join on ``key`` that divides the rows of each hot key over its splits.
 
     ``spread`` is a column of ``rows`` that varies within a key. The lookup rows of a hot key are repeated once
-    per split; all other keys have one split, so nothing changes for them.
+    per split; all other keys have one split, so nothing changes for them. A lookup that may itself be skewed
+    names its own varying column: its rows of a hot key are divided over ``hot.copies``, for each of which the
+    other side's rows are repeated. Every pair meets exactly once.
     """
-    # Broadcast is safe: hot_keys() returns fewer than HOT_KEYS rows.
-    splits = F.broadcast(hot.select(key, "splits"))
-    salt = F.pmod(F.xxhash64(spread), F.coalesce("splits", F.lit(1)))
-    left = rows.join(splits, key, "left").withColumn("salt", salt.cast("int")).drop("splits")
-    right = (
-        lookup.join(splits, key, "left")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("splits", F.lit(1)) - 1)))
-        .drop("splits")
-    )
-    return left.join(right, [key, "salt"]).drop("salt")
+    both = spread_lookup is not None
+    # Broadcast is safe: hot_keys() returns fewer than HOT_KEYS rows, two of them together fewer than twice that.
+    factors = F.broadcast(hot.select(key, "splits", *(["copies"] if both else [])))
+    on = [key, "_salt", "_copy"] if both else [key, "_salt"]
+
+    def part(column: str, of: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.coalesce(of, F.lit(1))).cast("int")
+
+    def every(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.coalesce(of, F.lit(1)) - 1))
+
+    left = rows.join(factors, key, "left").withColumn("_salt", part(spread, "splits"))
+    right = lookup.join(factors, key, "left").withColumn("_salt", every("splits"))
+    if both:
+        left = left.withColumn("_copy", every("copies"))
+        right = right.withColumn("_copy", part(spread_lookup, "copies"))
+    return left.drop("splits", "copies").join(right.drop("splits", "copies"), on).drop("_salt", "_copy")

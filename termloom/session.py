@@ -45,7 +45,7 @@ def written(frame: DataFrame, name: str) -> Iterator[DataFrame]:
     path = scratch_path(spark, name)
     try:
         frame.write.parquet(path)
-        yield spark.read.parquet(path)
+        yield spark.read.schema(frame.schema).parquet(path)
     finally:
         files, target = _file_system(spark, path)
         files.delete(target, True)

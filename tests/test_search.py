@@ -46,6 +46,17 @@ def test_ties_are_kept_in_id_order(make_corpus):
     assert [(r["rank"], r["id"]) for r in search(index, "dog", 2).collect()] == [(1, "a"), (2, "b")]
 
 
+def test_many_copies_of_one_text(spark, make_corpus, tmp_path):
+    """A third of the documents are copies: all are found, in id order."""
+    copies = [(f"c{i:03d}", "dog cat dog") for i in range(150)]
+    index = build_index(make_corpus(*copies, *((f"x{i:03d}", f"word{i} cat") for i in range(300))))
+    for searched in (index, index.save(str(tmp_path / "index"))):
+        found = [(r["rank"], r["id"]) for r in search(searched, "dog", 500).collect()]
+        assert found == [(i + 1, f"c{i:03d}") for i in range(150)]
+        batch = search_batch(searched, spark.createDataFrame([(1, "dog")], "query_id int, text string"), 3)
+        assert sorted((r["rank"], r["id"]) for r in batch.collect()) == found[:3]
+
+
 @pytest.mark.parametrize("text", ["zzz", "123", "zzz qqq"])
 def test_no_known_word(micro, text):
     result = search(build_index(micro), text, 10)

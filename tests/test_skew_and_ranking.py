@@ -25,6 +25,25 @@ def test_salted_join_equals_a_join(spark):
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, expected.collect()))
 
 
+def test_join_of_two_skewed_sides(spark):
+    random.seed(4)
+    left = spark.createDataFrame(
+        [("hot", i) for i in range(400)] + [("wide", 1)] + [(f"k{i % 50}", i) for i in range(600)], "key string, a int"
+    )
+    right = spark.createDataFrame(
+        [("hot", i) for i in range(30)] + [("wide", i) for i in range(300)] + [(f"k{i % 70}", i) for i in range(140)],
+        "key string, b int",
+    )
+    splits = skew.hot_keys(left.groupBy("key").count(), "key", "count").where("splits > 100")
+    copies = skew.hot_keys(right.groupBy("key").count(), "key", "count").withColumnRenamed("splits", "copies")
+    hot = splits.join(copies.where("copies > 100"), "key", "full").cache()
+    factors = {r["key"]: (r["splits"], r["copies"]) for r in hot.collect()}
+    assert set(factors) == {"hot", "wide"} and factors["wide"][0] is None
+    joined = skew.salted_join(left, right, hot, "key", "a", "b")
+    assert joined.columns == ["key", "a", "b"]
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, left.join(right, "key").collect()))
+
+
 def test_rows_of_a_hot_key_are_divided(spark):
     left = spark.range(4000).select(F.lit("hot").alias("key"), F.col("id").alias("spread"))
     hot = skew.hot_keys(spark.createDataFrame([("hot", 4000), ("x", 5000)], "key string, n long"), "key", "n")
