@@ -181,7 +181,7 @@ class CorpusIndex(Index):
                 .select("term", "id", "tf", "doc_length")
                 .write.format("parquet")
                 .bucketBy(buckets, "id")
-                .sortBy("term", "id")
+                .sortBy("term")
                 .option("path", f"{path}/postings")
                 .saveAsTable(table)
             )
@@ -227,7 +227,7 @@ class StoredIndex(Index):
         location = f"{self.path}/postings".replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE {table} ({POSTINGS_SCHEMA}) USING parquet "
-            f"CLUSTERED BY (id) SORTED BY (term, id) INTO {self.buckets} BUCKETS LOCATION '{location}'"
+            f"CLUSTERED BY (id) SORTED BY (term) INTO {self.buckets} BUCKETS LOCATION '{location}'"
         )
         return spark.table(table)
 
