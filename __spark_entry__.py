@@ -6,6 +6,7 @@ Query texts are fixed strings or the rows of ``benchmark``. Floating-point resul
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,22 @@ from termloom.sources import corpus as corpus_source
 from termloom.sources import text_index
 from termloom.sources.corpus import as_corpus, read_corpus, spread
 
+
+
+def _optional(name: str):
+    """The module, or None if its file is not there; a fault inside it is raised."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name is None or not (name == missing.name or name.startswith(missing.name + ".")):
+            raise
+        return None
+
+
+# The training-data operators can be left out together with their pipeline.
+_llm = _optional("termloom.llm.registered")
+_pipeline = _optional("corpus_pipeline") if _llm else None
+
 # One query text with a repeated word, words of two languages, a rare word and one that no document has.
 QUERY = "The thorreou of eauouon, and THE ouen qqqq"
 TOP = 10
@@ -339,7 +356,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         search_batch_bm25, search_batch_basic, saved_search_bm25, saved_search_batch_bm25,
         average_precision, map_score, solver_comparison,
     )
-    return {f.__name__: f for f in registered} | {"result_listing": listing}
+    more = _llm.queries() if _llm else {}
+    if _pipeline:
+        more["pipeline"] = _pipeline.run
+    return {f.__name__: f for f in registered} | {"result_listing": listing} | more
 
 
 # --- the same in SQL
@@ -455,6 +475,13 @@ ap AS (
 
 
 def oracle_sql() -> dict[str, str]:
+    more = _llm.oracle_sql() if _llm else {}
+    if _pipeline and _pipeline.ORACLE_SQL:
+        more["pipeline"] = _pipeline.ORACLE_SQL
+    return _text_sql() | more
+
+
+def _text_sql() -> dict[str, str]:
     base, end = _base(), "done AS (SELECT 1) "
     bm25, basic = _scored(_BM25_DEFAULT), _scored(_BASIC)
     vocabulary_sql = base + end + "SELECT term, df, round(idf, 6) AS idf, word_id FROM vocab"
