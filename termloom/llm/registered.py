@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termloom.llm import simhash
-from termloom.llm.tables import table
+from pyspark.sql import functions as F
+
+from termloom.llm import mixing, secret_scan, simhash
+from termloom.llm.tables import table, word_count
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,9 +17,98 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [rule.kind for rule in secret_scan.BASE]
+    return scanned.select(
+        "doc_id",
+        *(secret_scan.count_of(kind).alias(f"n_{kind}") for kind in base),
+        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
+        secret_scan.joined().alias("spans"),
+    )
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = table(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("words"))
+    mixed = mixing.mix(sizes, size="words")
+    columns = ("size", "source_size", "target", "taken", F.round("mix.position", 6).alias("position"))
+    return mixed.select("doc_id", *(f"mix.{c}" if isinstance(c, str) else c for c in columns))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash,)}
+    return {f.__name__: f for f in (op1_simhash, op3_secrets, op8_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_secrets": _secrets_sql(), "op8_mixing": _MIXING}
+
+
+def _secrets_sql() -> str:
+    """Matches lie between the pieces that splitting by the same pattern leaves."""
+    kinds = []
+    for number, rule in enumerate(secret_scan.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        kinds.append(
+            f"SELECT doc_id, {number} AS number, '{rule.kind}' AS kind, {rule.least} AS least, "
+            f"string_split_regex(text, '{pattern}') AS pieces, regexp_extract_all(text, '{pattern}') AS whole, "
+            f"regexp_extract_all(text, '{pattern}', {rule.group}) AS part FROM texts"
+        )
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+matched AS ({" UNION ALL ".join(kinds)}),
+numbered AS (
+  SELECT *, generate_subscripts(whole, 1) AS i FROM matched),
+placed AS (
+  SELECT doc_id, number, kind, CAST(list_sum(list_transform(pieces[1:i], x -> length(x)))
+           + coalesce(list_sum(list_transform(whole[1:i-1], x -> length(x))), 0) AS BIGINT) AS start, length(whole[i]) AS width
+  FROM numbered WHERE length(part[i]) >= least),
+spans AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || start || ':' || (start + width), ',' ORDER BY start, number)
+           FILTER (kind IN ('assign', 'access', 'hex')) AS base,
+         string_agg(kind || ':' || start || ':' || (start + width), ',' ORDER BY start, number) AS spans
+  FROM placed GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN spans USING (doc_id)
+"""
+
+
+_MIXING = """
+WITH sized AS (
+  SELECT doc_id, source, coalesce('=' || source, '') AS key, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+         CAST(coalesce(len(list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')), 0) AS BIGINT) AS size
+  FROM documents),
+sources AS (
+  SELECT key, any_value(source) AS source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY key),
+weighed AS (
+  SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight
+  FROM sources),
+filled AS (
+  SELECT *, sum(2 * source_size) OVER fullest AS spent, sum(weight) OVER fullest AS gone
+  FROM weighed WINDOW fullest AS (ORDER BY 2.0 * source_size / weight, key)),
+level AS (
+  SELECT max(level) AS level FROM (
+    SELECT (1.5 * (SELECT sum(size) FROM sized) - CAST(spent AS DOUBLE)) / ((SELECT sum(weight) FROM weighed) - gone) AS level
+    FROM filled WHERE gone < (SELECT sum(weight) FROM weighed)
+    UNION ALL SELECT 1.5 * (SELECT sum(size) FROM sized) / (SELECT sum(weight) FROM weighed))),
+wanted AS (
+  SELECT key, source_size, kind, least(CAST(2 * source_size AS DOUBLE), CAST(level AS DOUBLE) * weight) AS target
+  FROM weighed, level),
+begun AS (
+  SELECT *, CAST(sum(size) OVER (PARTITION BY key ORDER BY place, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS begins
+  FROM sized),
+passes AS (
+  SELECT *, greatest(0, least(size, CAST(floor(target) AS BIGINT) - begins)) AS first,
+         greatest(0, least(size, CAST(floor(target) AS BIGINT) - source_size - begins)) AS second
+  FROM begun JOIN wanted USING (key)),
+shares AS (
+  SELECT *, CASE WHEN first > 0 THEN begins / target WHEN second > 0 THEN (source_size + begins) / target END AS share
+  FROM passes)
+SELECT doc_id, size, source_size, target, CAST(first + second AS BIGINT) AS taken,
+       round(CASE kind WHEN 0 THEN sqrt(0.25 + 2.0 * share) - 0.5 WHEN 1 THEN share
+             ELSE 1.5 - sqrt(2.25 - 2.0 * share) END, 6) AS position
+FROM shares
+"""
