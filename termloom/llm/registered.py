@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from termloom.llm import mixing, secret_scan, simhash
+from termloom.llm import mixing, piece_codec, secret_scan, simhash
 from termloom.llm.tables import table, word_count
 
 
@@ -17,6 +17,20 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+# The public vocabulary that texts are encoded with; a copy of it must be where the query is planned.
+MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether they decode to it."""
+    model = piece_codec.read_model(MODEL_PATH)
+    encoded = piece_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    decoded = piece_codec.decode(encoded, model)
+    # The model's own mark is the one character that comes back as another.
+    same = F.col("decoded").eqNullSafe(F.translate("text", piece_codec.MARK, " "))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", same.alias("round_trip"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = [rule.kind for rule in secret_scan.BASE]
@@ -36,7 +50,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_secrets, op8_mixing)}
+    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op8_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -59,8 +73,8 @@ matched AS ({" UNION ALL ".join(kinds)}),
 numbered AS (
   SELECT *, generate_subscripts(whole, 1) AS i FROM matched),
 placed AS (
-  SELECT doc_id, number, kind, CAST(list_sum(list_transform(pieces[1:i], x -> length(x)))
-           + coalesce(list_sum(list_transform(whole[1:i-1], x -> length(x))), 0) AS BIGINT) AS start, length(whole[i]) AS width
+  SELECT doc_id, number, kind, CAST(list_sum(list_transform(pieces[1:i], lambda x: length(x)))
+           + coalesce(list_sum(list_transform(whole[1:i-1], lambda x: length(x))), 0) AS BIGINT) AS start, length(whole[i]) AS width
   FROM numbered WHERE length(part[i]) >= least),
 spans AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
@@ -78,7 +92,7 @@ FROM texts LEFT JOIN spans USING (doc_id)
 _MIXING = """
 WITH sized AS (
   SELECT doc_id, source, coalesce('=' || source, '') AS key, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
-         CAST(coalesce(len(list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')), 0) AS BIGINT) AS size
+         CAST(coalesce(len(list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')), 0) AS BIGINT) AS size
   FROM documents),
 sources AS (
   SELECT key, any_value(source) AS source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY key),
