@@ -22,7 +22,7 @@ from termloom.llm.tables import map_batches, staged
 # Fingerprints below a trie node from which its pairs are finished inside one task.
 LEAF = 8192
 # Bits by which a pair of larger nodes is extended in one round.
-STEP = 4
+STEP = 2
 # Pairs of leaves that one step of a task compares at most, and leaves that are small enough to compare.
 CHUNK = 1 << 20
 SMALL = 8
