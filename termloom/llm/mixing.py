@@ -62,8 +62,9 @@ def mix(
     id: str = "doc_id",
     source: str = "source",
     size: str | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
-    """The rows of ``docs`` with ``mix``, a struct, and sorted by its ``position``.
+    """The rows of ``docs`` with ``mix``, a struct, and sorted by its ``position`` (unless ``ordered`` is off).
 
     ``mix`` has ``size`` (words of the text, or the column that ``size`` names; 0 for null), ``source_size``, ``target``, ``taken`` (words the mix takes,
     repeats counted), ``position`` (when the document is first due, null if it is not taken) and ``placements``, one
@@ -103,7 +104,8 @@ def mix(
     taken = F.aggregate("placements", F.lit(0).cast("long"), lambda total, p: total + p["words"])
     position = F.get("placements", F.lit(0))["position"]
     found = F.struct("size", "source_size", "target", taken.alias("taken"), position.alias("position"), "placements")
-    return placed.select("row.*", found.alias("mix")).orderBy(F.col("mix.position").asc_nulls_last(), F.col(id))
+    mixed = placed.select("row.*", found.alias("mix"))
+    return mixed.orderBy(F.col("mix.position").asc_nulls_last(), F.col(id)) if ordered else mixed
 
 
 def _placement(epoch: int, schedules: Sequence[tuple[float, float]]) -> Column:

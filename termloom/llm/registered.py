@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from termloom.llm import mixing, piece_codec, secret_scan, simhash
+from termloom.llm import language, mixing, piece_codec, secret_scan, simhash
 from termloom.llm.tables import table, word_count
 
 
@@ -49,8 +49,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", *(f"mix.{c}" if isinstance(c, str) else c for c in columns))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.learn(docs))
+    return found.select(
+        "doc_id", language.held_out().alias("held_out"),
+        F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op8_mixing)}
+    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op8_mixing, op9_language)}
 
 
 def oracle_sql() -> dict[str, str]:

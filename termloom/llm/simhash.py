@@ -122,6 +122,22 @@ def near_duplicates(
     return marked.join(labels, "signature").select("doc_id", "signature", "component_id")
 
 
+def one_of_each(docs: DataFrame, text: str = "text", id: str = "doc_id", **how) -> DataFrame:
+    """``docs`` without the rows whose component has a smaller id; ``how`` as for :func:`near_duplicates`.
+
+    Rows that are equal in every column count once where an id repeats; rows without an id stay. The ids that go are
+    a written table: Spark broadcasts it if its files are small, or joins by exchange.
+    """
+    found = near_duplicates(docs, text=text, id=id, **how)
+    gone = staged(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    again = staged(found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "again")
+    kept = docs.join(gone, docs[id] == gone["doc_id"], "left_anti")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, kept[id] == again["doc_id"], "left_semi").dropDuplicates()
+    return kept.join(again, kept[id] == again["doc_id"], "left_anti").unionByName(once)
+
+
 def most_differing_bits(similarity: float, bits: int) -> int:
     """Bits in which signatures of sets with this Jaccard similarity are expected to differ."""
     cosine = 2 * similarity / (1 + similarity)
