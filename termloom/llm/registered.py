@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from termloom.llm import language, mixing, piece_codec, secret_scan, simhash
+from termloom.llm import language, mixing, piece_codec, secret_scan, simhash, warc
 from termloom.llm.tables import table, word_count
+from termloom.session import scratch_path
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +43,15 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    merged = warc.capture_histories(warc.read_captures(spark, path))
+    return merged.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured"
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = table(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("words"))
     mixed = mixing.mix(sizes, size="words")
@@ -59,7 +69,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op8_mixing, op9_language)}
+    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op7_warc, op8_mixing, op9_language)}
 
 
 def oracle_sql() -> dict[str, str]:
