@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from termloom.llm import language, mixing, piece_codec, secret_scan, simhash, warc
+from termloom.llm import language, mixing, piece_codec, secret_scan, simhash, topk, warc
 from termloom.llm.tables import table, word_count
 from termloom.session import scratch_path
 
@@ -43,6 +43,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -69,11 +73,11 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op7_warc, op8_mixing, op9_language)}
+    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op6_topk, op7_warc, op8_mixing, op9_language)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secrets": _secrets_sql(), "op8_mixing": _MIXING}
+    return {"op3_secrets": _secrets_sql(), "op6_topk": _TOP_K, "op8_mixing": _MIXING}
 
 
 def _secrets_sql() -> str:
@@ -108,6 +112,18 @@ FROM texts LEFT JOIN spans USING (doc_id)
 """
 
 
+_TOP_K = """
+WITH whole AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(q.v, lambda x, i: x * c.v[i])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 _MIXING = """
 WITH sized AS (
   SELECT doc_id, source, coalesce('=' || source, '') AS key, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
