@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from termloom.llm import language, mixing, piece_codec, secret_scan, simhash, topk, warc
+from termloom.llm import language, link_graph, mixing, piece_codec, secret_scan, simhash, topk, warc
 from termloom.llm.tables import table, word_count
 from termloom.session import scratch_path
 
@@ -43,6 +43,11 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = link_graph.judge(table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -73,7 +78,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op6_topk, op7_warc, op8_mixing, op9_language)}
+    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op5_urls, op6_topk, op7_warc, op8_mixing, op9_language)}
 
 
 def oracle_sql() -> dict[str, str]:
