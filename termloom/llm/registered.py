@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from termloom.llm import language, link_graph, mixing, piece_codec, secret_scan, simhash, topk, warc
+from termloom.llm import language, link_graph, mixing, piece_codec, quality, secret_scan, simhash, topk, warc
 from termloom.llm.tables import table, word_count
 from termloom.session import scratch_path
 
@@ -43,6 +43,12 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *(f"quality.{name}" for name in names))
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = link_graph.judge(table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -78,11 +84,11 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op5_urls, op6_topk, op7_warc, op8_mixing, op9_language)}
+    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op4_quality, op5_urls, op6_topk, op7_warc, op8_mixing, op9_language)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secrets": _secrets_sql(), "op6_topk": _TOP_K, "op8_mixing": _MIXING}
+    return {"op3_secrets": _secrets_sql(), "op4_quality": _quality_sql(), "op6_topk": _TOP_K, "op8_mixing": _MIXING}
 
 
 def _secrets_sql() -> str:
@@ -117,6 +123,65 @@ FROM texts LEFT JOIN spans USING (doc_id)
 """
 
 
+def _quality_sql() -> str:
+    common = list(dict.fromkeys(quality.COMMON))
+    listed = ", ".join(f"('{word}')" for word in common)
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS key, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text FROM documents),
+split AS (
+  SELECT *, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words,
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM texts),
+counted AS (
+  SELECT key, doc_id, lang, len(words) AS n_words, length(text) AS n_chars,
+         length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]+', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         length(text) - length(regexp_replace(text, '\\p{{Ll}}+', '', 'g')) AS lower,
+         length(text) - length(regexp_replace(text, '\\p{{Lu}}+', '', 'g')) AS upper,
+         length(text) - length(regexp_replace(text, '[0-9]+', '', 'g')) AS digit
+  FROM split),
+placed AS (SELECT key, words, unnest(range(1, len(words) - 1)) AS i FROM split),
+windows AS (
+  SELECT key, i, count(*) OVER (PARTITION BY key, words[i], words[i + 1], words[i + 2]) AS times FROM placed),
+repeated AS (
+  SELECT key, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT key, i + unnest([0, 1, 2]) AS place FROM windows WHERE times > 1) GROUP BY key),
+classes AS (
+  UNPIVOT (SELECT key, lang, n_chars, lower, upper, digit, n_chars - word_chars AS space, n_symbols AS symbol,
+                  word_chars - lower - upper - digit - n_symbols AS other FROM counted)
+  ON lower, upper, digit, space, symbol, other INTO NAME bin VALUE n),
+common AS (SELECT * FROM (VALUES {listed}) AS c(bin)),
+found AS (
+  SELECT key, word AS bin, count(*) AS n FROM (SELECT key, lower(unnest(words)) AS word FROM split)
+  WHERE word IN (SELECT bin FROM common) GROUP BY key, word),
+words AS (
+  SELECT key, lang, n_words AS n_chars, common.bin, coalesce(n, 0) AS n FROM counted CROSS JOIN common LEFT JOIN found USING (key, bin)
+  UNION ALL
+  SELECT key, lang, n_words, '', n_words - coalesce((SELECT sum(n) FROM found WHERE found.key = counted.key), 0) FROM counted),
+bins AS (SELECT 'class' AS kind, * FROM classes UNION ALL BY NAME SELECT 'word' AS kind, * FROM words),
+shares AS (
+  SELECT *, n / CAST(n_chars AS DOUBLE) AS p,
+         sum(n) OVER (PARTITION BY kind, lang, bin) / CAST(sum(n) OVER (PARTITION BY kind, lang) AS DOUBLE) AS q
+  FROM bins WHERE n_chars > 0),
+distances AS (
+  SELECT key, sqrt(sum(part) FILTER (kind = 'class') / 2) AS by_class, sqrt(sum(part) FILTER (kind = 'word') / 2) AS by_word
+  FROM (SELECT key, kind, CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+                        + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END AS part FROM shares)
+  GROUP BY key),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed,
+         n_chars >= {quality.LEAST_CHARS} AND by_class > {quality.MOST_CLASS_DISTANCE}
+         OR n_words >= {quality.LEAST_WORDS} AND by_word > {quality.MOST_WORD_DISTANCE} AS unlike
+  FROM counted LEFT JOIN repeated USING (key) LEFT JOIN distances USING (key))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+       base_failed, NOT base_failed AND NOT coalesce(unlike, false) AS kept
+FROM judged
+"""
+
+
 _TOP_K = """
 WITH whole AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
