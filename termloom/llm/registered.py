@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from termloom.llm import language, link_graph, mixing, piece_codec, quality, secret_scan, simhash, topk, warc
+from termloom.llm import language, link_graph, mixing, piece_codec, quality, repeats, secret_scan, simhash, topk, warc
 from termloom.llm.tables import table, word_count
 from termloom.session import scratch_path
 
@@ -83,12 +83,24 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.without_repeats(table(spark, sf_dir, "documents"), least=100)
+    zero = F.lit(0).cast("long")
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("removed", zero, lambda total, s: total + s["end"] - s["start"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op4_quality, op5_urls, op6_topk, op7_warc, op8_mixing, op9_language)}
+    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op4_quality, op5_urls, op6_topk, op7_warc, op8_mixing, op9_language, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secrets": _secrets_sql(), "op4_quality": _quality_sql(), "op6_topk": _TOP_K, "op8_mixing": _MIXING}
+    return {"op3_secrets": _secrets_sql(), "op4_quality": _quality_sql(), "op6_topk": _TOP_K, "op8_mixing": _MIXING, "op10_repeats": _REPEATS}
 
 
 def _secrets_sql() -> str:
@@ -182,6 +194,29 @@ FROM judged
 """
 
 
+_REPEATS = """
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+placed AS (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM texts WHERE n >= 100),
+strings AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS string FROM placed),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY string ORDER BY doc_id, i) AS place FROM strings)
+  WHERE place > 1),
+opened AS (
+  SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run
+  FROM (SELECT *, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS opens FROM later)),
+spans AS (SELECT doc_id, run, min(i) AS start, max(i) + 100 AS stop FROM opened GROUP BY doc_id, run),
+pieces AS (
+  SELECT doc_id, start, stop, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS at FROM spans),
+cut AS (
+  SELECT doc_id, sum(stop - start) AS n_removed, count(*) AS n_spans, max(stop) AS last,
+         string_agg(substr(h, 2 * at + 1, 2 * (start - at)), '' ORDER BY start) AS kept
+  FROM pieces JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""
+
 _TOP_K = """
 WITH whole AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
