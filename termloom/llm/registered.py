@@ -207,10 +207,10 @@ opened AS (
   FROM (SELECT *, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS opens FROM later)),
 spans AS (SELECT doc_id, run, min(i) AS start, max(i) + 100 AS stop FROM opened GROUP BY doc_id, run),
 pieces AS (
-  SELECT doc_id, start, stop, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS at FROM spans),
+  SELECT doc_id, start, stop, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS since FROM spans),
 cut AS (
   SELECT doc_id, sum(stop - start) AS n_removed, count(*) AS n_spans, max(stop) AS last,
-         string_agg(substr(h, 2 * at + 1, 2 * (start - at)), '' ORDER BY start) AS kept
+         string_agg(substr(h, 2 * since + 1, 2 * (start - since)), '' ORDER BY start) AS kept
   FROM pieces JOIN texts USING (doc_id) GROUP BY doc_id)
 SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
        sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
