@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import termloom
 from termloom.functions import scoring, text, vectors
 from termloom.operators import evaluation, querying, statistics
-from termloom.plans.index import CorpusIndex, broadcast_few, build_index, load_index
+from termloom.plans.index import CorpusIndex, build_index, load_index
 from termloom.plans.search import ranked_by_solver, result_listing, search, search_batch, write_results
 from termloom.session import durable, scratch_path
 from termloom.sources import corpus as corpus_source
@@ -89,6 +89,15 @@ def scan_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_corpus(spark, path)
 
 
+def scan_corpus_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders of JSON lines, read by one pattern."""
+    path, corpus = scratch_path(spark, "json-lines"), _corpus(spark, sf_dir)
+    half = F.pmod(F.xxhash64("id"), F.lit(2))
+    for part in (0, 1):  # together all documents
+        corpus.where(half == part).write.json(f"{path}/part={part}")
+    return read_corpus(spark, f"{path}/part=*")
+
+
 def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_source.repeated_ids(_turns(spark, sf_dir))
 
@@ -167,7 +176,10 @@ def tfidf_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _index(spark, sf_dir).vectors()
+    return _entries(_index(spark, sf_dir).vectors())
+
+
+def _entries(docs: DataFrame) -> DataFrame:
     rows = docs.select("id", "title", "url", "doc_length", F.posexplode("vector").alias("position", "e"))
     return _round(rows.select("id", "title", "url", "doc_length", "position", "e.word_id", "e.weight"), "weight")
 
@@ -179,13 +191,45 @@ def vector_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_index.vector_lines(_index(spark, sf_dir))
+    """What the JSON text of every document holds, taken from it by path."""
+    line = F.split_part("value", F.lit("\t"), F.lit(2))
+    names = {"id": "$.id", "title": "$.title", "url": "$.url", "doc_length": "$.docLength", "vector": "$.vectorized"}
+    fields = text_index.vector_lines(_index(spark, sf_dir)).select(
+        *(F.get_json_object(line, path).alias(name) for name, path in names.items())
+    )
+    entries = vectors.decode(F.col("vector"))
+    total = F.aggregate(entries, F.lit(0.0), lambda sum_, e: sum_ + e["weight"])
+    return _round(
+        fields.select(
+            "id", "title", "url", F.col("doc_length").cast("long").alias("doc_length"),
+            F.size(entries).cast("long").alias("n_entries"),
+            F.array_join(F.transform(entries, lambda e: e["word_id"].cast("string")), ",").alias("word_ids"),
+            total.alias("weights"),
+        ),
+        "weights",
+    )
 
 
-def text_index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _text_index(spark: SparkSession, sf_dir: str) -> text_index.TextIndex:
     path = scratch_path(spark, "text-index")
     text_index.export_text_index(_index(spark, sf_dir), path)
-    return text_index.read_text_index(spark, path).postings
+    return text_index.read_text_index(spark, path)
+
+
+def text_index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_index(spark, sf_dir).postings.select("term", "id", "tf", "doc_length")
+
+
+def text_index_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_index(spark, sf_dir).summary()
+
+
+def text_index_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(_text_index(spark, sf_dir).vocabulary(), "idf")
+
+
+def text_index_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _entries(_text_index(spark, sf_dir).vectors())
 
 
 def index_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,6 +248,10 @@ def saved_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(_saved(spark, sf_dir).vocabulary(), "idf")
 
 
+def saved_document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _entries(_saved(spark, sf_dir).vectors())
+
+
 # --- queries
 
 
@@ -282,6 +330,15 @@ def written_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(spark.read.schema(schema).json(path), "relevance")
 
 
+def text_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result lines, written and read: the JSON's fields, and the relevance behind it."""
+    path = scratch_path(spark, "text-results")
+    text_index.export_results(search(_index(spark, sf_dir), QUERY, TOP), path)
+    json = F.from_json(F.split_part("value", F.lit("\t"), F.lit(1)), "title string, url string, relevance double")
+    lines = spark.read.text(path).select(json.alias("j"), F.split_part("value", F.lit("\t"), F.lit(2)).alias("r"))
+    return _round(lines.select("j.*", F.col("r").cast("double").alias("score")), "relevance", "score")
+
+
 def search_all_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """More results than a window keeps per task: the ranks come from a distributed sort."""
     return _round(search(_index(spark, sf_dir), QUERY, 1_000_000), "relevance")
@@ -295,6 +352,25 @@ def search_batch_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(search_batch(_index(spark, sf_dir), _benchmark(spark, sf_dir), TOP, "Basic"), "relevance")
 
 
+def search_batch_bm25_exchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The route of query sides that are too large to broadcast."""
+    found = search_batch(_index(spark, sf_dir), _benchmark(spark, sf_dir), TOP, broadcast=False)
+    return _round(found, "relevance")
+
+
+def saved_search_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(search(_saved(spark, sf_dir), QUERY, TOP, "Basic"), "relevance")
+
+
+def saved_search_batch_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(search_batch(_saved(spark, sf_dir), _benchmark(spark, sf_dir), TOP, "Basic"), "relevance")
+
+
+def saved_search_batch_bm25_exchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search_batch(_saved(spark, sf_dir), _benchmark(spark, sf_dir), TOP, broadcast=False)
+    return _round(found, "relevance")
+
+
 def saved_search_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(search(_saved(spark, sf_dir), QUERY, TOP), "relevance")
 
@@ -307,19 +383,37 @@ def saved_search_batch_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Both solvers' results for the benchmark, and judgements of everything either returned.
+    """Both solvers' results for the benchmark, and for each item the documents, of all, that contain its text."""
+    items = _benchmark(spark, sf_dir)
+    index = _index(spark, sf_dir).once()
+    return ranked_by_solver(index, items, TOP), durable(_containing(_corpus(spark, sf_dir), index, items))
 
-    A returned document is relevant when it contains the text of the item.
+
+def _containing(corpus: DataFrame, index: termloom.Index, items: DataFrame) -> DataFrame:
+    """``(query_id, id, rel)`` of every document that contains the whole text of an item.
+
+    Such a document has every word of the item but perhaps the first and the last, which may be parts of longer words.
+    So only the postings of the rarest of the words between are followed, and those documents looked at. Items without
+    such a word are a stated set that is compared with all documents, some at a time.
     """
-    items = _benchmark(spark, sf_dir)
-    results = ranked_by_solver(_index(spark, sf_dir), items, TOP)
-    returned = results["BM25"].unionByName(results["Basic"]).select("query_id", "id").distinct()
-    pool = returned.join(items, "query_id")
-    # The pool has TOP rows for each item and solver; the documents stay where they are.
-    pool = broadcast_few(pool, at_most=2 * TOP * items.count())
-    documents = _corpus(spark, sf_dir).select("id", F.col("text").alias("document"))
-    rel = F.contains("document", "text").cast("int").alias("rel")
-    return results, durable(documents.join(pool, "id").select("query_id", "id", rel))
+    words = text.tokens(F.col("text"))
+    inner = F.when(F.size(words) > 2, F.slice(words, 2, F.size(words) - 2)).otherwise(F.array().cast("array<string>"))
+    items = items.withColumn("inner", inner)
+    terms = items.select("query_id", F.explode(F.array_distinct("inner")).alias("term"))
+    rarest = terms.join(index.vocab, "term").groupBy("query_id").agg(F.min(F.struct("df", "term"))["term"].alias("term"))
+    places = index.postings.join(durable(rarest), "term").select("query_id", "id")
+    pairs = durable(places).join(items.select("query_id", F.col("text").alias("item")), "query_id")
+    found = corpus.select("id", "text").join(pairs, "id").where(F.contains("text", "item")).select("query_id", "id")
+    block: list = []
+    short = items.where(F.size("inner") == 0).select("query_id", "text")
+    for row in [*short.toLocalIterator(), None]:
+        if row is not None:
+            block.append(F.struct(F.lit(row["query_id"]).alias("query_id"), F.lit(row["text"]).alias("item")))
+        if block and (row is None or len(block) == 100):
+            each = corpus.select("id", "text", F.inline(F.array(*block)))
+            found = found.unionByName(each.where(F.contains("text", "item")).select("query_id", "id"))
+            block = []
+    return found.withColumn("rel", F.lit(1))
 
 
 def average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,15 +439,18 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
-        scan_corpus, repeated_ids, first_of_each_id, json_extract, tokenize, token_explode, doc_length,
+        scan_corpus, scan_corpus_glob, repeated_ids, first_of_each_id, json_extract, tokenize, token_explode, doc_length,
         term_frequency, distinct_terms, document_frequency, corpus_stats, corpus_stats_exact, idf_log, idf_normal,
-        vocabulary, tfidf_postings, document_vectors, vector_parse, vector_json, text_index_postings, index_summary,
-        saved_index_summary, saved_postings, saved_vocabulary,
+        vocabulary, tfidf_postings, document_vectors, vector_parse, vector_json, text_index_postings, text_index_summary,
+        text_index_vocabulary, text_index_vectors, index_summary,
+        saved_index_summary, saved_postings, saved_vocabulary, saved_document_vectors,
         query_vector_basic, query_vector_bm25, matching_postings,
         bm25_term_scores, basic_term_scores, bm25_scores, basic_scores,
         search_bm25, search_bm25_normal_idf, search_basic, search_custom_bm25, search_all_matches,
-        written_results,
-        search_batch_bm25, search_batch_basic, saved_search_bm25, saved_search_batch_bm25,
+        written_results, text_results,
+        search_batch_bm25, search_batch_basic, search_batch_bm25_exchanged,
+        saved_search_bm25, saved_search_basic, saved_search_batch_bm25, saved_search_batch_basic,
+        saved_search_batch_bm25_exchanged,
         average_precision, map_score, solver_comparison,
     )
     more = _llm.queries() if _llm else {}
@@ -439,7 +536,7 @@ def _top(score: str, queries: str = _QUERY, idf: str = _LOG, n: int = TOP, colum
 
 
 def _evaluated() -> str:
-    """Average precision of both solvers over the pooled judgements."""
+    """Average precision of both solvers; a document is relevant if it contains the item's text."""
     return (
         _base()
         + _BATCH
@@ -457,19 +554,21 @@ ranked AS (
            row_number() OVER (PARTITION BY solver, query_id ORDER BY round(relevance, 9) DESC, id) AS rank
     FROM lists) WHERE rank <= {TOP}),
 qrels AS (
-  SELECT DISTINCT r.query_id, r.id, CAST(contains(c.text, q.text) AS INTEGER) AS rel
-  FROM ranked r JOIN corpus c USING (id) JOIN queries q USING (query_id)),
+  SELECT q.query_id, c.id FROM corpus c JOIN queries q ON contains(c.text, q.text)),
+marked AS (
+  SELECT r.*, CAST(q.id IS NOT NULL AS INTEGER) AS rel
+  FROM ranked r LEFT JOIN qrels q ON q.query_id = r.query_id AND q.id = r.id),
 judged AS (
-  SELECT r.*, rel, sum(rel) OVER (PARTITION BY solver, query_id ORDER BY rank) AS hits
-  FROM ranked r JOIN qrels USING (query_id, id)),
+  SELECT *, sum(rel) OVER (PARTITION BY solver, query_id ORDER BY rank) AS hits FROM marked),
 sums AS (
   SELECT solver, query_id, sum(CAST(hits AS DOUBLE) / rank * rel) AS total, sum(rel) AS found
   FROM judged GROUP BY solver, query_id),
-wanted AS (SELECT query_id, sum(rel) AS judged FROM qrels GROUP BY query_id HAVING sum(rel) > 0),
+wanted AS (
+  SELECT solver, query_id, count(*) AS judged FROM qrels, (VALUES ('BM25'), ('Basic')) AS v(solver) GROUP BY solver, query_id),
 ap AS (
-  SELECT s.solver, w.query_id, CAST(found AS BIGINT) AS relevant,
-         CASE WHEN found = 0 THEN 0 ELSE total / found END AS ap, total / judged AS ap_corpus
-  FROM wanted w JOIN sums s USING (query_id))
+  SELECT w.solver, w.query_id, CAST(coalesce(found, 0) AS BIGINT) AS relevant,
+         CASE WHEN coalesce(found, 0) = 0 THEN 0 ELSE total / found END AS ap, coalesce(total, 0) / judged AS ap_corpus
+  FROM wanted w LEFT JOIN sums s ON s.solver = w.solver AND s.query_id = w.query_id)
 """
     )
 
@@ -491,7 +590,27 @@ def _text_sql() -> dict[str, str]:
         "(SELECT count(*) FROM tf) AS n_postings FROM stats"
     )
     known = base + _BATCH + _KNOWN + end
+    vectors_rows = (
+        base + end + "SELECT id, title, url, doc_length, CAST(row_number() OVER (PARTITION BY id "
+        "ORDER BY word_id) - 1 AS INTEGER) AS position, word_id, round(tf * idf, 6) AS weight " + vectors_sql
+    )
+    scan = base + end + "SELECT id, title, url, text FROM corpus"
     return {
+        "scan_corpus_glob": scan,
+        "text_index_vocabulary": vocabulary_sql,
+        "text_index_summary": base + end + summary,
+        "text_index_vectors": vectors_rows,
+        "saved_document_vectors": vectors_rows,
+        "vector_json": base + end + "SELECT id, title, url, doc_length, count(term) AS n_entries, "
+        "coalesce(string_agg(word_id, ',' ORDER BY word_id), '') AS word_ids, "
+        "round(coalesce(sum(tf * idf), 0), 6) AS weights "
+        "FROM docs LEFT JOIN tf USING (id) LEFT JOIN vocab USING (term) GROUP BY id, title, url, doc_length",
+        "text_results": _scored(_BM25_DEFAULT) + _RANKED + "SELECT title, url, round(relevance, 6) AS relevance, "
+        f"round(relevance, 6) AS score FROM ranked JOIN docs USING (id) WHERE rank <= {TOP}",
+        "search_batch_bm25_exchanged": _top(_BM25_DEFAULT, _BATCH, columns="query_id,"),
+        "saved_search_batch_bm25_exchanged": _top(_BM25_DEFAULT, _BATCH, columns="query_id,"),
+        "saved_search_basic": _top(_BASIC),
+        "saved_search_batch_basic": _top(_BASIC, _BATCH, columns="query_id,"),
         "scan_corpus": base + end + "SELECT id, title, url, text FROM corpus",
         "repeated_ids": "SELECT CAST(conv_id AS VARCHAR) AS id, count(*) AS copies FROM conversations "
         "GROUP BY conv_id HAVING count(*) > 1",

@@ -11,6 +11,7 @@ import functools
 import hashlib
 import math
 import operator
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,13 @@ from pyspark.sql import functions as F
 from termloom.functions import scoring
 from termloom.operators import statistics
 from termloom.operators.ranking import number_rows
-from termloom.operators.skew import lookup_join
+from termloom.operators.skew import BROADCAST_BYTES, byte_size, lookup_join
 from termloom.session import durable, path_exists, qualified, written
-from termloom.sources.corpus import count_unique, first_of_each_id
+from termloom.sources.corpus import count_unique, first_of_each_id, text_bytes
 
 STATS_SCHEMA = (
-    "n_docs BIGINT, total_tokens BIGINT, avgdl DOUBLE, idf_type STRING, drop_empty BOOLEAN, buckets INT, shards INT"
+    "n_docs BIGINT, total_tokens BIGINT, avgdl DOUBLE, idf_type STRING, drop_empty BOOLEAN, buckets INT, shards INT, "
+    "build STRING"
 )
 DOCS_SCHEMA = "id STRING, title STRING, url STRING, doc_length BIGINT, shard INT"
 VOCAB_SCHEMA = "term STRING, df BIGINT, idf DOUBLE, word_id BIGINT"
@@ -32,12 +34,9 @@ POSTINGS_SCHEMA = "term STRING, id STRING, tf BIGINT, doc_length BIGINT"
 # Up to this many values are compared one by one in the scan; longer lists are filtered by their join alone.
 PUSHED_VALUES = 256
 
-# Ranked rows up to this many are broadcast to the documents.
-BROADCAST_ROWS = 100_000
-
-# Documents per bucket of a saved index.
-LEAST_PER_BUCKET = 500
-MOST_PER_BUCKET = 1_000_000
+# UTF-8 bytes of text per bucket of a saved index.
+LEAST_PER_BUCKET = 1024 * 1024
+MOST_PER_BUCKET = 256 * 1024 * 1024
 
 # Most directories the stored documents are divided into.
 DOCUMENT_SHARDS = 1024
@@ -79,8 +78,12 @@ class Index:
         return narrow
 
     def with_documents(self, ranked: DataFrame, at_most: int) -> DataFrame:
-        """Title and url for at most so many ranked rows; few are broadcast, so documents are not exchanged."""
-        return self.docs.select("id", "title", "url").join(broadcast_few(ranked, at_most), "id")
+        """Title and url for at most so many ranked rows; few bytes are broadcast, so documents are not exchanged."""
+        return self.docs.select("id", "title", "url").join(broadcast_small(durable(ranked)), "id")
+
+    def once(self) -> Index:
+        """The same index with frames that can be used again and again without reading the texts again."""
+        return self
 
     def vocabulary(self) -> DataFrame:
         """``(term, df, idf, word_id)``; word ids count from 0 in byte order of the terms."""
@@ -101,8 +104,8 @@ class Index:
         titles = self.docs.select("id", "title", "url")
         return titles.join(vectors, "id").select("id", "title", "url", "doc_length", "vector")
 
-    def _weighted(self, vocab: DataFrame) -> DataFrame:
-        joined = lookup_join(self.postings, vocab, "term", weight="df", spread="id")
+    def _weighted(self, vocab: DataFrame, postings: DataFrame | None = None) -> DataFrame:
+        joined = lookup_join(self.postings if postings is None else postings, vocab, "term", weight="df", spread="id")
         return joined.withColumn("tfidf", scoring.tfidf(F.col("tf"), F.col("idf")))
 
     def summary(self) -> DataFrame:
@@ -133,17 +136,36 @@ class CorpusIndex(Index):
         super().__init__(docs, stats, vocab, postings, idf_type, drop_empty)
         self.corpus = corpus
         self.avgdl_mode = avgdl
-        self.counted: int | None = None  # documents, if a check of the ids has counted them
 
-    def restricted(self, terms: list[str]) -> Index:
-        """Reads the texts once, now: the documents' lengths and counts of these terms are kept."""
-        narrow = statistics.analysed(self.corpus, self.drop_empty, only=terms).drop("title", "url")
-        kept = durable(narrow)
+    def once(self) -> Index:
+        """Reads and analyses the texts once, now, and keeps all terms."""
+        kept = durable(statistics.analysed(self.corpus, self.drop_empty))
+        return self._over(kept, kept.select("id", "title", "url", "doc_length"))
+
+    def vectors(self) -> DataFrame:
+        """As for any index. Documents are exchanged before their terms are unrolled, so what is grouped by id is there."""
+        kept = durable(statistics.analysed(self.corpus, self.drop_empty))
+        index = self._over(kept, kept.select("id", "title", "url", "doc_length"))
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = kept.repartition(parts, "id").select("id", "title", "url", "doc_length", F.inline("terms"))
+        weighted = index._weighted(index.vocabulary(), rows)
+        entry = F.struct("word_id", F.col("tfidf").alias("weight"))
+        same = [F.first(c).alias(c) for c in ("title", "url", "doc_length")]
+        # A group holds the distinct words of one document.
+        found = weighted.groupBy("id").agg(*same, F.sort_array(F.collect_list(entry)).alias("vector"))
+        return found.select("id", "title", "url", "doc_length", "vector")
+
+    def _over(self, kept: DataFrame, docs: DataFrame) -> Index:
         stats = statistics.corpus_stats(kept, self.avgdl_mode)
         df = statistics.document_frequency(kept.select(F.explode("terms.term").alias("term")))
         vocab = df.withColumn("idf", scoring.idf(F.col("df"), stats.select("n_docs").scalar(), self.idf_type))
         postings = kept.select("id", "doc_length", F.inline("terms")).select("term", "id", "tf", "doc_length")
-        return Index(self.docs, stats, vocab, postings, self.idf_type, self.drop_empty)
+        return Index(docs, stats, vocab, postings, self.idf_type, self.drop_empty)
+
+    def restricted(self, terms: list[str]) -> Index:
+        """Reads the texts once, now: the documents' lengths and counts of these terms are kept."""
+        narrow = statistics.analysed(self.corpus, self.drop_empty, only=terms).drop("title", "url")
+        return self._over(durable(narrow), self.docs)
 
     def save(self, path: str, buckets: int | None = None) -> StoredIndex:
         """Write the index to a path that must not exist.
@@ -153,46 +175,57 @@ class CorpusIndex(Index):
         even however common a word is. Postings are sorted by term within each part and bucketed by id: a search
         prunes to its terms and adds up each document where it lies.
         """
-        spark = self.spark
-        path = qualified(spark, path)
-        if path_exists(spark, path):
-            raise FileExistsError(f"{path} already exists")
-        buckets = buckets or default_buckets(self.counted, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        shards = math.gcd(buckets, DOCUMENT_SHARDS)
-
+        if buckets is None:
+            buckets = default_buckets(text_bytes(self.corpus), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         analysed = statistics.analysed(self.corpus.repartition(buckets, "id"), self.drop_empty)
-        with written(analysed, "analysed") as staged:
+        return save_analysed(analysed, path, buckets, self.idf_type, self.drop_empty, self.avgdl_mode)
+
+
+def save_analysed(
+    analysed: DataFrame, path: str, buckets: int, idf_type: str, drop_empty: bool, stats: str | DataFrame,
+    vocab: DataFrame | None = None,
+) -> StoredIndex:
+    """Write an index from rows of :func:`statistics.analysed` that are dealt by id into ``buckets`` parts.
+
+    ``stats`` is how to average lengths, or the statistics themselves; a vocabulary with word ids is kept as it is.
+    """
+    spark = analysed.sparkSession
+    path = qualified(spark, path)
+    if path_exists(spark, path):
+        raise FileExistsError(f"{path} already exists")
+    shards = largest_divisor(buckets, DOCUMENT_SHARDS)
+    build = uuid.uuid4().hex
+    with written(analysed, "analysed") as staged:
+        if vocab is None:
             n_docs = staged.agg(F.count("*")).scalar()
             df = statistics.document_frequency(staged.select(F.explode("terms.term").alias("term")))
-            vocab = df.withColumn("idf", scoring.idf(F.col("df"), n_docs, self.idf_type))
-            number_rows(vocab, "term", name="word_id").sortWithinPartitions("term").write.parquet(f"{path}/vocab")
-
-            # A staged part lies wholly in one shard and one bucket, so these two need no exchange.
-            (
-                staged.select("id", "title", "url", "doc_length", document_shard(shards))
-                .sortWithinPartitions("shard", "id")
-                .write.partitionBy("shard")
-                .parquet(f"{path}/docs")
-            )
-            table = _table_name(path)
-            spark.sql(f"DROP TABLE IF EXISTS {table}")
-            (
-                staged.select("id", "doc_length", F.inline("terms"))
-                .select("term", "id", "tf", "doc_length")
-                .write.format("parquet")
-                .bucketBy(buckets, "id")
-                .sortBy("term")
-                .option("path", f"{path}/postings")
-                .saveAsTable(table)
-            )
-
-            # One row, written last: an index that has it is complete.
-            settings = {
-                "idf_type": self.idf_type, "drop_empty": self.drop_empty, "buckets": buckets, "shards": shards
-            }
-            stats = statistics.corpus_stats(staged, self.avgdl_mode)
-            stats.withColumns({name: F.lit(v) for name, v in settings.items()}).write.parquet(f"{path}/stats")
-        return StoredIndex(spark, path)
+            vocab = number_rows(df.withColumn("idf", scoring.idf(F.col("df"), n_docs, idf_type)), "term", name="word_id")
+        else:
+            vocab = vocab.select("term", "df", "idf", "word_id").repartitionByRange("term")
+        vocab.sortWithinPartitions("term").write.parquet(f"{path}/vocab")
+
+        # A staged part lies wholly in one shard and one bucket, so these two need no exchange.
+        (
+            staged.select("id", "title", "url", "doc_length", document_shard(shards))
+            .sortWithinPartitions("shard", "id")
+            .write.partitionBy("shard")
+            .parquet(f"{path}/docs")
+        )
+        (
+            staged.select("id", "doc_length", F.inline("terms"))
+            .select("term", "id", "tf", "doc_length")
+            .write.format("parquet")
+            .bucketBy(buckets, "id")
+            .sortBy("term")
+            .option("path", f"{path}/postings")
+            .saveAsTable(_table_name(path, build))
+        )
+
+        # One row, written last: an index that has it is complete.
+        settings = {"idf_type": idf_type, "drop_empty": drop_empty, "buckets": buckets, "shards": shards, "build": build}
+        row = statistics.corpus_stats(staged, stats) if isinstance(stats, str) else stats
+        row.withColumns({name: F.lit(v) for name, v in settings.items()}).write.parquet(f"{path}/stats")
+    return StoredIndex(spark, path)
 
 
 class StoredIndex(Index):
@@ -215,18 +248,18 @@ class StoredIndex(Index):
             docs=spark.read.schema(DOCS_SCHEMA).parquet(f"{path}/docs"),
             stats=stats.select("n_docs", "total_tokens", "avgdl"),
             vocab=spark.read.schema(VOCAB_SCHEMA).parquet(f"{path}/vocab"),
-            postings=self._bucketed_postings(spark),
+            postings=self._bucketed_postings(spark, row["build"]),
             idf_type=row["idf_type"],
             drop_empty=row["drop_empty"],
         )
 
-    def _bucketed_postings(self, spark: SparkSession) -> DataFrame:
-        # The catalog entry tells Spark that the files are bucketed; dropping it leaves the files alone.
-        table = _table_name(self.path)
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    def _bucketed_postings(self, spark: SparkSession, build: str) -> DataFrame:
+        # The catalog entry tells Spark that the files are bucketed. Its name belongs to this build of the index, so it is
+        # never wrong and never has to go: many can load at once.
+        table = _table_name(self.path, build)
         location = f"{self.path}/postings".replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
-            f"CREATE TABLE {table} ({POSTINGS_SCHEMA}) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {table} ({POSTINGS_SCHEMA}) USING parquet "
             f"CLUSTERED BY (id) SORTED BY (term) INTO {self.buckets} BUCKETS LOCATION '{location}'"
         )
         return spark.table(table)
@@ -259,20 +292,22 @@ def equals_any(column: str, values: list[str]) -> Column:
     return functools.reduce(operator.or_, [F.col(column) == value for value in values], F.lit(False))
 
 
-def broadcast_few(rows: DataFrame, at_most: int) -> DataFrame:
-    """The rows, marked for broadcast if their number is known to be small."""
-    return F.broadcast(rows) if at_most <= BROADCAST_ROWS else rows
+def broadcast_small(rows: DataFrame) -> DataFrame:
+    """The rows, marked for broadcast if they are measured to be small."""
+    return F.broadcast(rows) if rows.agg(byte_size(rows)).first()[0] <= BROADCAST_BYTES else rows
 
 
-def default_buckets(documents: int | None, partitions: int) -> int:
-    """Parts of a saved index: the shuffle partitions, but neither tiny nor huge where the count is known."""
-    if documents is None:
-        return partitions
-    wanted = max(math.ceil(documents / MOST_PER_BUCKET), min(partitions, math.ceil(documents / LEAST_PER_BUCKET)), 1)
+def default_buckets(text_bytes: int, partitions: int) -> int:
+    """Parts of a saved index: the shuffle partitions, but parts neither tiny nor huge."""
+    wanted = max(math.ceil(text_bytes / MOST_PER_BUCKET), min(partitions, math.ceil(text_bytes / LEAST_PER_BUCKET)), 1)
     # Large numbers become multiples of the shards, so that each bucket lies in one shard.
     return wanted if wanted <= DOCUMENT_SHARDS else math.ceil(wanted / DOCUMENT_SHARDS) * DOCUMENT_SHARDS
 
 
+def largest_divisor(number: int, most: int) -> int:
+    return next(d for d in range(min(number, most), 0, -1) if number % d == 0)
+
+
 def document_shard(shards: int) -> Column:
     """The directory of a document, from the hash that also chooses its bucket."""
     return F.pmod(F.hash("id"), F.lit(shards)).alias("shard")
@@ -299,10 +334,9 @@ def build_index(
         raise ValueError(f"dedupe must be None or 'first', not {dedupe!r}")
     if dedupe == "first":
         corpus = first_of_each_id(corpus)
-    index = CorpusIndex(corpus, idf_type, avgdl, drop_empty)
     if validate and dedupe is None:
-        index.counted = count_unique(corpus)
-    return index
+        count_unique(corpus)
+    return CorpusIndex(corpus, idf_type, avgdl, drop_empty)
 
 
 def load_index(spark: SparkSession, path: str) -> StoredIndex:
@@ -310,5 +344,5 @@ def load_index(spark: SparkSession, path: str) -> StoredIndex:
     return StoredIndex(spark, path)
 
 
-def _table_name(path: str) -> str:
-    return f"termloom_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+def _table_name(path: str, build: str) -> str:
+    return f"termloom_{hashlib.sha256(f'{path} {build}'.encode()).hexdigest()[:24]}"

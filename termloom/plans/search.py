@@ -13,7 +13,7 @@ from termloom.functions.text import tokens
 from termloom.operators import querying
 from termloom.operators.evaluation import average_precision, mean_average_precision
 from termloom.operators.ranking import top_n
-from termloom.plans.index import BROADCAST_ROWS, PUSHED_VALUES, Index
+from termloom.plans.index import PUSHED_VALUES, Index
 from termloom.session import durable, path_exists
 
 RESULT_COLUMNS = ("query_id", "rank", "id", "title", "url", "relevance")
@@ -40,20 +40,24 @@ def search(index: Index, text: str, n: int, solver: str | Scorer = "BM25") -> Da
     matched = querying.matching_postings(narrow.postings, known, small=True)
     scores = querying.term_scores(matched, narrow.avgdl, {"score": solver})
     ranked = top_n(querying.relevance(scores), n, single=True)
-    found = index.with_documents(ranked, at_most=n).select(*RESULT_COLUMNS[1:]).orderBy("rank")
-    # There are at most n rows; saying so sorts a short list without sampling it for a range exchange first.
-    return found.limit(n) if n <= BROADCAST_ROWS else found
+    # Where ids repeat, a rank has a row for each document of its id; none is cut off.
+    return index.with_documents(ranked, at_most=n).select(*RESULT_COLUMNS[1:]).orderBy("rank")
 
 
-def search_batch(index: Index, queries: DataFrame, n: int, solver: str | Scorer = "BM25") -> DataFrame:
+def search_batch(
+    index: Index, queries: DataFrame, n: int, solver: str | Scorer = "BM25", broadcast: bool | None = None
+) -> DataFrame:
     """The ``n`` most relevant documents for each ``(query_id, text)``, as one job.
 
     The query words are measured first: a side that fits is broadcast, a larger one is joined by exchange.
+    ``broadcast=False`` takes the exchange whatever the size. Query words are counted once and kept.
     """
     check_n(n)
     scorer(solver)
-    terms = querying.query_terms(queries, index.drop_empty)
+    terms = durable(querying.query_terms(queries, index.drop_empty))
     size = querying.measure(terms)
+    if broadcast is not None:
+        size = size._replace(small=broadcast and size.small)
     scores = _term_scores(index, terms, size, {"score": solver})
     ranked = top_n(querying.relevance(scores), n)
     return index.with_documents(ranked, at_most=n * size.queries).select(*RESULT_COLUMNS)
@@ -64,7 +68,11 @@ def _term_scores(
 ) -> DataFrame:
     if size.terms <= PUSHED_VALUES:
         index = index.restricted([row["term"] for row in terms.select("term").distinct().collect()])
+    else:
+        index = index.once()
     known = querying.known_terms(terms, index.vocab, size.small)
+    if not size.small:
+        known = durable(known)  # it is read for the hot terms, their sizes and the join
     return querying.term_scores(querying.matching_postings(index.postings, known, size.small), index.avgdl, solvers)
 
 
@@ -107,7 +115,7 @@ def compare_results(
 def ranked_by_solver(index: Index, queries: DataFrame, n: int) -> dict[str, DataFrame]:
     """``(query_id, rank, id, relevance)`` for each solver; the scores are worked out once and kept."""
     check_n(n)
-    terms = querying.query_terms(queries, index.drop_empty)
+    terms = durable(querying.query_terms(queries, index.drop_empty))
     scores = _term_scores(index, terms, querying.measure(terms), {name: name for name in SOLVERS})
     summed = scores.groupBy("query_id", "id").agg(*(F.sum(name).alias(name) for name in SOLVERS))
     by_solver = F.array(*(F.struct(F.lit(name).alias("solver"), F.col(name).alias("relevance")) for name in SOLVERS))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local session without one gets its own."""
+    """The shared folder named by ``spark.checkpoint.dir``; a local session without one uses its warehouse."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
@@ -22,7 +21,8 @@ def scratch_root(spark: SparkSession) -> str:
     if current is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="termloom-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        context.setCheckpointDir(f"{warehouse.rstrip('/')}/termloom-scratch")
         current = context.getCheckpointDir()
     return current
 

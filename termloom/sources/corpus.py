@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from termloom.operators.skew import BROADCAST_BYTES, byte_size
+from termloom.session import durable
+
 FIELDS = ("id", "title", "url", "text")
 
 SCHEMA = T.StructType([T.StructField(name, T.StringType(), False) for name in FIELDS])
@@ -68,8 +71,19 @@ def count_unique(corpus: DataFrame) -> int:
 def first_of_each_id(corpus: DataFrame) -> DataFrame:
     """One document per id: the smallest by title, url, text, so the choice does not hang on file order.
 
-    ``min`` combines on the map side, so one id with very many copies sends one row per task.
+    Only ids are counted for all documents. Those of one document pass through; the minimum, which combines on the
+    map side, is taken for the repeated ones. Their ids are kept in the checkpoint folder: Spark broadcasts them if
+    they are few, or joins by exchange and splits ids with very many copies.
     """
-    return (
-        corpus.groupBy("id").agg(F.min(F.struct("title", "url", "text")).alias("kept")).select("id", "kept.*")
-    )
+    again = durable(repeated_ids(corpus).select("id"))
+    if again.isEmpty():
+        return corpus
+    few = again.agg(byte_size(again)).first()[0] <= BROADCAST_BYTES
+    again = F.broadcast(again) if few else again
+    of_many = corpus.join(again, "id", "left_semi").groupBy("id").agg(F.min(F.struct("title", "url", "text")).alias("kept"))
+    return corpus.join(again, "id", "left_anti").unionByName(of_many.select("id", "kept.*"))
+
+
+def text_bytes(corpus: DataFrame) -> int:
+    """UTF-8 bytes of all texts."""
+    return corpus.agg(F.sum(F.octet_length("text"))).first()[0] or 0

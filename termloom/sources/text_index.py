@@ -4,6 +4,7 @@
 * ``doc_info``: ``documents TAB average length``
 * ``words``: ``word TAB idf TAB word id``
 * ``vectorized``: ``d TAB {"id", "title", "url", "docLength", "vectorized": "id:weight;..."}``
+* ``counts``: ``word id TAB document id TAB count``, beside the four others, so that no count has to be worked back
 
 Search results have one too: ``{"title", "url", "relevance"} TAB relevance``.
 """
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions import vectors
 from termloom.operators.skew import lookup_join
-from termloom.plans.index import Index
+from termloom.plans.index import Index, StoredIndex, default_buckets, save_analysed
 from termloom.session import durable, path_exists
 
 
@@ -34,9 +35,23 @@ def word_lines(index: Index) -> DataFrame:
     return index.vocabulary().select(F.concat_ws("\t", "term", *numbers).alias("value"))
 
 
+def count_lines(index: Index) -> DataFrame:
+    words = index.vocabulary().select("term", "df", "word_id")
+    rows = lookup_join(index.postings.select("term", "id", "tf"), words, "term", weight="df", spread="id")
+    return rows.select(F.concat_ws("\t", F.col("word_id").cast("string"), "id", F.col("tf").cast("string")).alias("value"))
+
+
 def vector_lines(index: Index) -> DataFrame:
+    """One line for every document; one without tokens has an empty vector."""
+    index = index.once()
+    vectors_of = index.vectors().select("id", "vector")
+    docs = index.docs.select("id", "title", "url", "doc_length").join(vectors_of, "id", "left")
+    return _vector_lines(docs.withColumn("vector", F.coalesce("vector", F.array().cast(vectors.VECTOR_TYPE))))
+
+
+def _vector_lines(docs: DataFrame) -> DataFrame:
     json = vectors.document_json(*(F.col(c) for c in ("id", "title", "url", "doc_length", "vector")))
-    return index.vectors().select(F.concat_ws("\t", F.lit("d"), json).alias("value"))
+    return docs.select(F.concat_ws("\t", F.lit("d"), json).alias("value"))
 
 
 def result_lines(results: DataFrame) -> DataFrame:
@@ -55,15 +70,28 @@ def export_results(results: DataFrame, path: str) -> None:
 
 
 def export_text_index(index: Index, path: str) -> None:
-    """Write the four text datasets under a path that must not exist."""
+    """Write the text datasets under a path that must not exist; texts are analysed once, words numbered once."""
     if path_exists(index.spark, path):
         raise FileExistsError(f"{path} already exists")
+    index = index.once()
+    index = _Numbered(index, durable(index.vocabulary()))
     term_count_lines(index).write.text(f"{path}/temp")
     stats_lines(index).write.text(f"{path}/doc_info")
     word_lines(index).write.text(f"{path}/words")
+    count_lines(index).write.text(f"{path}/counts")
     vector_lines(index).write.text(f"{path}/vectorized")
 
 
+class _Numbered(Index):
+    """An index whose vocabulary, with word ids, is kept."""
+
+    def __init__(self, index: Index, vocab: DataFrame):
+        super().__init__(index.docs, index.stats, vocab, index.postings, index.idf_type, index.drop_empty)
+
+    def vocabulary(self) -> DataFrame:
+        return self.vocab.select("term", "df", "idf", "word_id")
+
+
 def parse_vector_lines(lines: DataFrame) -> DataFrame:
     """``(id, title, url, doc_length, vectorized)`` from ``d TAB json`` lines; the vector is still text."""
     parsed = vectors.parse_document_json(F.split_part("value", F.lit("\t"), F.lit(2)))
@@ -77,11 +105,11 @@ def parse_vector_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_text_index(spark: SparkSession, path: str, idf_type: str = "log") -> Index:
-    """An index from its text form, to search or to read.
+    """An index from its text form, to search, to read or to save.
 
-    The text keeps weights, not counts, so df and tf are worked back from idf. A word with idf 0 has no count
-    to recover; its tf is null and it adds nothing to a score. Documents without tokens have no vector, and so
-    are missing from ``docs``, though not from the statistics.
+    Counts are read from ``counts``. A text form without it keeps weights only: tf is then worked back from weight and
+    idf, and a word with idf 0, which has no count to recover, has a null tf. Weights are the stored ones.
+    The token total is the sum of the document lengths.
     """
 
     def part(name: str, *fields: tuple[str, str]) -> DataFrame:
@@ -103,16 +131,47 @@ def read_text_index(spark: SparkSession, path: str, idf_type: str = "log") -> In
     df = F.lit(1.0) / F.col("idf") if idf_type == "normal" else n_docs * F.exp(-F.col("idf"))
     vocab = durable(words.withColumn("df", F.round(df).cast("long")))
 
-    parsed = parse_vector_lines(spark.read.option("pathGlobFilter", "part*").text(f"{path}/vectorized"))
+    lines_of = spark.read.option("pathGlobFilter", "part*")
+    parsed = durable(parse_vector_lines(lines_of.text(f"{path}/vectorized")))
+    docs = parsed.drop("vectorized")
+    total = docs.agg(F.coalesce(F.sum("doc_length"), F.lit(0)).alias("total_tokens")).select("total_tokens").scalar()
+    stats = stats.select("n_docs", total.alias("total_tokens"), "avgdl")
     entries = parsed.select("id", "doc_length", F.inline(vectors.decode(F.col("vectorized"))))
+    if path_exists(spark, f"{path}/counts"):
+        counts = part("counts", ("word_id", "long"), ("id", "string"), ("tf", "long"))
+        entries = entries.join(counts, ["id", "word_id"])
+    else:
+        entries = entries.withColumn("tf", F.lit(None).cast("long"))
+    worked_back = F.round(F.try_divide("weight", "idf")).cast("long")
     postings = lookup_join(entries, vocab, "word_id", weight="df", spread="id").select(
-        "term", "id", F.round(F.try_divide("weight", "idf")).cast("long").alias("tf"), "doc_length"
+        "term", "id", F.coalesce("tf", worked_back).alias("tf"), "doc_length", F.col("weight").alias("tfidf")
     )
-    return TextIndex(parsed.drop("vectorized"), stats, vocab, postings, idf_type, drop_empty=False)
+    return TextIndex(docs, stats, vocab, postings, idf_type, drop_empty=False)
+
 
 
 class TextIndex(Index):
-    """An index read from text: the word ids are the file's own."""
+    """An index read from text: the word ids and the weights are the file's own."""
 
     def vocabulary(self) -> DataFrame:
         return self.vocab.select("term", "df", "idf", "word_id")
+
+    def __init__(self, docs, stats, vocab, weighted, idf_type, drop_empty):
+        super().__init__(docs, stats, vocab, weighted.drop("tfidf"), idf_type, drop_empty)
+        self.weighted = weighted
+
+    def _weighted(self, vocab: DataFrame, postings: DataFrame | None = None) -> DataFrame:
+        words = vocab.select("term", "df", *(["word_id"] if "word_id" in vocab.columns else []))
+        return lookup_join(self.weighted, words, "term", weight="df", spread="id")
+
+    def save(self, path: str, buckets: int | None = None) -> StoredIndex:
+        """Write the fast layout, as for a corpus; the terms of a document are put together first."""
+        entry = F.struct("term", "tf")
+        terms = self.postings.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("terms"))
+        none = F.array().cast("array<struct<term:string,tf:bigint>>")
+        rows = self.docs.join(terms, "id", "left").withColumn("terms", F.coalesce("terms", none))
+        size = rows.agg(F.sum(F.aggregate("terms", F.lit(0).cast("long"), lambda n, e: n + F.octet_length(e["term"]) * e["tf"])))
+        if buckets is None:
+            buckets = default_buckets(size.first()[0] or 0, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        analysed = rows.select("id", "title", "url", "doc_length", "terms").repartition(buckets, "id")
+        return save_analysed(analysed, path, buckets, self.idf_type, self.drop_empty, self.stats, self.vocab)

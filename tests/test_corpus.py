@@ -51,3 +51,11 @@ def test_repeated_ids(spark, make_corpus):
 def test_bad_options(micro, option):
     with pytest.raises(ValueError):
         build_index(micro, **option)
+
+
+def test_documents_with_their_own_id_are_not_sorted(spark, make_corpus):
+    unique = make_corpus("a", "b")
+    assert first_of_each_id(unique) is unique
+    kept = first_of_each_id(make_corpus(("1", "b"), ("2", "x"), ("1", "a")))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan

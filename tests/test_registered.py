@@ -7,7 +7,7 @@ import __spark_entry__ as registered
 from conftest import SMALL_TABLES
 
 SQL = registered._text_sql()
-WITHOUT_SQL = {"vector_json"}
+WITHOUT_SQL = set()
 
 
 @pytest.fixture(scope="module")
@@ -36,10 +36,6 @@ def test_equals_sql(spark, duck, name):
     assert found
 
 
-def test_vector_json(spark):
-    assert registered.queries()["vector_json"](spark, SMALL_TABLES).count() == 200
-
-
 def test_entry(spark):
     frame = registered.entry(spark)
     assert frame.columns == ["rank", "id", "title", "url", "relevance"]

@@ -1,10 +1,11 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from termloom import build_index, load_index, search, search_batch
-from termloom.plans.index import default_buckets
+from termloom.plans.index import default_buckets, largest_divisor
 
 
 @pytest.fixture(scope="module")
@@ -83,12 +84,29 @@ def test_options_are_kept(spark, make_corpus, tmp_path):
 
 
 def test_default_buckets():
-    assert default_buckets(None, 200) == 200
+    mb = 1024 * 1024
     assert default_buckets(0, 200) == 1
-    assert default_buckets(1_200, 200) == 3
-    assert default_buckets(10_000_000, 200) == 200
-    assert default_buckets(500_000_000, 200) == 500
-    assert default_buckets(20_000_000_000, 200) == 20_480
+    assert default_buckets(3 * mb - 1, 200) == 3
+    assert default_buckets(10_000 * mb, 200) == 200
+    assert default_buckets(500 * 256 * mb, 200) == 500
+    assert default_buckets(20_000 * 256 * mb, 200) == 20_480
+    assert [largest_divisor(n, 1024) for n in (1, 200, 2048, 1030, 1031)] == [1, 200, 1024, 515, 1]
+
+
+def test_layout_does_not_hang_on_the_id_check(spark, make_corpus, tmp_path):
+    corpus = make_corpus(*(f"text {i} " * 5000 for i in range(40)))
+    found = []
+    for i, how in enumerate(({"validate": True}, {"validate": False}, {"dedupe": "first"})):
+        stored = build_index(corpus, **how).save(str(tmp_path / str(i)))
+        found.append((stored.buckets, stored.shards))
+    assert found == [found[0]] * 3 and found[0][0] > 1
+
+
+def test_many_can_load_at_once(spark, saved):
+    path = saved[2]
+    with ThreadPoolExecutor(8) as pool:
+        found = list(pool.map(lambda _: search(load_index(spark, path), "the", 3).collect(), range(16)))
+    assert found == [found[0]] * 16 and len(found[0]) == 3
 
 
 def test_empty_corpus(make_corpus, tmp_path):

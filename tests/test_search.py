@@ -184,3 +184,21 @@ def test_write_results(spark, micro, tmp_path):
     assert [r["id"] for r in spark.read.json(path).orderBy("rank").collect()] == ["1", "2"]
     with pytest.raises(FileExistsError):
         write_results(results, path)
+
+
+def test_no_rank_is_lost_where_ids_repeat(make_corpus):
+    index = build_index(make_corpus(("1", "cat cat"), ("1", "cat cat"), ("2", "cat dog dog"), ("3", "dog")), validate=False)
+    for n in (2, 3, 100_001):
+        assert {r["rank"] for r in search(index, "cat", n).collect()} == {1, 2}
+
+
+def test_exchanged_batch_reads_the_texts_once(spark, make_corpus):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    corpus = make_corpus(*(" ".join(words[i : i + 40]) for i in range(0, 260, 20)))
+    queries = spark.createDataFrame([(i, " ".join(words[i : i + 30])) for i in range(0, 290, 7)], "query_id int, text string")
+    small, large = (
+        sorted(map(tuple, search_batch(build_index(corpus), queries, 3, broadcast=b).collect())) for b in (None, False)
+    )
+    assert [r[:3] for r in small] == [r[:3] for r in large]
+    plan = search_batch(build_index(corpus), queries, 3, broadcast=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan  # analysed texts and query words are kept

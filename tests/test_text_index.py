@@ -49,12 +49,36 @@ def test_round_trip(spark, tables_corpus, tmp_path, idf_type):
         export_text_index(index, path)
 
 
-def test_word_in_every_document(spark, make_corpus, tmp_path):
+def test_word_in_every_document_and_documents_without_tokens(spark, make_corpus, tmp_path):
+    """All that the source index tells, the text form and a saved copy of it tell too."""
     path = str(tmp_path / "text")
-    export_text_index(build_index(make_corpus("the cat", "the dog")), path)
+    index = build_index(make_corpus("the cat", "the dog", "123"))
+    # In every document that has words, and idf 0 in one more index.
+    export_text_index(index, path)
     back = read_text_index(spark, path)
-    assert [r["id"] for r in search(back, "the dog", 5).collect()] == ["2"]
-    assert {r["tf"] for r in back.postings.where("term = 'the'").collect()} == {None}
+    saved = back.save(str(tmp_path / "saved"))
+    both = build_index(make_corpus("the cat", "the dog"))
+    export_text_index(both, str(tmp_path / "both"))
+    for source, other in ((index, back), (index, saved), (both, read_text_index(spark, str(tmp_path / "both")))):
+        for name in ("summary", "tfidf_postings", "vocabulary", "vectors"):
+            found, wanted = (sorted(map(tuple, getattr(i, name)().collect()), key=repr) for i in (other, source))
+            assert found == wanted, name
+        assert sorted(map(tuple, other.docs.select("id", "doc_length").collect())) == sorted(
+            map(tuple, source.docs.select("id", "doc_length").collect())
+        )
+        found, wanted = ([tuple(r) for r in search(i, "the dog", 5).collect()] for i in (other, source))
+        assert found == wanted
+    assert {r["tfidf"] for r in read_text_index(spark, str(tmp_path / "both")).tfidf_postings().where("term = 'the'").collect()} == {0.0}
+
+
+def test_text_form_without_counts(spark, make_corpus, tmp_path):
+    path = tmp_path / "text"
+    export_text_index(build_index(make_corpus("the cat cat", "the dog")), str(path))
+    (path / "counts").rename(tmp_path / "counts")
+    back = read_text_index(spark, str(path))
+    assert {(r["term"], r["tf"], r["tfidf"] > 0) for r in back.tfidf_postings().collect()} == {
+        ("the", None, False), ("cat", 2, True), ("dog", 1, True),
+    }
 
 
 def test_result_lines(spark, micro, tmp_path):
