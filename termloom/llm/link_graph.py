@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import string
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -81,7 +80,8 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
 
     Kind ``trust`` walks along the links, ``distrust`` against them: who links to the distrusted is distrusted. The scores
     of a kind add up to 1; what reaches a host without further links goes back to the seeds. Each round is one join
-    of scores and links and one sum, written to the shared scratch folder, until the scores have settled.
+    of scores and links and one sum, written to the shared scratch folder, until the scores have settled (looked at
+    after the first round and every fifth).
     """
     along = links.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n")
     against = links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")
@@ -92,23 +92,21 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
     start = seeds.join(total, "kind").where(F.col("all") > 0)
     start = staged(start.select("kind", "host", (F.col("weight") / F.col("all")).alias("seed")).where("seed > 0"), "seeds")
     scores = start.select("kind", "host", F.col("seed").alias("score"))
-    for _ in range(rounds):
+    for round_ in range(1, rounds + 1):
         passed = scores.join(edges, ["kind", "host"]).groupBy("kind", F.col("to").alias("host"))
-        passed = staged(passed.agg(F.sum(F.col("score") * F.col("share")).alias("score")), "passed")
-        sums = {r["kind"]: r["all"] for r in passed.groupBy("kind").agg(F.sum("score").alias("all")).collect()}  # two rows
-        kept = functools.reduce(
-            lambda column, kind: column.when(F.col("kind") == kind, 1 - damping * min(1.0, sums[kind])),
-            sums,
-            F.when(F.lit(False), F.lit(0.0)),
-        ).otherwise(1.0)
-        parts = passed.select("kind", "host", (damping * F.col("score")).alias("score")).unionByName(
-            start.select("kind", "host", (kept * F.col("seed")).alias("score"))
+        passed = passed.agg((damping * F.sum(F.col("score") * F.col("share"))).alias("score"))
+        sums = passed.groupBy("kind").agg(F.least(F.lit(1.0), F.sum("score")).alias("given"))  # two rows at most
+        back = start.join(F.broadcast(sums), "kind", "left").select(
+            "kind", "host", ((1 - F.coalesce("given", F.lit(0.0))) * F.col("seed")).alias("score")
         )
-        new = staged(parts.groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
-        both = new.unionByName(scores.select("kind", "host", (-F.col("score")).alias("score")))
-        change = both.groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("change")).agg(F.sum("change")).first()[0]
+        new = staged(passed.unionByName(back).groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
+        settled = False
+        if round_ == 1 or round_ % 5 == 0:
+            both = new.unionByName(scores.select("kind", "host", (-F.col("score")).alias("score")))
+            moved = both.groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("change"))
+            settled = (moved.agg(F.sum("change")).first()[0] or 0.0) < SETTLED
         scores = new
-        if (change or 0.0) < SETTLED:
+        if settled:
             break
     return scores
 
@@ -117,6 +115,7 @@ def judge(
     pages: DataFrame,
     rules: Sequence[Rule] = RULES,
     threshold: float = THRESHOLD,
+    rounds: int = ROUNDS,
     url: str = "url",
     html: str = "html",
     id: str = "page_id",
@@ -142,7 +141,7 @@ def judge(
     kinds = F.stack(F.lit(2), F.lit("trust"), F.col("trust"), F.lit("distrust"), F.col("distrust")).alias("kind", "weight")
     seeds = hosts.select("host", kinds).where("weight > 0")
     totals = hosts.agg(*(F.sum(c).cast("double").alias(c) for c in ("trust", "distrust"))).first()
-    scores = propagate(seeds, staged(host_links(pages, url, html), "links"))
+    scores = propagate(seeds, staged(host_links(pages, url, html), "links"), rounds=rounds)
     wide = scores.groupBy("host").agg(
         *(F.sum(F.when(F.col("kind") == kind, F.col("score"))).alias(f"{kind}_score") for kind in ("trust", "distrust"))
     )

@@ -28,6 +28,9 @@ def rule_of(host, path):
     return max(fits)[1:] if fits else (None, None)
 
 
+ROUNDS = 11
+
+
 def pagerank(seeds, edges, damping=0.85):
     total = sum(seeds.values())
     if not total:
@@ -37,7 +40,7 @@ def pagerank(seeds, edges, damping=0.85):
     for (a, _), n in edges.items():
         out[a] += n
     score = dict(seed)
-    for _ in range(300):
+    for _ in range(ROUNDS):
         new = collections.Counter()
         for (a, b), n in edges.items():
             new[b] += damping * score.get(a, 0) * n / out[a]
@@ -76,7 +79,7 @@ def plain(pages):
 
 def run(spark, pages):
     frame = spark.createDataFrame([(*p, "x", 1) for p in pages], SCHEMA + ", host string, pages long")
-    out = link_graph.judge(frame).select("page_id", "host", "path", "rule", "verdict").collect()
+    out = link_graph.judge(frame, rounds=ROUNDS).select("page_id", "host", "path", "rule", "verdict").collect()
     return sorted(map(tuple, out), key=repr)
 
 
