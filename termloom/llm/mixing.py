@@ -21,7 +21,7 @@ WEIGHTS = (3, 1, 2)
 # Relative weight of a source at the start and at the end of training; it changes linearly in between.
 SCHEDULES = ((0.5, 1.5), (1.0, 1.0), (1.5, 0.5))
 # Rows of one source that one window group is meant to hold.
-GROUP = 4096
+GROUP = 512
 
 
 def targets(
