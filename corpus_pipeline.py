@@ -13,8 +13,8 @@ from termloom.llm import language, mixing, piece_codec, secret_scan, simhash
 from termloom.llm.registered import MODEL_PATH
 from termloom.llm.tables import staged, table
 
-# A document stays if one language has this share of its letters.
-LEAST_SHARE = 0.5
+# A document stays if one language has this share of its letters: those with passages in two other languages do.
+LEAST_SHARE = 0.4
 
 # Near-duplicates: shingles of five words, a similarity of 0.8 or more. At that similarity a band of 32 bits differs in two
 # bits or fewer for one pair in eight, so with 20 bands about 92 % of such pairs are compared; above 0.85 it is 99 %.

@@ -40,7 +40,7 @@ def test_language(stages):
     wanted = []
     for r in before:
         found = language.described(identifier, [r.text])[0]
-        if found["lang"] != "und" and found["score"] >= 0.5:
+        if found["lang"] != "und" and found["score"] >= corpus_pipeline.LEAST_SHARE:
             wanted.append((r.doc_id, r.text, found["lang"], r.source, r.n_chars))
     assert sorted(map(tuple, after), key=repr) == sorted(wanted, key=repr)
     assert stages[1].columns == stages[0].columns
