@@ -98,7 +98,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secrets": _secrets_sql(), "op4_quality": _quality_sql(), "op6_topk": _TOP_K, "op8_mixing": _MIXING, "op10_repeats": _REPEATS}
+    return {"op3_secrets": _secrets_sql(), "op4_quality": _quality_sql(), "op6_topk": _TOP_K, "op7_warc": _WARC, "op8_mixing": _MIXING,
+        "op10_repeats": _REPEATS}
 
 
 def _secrets_sql() -> str:
@@ -192,6 +193,27 @@ FROM judged
 """
 
 
+_WARC = """
+WITH payloads AS (
+  SELECT page_id, url, coalesce(html, '') AS body, CAST(CAST(unhex(sha1(coalesce(html, ''))) AS BIT) AS VARCHAR) AS bits FROM pages),
+groups AS (SELECT body, max(page_id) AS first, count(*) AS copies FROM payloads GROUP BY body),
+parts AS (
+  SELECT *, CASE WHEN copies > 1 AND first IS DISTINCT FROM page_id THEN first END AS refers_to,
+         CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE coalesce(url, '') END AS rest
+  FROM payloads JOIN groups USING (body)),
+keyed AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS host FROM parts)
+SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+         16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT)
+         + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT)
+         + CAST(substr(bits, 5 * i + 5, 1) AS INT) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to,
+       array_to_string(list_reverse(string_split(lower(host), '.')), ',') || ')' || coalesce(nullif(lower(substr(rest, length(host) + 1)), ''), '/')
+         AS url_key,
+       strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS captured
+FROM keyed
+"""
+
 _REPEATS = """
 WITH texts AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
