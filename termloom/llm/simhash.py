@@ -21,6 +21,8 @@ from termloom.llm.tables import map_batches, staged
 
 # Fingerprints below a trie node from which its pairs are finished inside one task.
 LEAF = 8192
+# The same for bands, whose rows carry whole signatures: larger nodes are copied less often.
+BAND_LEAF = 1 << 18
 # Bits by which a pair of larger nodes is extended in one round.
 STEP = 2
 # Pairs of leaves that one step of a task compares at most, and leaves that are small enough to compare.
@@ -111,7 +113,8 @@ def near_duplicates(
     marked = staged(fingerprints(docs, words, blocks, text, id), "signatures")
     nodes = staged(marked.groupBy("signature").agg(F.min("doc_id").alias("least")), "nodes")
     differing = None if similarity is None else most_differing_bits(similarity, 64 * blocks)
-    links = staged(trie_join(banded(nodes, bands, band_bits), band_bits, budget, differing), "links")
+    leaf = LEAF if differing is None else BAND_LEAF
+    links = staged(trie_join(banded(nodes, bands, band_bits), band_bits, budget, differing, leaf), "links")
     members = staged(connected_components(links.select("u", "v")), "members")
     grouped = nodes.join(members, F.col("signature") == F.col("node"), "left").withColumn(
         "root", F.coalesce("root", "signature")
