@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.components import connected_components
-from termloom.llm.tables import map_batches, staged
+from termloom.llm.tables import limit_batches, map_batches, staged
 
 # Fingerprints below a trie node from which its pairs are finished inside one task.
 LEAF = 8192
@@ -170,6 +170,7 @@ def trie_join(values: DataFrame, bits: int, budget: int, differing: int | None =
     that share a whole band value can be more than ``leaf`` at the last depth: these are divided by hash, each part
     with the smallest signature of the node, which ties the parts together.
     """
+    limit_batches(values.sparkSession)
     values = staged(values, "values")
 
     def node(depth: int):

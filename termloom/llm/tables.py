@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import termloom
 from termloom.session import scratch_path
 
 # White space between words: space and the five control characters from tab to carriage return.
@@ -35,6 +38,12 @@ def map_batches(
 
 
 def limit_batches(spark: SparkSession) -> None:
+    """Bounds what is handed to Python, and lets Python workers find this package where the driver has found it."""
+    environment = spark.sparkContext.environment
+    home = str(Path(termloom.__file__).resolve().parent.parent)
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, known)])
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

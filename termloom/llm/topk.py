@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.tables import staged
+from termloom.llm.tables import limit_batches, staged
 
 SCALE = 1024
 # Vectors of one block of candidates, and queries that meet it together, at most.
@@ -40,6 +40,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, vector: str = "embed
     best. Each meeting returns ``k`` rows for a query, of which the best are kept. Vectors of a block are held in one
     task; rows are dealt to blocks by a hash of id and vector.
     """
+    limit_batches(vectors.sparkSession)
     rows = staged(whole_numbers(vectors, vector, id), "vectors")
     asked = staged(rows.where(queries), "queries")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
