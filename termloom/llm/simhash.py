@@ -256,7 +256,7 @@ def linked(
         wide = np.frombuffer(b"".join(sig), ">u8").astype(np.uint64).reshape(len(sig), -1)
     # Signatures with the same value: each is compared with the leaders, or without a threshold linked to the first.
     leaders = [np.array([i]) for i in first]
-    for k in np.flatnonzero(ends - first > 1) if apart is None else ():
+    for k in np.flatnonzero(ends - first > 1) if apart is None or wide is not None else ():
         members = np.arange(first[k], ends[k])
         if wide is None:
             found.append((np.full(len(members) - 1, first[k]), members[1:]))

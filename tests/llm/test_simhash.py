@@ -118,6 +118,48 @@ def test_many_signatures_with_one_band_value_are_divided(spark):
     assert connected_components(links).select("root").distinct().count() == 1
 
 
+def similar_components(rows, budget, differing):
+    """The smallest signature of the component of each signature, comparing all rows of ``(band, value, signature)``."""
+    ordered = sorted({s for _, _, s in rows})
+    place = {s: i for i, s in enumerate(ordered)}
+    x, y = [], []
+    for i, (band, value, s) in enumerate(rows):
+        for other, near, t in rows[:i]:
+            if band == other and (value ^ near).bit_count() <= budget:
+                if (int.from_bytes(s, "big") ^ int.from_bytes(t, "big")).bit_count() <= differing:
+                    x.append(place[s])
+                    y.append(place[t])
+    root = simhash._forest(len(ordered), np.array(x, int), np.array(y, int))
+    return {s: ordered[r] for s, r in zip(ordered, root, strict=True)}
+
+
+def found_components(spark, rows, budget, differing, leaf):
+    frame = spark.createDataFrame([(b, v << 32, s) for b, v, s in rows], "band int, value long, signature binary")
+    links = simhash.trie_join(frame, 32, budget, differing=differing, leaf=leaf).collect()
+    ordered = sorted({s for _, _, s in rows})
+    place = {s: i for i, s in enumerate(ordered)}
+    ends = ([place[bytes(r[k])] for r in links] for k in ("u", "v"))
+    root = simhash._forest(len(ordered), *(np.array(e, int) for e in ends))
+    return {s: ordered[r] for s, r in zip(ordered, root, strict=True)}
+
+
+def flipped(signature, *bits):
+    return (int.from_bytes(signature, "big") ^ sum(1 << b for b in bits)).to_bytes(len(signature), "big")
+
+
+@pytest.mark.parametrize("leaf", [4, 1000])
+def test_all_of_a_value_meet_those_of_another_node(spark, leaf):
+    rng = random.Random(11)
+    values = [0b1010 << 20, 0b1010 << 20 | 1 << 30, 0b1010 << 20 | 1 << 4]
+    rows = []
+    for _ in range(4):  # families with one member for each value, so which of a value comes first says nothing
+        base = rng.randbytes(80)
+        rows += [(0, v, flipped(base, rng.randrange(640))) for v in values]
+    wanted = similar_components(rows, 2, 10)
+    assert len(set(wanted.values())) == 4
+    assert found_components(spark, rows, 2, 10, leaf) == wanted
+
+
 def test_fingerprint_of_long_texts_counts_every_shingle():
     text = " ".join(str(i % 977) for i in range(9000))
     assert int(simhash.fingerprint(simhash.shingle_hashes(text.encode(), 3))[0]) == plain_fingerprint(text)
