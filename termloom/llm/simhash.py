@@ -7,13 +7,13 @@ which they differ are added up, and a pair is dropped as soon as it exceeds the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.components import connected_components
@@ -167,8 +167,8 @@ def trie_join(values: DataFrame, bits: int, budget: int, differing: int | None =
     Pairs of trie nodes start at the root of each band. A pair whose nodes are small is finished in one task; a pair
     with a node of over ``leaf`` rows is replaced by the pairs of its children ``STEP`` bits further down, and those
     that differ in more than ``budget`` bits are dropped. So a task holds two small nodes at most. Only signatures
-    that share a whole band value can be more than ``leaf`` at the last depth: these are divided by hash, each part
-    with the smallest signature of the node, which ties the parts together.
+    that share a whole band value can be more than ``leaf`` at the last depth: these are divided by hash. Without a
+    threshold the smallest signature of the node ties the parts together; with one, every part meets every other.
     """
     limit_batches(values.sparkSession)
     values = staged(values, "values")
@@ -215,15 +215,35 @@ def trie_join(values: DataFrame, bits: int, budget: int, differing: int | None =
         if not found.isEmpty()
     ]
     if last is not None:
-        at_node = values.withColumn("node", node(bits))
-        first = at_node.groupBy("band", "node").agg(F.min_by("value", "signature").alias("value"), F.min("signature").alias("signature"))
-        parts = F.ceil(F.col("na") / leaf)
-        equal, apart = last.where("a = b").withColumn("parts", parts), last.where("a <> b")
-        dealt += [
-            members(at_node, equal, bits, "parts").withColumn("part", F.pmod(F.xxhash64("signature"), "parts")),
-            members(first, equal, bits, "parts").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))),
-            members(first, apart, bits).withColumn("part", F.lit(0).cast("long")),
-        ]
+        at_node, zero = values.withColumn("node", node(bits)), F.lit(0).cast("long")
+        wide = last.withColumn("pa", F.ceil(F.col("na") / leaf)).withColumn("pb", F.ceil(F.col("nb") / leaf))
+        equal, apart = wide.where("a = b"), wide.where("a <> b")
+
+        def dealt_to(of: DataFrame, own: Column, others: Column, part: Callable[[Column], Column]) -> DataFrame:
+            """Each row goes by hash to one of ``own`` parts, and from there to the tasks of all ``others``."""
+            found = members(at_node, of, bits, "pa", "pb")
+            found = found.withColumn("mine", F.pmod(F.xxhash64("signature"), own))
+            return found.withColumn("part", F.explode(F.transform(F.sequence(zero, others - 1), part)))
+
+        if differing is None:
+            first = at_node.groupBy("band", "node").agg(F.min_by("value", "signature").alias("value"), F.min("signature").alias("signature"))
+            dealt += [
+                dealt_to(equal, F.col("pa"), F.lit(1).cast("long"), lambda _: F.col("mine")),
+                members(first, equal, bits, "pa").withColumn("part", F.explode(F.sequence(zero, F.col("pa") - 1))),
+                members(first, apart, bits).withColumn("part", zero),
+            ]
+        else:
+            # Two parts of a node make a task, so that every part meets every other.
+            both = dealt_to(equal, F.col("pa"), F.col("pa"), lambda x: F.least("mine", x) * F.col("pa") + F.greatest("mine", x))
+            dealt.append(both.where("part % (pa + 1) <> 0"))
+            is_a = F.col("node") == F.col("a")
+            own, others = (F.when(is_a, F.col(x)).otherwise(F.col(y)) for x, y in (("pa", "pb"), ("pb", "pa")))
+            dealt.append(
+                dealt_to(
+                    apart, own, others,
+                    lambda x: F.when(is_a, F.col("mine") * F.col("pb") + x).otherwise(x * F.col("pb") + F.col("mine")),
+                )
+            )
 
     def finish(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         value = group["value"].to_numpy(np.int64).view(np.uint64)

@@ -160,6 +160,18 @@ def test_all_of_a_value_meet_those_of_another_node(spark, leaf):
     assert found_components(spark, rows, 2, 10, leaf) == wanted
 
 
+def test_all_parts_of_a_crowded_value_meet(spark):
+    rng = random.Random(13)
+    rows = []
+    for _ in range(5):
+        base = rng.randbytes(80)
+        for v in (9 << 8, 9 << 8 | 1):
+            rows += [(0, v, flipped(base, rng.randrange(640), rng.randrange(640))) for _ in range(6)]
+    wanted = similar_components(rows, 2, 10)
+    assert len(set(wanted.values())) == 5
+    assert found_components(spark, rows, 2, 10, 8) == wanted
+
+
 def test_fingerprint_of_long_texts_counts_every_shingle():
     text = " ".join(str(i % 977) for i in range(9000))
     assert int(simhash.fingerprint(simhash.shingle_hashes(text.encode(), 3))[0]) == plain_fingerprint(text)
