@@ -266,36 +266,24 @@ def linked(
 
     ``apart`` is the depth at which two nodes meet; only links between them are then looked for.
     """
-    order = np.argsort(value, kind="stable")
+    wide = None
+    if differing is None:
+        order = np.argsort(value, kind="stable")
+    else:
+        wide = np.frombuffer(b"".join(signature), ">u8").astype(np.uint64).reshape(len(signature), -1)
+        order = np.lexsort((*wide.T[::-1], value))
+        wide = wide[order]
     value, sig = value[order], [signature[i] for i in order]
     distinct, first = np.unique(value, return_index=True)
     ends = np.append(first[1:], len(value))
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    wide = None
-    if differing is not None:
-        wide = np.frombuffer(b"".join(sig), ">u8").astype(np.uint64).reshape(len(sig), -1)
-    # Signatures with the same value: each is compared with the leaders, or without a threshold linked to the first.
-    leaders = [np.array([i]) for i in first]
-    for k in np.flatnonzero(ends - first > 1) if apart is None or wide is not None else ():
-        members = np.arange(first[k], ends[k])
-        if wide is None:
+    if wide is not None:
+        found = _Clusters(wide, first, ends, differing).links(_close(distinct, budget, apart), apart is None)
+    else:
+        for k in np.flatnonzero(ends - first > 1) if apart is None else ():
+            members = np.arange(first[k], ends[k])
             found.append((np.full(len(members) - 1, first[k]), members[1:]))
-            continue
-        left, chosen = members, []
-        while len(left):
-            chosen.append(left[0])
-            near = _differ(wide, np.full(len(members), left[0]), members) <= differing
-            found.append((np.full(int(near.sum()), left[0]), members[near]))
-            left = np.setdiff1d(left[1:], members[near], assume_unique=True)
-        leaders[k] = np.array(chosen)
-    for a, b in _close(distinct, budget, apart):
-        if wide is None:
-            found.append((first[a], first[b]))
-            continue
-        pairs = _product(leaders, a, b)
-        for x, y in pairs:
-            near = _differ(wide, x, y) <= differing
-            found.append((x[near], y[near]))
+        found += [(first[a], first[b]) for a, b in _close(distinct, budget, apart)]
     if not found:
         return [], []
     root = _forest(len(value), np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
@@ -303,19 +291,119 @@ def linked(
     return [sig[i] for i in root[child]], [sig[i] for i in child]
 
 
-def _product(groups: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Members of groups ``a[i]`` with members of ``b[i]``, a bounded number of pairs at a time."""
-    single = np.array([len(g) == 1 for g in groups])
-    one = single[a] & single[b]
-    head = np.array([g[0] for g in groups])
-    yield head[a[one]], head[b[one]]
-    for i, j in zip(a[~one], b[~one], strict=True):
-        for x in groups[i]:
-            yield np.full(len(groups[j]), x), groups[j]
+class _Clusters:
+    """The rows of each band value in clusters around leaders, to which they are linked.
+
+    Two clusters of which the leaders are linked need no further look. Members of others are compared only if the
+    radii allow a link (triangle inequality) and other links do not connect them. So the components are those of
+    comparing all rows.
+    """
+
+    def __init__(self, wide: np.ndarray, first: np.ndarray, ends: np.ndarray, differing: int):
+        n = len(wide)
+        self.wide, self.differing = wide, differing
+        self.rows, head, radius = np.arange(n), np.zeros(n, bool), np.zeros(n, np.int64)
+        head[first] = True
+        for k in np.flatnonzero(ends - first > 1):
+            left, at = np.arange(first[k], ends[k]), first[k]
+            while len(left):
+                bits = _differ(wide, left[:1], left)
+                near = bits <= differing
+                size = int(near.sum())
+                head[at], radius[at] = True, bits[near].max()
+                self.rows[at : at + size] = left[near]
+                left, at = left[~near], at + size
+        self.begin = np.flatnonzero(head)
+        self.end = np.append(self.begin[1:], n)
+        self.leader, self.radius = self.rows[self.begin], radius[self.begin]
+        # Clusters of each value.
+        self.low, self.high = np.searchsorted(self.begin, first), np.searchsorted(self.begin, ends)
+        self.found = [(np.repeat(self.leader, self.end - self.begin), self.rows)]
+        self.open: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def links(self, close: Iterator[tuple[np.ndarray, np.ndarray]], inside: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows that connect what is linked within the values (if ``inside``) and between ``close`` ones."""
+        if inside:
+            several = np.flatnonzero(self.high - self.low > 1)
+            self._meet(several, several)
+        for a, b in close:
+            self._meet(a, b)
+        self._settle()
+        return self.found
+
+    def _meet(self, a: np.ndarray, b: np.ndarray) -> None:
+        for i, x in _spread(self.low[a], self.high[a]):
+            for j, y in _spread(self.low[b][i], self.high[b][i]):
+                left = x[j]
+                rising = left < y  # of one value with itself each pair once
+                left, right = left[rising], y[rising]
+                bits = _differ(self.wide, self.leader[left], self.leader[right])
+                near = bits <= self.differing
+                self.found.append((self.leader[left[near]], self.leader[right[near]]))
+                maybe = ~near & (bits <= self.differing + self.radius[left] + self.radius[right])
+                self.open.append((bits[maybe], left[maybe], right[maybe]))
+                if sum(len(x) for x, _, _ in self.open) + sum(len(x) for x, _ in self.found[1:]) > CHUNK:
+                    self._settle()
+
+    def _settle(self) -> None:
+        """Joins the links found so far and looks at the members of the open pairs of clusters."""
+        n = len(self.rows)
+        root = _forest(n, *(np.concatenate([pair[k] for pair in self.found]) for k in (0, 1)))
+        self.found = [(root, np.arange(n))]
+        if not self.open:
+            return
+        bits, x, y = (np.concatenate([each[k] for each in self.open]) for k in range(3))
+        self.open = []
+        name = root[self.leader]
+        apart = np.flatnonzero(name[x] != name[y])
+        above: dict[int, int] = {}
+
+        def find(i: int) -> int:
+            while i in above:
+                above[i] = i = above.get(above[i], above[i])
+            return i
+
+        added = []
+        for k in apart[np.argsort(bits[apart], kind="stable")]:
+            c, d = int(x[k]), int(y[k])
+            u, v = find(int(name[c])), find(int(name[d]))
+            if u != v and (pair := self._linked(c, d)):
+                above[u] = v
+                added.append(pair)
+        if added:
+            self.found.append(tuple(np.array(added).T))
+
+    def _linked(self, c: int, d: int) -> tuple[int, int] | None:
+        """Two linked members of two clusters."""
+        left, right = (self.rows[self.begin[k] : self.end[k]] for k in (c, d))
+        left = left[_differ(self.wide, left, self.leader[d : d + 1]) <= self.differing + self.radius[d]]
+        right = right[_differ(self.wide, self.leader[c : c + 1], right) <= self.differing + self.radius[c]]
+        if not len(left):
+            return None
+        step = max(1, CHUNK // len(left))
+        for at in range(0, len(right), step):
+            part = right[at : at + step]
+            x, y = np.repeat(left, len(part)), np.tile(part, len(left))
+            near = np.flatnonzero(_differ(self.wide, x, y) <= self.differing)
+            if len(near):
+                return int(x[near[0]]), int(y[near[0]])
+        return None
+
+
+def _spread(low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, k) for all k from ``low[i]`` to below ``high[i]``, about ``CHUNK`` at a time."""
+    ends = np.cumsum(high - low)
+    at = 0
+    while at < len(low):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, "right")))
+        n = (high - low)[at:upto]
+        which = np.repeat(np.arange(len(n)), n)
+        yield at + which, low[at:upto][which] + np.arange(len(which)) - (np.cumsum(n) - n)[which]
+        at = upto
 
 
 def _differ(wide: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(x), np.int64)
+    out = np.zeros(max(len(x), len(y)), np.int64)
     for column in range(wide.shape[1]):
         out += np.bitwise_count(wide[x, column] ^ wide[y, column])
     return out

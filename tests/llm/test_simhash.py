@@ -172,6 +172,32 @@ def test_all_parts_of_a_crowded_value_meet(spark):
     assert found_components(spark, rows, 2, 10, 8) == wanted
 
 
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("apart", [None, 1])
+def test_members_that_lead_nothing_are_compared(seed, apart, monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", (16, 1 << 20)[seed % 2])
+    rng = random.Random(seed)
+    values = [5, 5 | 1 << 31, 5 | 1 << 9, 5 | 1 << 31 | 1 << 9, 77]
+    rows = []
+    for _ in range(12):  # chains whose steps are links and whose ends are far apart
+        at = rng.randbytes(80)
+        for _ in range(12):
+            rows.append((0, rng.choice(values), at))
+            at = flipped(at, *rng.sample(range(640), 9))
+    rng.shuffle(rows)
+    value = np.array([v << 32 for _, v, _ in rows], np.uint64)
+    u, v = simhash.linked(value, [s for _, _, s in rows], 2, 10, apart)
+    if apart is not None:  # what is linked within the nodes comes from each of them
+        for top in (0, 1):
+            own = [i for i, r in enumerate(rows) if r[1] >> 31 == top]
+            x, y = simhash.linked(value[own], [rows[i][2] for i in own], 2, 10)
+            u, v = u + x, v + y
+    ordered = sorted(s for _, _, s in rows)
+    place = {s: i for i, s in enumerate(ordered)}
+    root = simhash._forest(len(rows), *(np.array([place[s] for s in e], int) for e in (u, v)))
+    assert {s: ordered[r] for s, r in zip(ordered, root, strict=True)} == similar_components(rows, 2, 10)
+
+
 def test_fingerprint_of_long_texts_counts_every_shingle():
     text = " ".join(str(i % 977) for i in range(9000))
     assert int(simhash.fingerprint(simhash.shingle_hashes(text.encode(), 3))[0]) == plain_fingerprint(text)
