@@ -72,9 +72,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, blocks: int = 1, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """``(doc_id, signature)``: one row per row of ``docs``; the signature has ``blocks`` big-endian 64-bit words.
+    """``(doc_id, signature, mark)``: one row per row of ``docs``; the signature has ``blocks`` big-endian 64-bit words.
 
-    A null, empty or blank text has no shingle and gets a signature of zeros. Texts are taken as bytes and whole.
+    A null, empty or blank text has no shingle and gets a signature of zeros. Texts are taken as bytes and whole;
+    ``mark`` is a hash of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,10 +83,11 @@ def fingerprints(docs: DataFrame, words: int = 3, blocks: int = 1, text: str = "
             signatures = [
                 fingerprint(shingle_hashes(x, words), blocks).astype(">u8").tobytes() for x in batch[1].to_pylist()
             ]
-            yield pa.record_batch([batch[0].cast(pa.int64()), pa.array(signatures, pa.binary())], ["doc_id", "signature"])
+            columns = [batch[0].cast(pa.int64()), pa.array(signatures, pa.binary()), batch[2]]
+            yield pa.record_batch(columns, ["doc_id", "signature", "mark"])
 
     columns = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return map_batches(columns, run, "doc_id long, signature binary")
+    return map_batches(columns.withColumn("mark", F.xxhash64("text")), run, "doc_id long, signature binary, mark long")
 
 
 def near_duplicates(
@@ -102,7 +104,8 @@ def near_duplicates(
 
     The signature is divided into ``bands`` of ``band_bits`` (32 or 64). Two signatures are compared when one of
     their bands differs in at most ``budget`` bits; they are linked at once, or, if ``similarity`` is given, when the
-    whole signatures agree as expected of two shingle sets with that Jaccard similarity. ``component_id`` is the
+    whole signatures agree as expected of two shingle sets with that Jaccard similarity, or nearly so and the shingle
+    sets have it. ``component_id`` is the
     smallest ``doc_id`` reachable over links, itself included. A null ``doc_id`` takes part and never names a
     component (null if no member has an id). Documents without words all have the zero signature and are linked like
     any others. Repeated rows stay. Equal signatures are one node of the join, so copies cost nothing there.
@@ -112,10 +115,23 @@ def near_duplicates(
     blocks = bands * band_bits // 64
     marked = staged(fingerprints(docs, words, blocks, text, id), "signatures")
     nodes = staged(marked.groupBy("signature").agg(F.min("doc_id").alias("least")), "nodes")
-    differing = None if similarity is None else most_differing_bits(similarity, 64 * blocks)
-    leaf = LEAF if differing is None else BAND_LEAF
-    links = staged(trie_join(banded(nodes, bands, band_bits), band_bits, budget, differing, leaf), "links")
-    members = staged(connected_components(links.select("u", "v")), "members")
+    values = banded(nodes, bands, band_bits)
+    if similarity is None:
+        links = staged(trie_join(values, band_bits, budget), "links")
+        members = staged(connected_components(links.select("u", "v")), "members")
+    else:
+        differing, doubtful = (f(similarity, 64 * blocks) for f in (most_differing_bits, doubtful_bits))
+        links = staged(trie_join(values, band_bits, budget, differing, BAND_LEAF, doubtful), "links")
+        members = staged(connected_components(links.where("NOT asked").select("u", "v")), "members")
+        asked = links.where("asked").select("u", "v").distinct()
+        for end in ("u", "v"):
+            named = members.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+            asked = asked.join(named, end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
+        asked = staged(asked.where("u_root <> v_root").select("u", "v"), "asked")
+        if not asked.isEmpty():
+            more = _confirmed(asked, marked, docs.select(F.col(text).cast("binary").alias("text")), words, similarity)
+            stars = members.select(F.col("node").alias("u"), F.col("root").alias("v"))
+            members = staged(connected_components(stars.unionByName(more)), "members")
     grouped = nodes.join(members, F.col("signature") == F.col("node"), "left").withColumn(
         "root", F.coalesce("root", "signature")
     )
@@ -125,6 +141,27 @@ def near_duplicates(
     return marked.join(labels, "signature").select("doc_id", "signature", "component_id")
 
 
+def _confirmed(asked: DataFrame, marked: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs ``(u, v)`` of signatures that have texts whose shingle sets have the similarity."""
+    ends = asked.select(F.explode(F.array("u", "v")).alias("signature")).distinct()
+    marks = staged(marked.join(ends, "signature").select("signature", "mark").distinct(), "marks")
+    needed = texts.withColumn("mark", F.xxhash64("text")).join(marks.select("mark").distinct(), "mark")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(x, words)).view(np.int64) for x in batch[1].to_pylist()]
+            yield pa.record_batch([batch[0], pa.array(sets, pa.list_(pa.int64()))], ["mark", "shingles"])
+
+    one = needed.groupBy("mark").agg(F.first("text").alias("text"))
+    sets = staged(map_batches(one, run, "mark long, shingles array<long>"), "shingles")
+    pairs = asked
+    for end in ("u", "v"):
+        own = marks.join(sets, "mark").select(F.col("signature").alias(end), F.col("shingles").alias(f"{end}_set"))
+        pairs = pairs.join(own, end)
+    shared, both = F.size(F.array_intersect("u_set", "v_set")), F.size("u_set") + F.size("v_set")
+    return staged(pairs.where(shared >= similarity * (both - shared)).select("u", "v").distinct(), "confirmed")
+
+
 def one_of_each(docs: DataFrame, text: str = "text", id: str = "doc_id", **how) -> DataFrame:
     """``docs`` without the rows whose component has a smaller id; ``how`` as for :func:`near_duplicates`.
 
@@ -147,6 +184,12 @@ def most_differing_bits(similarity: float, bits: int) -> int:
     return int(np.arccos(cosine) / np.pi * bits)
 
 
+def doubtful_bits(similarity: float, bits: int) -> int:
+    """The same, and three standard deviations more: up to there the shingle sets themselves decide."""
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(share * bits + 3 * np.sqrt(bits * share * (1 - share)))
+
+
 def banded(nodes: DataFrame, bands: int, band_bits: int) -> DataFrame:
     """``(band, value, signature)``: the bands of each distinct signature as left-aligned 64-bit words."""
     width = band_bits // 4
@@ -161,8 +204,18 @@ def banded(nodes: DataFrame, bands: int, band_bits: int) -> DataFrame:
     return nodes.select(F.inline(words), "signature")
 
 
-def trie_join(values: DataFrame, bits: int, budget: int, differing: int | None = None, leaf: int = LEAF) -> DataFrame:
-    """``(u, v)`` signatures of ``(band, value, signature)`` that are linked, as spanning trees of each task.
+def trie_join(
+    values: DataFrame,
+    bits: int,
+    budget: int,
+    differing: int | None = None,
+    leaf: int = LEAF,
+    doubtful: int | None = None,
+) -> DataFrame:
+    """``(u, v, asked)`` signatures of ``(band, value, signature)`` that are linked, as spanning trees of each task.
+
+    With ``doubtful`` there are also all pairs that the links of a task do not connect and that differ in at most so
+    many bits; for these ``asked`` is true.
 
     Pairs of trie nodes start at the root of each band. A pair whose nodes are small is finished in one task; a pair
     with a node of over ``leaf`` rows is replaced by the pairs of its children ``STEP`` bits further down, and those
@@ -247,15 +300,16 @@ def trie_join(values: DataFrame, bits: int, budget: int, differing: int | None =
 
     def finish(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         value = group["value"].to_numpy(np.int64).view(np.uint64)
-        u, v = linked(value, list(group["signature"]), budget, differing, None if key[2] == key[3] else int(key[1]))
-        return pd.DataFrame({"u": u, "v": v})
+        apart = None if key[2] == key[3] else int(key[1])
+        u, v, asked = linked_or_asked(value, list(group["signature"]), budget, differing, apart, doubtful)
+        return pd.DataFrame({"u": u, "v": v, "asked": asked})
 
     if not dealt:
-        return values.select(F.col("signature").alias("u"), F.col("signature").alias("v")).limit(0)
+        return values.select(F.col("signature").alias("u"), F.col("signature").alias("v"), F.lit(False).alias("asked")).limit(0)
     rows = dealt[0].select(*columns)
     for more in dealt[1:]:
         rows = rows.unionByName(more.select(*columns))
-    found = rows.groupBy("band", "depth", "a", "b", "part").applyInPandas(finish, "u binary, v binary")
+    found = rows.groupBy("band", "depth", "a", "b", "part").applyInPandas(finish, "u binary, v binary, asked boolean")
     return found.where("u <> v")
 
 
@@ -266,6 +320,18 @@ def linked(
 
     ``apart`` is the depth at which two nodes meet; only links between them are then looked for.
     """
+    return linked_or_asked(value, signature, budget, differing, apart)[:2]
+
+
+def linked_or_asked(
+    value: np.ndarray,
+    signature: list[bytes],
+    budget: int,
+    differing: int | None,
+    apart: int | None = None,
+    doubtful: int | None = None,
+) -> tuple[list[bytes], list[bytes], np.ndarray]:
+    """The same, followed by the pairs of other trees that differ in at most ``doubtful`` bits; the flags tell which."""
     wide = None
     if differing is None:
         order = np.argsort(value, kind="stable")
@@ -277,18 +343,23 @@ def linked(
     distinct, first = np.unique(value, return_index=True)
     ends = np.append(first[1:], len(value))
     found: list[tuple[np.ndarray, np.ndarray]] = []
+    x = y = np.empty(0, np.int64)
     if wide is not None:
-        found = _Clusters(wide, first, ends, differing).links(_close(distinct, budget, apart), apart is None)
+        clusters = _Clusters(wide, first, ends, differing, doubtful)
+        found = clusters.links(_close(distinct, budget, apart), apart is None)
+        if doubtful is not None:
+            x, y = clusters.asked()
     else:
         for k in np.flatnonzero(ends - first > 1) if apart is None else ():
             members = np.arange(first[k], ends[k])
             found.append((np.full(len(members) - 1, first[k]), members[1:]))
         found += [(first[a], first[b]) for a, b in _close(distinct, budget, apart)]
     if not found:
-        return [], []
-    root = _forest(len(value), np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
+        return [], [], np.empty(0, bool)
+    root = _forest(len(value), *(np.concatenate([pair[k] for pair in found]) for k in (0, 1)))
     child = np.flatnonzero(root != np.arange(len(value)))
-    return [sig[i] for i in root[child]], [sig[i] for i in child]
+    flags = np.repeat([False, True], [len(child), len(x)])
+    return [sig[i] for i in np.append(root[child], x)], [sig[i] for i in np.append(child, y)], flags
 
 
 class _Clusters:
@@ -299,9 +370,9 @@ class _Clusters:
     comparing all rows.
     """
 
-    def __init__(self, wide: np.ndarray, first: np.ndarray, ends: np.ndarray, differing: int):
+    def __init__(self, wide: np.ndarray, first: np.ndarray, ends: np.ndarray, differing: int, doubtful: int | None):
         n = len(wide)
-        self.wide, self.differing = wide, differing
+        self.wide, self.differing, self.doubtful = wide, differing, doubtful
         self.rows, head, radius = np.arange(n), np.zeros(n, bool), np.zeros(n, np.int64)
         head[first] = True
         for k in np.flatnonzero(ends - first > 1):
@@ -320,6 +391,7 @@ class _Clusters:
         self.low, self.high = np.searchsorted(self.begin, first), np.searchsorted(self.begin, ends)
         self.found = [(np.repeat(self.leader, self.end - self.begin), self.rows)]
         self.open: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.doubts: list[tuple[np.ndarray, np.ndarray]] = []
 
     def links(self, close: Iterator[tuple[np.ndarray, np.ndarray]], inside: bool) -> list[tuple[np.ndarray, np.ndarray]]:
         """Pairs of rows that connect what is linked within the values (if ``inside``) and between ``close`` ones."""
@@ -342,7 +414,10 @@ class _Clusters:
                 self.found.append((self.leader[left[near]], self.leader[right[near]]))
                 maybe = ~near & (bits <= self.differing + self.radius[left] + self.radius[right])
                 self.open.append((bits[maybe], left[maybe], right[maybe]))
-                if sum(len(x) for x, _, _ in self.open) + sum(len(x) for x, _ in self.found[1:]) > CHUNK:
+                if self.doubtful is not None:
+                    maybe = ~near & (bits <= self.doubtful + self.radius[left] + self.radius[right])
+                    self.doubts.append((left[maybe], right[maybe]))
+                if sum(len(pair[0]) for pair in self.open + self.found[1:] + self.doubts[1:]) > CHUNK:
                     self._settle()
 
     def _settle(self) -> None:
@@ -372,6 +447,25 @@ class _Clusters:
                 added.append(pair)
         if added:
             self.found.append(tuple(np.array(added).T))
+        if self.doubts:
+            x, y = (np.concatenate([pair[k] for pair in self.doubts]) for k in (0, 1))
+            still = name[x] != name[y]
+            self.doubts = [(x[still], y[still])]
+
+    def asked(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of rows that no link connects and that differ in at most ``doubtful`` bits."""
+        self._settle()
+        root = _forest(len(self.rows), *(np.concatenate([pair[k] for pair in self.found]) for k in (0, 1)))
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        for c, d in self.doubts:
+            still = root[self.leader[c]] != root[self.leader[d]]
+            c, d = c[still], d[still]
+            for i, x in _spread(self.begin[c], self.end[c]):
+                for j, y in _spread(self.begin[d][i], self.end[d][i]):
+                    left, right = self.rows[x[j]], self.rows[y]
+                    near = _differ(self.wide, left, right) <= self.doubtful
+                    out.append((left[near], right[near]))
+        return tuple(np.concatenate([pair[k] for pair in out]) for k in (0, 1))
 
     def _linked(self, c: int, d: int) -> tuple[int, int] | None:
         """Two linked members of two clusters."""

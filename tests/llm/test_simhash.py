@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from termloom.llm import simhash
 
 SCHEMA = "doc_id long, text string"
@@ -198,6 +199,30 @@ def test_members_that_lead_nothing_are_compared(seed, apart, monkeypatch):
     assert {s: ordered[r] for s, r in zip(ordered, root, strict=True)} == similar_components(rows, 2, 10)
 
 
+def test_pairs_beyond_the_expected_bits_are_decided_by_their_shingles(spark):
+    rng = random.Random(17)
+    texts, kinds = [], {True: [], False: []}
+    while min(map(len, kinds.values())) < 10:
+        base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        near, changes = list(base), rng.choice([6, 9])
+        for i in range(changes):  # each touches 5 of 296 shingles
+            near[10 + 300 // changes * i] = "new"
+        pair = [" ".join(base), " ".join(near)]
+        hashes = [simhash.shingle_hashes(t.encode(), 5) for t in pair]
+        a, b = (set(h.tolist()) for h in hashes)
+        x, y = (simhash.fingerprint(h, 10) for h in hashes)
+        bits, bands = np.bitwise_count(x ^ y).sum(), np.bitwise_count((x ^ y).view(np.uint32))
+        similar = len(a & b) >= 0.8 * len(a | b)
+        if 96 < bits <= 124 and bands.min() <= 3 and len(kinds[similar]) < 10:
+            kinds[similar].append(len(texts))
+            texts += pair
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    out = simhash.near_duplicates(docs, **corpus_pipeline.NEAR).collect()
+    component = {r.doc_id: r.component_id for r in out}
+    assert [component[i + 1] for i in kinds[True]] == kinds[True]
+    assert [component[i + 1] for i in kinds[False]] == [i + 1 for i in kinds[False]]
+
+
 def test_fingerprint_of_long_texts_counts_every_shingle():
     text = " ".join(str(i % 977) for i in range(9000))
     assert int(simhash.fingerprint(simhash.shingle_hashes(text.encode(), 3))[0]) == plain_fingerprint(text)
