@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from termloom.llm import language, link_graph, mixing, piece_codec, quality, repeats, secret_scan, simhash, topk, warc
+from termloom.llm import centroids, dual_tree, language, link_graph, minhash, mixing, piece_codec, quality, repeats
+from termloom.llm import secret_scan, simhash, topk, warc
 from termloom.llm.tables import table, word_count
 from termloom.session import scratch_path
 
@@ -93,13 +94,45 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=85)
+    return found.select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = centroids.whole_vectors(table(spark, sf_dir, "embeddings"), dimensions=64, scale=64)
+    found = centroids.cluster(whole, k=16, rounds=3)
+    sums = found.rows.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
+    texts = [(i, ",".join(map(str, center.tolist()))) for i, center in enumerate(found.centroids)]
+    named = spark.createDataFrame(texts, "cluster int, centroid string")
+    per = sums.join(named, "cluster").select("cluster", "cluster_inertia", F.sha2("centroid", 256).alias("centroid_sha256"))
+    total = sums.agg(F.sum("cluster_inertia").alias("inertia"))
+    # One row for each centroid, and one row.
+    rows = found.rows.join(F.broadcast(per), "cluster").withColumn("inertia", total.scalar())
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_pieces, op3_secrets, op4_quality, op5_urls, op6_topk, op7_warc, op8_mixing, op9_language, op10_repeats)}
+    registered = (
+        op1_simhash, op2_pieces, op3_secrets, op4_quality, op5_urls, op6_topk, op7_warc, op8_mixing, op9_language,
+        op10_repeats, op11_minhash, op12_centroids, op13_ranked,
+    )
+    return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secrets": _secrets_sql(), "op4_quality": _quality_sql(), "op6_topk": _TOP_K, "op7_warc": _WARC, "op8_mixing": _MIXING,
-        "op10_repeats": _REPEATS}
+    return {
+        "op3_secrets": _secrets_sql(), "op4_quality": _quality_sql(), "op6_topk": _TOP_K, "op7_warc": _WARC,
+        "op8_mixing": _MIXING, "op10_repeats": _REPEATS, "op11_minhash": _MINHASH, "op12_centroids": _centroids_sql(),
+        "op13_ranked": _RANKED,
+    }
 
 
 def _secrets_sql() -> str:
@@ -286,3 +319,87 @@ SELECT doc_id, size, source_size, target, CAST(first + second AS BIGINT) AS take
              ELSE 1.5 - sqrt(2.25 - 2.0 * share) END, 6) AS position
 FROM shares
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_MINHASH = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents),
+nodes AS MATERIALIZED (
+  SELECT row_number() OVER () AS node, words, min(doc_id) AS least,
+         CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+  FROM texts GROUP BY words),
+held AS MATERIALIZED (SELECT node, unnest(shingles) AS shingle FROM nodes),
+shared AS (
+  SELECT a.node AS u, b.node AS v, count(*) AS n FROM held a JOIN held b ON a.shingle = b.shingle AND a.node < b.node GROUP BY a.node, b.node),
+links AS MATERIALIZED (
+  SELECT u, v FROM shared JOIN nodes a ON a.node = u JOIN nodes b ON b.node = v
+  WHERE 100 * n >= 85 * (len(a.shingles) + len(b.shingles) - n)),
+sides AS MATERIALIZED (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reached AS (
+  SELECT node AS u, node AS v FROM nodes
+  UNION SELECT reached.u, sides.v FROM reached JOIN sides ON sides.u = reached.v),
+named AS (SELECT reached.u AS node, min(least) AS component_id FROM reached JOIN nodes ON nodes.node = reached.v GROUP BY reached.u)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles,
+       CASE WHEN len(shingles) = 0 THEN doc_id ELSE component_id END AS component_id,
+       doc_id IS NOT DISTINCT FROM CASE WHEN len(shingles) = 0 THEN doc_id ELSE component_id END AS kept
+FROM texts JOIN nodes USING (words) JOIN named USING (node)
+"""
+
+
+def _centroids_sql(k: int = 16, rounds: int = 3) -> str:
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT key, vec_id, v, c, d FROM (
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY d, c) AS place FROM (
+      SELECT key, vec_id, kept.v, c, CAST(list_sum(list_transform(kept.v, lambda x, i: (x - m.v[i]) * (x - m.v[i]))) AS BIGINT) AS d
+      FROM kept CROSS JOIN c{i} m))
+  WHERE place = 1)""")
+        if i < rounds:
+            steps.append(f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT c, CASE WHEN moved IS NULL THEN v ELSE moved END AS v FROM c{i} LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY place) AS moved FROM (
+      SELECT c, place, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+      FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{i}) GROUP BY c, place)
+    GROUP BY c) USING (c))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS key, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY place NULLS LAST, v) - 1 AS INTEGER) AS c, v
+  FROM (SELECT sha256('1:' || vec_id) AS place, v FROM kept ORDER BY place NULLS LAST, v LIMIT {k})),{",".join(steps)}
+SELECT vec_id, c AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} m USING (c)
+"""
+
+
+_RANKED = f"""
+WITH pattern AS (SELECT '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+' AS p),
+texts AS (
+  SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all({_LOWER}, p) AS terms FROM documents, pattern),
+asked AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all({_LOWER}, p) AS terms FROM benchmark, pattern),
+wanted AS (SELECT item, term, count(*) AS times FROM (SELECT item, unnest(terms) AS term FROM asked) GROUP BY item, term),
+found AS (
+  SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM texts)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY doc, term),
+counted AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM texts WHERE len(terms) > 0),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM found GROUP BY term), counted),
+impacts AS (
+  SELECT doc, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(terms) * n_docs) // total)) AS impact
+  FROM found JOIN texts USING (doc), counted),
+scored AS (
+  SELECT item, doc, CAST(sum(times * w * impact) AS BIGINT) AS score
+  FROM wanted JOIN weighed USING (term) JOIN impacts USING (term) GROUP BY item, doc),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored JOIN texts USING (doc) JOIN asked USING (item) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""

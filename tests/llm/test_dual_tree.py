@@ -1,0 +1,109 @@
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from termloom.llm import dual_tree
+
+DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def plain(docs, items, k=20):
+    counted = [(doc, Counter(TERM.findall(lowered(text)))) for doc, text in docs]
+    counted = [(doc, c) for doc, c in counted if c]
+    n_docs, total = len(counted), sum(sum(c.values()) for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    out = []
+    for item, text in items:
+        terms = Counter(TERM.findall(lowered(text)))
+        weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) for t in terms}
+        scored = []
+        for doc, c in counted:
+            m = 75 + (25 * sum(c.values()) * n_docs) // total
+            score = sum(times * weight[t] * ((10**9 * c[t]) // (1000 * c[t] + 12 * m)) for t, times in terms.items() if c[t])
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0, doc))
+        scored.sort(key=lambda s: s[:3])
+        out += [(item, rank, doc, -minus) for rank, (minus, _, _, doc) in enumerate(scored[:k], 1)]
+    return out
+
+
+def found(spark, docs, items, k=20):
+    frames = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    return [tuple(r) for r in dual_tree.search(*frames, k=k).collect()]
+
+
+def corpus(rng, n, words=200, length=60):
+    names = [f"W{i}é" if i % 7 == 0 else f"w{i}" for i in range(words)]
+    weights = [1 / (i + 1) for i in range(words)]
+    return [(i, " ".join(rng.choices(names, weights, k=rng.randrange(length)))) for i in range(n)]
+
+
+def same(got, want):
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("k", [1, 5, 20, 1000])
+def test_equals_scoring_all(spark, k):
+    rng = random.Random(k)
+    docs, items = corpus(rng, 400), corpus(rng, 30, length=12)
+    same(found(spark, docs, items, k), plain(docs, items, k))
+
+
+def test_small_blocks_of_items_and_documents(spark, monkeypatch):
+    monkeypatch.setattr(dual_tree, "ITEM_BYTES", 300)
+    monkeypatch.setattr(dual_tree, "DENSE_BYTES", 1)
+    rng = random.Random(3)
+    docs, items = corpus(rng, 150), corpus(rng, 20, length=12)
+    same(found(spark, docs, items, 3), plain(docs, items, 3))
+
+
+def test_odd_rows(spark):
+    docs = [
+        (1, None), (2, ""), (3, "a-b_c{d}\x7fe"), (4, "ÀB àb İ"), (5, "tie x"), (3, "tie x"), (None, "tie x"), (7, "tie x"),
+        (8, "long " * 40_000 + "tie"), (9, "1st 2nd"), (9, "1st 2nd"), (10, "\x85 \xa0"),
+    ]
+    items = [(1, None), (2, "... "), (3, "TIE"), (3, "tie"), (4, "tie tie x"), (None, "àb Àb"), (5, "e 1ST"), (6, "zzz"), (7, "\x85")]
+    same(found(spark, docs, items), plain(docs, items))
+    same(found(spark, docs, items, 2), plain(docs, items, 2))
+
+
+def test_empty_tables(spark):
+    assert found(spark, [], [(1, "a")]) == []
+    assert found(spark, [(1, "a")], []) == []
+
+
+def test_other_columns_do_not_matter(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c")], DOCS)
+    items = spark.createDataFrame([(1, "a")], ITEMS)
+    extra = {c: F.lit("x") for c in ("n", "terms", "score", "rank", "block", "item")}
+    rows = dual_tree.search(docs.withColumns(extra), items.withColumns(extra)).collect()
+    assert [(r.item_id, r.rank, r.doc_id) for r in rows] == [(1, 1, 1)]
+
+
+def test_whole_batches_are_left():
+    """Documents of other topics are never scored."""
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    topics, per = 20, 200
+    row = np.repeat(np.arange(topics * per), 6)
+    term = (row // per) * 10 + rng.integers(0, 10, len(row))
+    row, term = np.unique(np.stack([row, term]), axis=1)
+    docs = dual_tree.Documents(np.arange(topics * per), row, term, rng.integers(1, 1000, len(row)), topics * 10)
+    queries = [(np.arange(t * 10, t * 10 + 10), np.full(10, 5)) for t in range(topics)]
+    tree = dual_tree.ItemTree(queries, topics * 10, 5)
+    tree.meet(docs)
+    assert tree.scored < topics * topics * per / 4
+    dense = docs.dense
+    for t, (terms, weights) in enumerate(queries):
+        scores = (dense[:, terms] * weights).sum(axis=1)
+        assert tree.scores[t].tolist() == np.sort(scores)[::-1][:5].astype(int).tolist()

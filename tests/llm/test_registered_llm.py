@@ -6,7 +6,7 @@ import pytest
 from termloom.llm import registered
 
 SMALL = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "embeddings")
+TABLES = ("documents", "pages", "embeddings", "benchmark")
 SQL = registered.oracle_sql()
 
 
