@@ -15,20 +15,25 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.components import connected_components
-from termloom.llm.simhash import shingle_hashes
 from termloom.llm.tables import limit_batches, map_batches, staged
 
 # Hashes that a sketch retains.
 RETAINED = 128
 # A pair of the wanted similarity fails the estimate, or shares none of its listed values, with at most this probability.
 MISSED = 1e-8
-# Members of a list up to which its pairs are written by a join; longer lists are compared in blocks of so many members.
+# Members of a list up to which its pairs are written by a join. Longer lists are compared in blocks of about so many
+# members, and about so many shingles.
 SHORT = 32
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 20
+# Words of which a task remembers the hashes.
+REMEMBERED = 1 << 19
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 @functools.lru_cache
@@ -55,16 +60,12 @@ def sketches(docs: DataFrame, words: int = 5, k: int = RETAINED, text: str = "te
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
-            sizes, marks, kept = [], [], []
-            for x in batch[1]:
-                hashes = shingle_set(x.as_py(), words)
-                sizes.append(len(hashes))
-                marks.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
-                kept.append(hashes[:k])
-            columns = [
-                batch[0], pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), pa.array(kept, pa.list_(pa.int64())), batch[2]
-            ]
+            sets = [shingle_set(x.as_py(), words, hashes) for x in batch[1]]
+            marks = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]
+            sizes = pa.array([len(x) for x in sets], pa.int64())
+            columns = [batch[0], sizes, pa.array(marks, pa.binary()), _listed([x[:k] for x in sets]), batch[2]]
             yield pa.record_batch(columns, ["doc_id", "n", "mark", "sketch", "text_mark"])
 
     plain = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
@@ -72,9 +73,41 @@ def sketches(docs: DataFrame, words: int = 5, k: int = RETAINED, text: str = "te
     return map_batches(plain.withColumn("text_mark", F.xxhash64("text")), run, schema)
 
 
-def shingle_set(text: bytes | None, words: int) -> np.ndarray:
-    """The distinct shingle hashes of a text, ascending as signed numbers; one for a text of fewer words, none without."""
-    return np.unique(shingle_hashes(text, words).view(np.int64))
+class WordHashes(dict):
+    """Hashes of words, kept up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = xxhash.xxh64_intdigest(word)
+        return found
+
+
+def shingle_set(text: bytes | None, words: int, hashes: WordHashes) -> np.ndarray:
+    """Hashes of the distinct shingles of a text, ascending as signed numbers.
+
+    A-Z are lower-cased. A text of fewer words has one shingle, a text without a word none.
+    """
+    tokens = (text or b"").lower().split()
+    if not tokens:
+        return np.empty(0, np.int64)
+    each = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
+    width = min(words, len(tokens))
+    last = len(tokens) - width + 1
+    mixed = each[:last]
+    for i in range(1, width):
+        mixed = _mixed(mixed * _ODD + each[i : i + last])
+    return np.unique(_mixed(mixed + _ODD).view(np.int64))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
+
+
+def _listed(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0, np.int64), *arrays]))
 
 
 def near_duplicates(
@@ -91,8 +124,10 @@ def near_duplicates(
     has no link. The others are posted in the lists of their smallest values. First each meets the best
     member of each of its lists; then, in lists that are still in several components, members of different components
     meet: by a join in short lists, and in long ones in tasks of two blocks, all that are not in the list's largest
-    component against all. Pairs whose union sketch passes are confirmed on the full sets. A pair of exactly the wanted
-    similarity is missed with a probability of about ``MISSED``, closer ones less often.
+    component against all, from which only a spanning forest of links comes back. Pairs whose union sketch passes are
+    confirmed on the full sets. A pair of exactly the wanted similarity is missed with a probability of about ``MISSED``,
+    closer ones less often. Loose families, of which many members are neither linked nor ruled out by their own
+    values, cost a comparison in a task for each pair of such a member.
     """
     if not 0 < percent <= 100 or k < 1:
         raise ValueError("a percentage of 1 to 100 and a sketch of at least one value")
@@ -115,8 +150,7 @@ def near_duplicates(
     sets = staged(_sets(texts, possible, words), "sets")
     links = _confirmed(_estimated(first.distinct(), possible, k, percent), sets, percent)
     members = staged(connected_components(links), "members")
-    second = _across(lists, led, possible, members, k, percent)
-    more = _confirmed(second, sets, percent)
+    more = _across(lists, led, possible, sets, members, k, percent)
     if not more.isEmpty():
         stars = members.select(F.col("node").alias("u"), F.col("root").alias("v"))
         members = staged(connected_components(stars.unionByName(more)), "members")
@@ -143,33 +177,44 @@ def _with_partners(nodes: DataFrame, k: int, percent: int) -> DataFrame:
     return joined.where(enough)
 
 
-def _passes(k: int, percent: int) -> Column:
-    """Whether two sketches ``(u_n, u_sketch)`` and ``(v_n, v_sketch)`` may belong to linked sets."""
-    low, high = F.least("u_n", "v_n"), F.greatest("u_n", "v_n")
-    both = F.array_intersect("u_sketch", "v_sketch")
-    common = F.size(both)
-    union = F.slice(F.array_sort(F.array_union("u_sketch", "v_sketch")), 1, k)
-    exact = common * 100 >= percent * (low + high - common)
-    # The smallest k of the union end at its last value; shared ones up to there count.
-    upto = F.element_at(union, -1)
-    estimate = F.size(F.filter(both, lambda x: x <= upto)) >= least_shared(k, percent)
-    return (low * 100 >= percent * high) & F.when(high <= k, exact).otherwise((common >= least_shared(k, percent)) & estimate)
-
-
 def _estimated(pairs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs ``(u, v)`` of which the union sketch does not rule out a link."""
     for end in ("u", "v"):
         own = nodes.select(F.col("mark").alias(end), F.col("n").alias(f"{end}_n"), F.col("sketch").alias(f"{end}_sketch"))
         pairs = pairs.join(own, end)
-    return staged(pairs.where(_passes(k, percent)).select("u", "v"), "estimated")
+    low, high = F.least("u_n", "v_n"), F.greatest("u_n", "v_n")
+    alike = pairs.where(low * 100 >= percent * high).select("u", "v", "u_n", "v_n", "u_sketch", "v_sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = zip(batch["u_n"].to_pylist(), batch["v_n"].to_pylist(), strict=True)
+            pairs = zip(sizes, batch["u_sketch"], batch["v_sketch"], strict=True)
+            kept = [may_be_linked(*n, u.values.to_numpy(), v.values.to_numpy(), k, percent) for n, u, v in pairs]
+            yield batch.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
+
+    return staged(map_batches(alike, run, "u binary, v binary"), "estimated")
+
+
+def may_be_linked(u_n: int, v_n: int, u: np.ndarray, v: np.ndarray, k: int, percent: int) -> bool:
+    """Whether sets of these sizes with these sketches may have the similarity; exact if both are retained whole."""
+    common = np.intersect1d(u, v, assume_unique=True)
+    if max(u_n, v_n) <= k:
+        return 100 * len(common) >= percent * (u_n + v_n - len(common))
+    enough = least_shared(k, percent)
+    if len(common) < enough:
+        return False
+    last = np.union1d(u, v)[:k][-1]
+    return int(np.searchsorted(common, last, "right")) >= enough
 
 
 def _sets(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """``(mark, shingles)``: the full sets of the nodes that can have a link, each from one of its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
-            sets = [shingle_set(x.as_py(), words) for x in batch[1]]
-            yield pa.record_batch([batch[0], pa.array(sets, pa.list_(pa.int64()))], ["mark", "shingles"])
+            sets = [shingle_set(x.as_py(), words, hashes) for x in batch[1]]
+            yield pa.record_batch([batch[0], _listed(sets)], ["mark", "shingles"])
 
     needed = texts.withColumn("text_mark", F.xxhash64("text")).join(nodes.select("mark", "text_mark"), "text_mark")
     one = needed.groupBy("mark").agg(F.first("text").alias("text"))
@@ -184,8 +229,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return staged(pairs.where(shared * 100 >= percent * (both - shared)).select("u", "v"), "confirmed")
 
 
-def _across(lists: DataFrame, led: DataFrame, nodes: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs that pass the estimate, of members of one list that are not in one component."""
+def _across(
+    lists: DataFrame, led: DataFrame, nodes: DataFrame, sets: DataFrame, members: DataFrame, k: int, percent: int
+) -> DataFrame:
+    """Links ``(u, v)`` of members of one list that are not in one component: enough of them to connect what is linked."""
     roots = members.select(F.col("node").alias("mark"), "root")
     placed = lists.join(led.select("value", "members"), "value").join(roots, "mark", "left")
     placed = staged(placed.select("value", "members", "mark", F.coalesce("root", "mark").alias("root")), "placed")
@@ -197,66 +244,92 @@ def _across(lists: DataFrame, led: DataFrame, nodes: DataFrame, members: DataFra
     short = still.where(F.col("members") <= SHORT)
     ends = [short.select("value", F.col("mark").alias(x), F.col("root").alias(f"{x}_root")) for x in ("u", "v")]
     pairs = ends[0].join(ends[1], "value").where("u < v AND u_root <> v_root").select("u", "v").distinct()
-    found = _estimated(pairs, nodes, k, percent)
+    found = _confirmed(_estimated(pairs, nodes, k, percent), sets, percent)
 
-    long = staged(still.where(F.col("members") > SHORT).withColumn("asks", F.expr("root <> largest")), "long")
+    long = still.where(F.col("members") > SHORT).withColumn("asks", F.expr("root <> largest"))
+    long = staged(long.join(nodes.select("mark", "n"), "mark").select("value", "mark", "root", "asks", "n"), "long")
     if long.isEmpty():
         return found
     # Askers are divided into blocks, as are all members; each block of the one meets each of the other in one task.
+    asking = F.when(F.col("asks"), F.col("n"))
     sizes = long.groupBy("value").agg(
-        F.ceil(F.count("*") / BLOCK).alias("blocks"), F.ceil(F.count_if("asks") / BLOCK).alias("asking")
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"),
+        F.greatest(F.ceil(F.count(asking) / BLOCK), F.ceil(F.sum(asking) / BLOCK_SHINGLES)).alias("groups"),
     )
-    dealt = long.join(sizes, "value").join(nodes.select("mark", "n", "sketch"), "mark")
-    own = F.pmod(F.xxhash64("mark"), F.col("blocks"))
-    ask = F.pmod(F.xxhash64("mark"), F.col("asking"))
+    dealt = long.join(sizes, "value").join(sets, "mark")
     zero = F.lit(0).cast("long")
-    columns = ["value", "block", "group", "asking", "mark", "root", "asks", "n", "sketch"]
-    every = dealt.withColumn("block", own).withColumn("group", F.explode(F.sequence(zero, F.col("asking") - 1)))
+    columns = ["value", "block", "group", "asking", "mark", "root", "asks", "shingles"]
+    own, ask = (F.pmod(F.xxhash64("mark"), F.col(c)) for c in ("blocks", "groups"))
+    every = dealt.withColumn("block", own).withColumn("group", F.explode(F.sequence(zero, F.col("groups") - 1)))
     askers = dealt.where("asks").withColumn("group", ask).withColumn("block", F.explode(F.sequence(zero, F.col("blocks") - 1)))
     rows = every.withColumn("asking", F.lit(False)).select(columns).unionByName(
         askers.withColumn("asking", F.lit(True)).select(columns)
     )
+    first = listed_values(percent)
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        u, v = _meeting(group[group["asking"]], group[~group["asking"]], k, percent)
+        asking = group["asking"].to_numpy()
+        u, v = meeting(group["value"].iloc[0], group[asking], group[~asking], k, percent, first)
         return pd.DataFrame({"u": u, "v": v})
 
     across = rows.groupBy("value", "block", "group").applyInPandas(meet, "u binary, v binary")
     return staged(found.unionByName(across).distinct(), "across")
 
 
-def _meeting(askers: pd.DataFrame, others: pd.DataFrame, k: int, percent: int) -> tuple[list[bytes], list[bytes]]:
-    """Of each asker and each other member in another component, the pairs whose sketches pass."""
+def meeting(
+    value: int, askers: pd.DataFrame, others: pd.DataFrame, k: int, percent: int, listed: int
+) -> tuple[list[bytes], list[bytes]]:
+    """Links between askers and other members of the list of ``value`` that join different components.
+
+    A pair that shares a smaller one of their ``listed`` values meets in that list instead.
+    """
     out: tuple[list[bytes], list[bytes]] = ([], [])
     if not len(askers) or not len(others):
         return out
-    widths = np.array([len(x) for x in others["sketch"]])
-    universe, code = np.unique(np.concatenate(list(others["sketch"])), return_inverse=True)
-    starts = np.cumsum(widths) - widths
-    n, marks, asks = others["n"].to_numpy(), others["mark"].to_numpy(), others["asks"].to_numpy()
-    sketch = list(others["sketch"])
-    roots = {root: i for i, root in enumerate(dict.fromkeys([*others["root"], *askers["root"]]))}
-    root = np.array([roots[x] for x in others["root"]])
+    sets = list(others["shingles"])
+    n = np.array([len(x) for x in sets])
+    universe, code = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(n) - n
+    # Sketches as rows of ranks; what is missing has the rank beyond all.
+    ranks = np.full((len(sets), k), len(universe))
+    inside = np.arange(k) < n[:, None]
+    ranks[inside] = code[(starts[:, None] + np.arange(k))[inside]]
+    marks, asks = others["mark"].to_numpy(), others["asks"].to_numpy()
+    # Components by number; they grow together as links are found.
+    names = {root: i for i, root in enumerate(dict.fromkeys([*others["root"], *askers["root"]]))}
+    component = np.arange(len(names))
+    root = np.array([names[x] for x in others["root"]])
     enough = least_shared(k, percent)
-    for mine, size, own_root, values in zip(askers["mark"], askers["n"], askers["root"], askers["sketch"], strict=True):
+    for mine, own_root, values in zip(askers["mark"], askers["root"], askers["shingles"], strict=True):
+        size, own = len(values), names[own_root]
         low, high = np.minimum(n, size), np.maximum(n, size)
-        near = (root != roots[own_root]) & (low * 100 >= percent * high)
-        if not near.any():
-            continue
-        held = np.zeros(len(universe), np.int64)
+        twice = asks & (marks < mine)  # met the other way round
+        near = np.flatnonzero((component[root] != component[own]) & (low * 100 >= percent * high) & ~twice)
+        held = np.zeros(len(universe) + 1, np.int64)
         at = np.searchsorted(universe, values).clip(0, len(universe) - 1)
         held[at[universe[at] == values]] = 1
-        common = np.add.reduceat(held[code], starts)
-        whole = high <= k
-        near &= np.where(whole, common * 100 >= percent * (low + high - common), common >= enough)
-        for i in np.flatnonzero(near):
-            other = marks[i]
-            if asks[i] and other < mine:
-                continue  # met the other way round
-            if not whole[i]:
-                union = np.unique(np.concatenate([values, sketch[i]]))[:k]
-                if np.isin(np.intersect1d(values, sketch[i]), union).sum() < enough:
-                    continue
-            out[0].append(mine)
-            out[1].append(other)
+        smaller = np.zeros(len(universe) + 1, bool)
+        at = at[: min(listed, size)][values[:listed] < value]
+        smaller[at[held[at] == 1]] = True
+        near = near[~smaller[ranks[near, :listed]].any(axis=1)]
+        if not len(near):
+            continue
+        # Of the smallest k of the union, those that both have.
+        shared = held[ranks[near]]
+        before = np.append(np.searchsorted(values, universe, "right"), k + 1)
+        place = np.arange(1, k + 1) + before[ranks[near]] - np.cumsum(shared, axis=1)
+        whole = high[near] <= k
+        near = near[whole | ((shared * (place <= k)).sum(axis=1) >= enough)]
+        if not len(near):
+            continue
+        # The full sets.
+        lengths = n[near]
+        ends = np.cumsum(lengths)
+        flat = np.repeat(starts[near] - (ends - lengths), lengths) + np.arange(ends[-1])
+        common = np.add.reduceat(held[code[flat]], ends - lengths)
+        for i in near[common * 100 >= percent * (size + lengths - common)]:
+            if component[root[i]] != component[own]:
+                component[component == component[root[i]]] = component[own]
+                out[0].append(mine)
+                out[1].append(marks[i])
     return out

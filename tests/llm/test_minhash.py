@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -127,15 +128,36 @@ def test_whole_table(spark):
     same([tuple(r) for r in minhash.near_duplicates(docs).collect()], plain(rows))
 
 
-def test_blocks_compare_every_asker_once():
+def test_blocks_return_a_forest():
     def frame(rows):
-        columns = ("mark", "root", "asks", "n", "sketch")
-        return pd.DataFrame(rows, columns=columns)
-
-    rows = [(bytes([i]), bytes([i]), True, 20, list(range(20))) for i in range(5)]
-    rows.append((b"z", b"z", False, 20, list(range(20))))
-    u, v = minhash._meeting(frame(rows[:5]), frame(rows), 128, 85)
-    assert len(u) == len(set(zip(u, v, strict=True))) == 10 + 5
+        return pd.DataFrame(rows, columns=("mark", "root", "asks", "shingles"))
+
+    shingles = np.arange(20)
+    rows = [(bytes([i]), bytes([i]), True, shingles) for i in range(5)]
+    rows.append((b"z", b"z", False, shingles))
+    u, v = minhash.meeting(0, frame(rows[:5]), frame(rows), 128, 85, 10)
+    assert len(u) == 5
+    # They share a smaller listed value, so another list has them.
+    assert minhash.meeting(3, frame(rows[:5]), frame(rows), 128, 85, 10) == ([], [])
+
+
+@pytest.mark.parametrize("k", [8, 40])
+def test_block_estimate_equals_that_of_single_pairs(k):
+    rng = np.random.default_rng(k)
+    base = rng.choice(10**6, 60, replace=False)
+    sets = []
+    for _ in range(40):
+        own = np.where(rng.random(60) < rng.choice([0.03, 0.1, 0.4]), rng.integers(10**6, 10**7, 60), base)
+        sets.append(np.unique(own[: rng.integers(20, 61)]))
+    for i, mine in enumerate(sets):
+        other = sets[(i + 1) % len(sets)]
+        rows = [pd.DataFrame({"mark": [m], "root": [m], "asks": [a], "shingles": [x]}) for m, a, x in ((b"a", True, mine), (b"b", False, other))]
+        met = minhash.meeting(-1, *rows, k, 85, 10)[0]
+        common = len(np.intersect1d(mine, other))
+        linked = 100 * common >= 85 * (len(mine) + len(other) - common)
+        sizes = min(len(mine), len(other)), max(len(mine), len(other))
+        wanted = linked and minhash.may_be_linked(len(mine), len(other), mine[:k], other[:k], k, 85)
+        assert bool(met) == (wanted and 100 * sizes[0] >= 85 * sizes[1])
 
 
 def test_bad_parameters(spark):
