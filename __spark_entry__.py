@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import termloom
 from termloom.functions import scoring, text, vectors
 from termloom.operators import evaluation, querying, statistics
-from termloom.plans.index import CorpusIndex, build_index, load_index
+from termloom.plans.index import CorpusIndex, build_index, damaged_files, load_index
 from termloom.plans.search import ranked_by_solver, result_listing, search, search_batch, write_results
 from termloom.session import durable, scratch_path
 from termloom.sources import corpus as corpus_source
@@ -252,6 +252,43 @@ def saved_document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entries(_saved(spark, sf_dir).vectors())
 
 
+def saved_term_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a saved index knows of each term for early termination."""
+    return _round(_saved(spark, sf_dir).vocab.select("term", "max_tf", "peak"), "peak")
+
+
+def refused_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outputs of an index and of a search, each written twice to one path: whether the second was refused."""
+    corpus = _corpus(spark, sf_dir)
+    index = build_index(corpus, validate=False)
+    results = search(index, QUERY, TOP)
+    writers = {
+        "index": index.save,
+        "results": lambda path: write_results(results, path),
+        "text results": lambda path: text_index.export_results(results, path),
+    }
+    rows = []
+    for name, write in writers.items():
+        path = scratch_path(spark, name.replace(" ", "-"))
+        write(path)
+        try:
+            write(path)
+            rows.append((name, False))
+        except FileExistsError:
+            rows.append((name, True))
+    return spark.createDataFrame(rows, "output string, refused boolean")
+
+
+def index_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of each part of a saved index that are missing or have another size than its list says."""
+    path = scratch_path(spark, "index")
+    build_index(_corpus(spark, sf_dir)).save(path)
+    files = spark.read.parquet(f"{path}/files").select("file", F.lit(0).alias("bad"))
+    damaged = damaged_files(spark, path).select("file", F.lit(1).alias("bad"))
+    part = F.split_part("file", F.lit("/"), F.lit(1)).alias("part")
+    return files.unionByName(damaged).groupBy(part).agg(F.sum("bad").alias("damaged"))
+
+
 # --- queries
 
 
@@ -379,6 +416,17 @@ def saved_search_batch_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(search_batch(_saved(spark, sf_dir), _benchmark(spark, sf_dir), TOP), "relevance")
 
 
+def saved_search_batch_bm25_early(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With early termination whatever the size."""
+    found = search_batch(_saved(spark, sf_dir), _benchmark(spark, sf_dir), TOP, early=True)
+    return _round(found, "relevance")
+
+
+def saved_search_batch_basic_early(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search_batch(_saved(spark, sf_dir), _benchmark(spark, sf_dir), TOP, "Basic", early=True)
+    return _round(found, "relevance")
+
+
 # --- evaluation
 
 
@@ -450,7 +498,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         written_results, text_results,
         search_batch_bm25, search_batch_basic, search_batch_bm25_exchanged,
         saved_search_bm25, saved_search_basic, saved_search_batch_bm25, saved_search_batch_basic,
-        saved_search_batch_bm25_exchanged,
+        saved_search_batch_bm25_exchanged, saved_search_batch_bm25_early, saved_search_batch_basic_early,
+        saved_term_bounds, refused_outputs, index_completeness,
         average_precision, map_score, solver_comparison,
     )
     more = _llm.queries() if _llm else {}
@@ -609,6 +658,15 @@ def _text_sql() -> dict[str, str]:
         f"round(relevance, 6) AS score FROM ranked JOIN docs USING (id) WHERE rank <= {TOP}",
         "search_batch_bm25_exchanged": _top(_BM25_DEFAULT, _BATCH, columns="query_id,"),
         "saved_search_batch_bm25_exchanged": _top(_BM25_DEFAULT, _BATCH, columns="query_id,"),
+        "saved_search_batch_bm25_early": _top(_BM25_DEFAULT, _BATCH, columns="query_id,"),
+        "saved_search_batch_basic_early": _top(_BASIC, _BATCH, columns="query_id,"),
+        "saved_term_bounds": base + end + "SELECT term, max(tf) AS max_tf, "
+        "round(max(tf / (tf + 2.0 * (1 + CAST(0.75 AS DOUBLE) * (doc_length / avgdl - 1)))), 6) AS peak "
+        "FROM tf JOIN docs USING (id), stats GROUP BY term",
+        "refused_outputs": "SELECT * FROM (VALUES ('index', true), ('results', true), ('text results', true)) "
+        "AS v(output, refused) WHERE EXISTS (SELECT 1 FROM documents)",
+        "index_completeness": "SELECT part, CAST(0 AS BIGINT) AS damaged FROM (VALUES ('docs'), ('postings'), "
+        "('stats'), ('vocab')) AS v(part) WHERE EXISTS (SELECT 1 FROM documents)",
         "saved_search_basic": _top(_BASIC),
         "saved_search_batch_basic": _top(_BASIC, _BATCH, columns="query_id,"),
         "scan_corpus": base + end + "SELECT id, title, url, text FROM corpus",

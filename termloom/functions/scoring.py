@@ -38,13 +38,29 @@ def bm25(k1: float = K1, b: float = B) -> Scorer:
         raise ValueError(f"need k1 >= 0 and 0 <= b <= 1, not k1={k1}, b={b}")
 
     def score(tf: Column, idf: Column, qtf: Column, doc_length: Column, avgdl: Column) -> Column:
-        ratio = F.try_divide(doc_length, avgdl)
-        saturation = tf + F.lit(k1) * (F.lit(1.0) + F.lit(b) * (ratio - F.lit(1.0)))
+        saturation = _saturation(tf, doc_length, avgdl, k1, b)
         return F.coalesce(F.try_divide(tf * idf * F.lit(k1 + 1), saturation), F.lit(0.0))
 
     return score
 
 
+def _saturation(tf: Column, doc_length: Column, avgdl: Column, k1: float, b: float) -> Column:
+    ratio = F.try_divide(doc_length, avgdl)
+    return tf + F.lit(k1) * (F.lit(1.0) + F.lit(b) * (ratio - F.lit(1.0)))
+
+
+def peak(tf: Column, doc_length: Column, avgdl: Column) -> Column:
+    """Aggregate over the postings of a term: the largest factor that BM25 gives its idf, before ``k1 + 1``."""
+    return F.max(F.coalesce(F.try_divide(tf, _saturation(tf, doc_length, avgdl, K1, B)), F.lit(0.0)))
+
+
+def largest_score(solver: str) -> Column:
+    """What a query word can add to a document at most, from ``idf``, ``qtf``, and the term's ``peak`` and ``max_tf``."""
+    if solver == "BM25":
+        return F.col("idf") * F.lit(K1 + 1) * F.col("peak")
+    return (F.col("qtf") * F.col("idf")) * (F.col("max_tf") * F.col("idf"))
+
+
 def basic() -> Scorer:
     """Dot product of the query's and the document's TF-IDF weights."""
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.scoring import SOLVERS, Scorer, scorer
 from termloom.functions.text import tokens
-from termloom.operators import skew
+from termloom.operators import bloom, skew
 
 
 def query_terms(queries: DataFrame, drop_empty: bool = False) -> DataFrame:
@@ -37,11 +37,16 @@ def measure(terms: DataFrame) -> QuerySize:
     return QuerySize(row["queries"], row["terms"], row["bytes"] <= skew.BROADCAST_BYTES)
 
 
-def known_terms(terms: DataFrame, vocab: DataFrame, small: bool) -> DataFrame:
-    """Query terms that are in the vocabulary, with its ``df`` and ``idf``; the vocabulary is never broadcast."""
-    words = vocab.select("term", "df", "idf")
+def known_terms(terms: DataFrame, vocab: DataFrame, small: bool, more: tuple[str, ...] = ()) -> DataFrame:
+    """Query terms that are in the vocabulary, with its ``df`` and ``idf``; the vocabulary is never broadcast.
+
+    Of a vocabulary that is exchanged, only the words that a filter of the query terms lets pass are. ``more`` names
+    further columns to take from it.
+    """
+    words = vocab.select("term", "df", "idf", *more)
     if small:
         return words.join(F.broadcast(terms), "term")
+    words = bloom.passing(words, bloom.filter_of(terms, "term"))
     return skew.salted_join(terms, words, skew.hot_keys(_askers(terms), "term", "askers"), "term", "query_id")
 
 
@@ -61,7 +66,8 @@ def matching_postings(postings: DataFrame, known: DataFrame, small: bool) -> Dat
     """``(query_id, id, term, tf, doc_length, idf, qtf)`` of every posting whose term a query holds.
 
     A small query side is broadcast and the postings stay where they are. Otherwise both sides are exchanged
-    by term, with the postings, and the queries, of the commonest terms divided over many tasks.
+    by term, with the postings, and the queries, of the commonest terms divided over many tasks. Postings that a
+    filter of the query terms rules out are left where they are.
     """
     columns = ["query_id", "id", "term", "tf", "doc_length", "idf", "qtf"]
     if small:
@@ -70,7 +76,8 @@ def matching_postings(postings: DataFrame, known: DataFrame, small: bool) -> Dat
     many_postings = skew.hot_keys(sizes, "term", "df")
     many_queries = skew.hot_keys(_askers(known), "term", "askers").withColumnRenamed("splits", "copies")
     hot = many_postings.join(many_queries, "term", "full")
-    return skew.salted_join(postings, known.drop("df"), hot, "term", "id", "query_id").select(*columns)
+    wanted = bloom.passing(postings, bloom.filter_of(known, "term"))
+    return skew.salted_join(wanted, known.drop("df"), hot, "term", "id", "query_id").select(*columns)
 
 
 def term_scores(matched: DataFrame, avgdl: Column, solvers: dict[str, str | Scorer]) -> DataFrame:

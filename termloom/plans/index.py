@@ -13,14 +13,14 @@ import math
 import operator
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions import scoring
 from termloom.operators import statistics
 from termloom.operators.ranking import number_rows
 from termloom.operators.skew import BROADCAST_BYTES, byte_size, lookup_join
-from termloom.session import durable, path_exists, qualified, written
+from termloom.session import durable, path_exists, published, qualified, written
 from termloom.sources.corpus import count_unique, first_of_each_id, text_bytes
 
 STATS_SCHEMA = (
@@ -28,7 +28,13 @@ STATS_SCHEMA = (
     "build STRING"
 )
 DOCS_SCHEMA = "id STRING, title STRING, url STRING, doc_length BIGINT, shard INT"
-VOCAB_SCHEMA = "term STRING, df BIGINT, idf DOUBLE, word_id BIGINT"
+# Besides df and idf a term has bounds of what it can add to a score, and where its postings are: the first and the last
+# bucket, and one bit for each remainder of a bucket by 64.
+VOCAB_SCHEMA = (
+    "term STRING, df BIGINT, idf DOUBLE, word_id BIGINT, max_tf BIGINT, peak DOUBLE, "
+    "first_bucket INT, last_bucket INT, bucket_bits BIGINT"
+)
+FILES_SCHEMA = "file STRING, bytes BIGINT"
 POSTINGS_SCHEMA = "term STRING, id STRING, tf BIGINT, doc_length BIGINT"
 
 # Up to this many values are compared one by one in the scan; longer lists are filtered by their join alone.
@@ -38,6 +44,9 @@ PUSHED_VALUES = 256
 LEAST_PER_BUCKET = 1024 * 1024
 MOST_PER_BUCKET = 256 * 1024 * 1024
 
+# A list of terms that is in at most this share of the buckets has the others' files left out.
+PRUNED_SHARE = 0.5
+
 # Most directories the stored documents are divided into.
 DOCUMENT_SHARDS = 1024
 
@@ -118,9 +127,9 @@ class Index:
         raise NotImplementedError("this index has no corpus to write")
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> StoredIndex:
-        """A saved index; every part of it must be there."""
-        return StoredIndex(spark, path)
+    def load(spark: SparkSession, path: str, verify: bool = False) -> StoredIndex:
+        """A saved index; every part of it must be there. ``verify`` compares all its files with their list."""
+        return load_index(spark, path, verify)
 
 
 class CorpusIndex(Index):
@@ -176,7 +185,7 @@ class CorpusIndex(Index):
         prunes to its terms and adds up each document where it lies.
         """
         if buckets is None:
-            buckets = default_buckets(text_bytes(self.corpus), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+            buckets = default_buckets(text_bytes(self.corpus), *bucket_limits(self.spark))
         analysed = statistics.analysed(self.corpus.repartition(buckets, "id"), self.drop_empty)
         return save_analysed(analysed, path, buckets, self.idf_type, self.drop_empty, self.avgdl_mode)
 
@@ -188,52 +197,90 @@ def save_analysed(
     """Write an index from rows of :func:`statistics.analysed` that are dealt by id into ``buckets`` parts.
 
     ``stats`` is how to average lengths, or the statistics themselves; a vocabulary with word ids is kept as it is.
+    All is written beside ``path`` and becomes it by one rename: an index that can be seen is whole.
     """
     spark = analysed.sparkSession
-    path = qualified(spark, path)
-    if path_exists(spark, path):
-        raise FileExistsError(f"{path} already exists")
+    most = bucket_limits(spark)[1]
+    if not 1 <= buckets <= most:
+        raise ValueError(f"an index has 1 to {most} buckets, not {buckets}")
     shards = largest_divisor(buckets, DOCUMENT_SHARDS)
     build = uuid.uuid4().hex
-    with written(analysed, "analysed") as staged:
+    with published(spark, path) as work, written(analysed, "analysed") as staged:
+        totals = (statistics.corpus_stats(staged, stats) if isinstance(stats, str) else stats).first()
+        facts = _term_facts(staged, buckets, totals["avgdl"])
         if vocab is None:
-            n_docs = staged.agg(F.count("*")).scalar()
-            df = statistics.document_frequency(staged.select(F.explode("terms.term").alias("term")))
-            vocab = number_rows(df.withColumn("idf", scoring.idf(F.col("df"), n_docs, idf_type)), "term", name="word_id")
+            weighed = facts.withColumn("idf", scoring.idf(F.col("df"), F.lit(totals["n_docs"]), idf_type))
+            vocab = number_rows(weighed, "term", name="word_id")
         else:
-            vocab = vocab.select("term", "df", "idf", "word_id").repartitionByRange("term")
-        vocab.sortWithinPartitions("term").write.parquet(f"{path}/vocab")
+            kept = vocab.select("term", "df", "idf", "word_id")
+            vocab = kept.join(facts.drop("df"), "term", "left").repartitionByRange("term")
+        columns = [column.split()[0] for column in VOCAB_SCHEMA.split(", ")]
+        vocab.select(columns).sortWithinPartitions("term").write.parquet(f"{work}/vocab")
 
         # A staged part lies wholly in one shard and one bucket, so these two need no exchange.
         (
             staged.select("id", "title", "url", "doc_length", document_shard(shards))
             .sortWithinPartitions("shard", "id")
             .write.partitionBy("shard")
-            .parquet(f"{path}/docs")
-        )
-        (
-            staged.select("id", "doc_length", F.inline("terms"))
-            .select("term", "id", "tf", "doc_length")
-            .write.format("parquet")
-            .bucketBy(buckets, "id")
-            .sortBy("term")
-            .option("path", f"{path}/postings")
-            .saveAsTable(_table_name(path, build))
+            .parquet(f"{work}/docs")
         )
+        table = _table_name(work, build)
+        try:
+            (
+                staged.select("id", "doc_length", F.inline("terms"))
+                .select("term", "id", "tf", "doc_length")
+                .write.format("parquet")
+                .bucketBy(buckets, "id")
+                .sortBy("term")
+                .option("path", f"{work}/postings")
+                .saveAsTable(table)
+            )
+        finally:
+            # The entry of the path written to; that of the index is made when it is loaded. The files stay.
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
 
-        # One row, written last: an index that has it is complete.
         settings = {"idf_type": idf_type, "drop_empty": drop_empty, "buckets": buckets, "shards": shards, "build": build}
-        row = statistics.corpus_stats(staged, stats) if isinstance(stats, str) else stats
-        row.withColumns({name: F.lit(v) for name, v in settings.items()}).write.parquet(f"{path}/stats")
+        row = spark.range(1).select(*(F.lit(totals[name]).alias(name) for name in ("n_docs", "total_tokens", "avgdl")))
+        row.withColumns({name: F.lit(v) for name, v in settings.items()}).write.parquet(f"{work}/stats")
+        stored_files(spark, work).write.parquet(f"{work}/files")
     return StoredIndex(spark, path)
 
 
+def _term_facts(staged: DataFrame, buckets: int, avgdl: float) -> DataFrame:
+    """For each term its ``df``, the bounds of its scores, and the buckets that hold it; one exchange of partial rows."""
+    bucket = F.pmod(F.hash("id"), F.lit(buckets)).alias("bucket")
+    rows = staged.select("doc_length", bucket, F.inline("terms"))
+    return rows.groupBy("term").agg(
+        F.count("*").alias("df"),
+        F.max("tf").alias("max_tf"),
+        scoring.peak(F.col("tf"), F.col("doc_length"), F.lit(avgdl)).alias("peak"),
+        F.min("bucket").alias("first_bucket"),
+        F.max("bucket").alias("last_bucket"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bucket") % 64)).alias("bucket_bits"),
+    )
+
+
+def stored_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, bytes)`` of the data files below a path, listed by Spark without reading them."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    # Listed names are encoded as in a URI; only the part below the path is kept, which has no such characters.
+    name = F.regexp_extract("path", "((vocab|docs|postings|stats)/.*)$", 1)
+    return found.select(name.alias("file"), F.col("length").alias("bytes")).where("file <> ''")
+
+
+def damaged_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, bytes, found)`` of the files in an index's list that are missing, or have another size."""
+    listed = spark.read.schema(FILES_SCHEMA).parquet(f"{qualified(spark, path)}/files")
+    there = stored_files(spark, path).withColumnRenamed("bytes", "found")
+    return listed.join(there, "file", "left").where("found IS DISTINCT FROM bytes")
+
+
 class StoredIndex(Index):
     """A saved index, read from its path."""
 
     def __init__(self, spark: SparkSession, path: str):
         path = qualified(spark, path)
-        missing = [name for name in ("vocab", "docs", "postings", "stats") if not path_exists(spark, f"{path}/{name}")]
+        missing = [name for name in ("vocab", "docs", "postings", "stats", "files") if not path_exists(spark, f"{path}/{name}")]
         if missing:
             raise FileNotFoundError(f"{path} is not a complete index: no {', '.join(missing)}")
         stats = spark.read.schema(STATS_SCHEMA).parquet(f"{path}/stats")
@@ -268,11 +315,33 @@ class StoredIndex(Index):
     def avgdl(self) -> Column:
         return F.lit(self._avgdl)
 
+    def restricted(self, terms: list[str]) -> Index:
+        """The same index for these terms: their rows of the vocabulary are read now, at most ``PUSHED_VALUES``.
+
+        Files of postings in buckets that have none of the terms are not opened, if these are half of them or more.
+        """
+        if len(terms) > PUSHED_VALUES:
+            return self
+        known = self.vocab.where(equals_any("term", terms)).collect()
+        narrow = copy.copy(self)
+        narrow.vocab = self.spark.createDataFrame(known, VOCAB_SCHEMA)
+        narrow.postings = self.postings.where(equals_any("term", [row["term"] for row in known]))
+        buckets = buckets_of(known, self.buckets)
+        if len(buckets) <= PRUNED_SHARE * self.buckets:
+            narrow.postings = narrow.postings.where(in_buckets(buckets))
+        return narrow
+
+    def some_buckets(self, buckets: list[int]) -> Index:
+        """The same index with the postings of some buckets only: all those of some documents."""
+        part = copy.copy(self)
+        part.postings = self.postings.where(in_buckets(buckets))
+        return part
+
     def vocabulary(self) -> DataFrame:
         return self.vocab.select("term", "df", "idf", "word_id")
 
     def tfidf_postings(self) -> DataFrame:
-        return self._weighted(self.vocab).select("term", "id", "tf", "doc_length", "tfidf")
+        return self._weighted(self.vocab.select("term", "df", "idf")).select("term", "id", "tf", "doc_length", "tfidf")
 
     def with_documents(self, ranked: DataFrame, at_most: int) -> DataFrame:
         """As for any index; for a short list only the shards and row groups of its documents are read."""
@@ -292,16 +361,38 @@ def equals_any(column: str, values: list[str]) -> Column:
     return functools.reduce(operator.or_, [F.col(column) == value for value in values], F.lit(False))
 
 
+def in_buckets(buckets: list[int]) -> Column:
+    """Whether a row's file belongs to one of the buckets; files are told by their names and others not opened."""
+    name = F.regexp_extract("_metadata.file_name", r"_(\d+)(?:\..*)?$", 1)
+    return name.cast("int").isin(buckets) if buckets else F.lit(False)
+
+
+def buckets_of(terms: list[Row], buckets: int) -> list[int]:
+    """The buckets that may have postings of these rows of the vocabulary; all, if one does not say where it is."""
+    if any(row["bucket_bits"] is None for row in terms):
+        return list(range(buckets))
+    held = [(row["first_bucket"], row["last_bucket"], row["bucket_bits"]) for row in terms]
+    return [b for b in range(buckets) if any(first <= b <= last and bits >> b % 64 & 1 for first, last, bits in held)]
+
+
 def broadcast_small(rows: DataFrame) -> DataFrame:
     """The rows, marked for broadcast if they are measured to be small."""
     return F.broadcast(rows) if rows.agg(byte_size(rows)).first()[0] <= BROADCAST_BYTES else rows
 
 
-def default_buckets(text_bytes: int, partitions: int) -> int:
-    """Parts of a saved index: the shuffle partitions, but parts neither tiny nor huge."""
+def bucket_limits(spark: SparkSession) -> tuple[int, int]:
+    """The shuffle partitions, and the most buckets that the catalog allows."""
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return int(spark.conf.get("spark.sql.shuffle.partitions")), most
+
+
+def default_buckets(text_bytes: int, partitions: int, most: int = 100_000) -> int:
+    """Parts of a saved index: the shuffle partitions, but parts neither tiny nor huge, and at most ``most``."""
     wanted = max(math.ceil(text_bytes / MOST_PER_BUCKET), min(partitions, math.ceil(text_bytes / LEAST_PER_BUCKET)), 1)
     # Large numbers become multiples of the shards, so that each bucket lies in one shard.
-    return wanted if wanted <= DOCUMENT_SHARDS else math.ceil(wanted / DOCUMENT_SHARDS) * DOCUMENT_SHARDS
+    if wanted > DOCUMENT_SHARDS:
+        wanted = math.ceil(wanted / DOCUMENT_SHARDS) * DOCUMENT_SHARDS
+    return wanted if wanted <= most else most if most <= DOCUMENT_SHARDS else most // DOCUMENT_SHARDS * DOCUMENT_SHARDS
 
 
 def largest_divisor(number: int, most: int) -> int:
@@ -339,9 +430,12 @@ def build_index(
     return CorpusIndex(corpus, idf_type, avgdl, drop_empty)
 
 
-def load_index(spark: SparkSession, path: str) -> StoredIndex:
+def load_index(spark: SparkSession, path: str, verify: bool = False) -> StoredIndex:
     """The same as ``Index.load``."""
-    return StoredIndex(spark, path)
+    index = StoredIndex(spark, path)
+    if verify and (damaged := damaged_files(spark, path).limit(5).collect()):
+        raise FileNotFoundError(f"{path} is not a complete index: {', '.join(row['file'] for row in damaged)}")
+    return index
 
 
 def _table_name(path: str, build: str) -> str:

@@ -13,10 +13,13 @@ from termloom.functions.text import tokens
 from termloom.operators import querying
 from termloom.operators.evaluation import average_precision, mean_average_precision
 from termloom.operators.ranking import top_n
+from termloom.plans.early import WORTHWHILE, best_candidates, possible
 from termloom.plans.index import PUSHED_VALUES, Index
-from termloom.session import durable, path_exists
+from termloom.session import durable, published
 
 RESULT_COLUMNS = ("query_id", "rank", "id", "title", "url", "relevance")
+# What the vocabulary of a saved index has for early termination.
+BOUNDS = ("max_tf", "peak")
 
 
 def check_n(n: int) -> None:
@@ -24,8 +27,14 @@ def check_n(n: int) -> None:
         raise ValueError(f"n must be a whole number of at least 0 and below 2**31, not {n!r}")
 
 
-def search(index: Index, text: str, n: int, solver: str | Scorer = "BM25") -> DataFrame:
-    """The ``n`` most relevant documents for one text: ``(rank, id, title, url, relevance)``, best first."""
+def search(
+    index: Index, text: str, n: int, solver: str | Scorer = "BM25", early: bool | None = None
+) -> DataFrame:
+    """The ``n`` most relevant documents for one text: ``(rank, id, title, url, relevance)``, best first.
+
+    ``early`` chooses or refuses early termination (:mod:`termloom.plans.early`) where an index has bounds; by default
+    the number of postings of the words decides. Results are the same.
+    """
     check_n(n)
     scorer(solver)
     if not isinstance(text, str):
@@ -36,19 +45,42 @@ def search(index: Index, text: str, n: int, solver: str | Scorer = "BM25") -> Da
     counts = [(0, word, count) for word, count in Counter(words).items()]
     terms = spark.createDataFrame(counts, "query_id bigint, term string, qtf bigint")
     narrow = index.restricted([word for _, word, _ in counts])
-    known = querying.known_terms(terms, narrow.vocab, small=True)
-    matched = querying.matching_postings(narrow.postings, known, small=True)
-    scores = querying.term_scores(matched, narrow.avgdl, {"score": solver})
-    ranked = top_n(querying.relevance(scores), n, single=True)
+    if _ends_early(narrow, terms, True, solver, n, early):
+        known = querying.known_terms(terms, narrow.vocab, small=True, more=BOUNDS)
+        scored = best_candidates(narrow, known, solver, n).scores
+    else:
+        known = querying.known_terms(terms, narrow.vocab, small=True)
+        matched = querying.matching_postings(narrow.postings, known, small=True)
+        scored = querying.relevance(querying.term_scores(matched, narrow.avgdl, {"score": solver}))
+    ranked = top_n(scored, n, single=True)
     # Where ids repeat, a rank has a row for each document of its id; none is cut off.
     return index.with_documents(ranked, at_most=n).select(*RESULT_COLUMNS[1:]).orderBy("rank")
 
 
+def _ends_early(
+    index: Index, terms: DataFrame, small: bool, solver: str | Scorer, n: int, early: bool | None
+) -> bool:
+    if early is False or not small or not possible(index, solver, n):
+        return False
+    if early:
+        return True
+    asked = terms.groupBy("term").agg(F.count("*").alias("askers"))
+    total = index.vocab.join(F.broadcast(asked), "term").agg(F.sum(F.col("df") * F.col("askers"))).first()[0]
+    return (total or 0) >= WORTHWHILE
+
+
 def search_batch(
-    index: Index, queries: DataFrame, n: int, solver: str | Scorer = "BM25", broadcast: bool | None = None
+    index: Index,
+    queries: DataFrame,
+    n: int,
+    solver: str | Scorer = "BM25",
+    broadcast: bool | None = None,
+    early: bool | None = None,
 ) -> DataFrame:
     """The ``n`` most relevant documents for each ``(query_id, text)``, as one job.
 
+    ``early`` is as for :func:`search`.
+
     The query words are measured first: a side that fits is broadcast, a larger one is joined by exchange.
     ``broadcast=False`` takes the exchange whatever the size. Query words are counted once and kept.
     """
@@ -58,8 +90,12 @@ def search_batch(
     size = querying.measure(terms)
     if broadcast is not None:
         size = size._replace(small=broadcast and size.small)
-    scores = _term_scores(index, terms, size, {"score": solver})
-    ranked = top_n(querying.relevance(scores), n)
+    if _ends_early(index, terms, size.small, solver, n, early):
+        known = querying.known_terms(terms, index.vocab, small=True, more=BOUNDS)
+        scored = best_candidates(index, known, solver, n).scores
+    else:
+        scored = querying.relevance(_term_scores(index, terms, size, {"score": solver}))
+    ranked = top_n(scored, n)
     return index.with_documents(ranked, at_most=n * size.queries).select(*RESULT_COLUMNS)
 
 
@@ -86,10 +122,9 @@ def result_listing(results: DataFrame) -> DataFrame:
 
 def write_results(results: DataFrame, path: str) -> None:
     """Results as JSON lines, best first, to a path that must not exist."""
-    if path_exists(results.sparkSession, path):
-        raise FileExistsError(f"{path} already exists")
     order = [c for c in ("query_id", "rank") if c in results.columns]
-    results.orderBy(*order).write.mode("errorifexists").json(path)
+    with published(results.sparkSession, path) as work:
+        results.orderBy(*order).write.json(work)
 
 
 def compare_solvers(

@@ -6,6 +6,7 @@ import contextlib
 import uuid
 from collections.abc import Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -51,6 +52,40 @@ def written(frame: DataFrame, name: str) -> Iterator[DataFrame]:
         files.delete(target, True)
 
 
+@contextlib.contextmanager
+def published(spark: SparkSession, path: str) -> Iterator[str]:
+    """A path beside ``path`` to write to, which becomes ``path`` by one rename when the block ends.
+
+    ``path`` must not exist, before and after; of two writers one succeeds. What a block that fails has written is
+    deleted, so that the path stays free.
+    """
+    path = qualified(spark, path)
+    if path_exists(spark, path):
+        raise FileExistsError(f"{path} already exists")
+    work = f"{path}.writing-{uuid.uuid4().hex}"
+    files, source = _file_system(spark, work)
+    try:
+        yield work
+        _rename(spark, files, source, path)
+    finally:
+        files.delete(source, True)  # nothing is there after the rename
+
+
+def _rename(spark: SparkSession, files, source, path: str) -> None:
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    how = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    none = spark.sparkContext._gateway.new_array(how, 1)
+    none[0] = how.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), files.getConf())
+    try:
+        context.rename(source, target, none)  # unlike the file system's own, it never moves into a folder that is there
+    except Py4JJavaError:
+        if files.exists(target):
+            raise FileExistsError(f"{path} already exists") from None
+        raise
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     files, target = _file_system(spark, path)
     return files.exists(target)

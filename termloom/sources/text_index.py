@@ -4,7 +4,7 @@
 * ``doc_info``: ``documents TAB average length``
 * ``words``: ``word TAB idf TAB word id``
 * ``vectorized``: ``d TAB {"id", "title", "url", "docLength", "vectorized": "id:weight;..."}``
-* ``counts``: ``word id TAB document id TAB count``, beside the four others, so that no count has to be worked back
+* ``counts``: ``word id TAB document id TAB count``, the document id as in a URL, beside the four others, so that no count has to be worked back
 
 Search results have one too: ``{"title", "url", "relevance"} TAB relevance``.
 """
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from termloom.functions import vectors
 from termloom.operators.skew import lookup_join
-from termloom.plans.index import Index, StoredIndex, default_buckets, save_analysed
-from termloom.session import durable, path_exists
+from termloom.plans.index import Index, StoredIndex, bucket_limits, default_buckets, save_analysed
+from termloom.session import durable, path_exists, published
 
 
 def term_count_lines(index: Index) -> DataFrame:
@@ -38,7 +38,9 @@ def word_lines(index: Index) -> DataFrame:
 def count_lines(index: Index) -> DataFrame:
     words = index.vocabulary().select("term", "df", "word_id")
     rows = lookup_join(index.postings.select("term", "id", "tf"), words, "term", weight="df", spread="id")
-    return rows.select(F.concat_ws("\t", F.col("word_id").cast("string"), "id", F.col("tf").cast("string")).alias("value"))
+    # Any id, one with a tab or a line end too, is one field of one line.
+    fields = (F.col("word_id").cast("string"), F.url_encode("id"), F.col("tf").cast("string"))
+    return rows.select(F.concat_ws("\t", *fields).alias("value"))
 
 
 def vector_lines(index: Index) -> DataFrame:
@@ -64,22 +66,20 @@ def result_lines(results: DataFrame) -> DataFrame:
 
 def export_results(results: DataFrame, path: str) -> None:
     """Write result lines to a path that must not exist."""
-    if path_exists(results.sparkSession, path):
-        raise FileExistsError(f"{path} already exists")
-    result_lines(results).write.text(path)
+    with published(results.sparkSession, path) as work:
+        result_lines(results).write.text(work)
 
 
 def export_text_index(index: Index, path: str) -> None:
     """Write the text datasets under a path that must not exist; texts are analysed once, words numbered once."""
-    if path_exists(index.spark, path):
-        raise FileExistsError(f"{path} already exists")
-    index = index.once()
-    index = _Numbered(index, durable(index.vocabulary()))
-    term_count_lines(index).write.text(f"{path}/temp")
-    stats_lines(index).write.text(f"{path}/doc_info")
-    word_lines(index).write.text(f"{path}/words")
-    count_lines(index).write.text(f"{path}/counts")
-    vector_lines(index).write.text(f"{path}/vectorized")
+    with published(index.spark, path) as work:
+        index = index.once()
+        index = _Numbered(index, durable(index.vocabulary()))
+        term_count_lines(index).write.text(f"{work}/temp")
+        stats_lines(index).write.text(f"{work}/doc_info")
+        word_lines(index).write.text(f"{work}/words")
+        count_lines(index).write.text(f"{work}/counts")
+        vector_lines(index).write.text(f"{work}/vectorized")
 
 
 class _Numbered(Index):
@@ -139,7 +139,8 @@ def read_text_index(spark: SparkSession, path: str, idf_type: str = "log") -> In
     entries = parsed.select("id", "doc_length", F.inline(vectors.decode(F.col("vectorized"))))
     if path_exists(spark, f"{path}/counts"):
         counts = part("counts", ("word_id", "long"), ("id", "string"), ("tf", "long"))
-        entries = entries.join(counts, ["id", "word_id"])
+        counts = counts.withColumn("id", F.url_decode("id"))
+        entries = entries.join(counts, ["id", "word_id"], "left")
     else:
         entries = entries.withColumn("tf", F.lit(None).cast("long"))
     worked_back = F.round(F.try_divide("weight", "idf")).cast("long")
@@ -172,6 +173,6 @@ class TextIndex(Index):
         rows = self.docs.join(terms, "id", "left").withColumn("terms", F.coalesce("terms", none))
         size = rows.agg(F.sum(F.aggregate("terms", F.lit(0).cast("long"), lambda n, e: n + F.octet_length(e["term"]) * e["tf"])))
         if buckets is None:
-            buckets = default_buckets(size.first()[0] or 0, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+            buckets = default_buckets(size.first()[0] or 0, *bucket_limits(self.spark))
         analysed = rows.select("id", "title", "url", "doc_length", "terms").repartition(buckets, "id")
         return save_analysed(analysed, path, buckets, self.idf_type, self.drop_empty, self.stats, self.vocab)

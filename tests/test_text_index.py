@@ -96,3 +96,13 @@ def test_result_lines(spark, micro, tmp_path):
 def test_incomplete(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_text_index(spark, str(tmp_path))
+
+
+def test_ids_with_tabs_line_ends_and_other_signs(spark, make_corpus, tmp_path):
+    ids = ["a\tb", "c\nd", "e\r\nf", "1:2;3", "x\\ty", "%41+ é", '"q"']
+    path = str(tmp_path / "text")
+    index = build_index(make_corpus(*((i, f"word {n} " + "more " * n) for n, i in enumerate(ids))))
+    export_text_index(index, path)
+    back = read_text_index(spark, path)
+    assert sorted(map(tuple, back.postings.collect())) == sorted(map(tuple, index.postings.collect()))
+    assert {r["id"] for r in search(back, "more", 9).collect()} == set(ids[1:])
