@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from termloom.session import durable
 # Scores that agree to this many decimals rank by id, so the order of a floating-point sum cannot swap them.
 SCORE_DECIMALS = 9
 
+# Tasks whose best rows one task of a query takes in; those of more are ranked in groups first.
+ONE_LEVEL = 1024
+
 
 def number_rows(frame: DataFrame, *order: str | Column, name: str = "row_index") -> DataFrame:
     """Dense row numbers from 0 in a global order that has no ties.
@@ -38,10 +43,13 @@ def number_rows(frame: DataFrame, *order: str | Column, name: str = "row_index")
     )
 
 
-def top_n(scored: DataFrame, n: int, per: tuple[str, ...] = ("query_id",), single: bool = False) -> DataFrame:
+def top_n(
+    scored: DataFrame, n: int, per: tuple[str, ...] = ("query_id",), single: bool = False, tasks: int = 1
+) -> DataFrame:
     """The ``n`` best rows of each ``per`` by relevance, then id, with ``rank`` from 1.
 
-    ``single`` promises that all rows have the same ``per``.
+    ``single`` promises that all rows have the same ``per``. ``tasks`` is how many tasks they come from: the best of
+    very many are first ranked in groups of tasks, so that no task gets more than ``n`` rows from the square root of them.
     """
     order = [F.round("relevance", SCORE_DECIMALS).desc(), F.col("id")]
     threshold = int(scored.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
@@ -49,6 +57,11 @@ def top_n(scored: DataFrame, n: int, per: tuple[str, ...] = ("query_id",), singl
         if single:
             # Every task keeps its own best n in a heap, without sorting its rows.
             scored = scored.orderBy(*order).limit(n)
+        elif tasks > ONE_LEVEL:
+            group = F.spark_partition_id() % math.ceil(math.sqrt(tasks))
+            grouped = scored.withColumn("_group", group)
+            within = Window.partitionBy(*per, "_group").orderBy(*order)
+            scored = grouped.withColumn("rank", F.row_number().over(within)).where(F.col("rank") <= n).drop("_group", "rank")
         # Every task keeps its own best n before the exchange.
         ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy(*per).orderBy(*order)))
         return ranked.where(F.col("rank") <= n)

@@ -95,7 +95,7 @@ def search_batch(
         scored = best_candidates(index, known, solver, n).scores
     else:
         scored = querying.relevance(_term_scores(index, terms, size, {"score": solver}))
-    ranked = top_n(scored, n)
+    ranked = top_n(scored, n, tasks=getattr(index, "buckets", 1))
     return index.with_documents(ranked, at_most=n * size.queries).select(*RESULT_COLUMNS)
 
 

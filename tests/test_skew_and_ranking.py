@@ -80,3 +80,15 @@ def test_top_n_by_window_and_by_sort(spark):
     for n in (1, 30, 1500, 10_000):
         found = top_n(scored, n).select("query_id", "id", "rank").collect()
         assert sorted(map(tuple, found)) == sorted(r for r in expected if r[2] <= n)
+
+
+def test_best_of_many_tasks_are_ranked_in_groups(spark, monkeypatch):
+    rows = spark.range(2000, numPartitions=25).select(
+        (F.col("id") % 3).alias("query_id"), F.col("id").cast("string").alias("id"), (F.col("id") % 97).cast("double").alias("relevance")
+    )
+    want = sorted(map(tuple, ranking.top_n(rows, 6).collect()))
+    monkeypatch.setattr(ranking, "ONE_LEVEL", 4)
+    grouped = ranking.top_n(rows, 6, tasks=25)
+    assert sorted(map(tuple, grouped.collect())) == want and len(want) == 18
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "SPARK_PARTITION_ID" in plan
