@@ -14,10 +14,15 @@ from termloom.llm.tables import limit_batches, staged
 SCALE = 1024
 # Vectors of one block of candidates, and queries that meet it together, at most.
 CANDIDATES = 16_384
-QUERIES = 2_048
-# Parts in which the sorted lists of a block are read, and after which of them the bounds are looked at.
-ROUNDS = 16
-LOOK = (1, 2, 4, 8, 10, 12, 13, 14, 15)
+QUERIES = 16_384
+# Queries of a group that are answered together.
+TOGETHER = 64
+# Shares of the sorted lists after which the bounds are looked at.
+DEPTHS = (1 / 8, 1 / 4, 3 / 8, 1 / 2, 5 / 8, 3 / 4, 7 / 8, 1)
+# Reading stops when one in so many candidates can still qualify; their scores are then resolved.
+ENOUGH = 16
+# The bar of a query of which nothing is known.
+NO_BAR = -(1 << 62)
 
 
 def whole_numbers(vectors: DataFrame, vector: str = "embedding", id: str = "vec_id") -> DataFrame:
@@ -36,9 +41,10 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, vector: str = "embed
     Candidates are all rows with another id; the score is the integer inner product, a component that one of the two
     lacks being 0, and ties go to the smaller id. Fewer than ``k`` candidates are all returned. Blocks of queries meet
     blocks of candidates; in each meeting the components of the candidates are sorted lists that are read from their
-    best ends, and what a query knows of a candidate is a lower and an upper bound, until no other can be among its
-    best. Each meeting returns ``k`` rows for a query, of which the best are kept. Vectors of a block are held in one
-    task; rows are dealt to blocks by a hash of id and vector.
+    best ends until few candidates have an upper bound that reaches the query's bar, of which the scores are resolved. The
+    bar is the ``k``-th best score that is known: of the first block, which all queries meet first, and of the candidates
+    that are ahead in this one. Each meeting returns at most ``k`` rows for a query, of which the best are kept. Vectors
+    of a block are held in one task; rows are dealt to blocks by a hash of id and vector.
     """
     limit_batches(vectors.sparkSession)
     rows = staged(whole_numbers(vectors, vector, id), "vectors")
@@ -48,16 +54,29 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, vector: str = "embed
     blocks = max(1, math.ceil(n / CANDIDATES), min(parts, math.ceil(n / 1024)))
     groups = max(1, math.ceil(wanted / QUERIES))
 
-    def dealt(frame: DataFrame, own: str, of: int, other: str, among: int) -> DataFrame:
+    def dealt(frame: DataFrame, own: str, of: int, other: str, among: Column) -> DataFrame:
         place = F.pmod(F.xxhash64("vec_id", "v"), F.lit(of)).cast("int").alias(own)
-        every = F.explode(F.sequence(F.lit(0), F.lit(among - 1))).alias(other)
-        return frame.select("vec_id", "v", place, every).groupBy("group", "block")
+        columns = ["vec_id", "v", *(["bar"] if "bar" in frame.columns else [])]
+        return frame.select(*columns, place, F.explode(among).alias(other))
 
     def meet(key: tuple, ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
         return meeting(ask, have, k)
 
-    met = dealt(asked, "group", groups, "block", blocks).cogroup(dealt(rows, "block", blocks, "group", groups))
-    found = met.applyInPandas(meet, "query_id long, vec_id long, score long")
+    def met(asked: DataFrame, first: int, last: int) -> DataFrame:
+        """All queries and the candidates of the blocks from ``first`` to before ``last``."""
+        mine = dealt(asked, "group", groups, "block", F.sequence(F.lit(first), F.lit(last - 1)))
+        there = dealt(rows, "block", blocks, "group", F.sequence(F.lit(0), F.lit(groups - 1)))
+        there = there.where(F.col("block").between(first, last - 1))
+        both = mine.groupBy("group", "block").cogroup(there.groupBy("group", "block"))
+        return both.applyInPandas(meet, "query_id long, vec_id long, score long")
+
+    # The first block gives each query a bar with which it meets the others.
+    found = staged(met(asked.withColumn("bar", F.lit(NO_BAR)), 0, 1), "first")
+    if blocks > 1:
+        reached = found.groupBy("query_id").agg(F.min("score").alias("score"), F.count("*").alias("n"))
+        reached = reached.where(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("bar"))
+        barred = asked.join(reached, "vec_id", "left").withColumn("bar", F.coalesce("bar", F.lit(NO_BAR)))
+        found = found.unionByName(met(barred, 1, blocks))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.distinct().withColumn("rank", F.row_number().over(best))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
@@ -69,9 +88,11 @@ def meeting(ask: pd.DataFrame, have: pd.DataFrame, k: int) -> pd.DataFrame:
     if len(ask) and len(have):
         width = max(map(len, [*ask["v"], *have["v"]]))
         block = SortedLists(have["vec_id"].to_numpy(), _matrix(have["v"], width))
-        for query, vector in zip(ask["vec_id"].to_numpy(), _matrix(ask["v"], width), strict=True):
-            ids, scores = block.best(query, vector, k)
-            out.append((np.full(len(ids), query), ids, scores))
+        asked, bars, queries = _matrix(ask["v"], width), ask["bar"].to_numpy(), ask["vec_id"].to_numpy()
+        for at in range(0, len(ask), TOGETHER):
+            part = slice(at, at + TOGETHER)
+            for query, (ids, scores) in zip(queries[part], block.best(queries[part], asked[part], k, bars[part]), strict=True):
+                out.append((np.full(len(ids), query), ids, scores))
     columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, np.int64)] * 3
     return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 
@@ -84,53 +105,64 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 
 class SortedLists:
-    """For each component the candidates of a block in ascending order."""
+    """For each component the candidates of a block in the order of their values, read from both ends.
+
+    A query reads the list of a component from the end where the products with its own component are largest. After a
+    depth it knows the components at or beyond the value that the list has come to; any other is at most that value.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids = ids
         self.vectors = vectors
-        # A list for each component, from its smallest and from its largest value on.
-        order = np.argsort(vectors, axis=0, kind="stable")
-        values = np.take_along_axis(vectors, order, axis=0)
-        self.order = np.stack([order.T, order[::-1].T])
-        self.values = np.stack([values.T, values[::-1].T])
-
-    def best(self, query: int, vector: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best, best first."""
-        survivors = self._survivors(query, vector, k)
-        # The final scores of the few that may still qualify.
-        scores = self.vectors[survivors] @ vector
-        chosen = np.lexsort((self.ids[survivors], -scores))[:k]
-        return self.ids[survivors][chosen], scores[chosen]
-
-    def _survivors(self, query: int, vector: np.ndarray, k: int) -> np.ndarray:
-        n = len(self.ids)
-        alive = np.flatnonzero(self.ids != query)
-        used = np.flatnonzero(vector)
-        if len(alive) <= k or not len(used):
-            return alive
-        weight = vector[used].astype(float)[:, None]
-        # Read from the end where the product with the query is largest.
-        end = (vector[used] > 0).astype(int)
-        lowest = self.values[end, used, -1] * weight[:, 0]
-        known = np.zeros(n)  # sum of the products read so far
-        seen = np.zeros((n, len(used)))
-        step = max(1, -(-n // ROUNDS))
-        lists = np.arange(len(used))[:, None]
-        for part, at in enumerate(range(0, n, step), 1):
-            ids = self.order[end, used, at : at + step]
-            products = self.values[end, used, at : at + step] * weight
-            known += np.bincount(ids.ravel(), products.ravel(), n)
-            seen.ravel()[(ids * len(used) + lists).ravel()] = 1
-            if part not in LOOK:
-                continue
-            # What an unread entry adds at least, and at most.
-            ends = np.stack([lowest, products[:, -1]], axis=1)
-            bounds = (known[:, None] + ends.sum(axis=0) - seen @ ends)[alive]
-            lower, upper = bounds[:, 0], bounds[:, 1]
-            bar = np.partition(lower, len(lower) - k)[len(lower) - k]
-            # Sums of floating-point numbers; whole numbers this small are exact in them, larger ones to a part.
-            alive = alive[upper >= bar - 1 - 1e-9 * np.abs(bounds).max()]
-            if len(alive) <= 2 * k:
+        self.floats = vectors.astype(float)
+        self.lists = np.sort(self.floats, axis=0)
+        # Entries of the lists that queries have read, and all that there were.
+        self.read = self.entries = 0
+
+    def best(self, queries: np.ndarray, asked: np.ndarray, k: int, bars: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids and scores of the ``k`` best of each query, best first; those below its bar may be left out."""
+        out = []
+        for survivors, query, vector in zip(self._survivors(queries, asked, k, bars), queries, asked, strict=True):
+            # The final scores of the few that may still qualify.
+            scores = self.vectors[survivors] @ vector
+            chosen = np.lexsort((self.ids[survivors], -scores))[:k]
+            chosen = chosen[self.ids[survivors][chosen] != query]
+            out.append((self.ids[survivors][chosen], scores[chosen]))
+        return out
+
+    def _survivors(self, queries: np.ndarray, asked: np.ndarray, k: int, bars: np.ndarray) -> list[np.ndarray]:
+        n, width = self.vectors.shape
+        out: list[np.ndarray] = [np.flatnonzero(self.ids != q) for q in queries]
+        self.entries += n * width * len(queries)
+        if n <= 2 * k + 1:
+            self.read += n * width * len(queries)
+            return out
+        # What a product of whole numbers can lose as a sum of floating-point ones: nothing, unless they are huge.
+        room = 0.5 + 1e-12 * (np.abs(asked).astype(float) @ np.abs(self.floats).max(axis=0))
+        least, left = bars.astype(float), np.arange(len(queries))
+        before = 0
+        for depth in DEPTHS:
+            upto = max(1, int(n * depth))
+            self.read += (upto - before) * width * len(left)
+            before = upto
+            upper = self._upper(asked[left].astype(float), upto)
+            upper[self.ids == queries[left][:, None]] = -np.inf
+            # The lower bounds: the true scores of those that are ahead.
+            ahead = np.argpartition(upper, -2 * k, axis=1)[:, -2 * k :]
+            scores = np.einsum("qcw,qw->qc", self.floats[ahead], asked[left].astype(float))
+            scores[upper[np.arange(len(left))[:, None], ahead] == -np.inf] = -np.inf
+            least[left] = np.maximum(least[left], np.partition(scores, -k, axis=1)[:, -k] - room[left])
+            near = upper >= (least[left] - room[left])[:, None]
+            few = (near.sum(axis=1) <= max(2 * k, n // ENOUGH)) | (upto == n)
+            for i in np.flatnonzero(few):
+                out[left[i]] = np.flatnonzero(near[i])
+            left = left[~few]
+            if not len(left):
                 break
-        return alive
+        return out
+
+    def _upper(self, asked: np.ndarray, upto: int) -> np.ndarray:
+        """For each query the largest score that each candidate can have, as the lists are read so far."""
+        high, low = self.lists[-upto], self.lists[upto - 1]
+        positive, negative = np.maximum(asked, 0), np.minimum(asked, 0)
+        return positive @ np.maximum(self.floats, high).T + negative @ np.minimum(self.floats, low).T

@@ -51,8 +51,24 @@ def test_blocks(spark, monkeypatch):
     assert run(spark, rows, k=3) == brute(rows, 3, 5)
 
 
+def test_most_of_the_lists_of_embeddings_is_not_read(spark):
+    """Entries of the sorted lists that are read, with the bar that other blocks have given, of those there are."""
+    rows = topk.whole_numbers(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")).collect()
+    vectors, ids = np.array([r.v for r in rows]), np.array([r.vec_id for r in rows])
+    block = topk.SortedLists(ids, vectors)
+    scores = vectors @ vectors.T
+    np.fill_diagonal(scores, -(1 << 40))
+    asked = np.arange(0, len(ids), 100)
+    best = np.sort(scores[asked], axis=1)[:, ::-1][:, :10]
+    for bars in (best[:, -1], np.full(len(asked), topk.NO_BAR)):
+        found = block.best(ids[asked], vectors[asked], 10, bars)
+        assert [s.tolist() for _, s in found] == best.tolist()
+    assert block.read < 0.8 * block.entries
+
+
 def test_reading_stops_early():
     rng = np.random.default_rng(1)
-    vectors = rng.integers(-50, 50, (1000, 2))
-    block = topk.SortedLists(np.arange(1000), vectors)
-    assert len(block._survivors(-1, np.array([30, 1]), 5)) < 30
+    block = topk.SortedLists(np.arange(1000), rng.integers(-50, 50, (1000, 2)))
+    asked, bars = np.array([[30, 1], [-3, -40]]), np.full(2, topk.NO_BAR)
+    assert all(len(s) <= 1000 // topk.ENOUGH for s in block._survivors(np.array([-1, -2]), asked, 5, bars))
+    assert block.read < 0.3 * block.entries
