@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import string
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -11,9 +12,8 @@ from pyspark.sql import functions as F
 
 from termloom.llm.tables import staged
 
-# Share of a score that is passed over links; rounds at most, and the change at which they end.
+# Share of a score that is passed over links, and the change at which the rounds end.
 DAMPING = 0.85
-ROUNDS = 50
 SETTLED = 1e-6
 # Distrust of a host, as a share of what it would have with every page blocked, from which it is blocked.
 THRESHOLD = 0.5
@@ -75,13 +75,13 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return named.where("src <> dst AND src <> '' AND dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
     """``(kind, host, score)`` of two personalised PageRanks, from ``seeds(kind, host, weight)``.
 
     Kind ``trust`` walks along the links, ``distrust`` against them: who links to the distrusted is distrusted. The scores
     of a kind add up to 1; what reaches a host without further links goes back to the seeds. Each round is one join
-    of scores and links and one sum, written to the shared scratch folder, until the scores have settled (looked at
-    after the first round and every fifth).
+    of scores and links and one sum, written to the shared scratch folder, until the scores have settled and no further
+    host is reached (looked at after the first round and every fifth), or for so many ``rounds``.
     """
     along = links.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n")
     against = links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")
@@ -92,7 +92,7 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
     start = seeds.join(total, "kind").where(F.col("all") > 0)
     start = staged(start.select("kind", "host", (F.col("weight") / F.col("all")).alias("seed")).where("seed > 0"), "seeds")
     scores = start.select("kind", "host", F.col("seed").alias("score"))
-    for round_ in range(1, rounds + 1):
+    for round_ in itertools.count(1) if rounds is None else range(1, rounds + 1):
         passed = scores.join(edges, ["kind", "host"]).groupBy("kind", F.col("to").alias("host"))
         passed = passed.agg((damping * F.sum(F.col("score") * F.col("share"))).alias("score"))
         sums = passed.groupBy("kind").agg(F.least(F.lit(1.0), F.sum("score")).alias("given"))  # two rows at most
@@ -102,9 +102,11 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
         new = staged(passed.unionByName(back).groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
         settled = False
         if round_ == 1 or round_ % 5 == 0:
-            both = new.unionByName(scores.select("kind", "host", (-F.col("score")).alias("score")))
-            moved = both.groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("change"))
-            settled = (moved.agg(F.sum("change")).first()[0] or 0.0) < SETTLED
+            before = scores.select("kind", "host", (-F.col("score")).alias("score"), F.lit(1).alias("old"))
+            both = new.withColumn("old", F.lit(0)).unionByName(before)
+            moved = both.groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("change"), F.max("old").alias("old"))
+            change, reached = moved.agg(F.sum("change"), F.count_if(F.col("old") == 0)).first()
+            settled = (change or 0.0) < SETTLED and not reached
         scores = new
         if settled:
             break
@@ -115,7 +117,7 @@ def judge(
     pages: DataFrame,
     rules: Sequence[Rule] = RULES,
     threshold: float = THRESHOLD,
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
     url: str = "url",
     html: str = "html",
     id: str = "page_id",

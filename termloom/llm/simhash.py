@@ -110,6 +110,14 @@ def near_duplicates(
     component (null if no member has an id). Documents without words all have the zero signature and are linked like
     any others. Repeated rows stay. Equal signatures are one node of the join, so copies cost nothing there.
     """
+    found = _labelled(docs, words, budget, bands, band_bits, similarity, text, id)
+    return found.select("doc_id", "signature", "component_id")
+
+
+def _labelled(
+    docs: DataFrame, words: int, budget: int, bands: int, band_bits: int, similarity: float | None, text: str, id: str
+) -> DataFrame:
+    """The same, with ``mark``, a hash of the text."""
     if band_bits not in (32, 64) or bands * band_bits % 64:
         raise ValueError("bands of 32 or 64 bits, together whole 64-bit words")
     blocks = bands * band_bits // 64
@@ -138,7 +146,7 @@ def near_duplicates(
     named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     # A signature may have a great many documents, a component a great many signatures: Spark splits both joins.
     labels = staged(grouped.join(named, "root").select("signature", "component_id"), "labels")
-    return marked.join(labels, "signature").select("doc_id", "signature", "component_id")
+    return marked.join(labels, "signature").select("doc_id", "signature", "component_id", "mark")
 
 
 def _confirmed(asked: DataFrame, marked: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -162,16 +170,27 @@ def _confirmed(asked: DataFrame, marked: DataFrame, texts: DataFrame, words: int
     return staged(pairs.where(shared >= similarity * (both - shared)).select("u", "v").distinct(), "confirmed")
 
 
-def one_of_each(docs: DataFrame, text: str = "text", id: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller id; ``how`` as for :func:`near_duplicates`.
+def one_of_each(
+    docs: DataFrame,
+    text: str = "text",
+    id: str = "doc_id",
+    words: int = 3,
+    budget: int = 2,
+    bands: int = 1,
+    band_bits: int = 64,
+    similarity: float | None = None,
+) -> DataFrame:
+    """``docs`` without the rows whose component has a smaller id; the rest is as for :func:`near_duplicates`.
 
-    Rows that are equal in every column count once where an id repeats; rows without an id stay. The ids that go are
-    a written table: Spark broadcasts it if its files are small, or joins by exchange.
+    A row goes by its id and its text: of different texts with one id each is judged for itself. Rows that are equal in
+    every column count once where an id repeats; rows without an id stay. The rows that go are a written table of ids and
+    hashes of texts: Spark broadcasts it if its files are small, or joins by exchange.
     """
-    found = near_duplicates(docs, text=text, id=id, **how)
-    gone = staged(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    found = _labelled(docs, words, budget, bands, band_bits, similarity, text, id)
+    gone = staged(found.where("doc_id <> component_id").select("doc_id", "mark").distinct(), "gone")
     again = staged(found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "again")
-    kept = docs.join(gone, docs[id] == gone["doc_id"], "left_anti")
+    own = F.xxhash64(docs[text].cast("binary"))
+    kept = docs.join(gone, (docs[id] == gone["doc_id"]) & (own == gone["mark"]), "left_anti")
     if again.isEmpty():
         return kept
     once = kept.join(again, kept[id] == again["doc_id"], "left_semi").dropDuplicates()

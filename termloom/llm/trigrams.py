@@ -114,9 +114,10 @@ class TrigramIndex:
 
     def __init__(self, trigrams: set[bytes]):
         self.trigrams = sorted(trigrams)
-        self._number = np.zeros(1 << 24, np.uint16)
-        for i, gram in enumerate(self.trigrams, 1):
-            self._number[int.from_bytes(gram, "big")] = i
+        # Which pairs of bytes begin a wanted trigram; few do, and only there the whole is looked up.
+        self._codes = np.array([int.from_bytes(gram, "big") for gram in self.trigrams], np.uint32)
+        self._begins = np.zeros(1 << 16, bool)
+        self._begins[self._codes >> 8] = True
 
     def postings(self, texts: list[bytes]) -> dict[bytes, np.ndarray]:
         """Ascending rows by trigram."""
@@ -125,10 +126,13 @@ class TrigramIndex:
         starts = np.cumsum([0, *(len(t) + 2 for t in texts[:-1])]) if texts else np.empty(0, np.int64)
         numbers, rows = [], []
         for at in range(0, max(0, len(data) - 2), CHUNK):
-            piece = data[at : at + CHUNK + 2].astype(np.uint32)
-            found = self._number[(piece[:-2] << 16) | (piece[1:-1] << 8) | piece[2:]]
-            place = np.flatnonzero(found)
-            numbers.append(found[place])
+            piece = data[at : at + CHUNK + 2]
+            place = np.flatnonzero(self._begins[(piece[:-2].astype(np.uint16) << 8) | piece[1:-1]])
+            codes = (piece[place].astype(np.uint32) << 16) | (piece[place + 1].astype(np.uint32) << 8) | piece[place + 2]
+            number = np.searchsorted(self._codes, codes).clip(0, max(0, len(self._codes) - 1))
+            wanted = self._codes[number] == codes if len(self._codes) else np.zeros(0, bool)
+            place, number = place[wanted], number[wanted]
+            numbers.append(number.astype(np.uint16) + 1)
             rows.append(np.searchsorted(starts, place + at, "right") - 1)
         number = np.concatenate(numbers) if numbers else np.empty(0, np.uint16)
         row = np.concatenate(rows) if rows else np.empty(0, np.int64)

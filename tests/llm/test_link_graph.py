@@ -128,3 +128,11 @@ def test_no_rules(spark):
     frame = spark.createDataFrame([(1, "http://a.net/", None)], SCHEMA)
     assert link_graph.judge(frame, rules=()).first().verdict == "allow"
     assert link_graph.judge(frame, rules=(Rule("a.net/", "block"),)).first().verdict == "block"
+
+
+def test_every_host_of_a_long_chain_gets_a_score(spark):
+    links = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1) for i in range(70)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("trust", "h0", 1.0)], "kind string, host string, weight double")
+    scores = {r["host"]: r["score"] for r in link_graph.propagate(seeds, links).collect()}
+    assert len(scores) == 71 and all(s > 0 for s in scores.values())
+    assert scores["h70"] < scores["h69"] < scores["h1"]

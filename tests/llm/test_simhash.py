@@ -226,3 +226,10 @@ def test_pairs_beyond_the_expected_bits_are_decided_by_their_shingles(spark):
 def test_fingerprint_of_long_texts_counts_every_shingle():
     text = " ".join(str(i % 977) for i in range(9000))
     assert int(simhash.fingerprint(simhash.shingle_hashes(text.encode(), 3))[0]) == plain_fingerprint(text)
+
+
+def test_a_different_text_with_the_id_of_a_copy_stays(spark):
+    same, other = "one text of some words that is there twice", "quite another one, seen nowhere else at all"
+    docs = spark.createDataFrame([(1, same), (7, same), (7, other), (8, None), (9, None)], SCHEMA)
+    kept = sorted(map(tuple, simhash.one_of_each(docs).collect()))
+    assert kept == [(1, same), (7, other), (8, None)]
