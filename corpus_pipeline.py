@@ -16,9 +16,8 @@ from termloom.llm.tables import staged, table
 # A document stays if one language has this share of its letters: those with passages in two other languages do.
 LEAST_SHARE = 0.4
 
-# Near-duplicates: shingles of five words, a similarity of 0.8 or more. At that similarity a band of 32 bits differs in three
-# bits or fewer for one pair in four, so with 20 bands over 99 % of such pairs are compared if bits are independent.
-NEAR = {"words": 5, "budget": 3, "bands": 20, "band_bits": 32, "similarity": 0.8}
+# Near-duplicates: fingerprints of three-word shingles that differ in at most two bits.
+NEAR = {"words": 3, "budget": 2}
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
