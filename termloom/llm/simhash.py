@@ -7,13 +7,13 @@ which they differ are added up, and a pair is dropped as soon as it exceeds the
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.components import connected_components
@@ -21,16 +21,14 @@ from termloom.llm.tables import limit_batches, map_batches, staged
 
 # Fingerprints below a trie node from which its pairs are finished inside one task.
 LEAF = 8192
-# The same for bands, whose rows carry whole signatures: larger nodes are copied less often.
-BAND_LEAF = 1 << 18
 # Bits by which a pair of larger nodes is extended in one round.
 STEP = 2
 # Pairs of leaves that one step of a task compares at most, and leaves that are small enough to compare.
 CHUNK = 1 << 20
 SMALL = 8
 
+BITS = 64
 SEED = 42
-_GOLDEN = 0x9E3779B97F4A7C15
 
 
 def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
@@ -48,146 +46,70 @@ def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
     return np.array([digest(view[a:b], SEED) for a, b in spans], np.uint64)
 
 
-def fingerprint(hashes: np.ndarray, blocks: int = 1) -> np.ndarray:
-    """``blocks`` unsigned 64-bit words; a bit is 1 if it is set in over half the hashes. No hash: zeros.
-
-    Block 0 takes the hashes as they are; each further block mixes them anew.
-    """
-    if not len(hashes):
-        return np.zeros(blocks, np.uint64)
-    ones = np.zeros(64 * blocks, np.int64)
+def fingerprint(hashes: np.ndarray) -> np.uint64:
+    """The bits that are set in over half the hashes. No hash: 0."""
+    ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 255 * 16):
-        part = hashes[at : at + 255 * 16]
-        mixed = np.stack([part if b == 0 else _mix(part + np.uint64(b * _GOLDEN % 2**64)) for b in range(blocks)], axis=1)
-        bits = np.unpackbits(mixed.astype(">u8").view(np.uint8), axis=1)
+        bits = np.unpackbits(hashes[at : at + 255 * 16].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         for row in range(0, len(bits), 255):  # sums of 255 bits fit in a byte
             ones += np.add.reduce(bits[row : row + 255], axis=0, dtype=np.uint8)
-    return np.packbits(ones * 2 > len(hashes)).view(">u8").astype(np.uint64)
-
+    return np.packbits(ones * 2 > len(hashes)).view(">u8").astype(np.uint64)[0]
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
+def fingerprints(docs: DataFrame, words: int = 3, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """``(doc_id, fingerprint, mark)``: one row per row of ``docs``; the fingerprint's 64 bits are those of a long.
 
-def fingerprints(docs: DataFrame, words: int = 3, blocks: int = 1, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """``(doc_id, signature, mark)``: one row per row of ``docs``; the signature has ``blocks`` big-endian 64-bit words.
-
-    A null, empty or blank text has no shingle and gets a signature of zeros. Texts are taken as bytes and whole;
-    ``mark`` is a hash of them.
+    A null, empty or blank text has no shingle and gets 0. Texts are taken as bytes and whole; ``mark`` is a hash of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            signatures = [
-                fingerprint(shingle_hashes(x, words), blocks).astype(">u8").tobytes() for x in batch[1].to_pylist()
-            ]
-            columns = [batch[0].cast(pa.int64()), pa.array(signatures, pa.binary()), batch[2]]
-            yield pa.record_batch(columns, ["doc_id", "signature", "mark"])
+            found = [fingerprint(shingle_hashes(x, words)) for x in batch[1].to_pylist()]
+            values = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.record_batch([batch[0].cast(pa.int64()), values, batch[2]], ["doc_id", "fingerprint", "mark"])
 
     columns = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return map_batches(columns.withColumn("mark", F.xxhash64("text")), run, "doc_id long, signature binary, mark long")
+    return map_batches(columns.withColumn("mark", F.xxhash64("text")), run, "doc_id long, fingerprint long, mark long")
 
 
 def near_duplicates(
-    docs: DataFrame,
-    words: int = 3,
-    budget: int = 2,
-    bands: int = 1,
-    band_bits: int = 64,
-    similarity: float | None = None,
-    text: str = "text",
-    id: str = "doc_id",
+    docs: DataFrame, words: int = 3, budget: int = 2, text: str = "text", id: str = "doc_id"
 ) -> DataFrame:
-    """``(doc_id, signature, component_id)``: one row per row of ``docs``.
-
-    The signature is divided into ``bands`` of ``band_bits`` (32 or 64). Two signatures are compared when one of
-    their bands differs in at most ``budget`` bits; they are linked at once, or, if ``similarity`` is given, when the
-    whole signatures agree as expected of two shingle sets with that Jaccard similarity, or nearly so and the shingle
-    sets have it. ``component_id`` is the
-    smallest ``doc_id`` reachable over links, itself included. A null ``doc_id`` takes part and never names a
-    component (null if no member has an id). Documents without words all have the zero signature and are linked like
-    any others. Repeated rows stay. Equal signatures are one node of the join, so copies cost nothing there.
+    """``(doc_id, fingerprint, component_id)``: one row per row of ``docs``.
+
+    Two fingerprints are linked when they differ in at most ``budget`` bits; all such pairs are found.
+    ``component_id`` is the smallest ``doc_id`` reachable over links, itself included. A null ``doc_id`` takes part and never
+    names a component (null if no member has an id). Documents without words all have fingerprint 0 and are linked like
+    any others. Repeated rows stay. Equal fingerprints are one node of the join, so copies cost nothing there.
     """
-    found = _labelled(docs, words, budget, bands, band_bits, similarity, text, id)
-    return found.select("doc_id", "signature", "component_id")
+    return _labelled(docs, words, budget, text, id).select("doc_id", "fingerprint", "component_id")
 
 
-def _labelled(
-    docs: DataFrame, words: int, budget: int, bands: int, band_bits: int, similarity: float | None, text: str, id: str
-) -> DataFrame:
+def _labelled(docs: DataFrame, words: int, budget: int, text: str, id: str) -> DataFrame:
     """The same, with ``mark``, a hash of the text."""
-    if band_bits not in (32, 64) or bands * band_bits % 64:
-        raise ValueError("bands of 32 or 64 bits, together whole 64-bit words")
-    blocks = bands * band_bits // 64
-    marked = staged(fingerprints(docs, words, blocks, text, id), "signatures")
-    nodes = staged(marked.groupBy("signature").agg(F.min("doc_id").alias("least")), "nodes")
-    values = banded(nodes, bands, band_bits)
-    if similarity is None:
-        links = staged(trie_join(values, band_bits, budget), "links")
-        members = staged(connected_components(links.select("u", "v")), "members")
-    else:
-        differing, doubtful = (f(similarity, 64 * blocks) for f in (most_differing_bits, doubtful_bits))
-        links = staged(trie_join(values, band_bits, budget, differing, BAND_LEAF, doubtful), "links")
-        members = staged(connected_components(links.where("NOT asked").select("u", "v")), "members")
-        asked = links.where("asked").select("u", "v").distinct()
-        for end in ("u", "v"):
-            named = members.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
-            asked = asked.join(named, end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
-        asked = staged(asked.where("u_root <> v_root").select("u", "v"), "asked")
-        if not asked.isEmpty():
-            more = _confirmed(asked, marked, docs.select(F.col(text).cast("binary").alias("text")), words, similarity)
-            stars = members.select(F.col("node").alias("u"), F.col("root").alias("v"))
-            members = staged(connected_components(stars.unionByName(more)), "members")
-    grouped = nodes.join(members, F.col("signature") == F.col("node"), "left").withColumn(
-        "root", F.coalesce("root", "signature")
+    marked = staged(fingerprints(docs, words, text, id), "fingerprints")
+    nodes = staged(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "nodes")
+    links = staged(trie_join(nodes.select("fingerprint"), budget), "links")
+    members = connected_components(links)
+    grouped = nodes.join(members, F.col("fingerprint") == F.col("node"), "left").withColumn(
+        "root", F.coalesce("root", "fingerprint")
     )
+    grouped = staged(grouped.select("fingerprint", "least", "root"), "members")
     named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    # A signature may have a great many documents, a component a great many signatures: Spark splits both joins.
-    labels = staged(grouped.join(named, "root").select("signature", "component_id"), "labels")
-    return marked.join(labels, "signature").select("doc_id", "signature", "component_id", "mark")
-
+    # A fingerprint may have a great many documents, a component a great many fingerprints: Spark splits both joins.
+    labels = staged(grouped.join(named, "root").select("fingerprint", "component_id"), "labels")
+    return marked.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id", "mark")
 
-def _confirmed(asked: DataFrame, marked: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs ``(u, v)`` of signatures that have texts whose shingle sets have the similarity."""
-    ends = asked.select(F.explode(F.array("u", "v")).alias("signature")).distinct()
-    marks = staged(marked.join(ends, "signature").select("signature", "mark").distinct(), "marks")
-    needed = texts.withColumn("mark", F.xxhash64("text")).join(marks.select("mark").distinct(), "mark")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(x, words)).view(np.int64) for x in batch[1].to_pylist()]
-            yield pa.record_batch([batch[0], pa.array(sets, pa.list_(pa.int64()))], ["mark", "shingles"])
-
-    one = needed.groupBy("mark").agg(F.first("text").alias("text"))
-    sets = staged(map_batches(one, run, "mark long, shingles array<long>"), "shingles")
-    pairs = asked
-    for end in ("u", "v"):
-        own = marks.join(sets, "mark").select(F.col("signature").alias(end), F.col("shingles").alias(f"{end}_set"))
-        pairs = pairs.join(own, end)
-    shared, both = F.size(F.array_intersect("u_set", "v_set")), F.size("u_set") + F.size("v_set")
-    return staged(pairs.where(shared >= similarity * (both - shared)).select("u", "v").distinct(), "confirmed")
-
-
-def one_of_each(
-    docs: DataFrame,
-    text: str = "text",
-    id: str = "doc_id",
-    words: int = 3,
-    budget: int = 2,
-    bands: int = 1,
-    band_bits: int = 64,
-    similarity: float | None = None,
-) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = 3, budget: int = 2, text: str = "text", id: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose component has a smaller id; the rest is as for :func:`near_duplicates`.
 
     A row goes by its id and its text: of different texts with one id each is judged for itself. Rows that are equal in
     every column count once where an id repeats; rows without an id stay. The rows that go are a written table of ids and
     hashes of texts: Spark broadcasts it if its files are small, or joins by exchange.
     """
-    found = _labelled(docs, words, budget, bands, band_bits, similarity, text, id)
-    gone = staged(found.where("doc_id <> component_id").select("doc_id", "mark").distinct(), "gone")
+    found = staged(_labelled(docs, words, budget, text, id), "labelled")
+    gone = found.where("doc_id <> component_id").select("doc_id", "mark").distinct()
     again = staged(found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "again")
     own = F.xxhash64(docs[text].cast("binary"))
     kept = docs.join(gone, (docs[id] == gone["doc_id"]) & (own == gone["mark"]), "left_anti")
@@ -197,65 +119,24 @@ def one_of_each(
     return kept.join(again, kept[id] == again["doc_id"], "left_anti").unionByName(once)
 
 
-def most_differing_bits(similarity: float, bits: int) -> int:
-    """Bits in which signatures of sets with this Jaccard similarity are expected to differ."""
-    cosine = 2 * similarity / (1 + similarity)
-    return int(np.arccos(cosine) / np.pi * bits)
-
-
-def doubtful_bits(similarity: float, bits: int) -> int:
-    """The same, and three standard deviations more: up to there the shingle sets themselves decide."""
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(share * bits + 3 * np.sqrt(bits * share * (1 - share)))
-
-
-def banded(nodes: DataFrame, bands: int, band_bits: int) -> DataFrame:
-    """``(band, value, signature)``: the bands of each distinct signature as left-aligned 64-bit words."""
-    width = band_bits // 4
-
-    def value(band: int):
-        digits = F.rpad(F.substring(F.hex("signature"), band * width + 1, width), 16, "0")
-        # Two halves, as conv() would cut what has the sign bit.
-        high, low = (F.conv(F.substring(digits, at, 8), 16, 10).cast("long") for at in (1, 9))
-        return F.shiftleft(high, 32).bitwiseOR(low)
-
-    words = F.array(*(F.struct(F.lit(band).alias("band"), value(band).alias("value")) for band in range(bands)))
-    return nodes.select(F.inline(words), "signature")
-
-
-def trie_join(
-    values: DataFrame,
-    bits: int,
-    budget: int,
-    differing: int | None = None,
-    leaf: int = LEAF,
-    doubtful: int | None = None,
-) -> DataFrame:
-    """``(u, v, asked)`` signatures of ``(band, value, signature)`` that are linked, as spanning trees of each task.
-
-    With ``doubtful`` there are also all pairs that the links of a task do not connect and that differ in at most so
-    many bits; for these ``asked`` is true.
+def trie_join(values: DataFrame, budget: int, leaf: int = LEAF) -> DataFrame:
+    """``(u, v)`` of distinct ``(fingerprint)`` that differ in at most ``budget`` bits, as spanning trees of each task.
 
-    Pairs of trie nodes start at the root of each band. A pair whose nodes are small is finished in one task; a pair
-    with a node of over ``leaf`` rows is replaced by the pairs of its children ``STEP`` bits further down, and those
-    that differ in more than ``budget`` bits are dropped. So a task holds two small nodes at most. Only signatures
-    that share a whole band value can be more than ``leaf`` at the last depth: these are divided by hash. Without a
-    threshold the smallest signature of the node ties the parts together; with one, every part meets every other.
+    Pairs of trie nodes start at the root. A pair whose nodes are small is finished in one task; a pair with a node of over
+    ``leaf`` fingerprints is replaced by the pairs of its children ``STEP`` bits further down, and those that differ in
+    more than ``budget`` bits are dropped. So a task holds two small nodes at most.
     """
     limit_batches(values.sparkSession)
-    values = staged(values, "values")
 
     def node(depth: int):
-        return (F.shiftrightunsigned("value", 64 - depth) if depth else F.lit(0).cast("long")).alias("node")
+        return (F.shiftrightunsigned("fingerprint", BITS - depth) if depth else F.lit(0).cast("long")).alias("node")
 
     def sizes(depth: int) -> DataFrame:
-        return staged(values.groupBy("band", node(depth)).agg(F.count("*").alias("n")), "sizes")
+        return staged(values.groupBy(node(depth)).agg(F.count("*").alias("n")), "sizes")
 
-    depth, ready, last = 0, [], None
+    depth, ready = 0, []
     root = sizes(0)
-    pairs = root.select(
-        "band", F.col("node").alias("a"), F.col("node").alias("b"), F.col("n").alias("na"), F.col("n").alias("nb")
-    )
+    pairs = root.select(F.col("node").alias("a"), F.col("node").alias("b"), F.col("n").alias("na"), F.col("n").alias("nb"))
     small = F.greatest("na", "nb") <= leaf
     while True:
         pairs = staged(pairs, "pairs")
@@ -263,263 +144,42 @@ def trie_join(
         wide = pairs.where(~small)
         if wide.isEmpty():
             break
-        if depth == bits:
-            last = wide
-            break
         depth += STEP
         children, parent = sizes(depth), F.shiftrightunsigned("node", STEP)
-        left = children.select("band", parent.alias("a"), F.col("node").alias("x"), F.col("n").alias("na"))
-        right = children.select("band", parent.alias("b"), F.col("node").alias("y"), F.col("n").alias("nb"))
-        grown = wide.select("band", "a", "b").join(left, ["band", "a"]).join(right, ["band", "b"])
+        left = children.select(parent.alias("a"), F.col("node").alias("x"), F.col("n").alias("na"))
+        right = children.select(parent.alias("b"), F.col("node").alias("y"), F.col("n").alias("nb"))
+        grown = wide.select("a", "b").join(left, "a").join(right, "b")
         grown = grown.where("a <> b OR x <= y").where(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= budget)
-        pairs = grown.select("band", F.col("x").alias("a"), F.col("y").alias("b"), "na", "nb")
+        pairs = grown.select(F.col("x").alias("a"), F.col("y").alias("b"), "na", "nb")
 
-    columns = ("band", "depth", "a", "b", "part", "value", "signature")
     ends = F.when(F.col("a") == F.col("b"), F.array("a")).otherwise(F.array("a", "b"))
-
-    def members(rows: DataFrame, of: DataFrame, depth: int, *more: str) -> DataFrame:
-        needed = of.select("band", "a", "b", *more, F.explode(ends).alias("node"))
-        return rows.join(needed, ["band", "node"]).withColumn("depth", F.lit(depth))
-
-    dealt = [
-        members(values.withColumn("node", node(depth)), found, depth).withColumn("part", F.lit(0).cast("long"))
-        for depth, found in ready
-        if not found.isEmpty()
-    ]
-    if last is not None:
-        at_node, zero = values.withColumn("node", node(bits)), F.lit(0).cast("long")
-        wide = last.withColumn("pa", F.ceil(F.col("na") / leaf)).withColumn("pb", F.ceil(F.col("nb") / leaf))
-        equal, apart = wide.where("a = b"), wide.where("a <> b")
-
-        def dealt_to(of: DataFrame, own: Column, others: Column, part: Callable[[Column], Column]) -> DataFrame:
-            """Each row goes by hash to one of ``own`` parts, and from there to the tasks of all ``others``."""
-            found = members(at_node, of, bits, "pa", "pb")
-            found = found.withColumn("mine", F.pmod(F.xxhash64("signature"), own))
-            return found.withColumn("part", F.explode(F.transform(F.sequence(zero, others - 1), part)))
-
-        if differing is None:
-            first = at_node.groupBy("band", "node").agg(F.min_by("value", "signature").alias("value"), F.min("signature").alias("signature"))
-            dealt += [
-                dealt_to(equal, F.col("pa"), F.lit(1).cast("long"), lambda _: F.col("mine")),
-                members(first, equal, bits, "pa").withColumn("part", F.explode(F.sequence(zero, F.col("pa") - 1))),
-                members(first, apart, bits).withColumn("part", zero),
-            ]
-        else:
-            # Two parts of a node make a task, so that every part meets every other.
-            both = dealt_to(equal, F.col("pa"), F.col("pa"), lambda x: F.least("mine", x) * F.col("pa") + F.greatest("mine", x))
-            dealt.append(both.where("part % (pa + 1) <> 0"))
-            is_a = F.col("node") == F.col("a")
-            own, others = (F.when(is_a, F.col(x)).otherwise(F.col(y)) for x, y in (("pa", "pb"), ("pb", "pa")))
-            dealt.append(
-                dealt_to(
-                    apart, own, others,
-                    lambda x: F.when(is_a, F.col("mine") * F.col("pb") + x).otherwise(x * F.col("pb") + F.col("mine")),
-                )
-            )
+    dealt = None
+    for depth, found in ready:
+        needed = found.select("a", "b", F.explode(ends).alias("node"))
+        rows = values.withColumn("node", node(depth)).join(needed, "node")
+        rows = rows.select(F.lit(depth).alias("depth"), "a", "b", "fingerprint")
+        dealt = rows if dealt is None else dealt.unionByName(rows)
 
     def finish(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        value = group["value"].to_numpy(np.int64).view(np.uint64)
-        apart = None if key[2] == key[3] else int(key[1])
-        u, v, asked = linked_or_asked(value, list(group["signature"]), budget, differing, apart, doubtful)
-        return pd.DataFrame({"u": u, "v": v, "asked": asked})
-
-    if not dealt:
-        return values.select(F.col("signature").alias("u"), F.col("signature").alias("v"), F.lit(False).alias("asked")).limit(0)
-    rows = dealt[0].select(*columns)
-    for more in dealt[1:]:
-        rows = rows.unionByName(more.select(*columns))
-    found = rows.groupBy("band", "depth", "a", "b", "part").applyInPandas(finish, "u binary, v binary, asked boolean")
-    return found.where("u <> v")
-
-
-def linked(
-    value: np.ndarray, signature: list[bytes], budget: int, differing: int | None, apart: int | None = None
-) -> tuple[list[bytes], list[bytes]]:
-    """Edges of a spanning forest of the links within one trie node, or between two.
+        value = group["fingerprint"].to_numpy(np.int64).view(np.uint64)
+        u, v = linked(value, budget, None if key[1] == key[2] else int(key[0]))
+        return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    ``apart`` is the depth at which two nodes meet; only links between them are then looked for.
-    """
-    return linked_or_asked(value, signature, budget, differing, apart)[:2]
-
-
-def linked_or_asked(
-    value: np.ndarray,
-    signature: list[bytes],
-    budget: int,
-    differing: int | None,
-    apart: int | None = None,
-    doubtful: int | None = None,
-) -> tuple[list[bytes], list[bytes], np.ndarray]:
-    """The same, followed by the pairs of other trees that differ in at most ``doubtful`` bits; the flags tell which."""
-    wide = None
-    if differing is None:
-        order = np.argsort(value, kind="stable")
-    else:
-        wide = np.frombuffer(b"".join(signature), ">u8").astype(np.uint64).reshape(len(signature), -1)
-        order = np.lexsort((*wide.T[::-1], value))
-        wide = wide[order]
-    value, sig = value[order], [signature[i] for i in order]
-    distinct, first = np.unique(value, return_index=True)
-    ends = np.append(first[1:], len(value))
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    x = y = np.empty(0, np.int64)
-    if wide is not None:
-        clusters = _Clusters(wide, first, ends, differing, doubtful)
-        found = clusters.links(_close(distinct, budget, apart), apart is None)
-        if doubtful is not None:
-            x, y = clusters.asked()
-    else:
-        for k in np.flatnonzero(ends - first > 1) if apart is None else ():
-            members = np.arange(first[k], ends[k])
-            found.append((np.full(len(members) - 1, first[k]), members[1:]))
-        found += [(first[a], first[b]) for a, b in _close(distinct, budget, apart)]
-    if not found:
-        return [], [], np.empty(0, bool)
-    root = _forest(len(value), *(np.concatenate([pair[k] for pair in found]) for k in (0, 1)))
-    child = np.flatnonzero(root != np.arange(len(value)))
-    flags = np.repeat([False, True], [len(child), len(x)])
-    return [sig[i] for i in np.append(root[child], x)], [sig[i] for i in np.append(child, y)], flags
+    return dealt.groupBy("depth", "a", "b").applyInPandas(finish, "u long, v long")
 
 
-class _Clusters:
-    """The rows of each band value in clusters around leaders, to which they are linked.
+def linked(value: np.ndarray, budget: int, apart: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of the links within one trie node, or between two.
 
-    Two clusters of which the leaders are linked need no further look. Members of others are compared only if the
-    radii allow a link (triangle inequality) and other links do not connect them. So the components are those of
-    comparing all rows.
+    ``apart`` is the depth at which two nodes meet; only links between them are then looked for.
     """
-
-    def __init__(self, wide: np.ndarray, first: np.ndarray, ends: np.ndarray, differing: int, doubtful: int | None):
-        n = len(wide)
-        self.wide, self.differing, self.doubtful = wide, differing, doubtful
-        self.rows, head, radius = np.arange(n), np.zeros(n, bool), np.zeros(n, np.int64)
-        head[first] = True
-        for k in np.flatnonzero(ends - first > 1):
-            left, at = np.arange(first[k], ends[k]), first[k]
-            while len(left):
-                bits = _differ(wide, left[:1], left)
-                near = bits <= differing
-                size = int(near.sum())
-                head[at], radius[at] = True, bits[near].max()
-                self.rows[at : at + size] = left[near]
-                left, at = left[~near], at + size
-        self.begin = np.flatnonzero(head)
-        self.end = np.append(self.begin[1:], n)
-        self.leader, self.radius = self.rows[self.begin], radius[self.begin]
-        # Clusters of each value.
-        self.low, self.high = np.searchsorted(self.begin, first), np.searchsorted(self.begin, ends)
-        self.found = [(np.repeat(self.leader, self.end - self.begin), self.rows)]
-        self.open: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.doubts: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def links(self, close: Iterator[tuple[np.ndarray, np.ndarray]], inside: bool) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of rows that connect what is linked within the values (if ``inside``) and between ``close`` ones."""
-        if inside:
-            several = np.flatnonzero(self.high - self.low > 1)
-            self._meet(several, several)
-        for a, b in close:
-            self._meet(a, b)
-        self._settle()
-        return self.found
-
-    def _meet(self, a: np.ndarray, b: np.ndarray) -> None:
-        for i, x in _spread(self.low[a], self.high[a]):
-            for j, y in _spread(self.low[b][i], self.high[b][i]):
-                left = x[j]
-                rising = left < y  # of one value with itself each pair once
-                left, right = left[rising], y[rising]
-                bits = _differ(self.wide, self.leader[left], self.leader[right])
-                near = bits <= self.differing
-                self.found.append((self.leader[left[near]], self.leader[right[near]]))
-                maybe = ~near & (bits <= self.differing + self.radius[left] + self.radius[right])
-                self.open.append((bits[maybe], left[maybe], right[maybe]))
-                if self.doubtful is not None:
-                    maybe = ~near & (bits <= self.doubtful + self.radius[left] + self.radius[right])
-                    self.doubts.append((left[maybe], right[maybe]))
-                if sum(len(pair[0]) for pair in self.open + self.found[1:] + self.doubts[1:]) > CHUNK:
-                    self._settle()
-
-    def _settle(self) -> None:
-        """Joins the links found so far and looks at the members of the open pairs of clusters."""
-        n = len(self.rows)
-        root = _forest(n, *(np.concatenate([pair[k] for pair in self.found]) for k in (0, 1)))
-        self.found = [(root, np.arange(n))]
-        if not self.open:
-            return
-        bits, x, y = (np.concatenate([each[k] for each in self.open]) for k in range(3))
-        self.open = []
-        name = root[self.leader]
-        apart = np.flatnonzero(name[x] != name[y])
-        above: dict[int, int] = {}
-
-        def find(i: int) -> int:
-            while i in above:
-                above[i] = i = above.get(above[i], above[i])
-            return i
-
-        added = []
-        for k in apart[np.argsort(bits[apart], kind="stable")]:
-            c, d = int(x[k]), int(y[k])
-            u, v = find(int(name[c])), find(int(name[d]))
-            if u != v and (pair := self._linked(c, d)):
-                above[u] = v
-                added.append(pair)
-        if added:
-            self.found.append(tuple(np.array(added).T))
-        if self.doubts:
-            x, y = (np.concatenate([pair[k] for pair in self.doubts]) for k in (0, 1))
-            still = name[x] != name[y]
-            self.doubts = [(x[still], y[still])]
-
-    def asked(self) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of rows that no link connects and that differ in at most ``doubtful`` bits."""
-        self._settle()
-        root = _forest(len(self.rows), *(np.concatenate([pair[k] for pair in self.found]) for k in (0, 1)))
-        out = [(np.empty(0, np.int64), np.empty(0, np.int64))]
-        for c, d in self.doubts:
-            still = root[self.leader[c]] != root[self.leader[d]]
-            c, d = c[still], d[still]
-            for i, x in _spread(self.begin[c], self.end[c]):
-                for j, y in _spread(self.begin[d][i], self.end[d][i]):
-                    left, right = self.rows[x[j]], self.rows[y]
-                    near = _differ(self.wide, left, right) <= self.doubtful
-                    out.append((left[near], right[near]))
-        return tuple(np.concatenate([pair[k] for pair in out]) for k in (0, 1))
-
-    def _linked(self, c: int, d: int) -> tuple[int, int] | None:
-        """Two linked members of two clusters."""
-        left, right = (self.rows[self.begin[k] : self.end[k]] for k in (c, d))
-        left = left[_differ(self.wide, left, self.leader[d : d + 1]) <= self.differing + self.radius[d]]
-        right = right[_differ(self.wide, self.leader[c : c + 1], right) <= self.differing + self.radius[c]]
-        if not len(left):
-            return None
-        step = max(1, CHUNK // len(left))
-        for at in range(0, len(right), step):
-            part = right[at : at + step]
-            x, y = np.repeat(left, len(part)), np.tile(part, len(left))
-            near = np.flatnonzero(_differ(self.wide, x, y) <= self.differing)
-            if len(near):
-                return int(x[near[0]]), int(y[near[0]])
-        return None
-
-
-def _spread(low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(i, k) for all k from ``low[i]`` to below ``high[i]``, about ``CHUNK`` at a time."""
-    ends = np.cumsum(high - low)
-    at = 0
-    while at < len(low):
-        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, "right")))
-        n = (high - low)[at:upto]
-        which = np.repeat(np.arange(len(n)), n)
-        yield at + which, low[at:upto][which] + np.arange(len(which)) - (np.cumsum(n) - n)[which]
-        at = upto
-
-
-def _differ(wide: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    out = np.zeros(max(len(x), len(y)), np.int64)
-    for column in range(wide.shape[1]):
-        out += np.bitwise_count(wide[x, column] ^ wide[y, column])
-    return out
+    value = np.sort(value)
+    pairs = list(_close(value, budget, apart))
+    if not pairs:
+        return value[:0], value[:0]
+    root = _forest(len(value), *(np.concatenate([pair[k] for pair in pairs]) for k in (0, 1)))
+    child = np.flatnonzero(root != np.arange(len(value)))
+    return value[root[child]], value[child]
 
 
 def _close(value: np.ndarray, budget: int, apart: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -610,6 +270,6 @@ def _forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
             return root
 
 
-def hex_fingerprint(signature: str = "signature"):
-    """The first 64 bits as 16 lower-case hex digits."""
-    return F.lower(F.hex(F.substring(F.col(signature), 1, 8)))
+def hex_fingerprint(fingerprint: str = "fingerprint"):
+    """A fingerprint as 16 lower-case hex digits."""
+    return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))

@@ -2,17 +2,17 @@
 
 import collections
 
-import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 
 import __spark_entry__
 import corpus_pipeline
-from termloom.llm import language, simhash
+from termloom.llm import language
 from termloom.llm.tables import staged
 from test_mixing import filled
 from test_secrets import plain
+from test_simhash import plain_components, plain_fingerprint
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -48,29 +48,9 @@ def test_language(stages):
 
 def test_near_duplicates(stages):
     before, after = (s.collect() for s in stages[1:3])
-    prints = [simhash.fingerprint(simhash.shingle_hashes(r.text.encode(), 5), 10) for r in before]
-    most = simhash.most_differing_bits(0.8, 640)
-    shingles = [set(simhash.shingle_hashes(r.text.encode(), 5).tolist()) for r in before]
-    root = {r.doc_id: r.doc_id for r in before}
-
-    def find(d):
-        while root[d] != d:
-            d = root[d]
-        return d
-
-    similar = set()
-    for i, a in enumerate(before):
-        for j in range(i):
-            parts = (prints[i] ^ prints[j]).astype(">u8").view(">u4")
-            close = np.bitwise_count(parts).min() <= 2 and np.bitwise_count(parts).sum() <= most
-            if len(shingles[i] & shingles[j]) >= 0.9 * len(shingles[i] | shingles[j]):
-                similar.add((a.doc_id, before[j].doc_id))
-                assert close
-            if close:
-                x, y = sorted((find(a.doc_id), find(before[j].doc_id)))
-                root[y] = x
-    assert similar
-    assert sorted(r.doc_id for r in after) == sorted({find(r.doc_id) for r in before})
+    component = plain_components([(r.doc_id, plain_fingerprint(r.text)) for r in before])
+    assert sorted(r.doc_id for r in after) == sorted(set(component))
+    assert len(after) < len(before)
     assert set(after) <= set(before)
 
 
