@@ -34,7 +34,7 @@ SCRIPTS = (
 
 # Bounds of the model: labelled rows learned from for each language, languages, and letter groups for each language.
 TRAINING_ROWS = 2000
-MOST_LANGUAGES = 256
+MOST_LANGUAGES = 1024
 MOST_GRAMS = 8000
 # A language is a candidate for a script that has this share of its letters.
 SCRIPT_SHARE = 0.01
@@ -80,14 +80,17 @@ def learn(
 ) -> LanguageModel:
     """A model from the rows that have an id, a text and a language and are not held out.
 
-    About ``rows`` rows of each of the ``languages`` commonest languages are used, whole, chosen by a hash of the id;
-    their groups of three letters are counted in Spark and the commonest ``grams`` of each language kept. What comes to
-    the driver is bounded by these three numbers.
+    About ``rows`` rows of each language are used, whole, chosen by a hash of the id; their groups of three letters are
+    counted in Spark and the commonest ``grams`` of each language kept. Labels of more than ``languages`` languages are
+    refused with a ``ValueError`` (none is left out in silence), so what comes to the driver is bounded by these three
+    numbers.
     """
     spark = docs.sparkSession
     known = docs.where(F.col(id).isNotNull() & F.col(text).isNotNull() & F.col(lang).isNotNull() & ~held_out(id))
     counts = known.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n"))
-    most = counts.orderBy(F.desc("n"), "lang").limit(languages).collect()
+    most = counts.limit(languages + 1).collect()
+    if len(most) > languages:
+        raise ValueError(f"labels of more than {languages} languages: raise languages if so many are meant")
     names = tuple(sorted(r["lang"] for r in most))
     if not names:
         return LanguageModel((), {}, np.zeros((1, 0)), {})
@@ -238,15 +241,17 @@ FOUND = T.StructType(
 )
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text", switch: float = SWITCH) -> DataFrame:
-    """The rows of ``docs`` with ``language``, a struct ``(lang, score, spans)``; only the text is looked at.
+def identify(
+    docs: DataFrame, model: LanguageModel, text: str = "text", switch: float = SWITCH, name: str = "language"
+) -> DataFrame:
+    """The rows of ``docs`` with a column ``name``, a struct ``(lang, score, spans)``; only the text is looked at.
 
     ``lang`` is the language with most letters (``und`` if the text is null or has no letter, or nothing was learned),
     ``score`` its share of the letters (0 for ``und``), and ``spans`` the stretches of one language as ``(lang, start,
     end)`` in code points, which together cover the text. Texts are read whole, in the task that has them. An existing
-    column ``language`` is replaced.
+    column of that name is replaced.
     """
-    docs = docs.drop("language")
+    docs = docs.drop(name)
     place = docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the limits of learn()
 
@@ -258,9 +263,9 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", switch:
         )
         for batch in batches:
             found = pa.array(described(identifier, batch[place].to_pylist()), kind)
-            yield pa.record_batch([*batch.columns, found], [*batch.schema.names, "language"])
+            yield pa.record_batch([*batch.columns, found], [*batch.schema.names, name])
 
-    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField("language", FOUND)]))
+    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField(name, FOUND)]))
 
 
 def described(identifier: Identifier, texts: list[str | None]) -> list[dict]:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.tables import staged, word_count
+from termloom.llm.tables import staged, unused, word_count
 from termloom.operators.ranking import number_rows
 
 WEIGHTS = (3, 1, 2)
@@ -63,19 +63,20 @@ def mix(
     source: str = "source",
     size: str | None = None,
     ordered: bool = True,
+    name: str = "mix",
 ) -> DataFrame:
-    """The rows of ``docs`` with ``mix``, a struct, and sorted by its ``position`` (unless ``ordered`` is off).
+    """The rows of ``docs`` with a column ``name``, a struct, and sorted by its ``position`` (unless ``ordered`` is off).
 
-    ``mix`` has ``size`` (words of the text, or the column that ``size`` names; 0 for null), ``source_size``, ``target``, ``taken`` (words the mix takes,
+    It has ``size`` (words of the text, or the column that ``size`` names; 0 for null), ``source_size``, ``target``, ``taken`` (words the mix takes,
     repeats counted), ``position`` (when the document is first due, null if it is not taken) and ``placements``, one
     ``(epoch, words, position)`` for each time it is taken. The documents of a source are taken in the order of the MD5
     of their id, up to the target: whole ones, and the first words of the one at the boundary, so the taken words of a
     source add up to its target, rounded down. No document is taken more than ``cap`` times its size. Rows of the
     same id and size may change places; a null id counts as an empty one and a null source as a source of its own. Columns
-    of any name are carried along; one called ``mix`` is replaced.
+    of any name are carried along; one called ``name`` is replaced.
     """
     digits = max(0, math.ceil(math.log(max(1, docs.count()) / GROUP, 16)))
-    rows = docs.drop("mix").select(F.struct("*").alias("row"))
+    rows = docs.drop(name).select(F.struct("*").alias("row"))
     # A text key, as null sources must meet one another.
     key = F.coalesce(F.concat(F.lit("="), f"row.{source}"), F.lit(""))
     order = F.md5(F.coalesce(F.col(f"row.{id}").cast("string"), F.lit("")))
@@ -104,8 +105,8 @@ def mix(
     taken = F.aggregate("placements", F.lit(0).cast("long"), lambda total, p: total + p["words"])
     position = F.get("placements", F.lit(0))["position"]
     found = F.struct("size", "source_size", "target", taken.alias("taken"), position.alias("position"), "placements")
-    mixed = placed.select("row.*", found.alias("mix"))
-    return mixed.orderBy(F.col("mix.position").asc_nulls_last(), F.col(id)) if ordered else mixed
+    mixed = placed.select("row.*", found.alias(name))
+    return mixed.orderBy(F.col(name)["position"].asc_nulls_last(), F.col(id)) if ordered else mixed
 
 
 def _placement(epoch: int, schedules: Sequence[tuple[float, float]]) -> Column:
@@ -127,14 +128,15 @@ def due(share: Column, place: Column, schedules: Sequence[tuple[float, float]])
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), at))
 
 
-def taken_rows(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """One row for each time a document is taken, in training order, without ``mix``.
+def taken_rows(mixed: DataFrame, text: str = "text", name: str = "mix") -> DataFrame:
+    """One row for each time a document is taken, in training order, without the column ``name``.
 
     A document of which only the first words are taken keeps these, joined by single spaces.
     """
-    place = F.col("_place")
+    at = unused(mixed, "place")
+    place, mix_of = F.col(at), F.col(name)
     words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
-    cut = F.when(place["words"] < F.col("mix.size"), F.array_join(F.slice(words, 1, place["words"].cast("int")), " "))
-    columns = [F.coalesce(cut, F.col(c)).alias(c) if c == text else c for c in mixed.columns if c != "mix"]
-    exploded = mixed.withColumn("_place", F.explode("mix.placements"))
+    cut = F.when(place["words"] < mix_of["size"], F.array_join(F.slice(words, 1, place["words"].cast("int")), " "))
+    columns = [F.coalesce(cut, F.col(c)).alias(c) if c == text else c for c in mixed.columns if c != name]
+    exploded = mixed.withColumn(at, F.explode(mix_of["placements"]))
     return exploded.orderBy(place["position"]).select(*columns)

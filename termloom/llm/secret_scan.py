@@ -77,30 +77,32 @@ def _long_runs(rule: Rule) -> str:
     return f"{rule.pattern[:-1]}{{{rule.least},}}" if re.fullmatch(r"\[[^\]]+\]\+", rule.pattern) else rule.pattern
 
 
-def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``secrets``, an array of ``(kind, start, end)`` by start, then in the order of the rules.
+def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", name: str = "secrets") -> DataFrame:
+    """The rows of ``docs`` with a column ``name``, an array of ``(kind, start, end)`` by start, then in the order of the rules.
 
     Start and end are in code points, end exclusive. Each rule is turned into a Boolean query over the trigrams that a
     match must have. For every block of texts an inverted index of these trigrams is built, the postings are
     intersected, and only the candidates are scanned; a rule without mandatory trigrams scans all texts. A null text
     is empty and a text without secrets has an empty array. Texts are scanned whole, on the executors that read
-    them: nothing is exchanged. An existing column ``secrets`` is replaced.
+    them: nothing is exchanged. An existing column of that name is replaced.
     """
-    return _scanned(docs, rules, text, None)
+    return _scanned(docs, rules, text, None, name)
 
 
-def redact(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", mark: str = "[REDACTED]") -> DataFrame:
-    """The rows of ``docs`` with every secret of the text replaced by ``mark``, and ``secrets`` as in :func:`scan`.
+def redact(
+    docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", mark: str = "[REDACTED]", name: str = "secrets"
+) -> DataFrame:
+    """The rows of ``docs`` with every secret of the text replaced by ``mark``, and ``name`` as in :func:`scan`.
 
     Overlapping spans are replaced together. A null text stays null.
     """
-    return _scanned(docs, rules, text, mark)
+    return _scanned(docs, rules, text, mark, name)
 
 
-def _scanned(docs: DataFrame, rules: Sequence[Rule], text: str, mark: str | None) -> DataFrame:
-    docs = docs.drop("secrets")
+def _scanned(docs: DataFrame, rules: Sequence[Rule], text: str, mark: str | None, name: str) -> DataFrame:
+    docs = docs.drop(name)
     place = docs.columns.index(text)
-    schema = T.StructType([*docs.schema.fields, T.StructField("secrets", SPANS)])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, SPANS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _Scanner(rules)
@@ -114,7 +116,7 @@ def _scanned(docs: DataFrame, rules: Sequence[Rule], text: str, mark: str | None
             if mark is not None:
                 masked = [v and _masked(v, row, mark) for v, row in zip(values, found, strict=True)]
                 columns[place] = pa.array(masked, pa.string())
-            yield pa.record_batch([*columns, pa.array(spans, kind)], [*batch.schema.names, "secrets"])
+            yield pa.record_batch([*columns, pa.array(spans, kind)], [*batch.schema.names, name])
 
     return map_batches(docs, run, schema)
 

@@ -52,5 +52,13 @@ def word_count(text: str = "text"):
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """The name, with as many underscores as it takes to be no column of the frame."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
