@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm import language, mixing, piece_codec, secret_scan, simhash
 from termloom.llm.registered import MODEL_PATH
-from termloom.llm.tables import staged, table
+from termloom.llm.tables import staged, table, unused
 
 # A document stays if one language has this share of its letters: those with passages in two other languages do.
 LEAST_SHARE = 0.4
@@ -22,10 +22,11 @@ NEAR = {"words": 3, "budget": 2}
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language, which becomes their ``lang``; those without letters or without a main language go."""
-    found = language.identify(docs, language.learn(docs)).where(
-        (F.col("language.lang") != "und") & (F.col("language.score") >= LEAST_SHARE)
-    )
-    return found.withColumn("lang", F.col("language.lang")).select(*docs.columns)
+    name = unused(docs, "language")
+    found = language.identify(docs, language.learn(docs), name=name)
+    of = F.col(name)
+    kept = found.where((of["lang"] != "und") & (of["score"] >= LEAST_SHARE))
+    return kept.withColumn("lang", of["lang"]).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,19 +36,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced."""
-    cleaned = secret_scan.redact(docs)
+    cleaned = secret_scan.redact(docs, name=unused(docs, "secrets"))
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in training order, each as often as the mixture takes it."""
-    taken = mixing.taken_rows(mixing.mix(docs, ordered=False))
+    name = unused(docs, "mix")
+    taken = mixing.taken_rows(mixing.mix(docs, ordered=False, name=name), name=name)
     return taken.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text."""
-    encoded = piece_codec.encode(docs, piece_codec.read_model(MODEL_PATH))
+    rows = docs.select("doc_id", "lang", "source", "text")
+    encoded = piece_codec.encode(rows, piece_codec.read_model(MODEL_PATH))
     return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids")
 
 
