@@ -76,3 +76,9 @@ def test_nothing_learned(spark):
     assert language.identify(empty, found).collect() == []
     some = spark.createDataFrame([(2, "text", None)], SCHEMA)
     assert language.identify(some, language.learn(some)).first().language.lang == "und"
+
+
+def test_more_languages_than_allowed_are_refused(spark):
+    docs = spark.createDataFrame([(i, "some words", f"l{i}") for i in range(20)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        language.learn(docs, languages=3)

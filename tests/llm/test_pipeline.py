@@ -86,3 +86,24 @@ def test_pieces(stages):
     texts = [(r.doc_id, r.lang, r.source, r.text) for r in stages[4].collect()]
     wanted = [(d, lang, s, len(i), i) for (d, lang, s, _), i in zip(texts, library.encode([t[3] for t in texts]), strict=True)]
     assert sorted(map(tuple, stages[5].collect()), key=repr) == sorted(wanted, key=repr)
+
+
+def test_columns_of_any_name_are_carried_along(spark):
+    text = "the cat and the dog of the house are in the garden with token=abcdef1234 and more"
+    rows = [(i, f"{text} {i * 'again '}", "en", "src", 1, *[f"{k}{i}" for k in range(8)]) for i in range(1, 9)]
+    more = ["language", "mix", "secrets", "place", "_place", "ids", "mark", "fingerprint"]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *more])
+    want = {r[0]: r[5:] for r in rows}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs.columns, staged(stage(spark, docs, SMALL), "stage")
+        assert docs.columns == before
+        found = docs.collect()
+        assert found and all(tuple(r)[5:] == want[r.doc_id] for r in found), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == len(found)
+
+
+def test_empty_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = staged(stage(spark, docs, SMALL), "stage")
+        assert docs.count() == 0
