@@ -43,6 +43,8 @@ SWITCH = 12.0
 # Words times languages that are decoded together, and words a task remembers.
 BLOCK = 8_000_000
 REMEMBERED = 500_000
+# Characters of texts that are split into words together.
+TOGETHER = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -269,6 +271,23 @@ def identify(
 
 
 def described(identifier: Identifier, texts: list[str | None]) -> list[dict]:
+    """What :func:`identify` finds in each text; words of texts of like length are held together, a bounded number."""
+    out: list[dict] = [{}] * len(texts)
+    order = sorted(range(len(texts)), key=lambda i: -len(texts[i] or ""))
+    at = 0
+    while at < len(order):
+        upto, size = at, 0
+        while upto < len(order) and (upto == at or size < TOGETHER):
+            size += len(texts[order[upto]] or "")
+            upto += 1
+        some = order[at:upto]
+        for i, found in zip(some, _described(identifier, [texts[i] for i in some]), strict=True):
+            out[i] = found
+        at = upto
+    return out
+
+
+def _described(identifier: Identifier, texts: list[str | None]) -> list[dict]:
     names = identifier.model.languages
     words = [LETTERS.findall(t) if t and names else [] for t in texts]
     out = []
