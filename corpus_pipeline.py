@@ -20,6 +20,10 @@ LEAST_SHARE = 0.4
 NEAR = {"words": 3, "budget": 2}
 
 
+# Distinct words that a worker remembers while it encodes: it has other stages behind it, whose memory it keeps.
+REMEMBERED = 150_000
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language, which becomes their ``lang``; those without letters or without a main language go."""
     name = unused(docs, "language")
@@ -50,7 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text."""
     rows = docs.select("doc_id", "lang", "source", "text")
-    encoded = piece_codec.encode(rows, piece_codec.read_model(MODEL_PATH))
+    encoded = piece_codec.encode(rows, piece_codec.read_model(MODEL_PATH), remembered=REMEMBERED)
     return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids")
 
 
