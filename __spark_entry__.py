@@ -16,6 +16,7 @@ import termloom
 from termloom.functions import scoring, text, vectors
 from termloom.operators import evaluation, querying, statistics
 from termloom.plans.index import CorpusIndex, build_index, damaged_files, load_index
+from termloom.plans.phrases import documents_containing, phrase_index, phrase_search, save_phrase_index
 from termloom.plans.search import ranked_by_solver, result_listing, search, search_batch, write_results
 from termloom.session import durable, scratch_path
 from termloom.sources import corpus as corpus_source
@@ -434,34 +435,27 @@ def _judged(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], Dat
     """Both solvers' results for the benchmark, and for each item the documents, of all, that contain its text."""
     items = _benchmark(spark, sf_dir)
     index = _index(spark, sf_dir).once()
-    return ranked_by_solver(index, items, TOP), durable(_containing(_corpus(spark, sf_dir), index, items))
-
-
-def _containing(corpus: DataFrame, index: termloom.Index, items: DataFrame) -> DataFrame:
-    """``(query_id, id, rel)`` of every document that contains the whole text of an item.
-
-    Such a document has every word of the item but perhaps the first and the last, which may be parts of longer words.
-    So only the postings of the rarest of the words between are followed, and those documents looked at. Items without
-    such a word are a stated set that is compared with all documents, some at a time.
-    """
-    words = text.tokens(F.col("text"))
-    inner = F.when(F.size(words) > 2, F.slice(words, 2, F.size(words) - 2)).otherwise(F.array().cast("array<string>"))
-    items = items.withColumn("inner", inner)
-    terms = items.select("query_id", F.explode(F.array_distinct("inner")).alias("term"))
-    rarest = terms.join(index.vocab, "term").groupBy("query_id").agg(F.min(F.struct("df", "term"))["term"].alias("term"))
-    places = index.postings.join(durable(rarest), "term").select("query_id", "id")
-    pairs = durable(places).join(items.select("query_id", F.col("text").alias("item")), "query_id")
-    found = corpus.select("id", "text").join(pairs, "id").where(F.contains("text", "item")).select("query_id", "id")
-    block: list = []
-    short = items.where(F.size("inner") == 0).select("query_id", "text")
-    for row in [*short.toLocalIterator(), None]:
-        if row is not None:
-            block.append(F.struct(F.lit(row["query_id"]).alias("query_id"), F.lit(row["text"]).alias("item")))
-        if block and (row is None or len(block) == 100):
-            each = corpus.select("id", "text", F.inline(F.array(*block)))
-            found = found.unionByName(each.where(F.contains("text", "item")).select("query_id", "id"))
-            block = []
-    return found.withColumn("rel", F.lit(1))
+    return ranked_by_solver(index, items, TOP), durable(_with_rel(documents_containing(_corpus(spark, sf_dir), index, items)))
+
+
+def _with_rel(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumn("rel", F.lit(1))
+
+
+def phrase_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_search(phrase_index(_corpus(spark, sf_dir)).once(), _benchmark(spark, sf_dir))
+
+
+def saved_phrase_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = save_phrase_index(_corpus(spark, sf_dir), scratch_path(spark, "phrases"))
+    return phrase_search(index, _benchmark(spark, sf_dir))
+
+
+def judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a saved phrase index."""
+    corpus = _corpus(spark, sf_dir)
+    index = save_phrase_index(corpus, scratch_path(spark, "phrases"))
+    return _with_rel(documents_containing(corpus, index, _benchmark(spark, sf_dir)))
 
 
 def average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -500,7 +494,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         saved_search_bm25, saved_search_basic, saved_search_batch_bm25, saved_search_batch_basic,
         saved_search_batch_bm25_exchanged, saved_search_batch_bm25_early, saved_search_batch_basic_early,
         saved_term_bounds, refused_outputs, index_completeness,
-        average_precision, map_score, solver_comparison,
+        phrase_occurrences, saved_phrase_occurrences, judgements, average_precision, map_score, solver_comparison,
     )
     more = _llm.queries() if _llm else {}
     if _pipeline:
@@ -622,6 +616,23 @@ ap AS (
     )
 
 
+_PHRASES = (
+    _base()
+    + _BATCH
+    + """
+doc_words AS (SELECT id, [lower(w) for w in words if w <> ''] AS dw FROM tokenized),
+item_words AS (
+  SELECT query_id, [lower(w) for w in string_split_regex(text, '[^\\p{L}]+') if w <> ''] AS qw
+  FROM queries),
+pairs AS (
+  SELECT query_id, id, qw, dw FROM doc_words JOIN item_words
+  ON len(qw) > 0 AND contains(' ' || array_to_string(dw, ' ') || ' ', ' ' || array_to_string(qw, ' ') || ' '))
+SELECT query_id, id, CAST(len([i for i in range(1, len(dw) - len(qw) + 2) if dw[i:i + len(qw) - 1] = qw]) AS BIGINT)
+  AS occurrences FROM pairs
+"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
     more = _llm.oracle_sql() if _llm else {}
     if _pipeline and _pipeline.ORACLE_SQL:
@@ -719,6 +730,10 @@ def _text_sql() -> dict[str, str]:
         "search_batch_bm25": _top(_BM25_DEFAULT, _BATCH, columns="query_id,"),
         "saved_search_batch_bm25": _top(_BM25_DEFAULT, _BATCH, columns="query_id,"),
         "search_batch_basic": _top(_BASIC, _BATCH, columns="query_id,"),
+        "phrase_occurrences": _PHRASES,
+        "saved_phrase_occurrences": _PHRASES,
+        "judgements": base + _BATCH + end + "SELECT q.query_id, c.id, 1 AS rel FROM corpus c "
+        "JOIN queries q ON contains(c.text, q.text)",
         "average_precision": _evaluated() + "SELECT query_id, relevant, round(ap, 6) AS ap FROM ap "
         "WHERE solver = 'BM25'",
         "map_score": _evaluated() + "SELECT count(*) AS n_queries, round(avg(ap_corpus), 6) AS map FROM ap "

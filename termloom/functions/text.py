@@ -64,6 +64,36 @@ def term_bag(token_array: Column) -> Column:
     return bind(F.sort_array(token_array), runs)
 
 
+def term_places(token_array: Column) -> Column:
+    """Distinct terms of one document with their places: ``array<struct<term, places>>``, places count from 0 and rise."""
+
+    def runs(words: Column) -> Column:
+        numbered = F.sort_array(F.transform(words, lambda word, at: F.struct(word.alias("term"), at.alias("at"))))
+
+        def gather(sorted_words: Column) -> Column:
+            indexes = F.when(F.size(sorted_words) > 0, F.sequence(F.lit(0), F.size(sorted_words) - 1)).otherwise(
+                F.array().cast("array<int>")
+            )
+            starts = F.filter(
+                indexes,
+                lambda i: (i == 0) | (F.get(sorted_words, i)["term"] != F.get(sorted_words, i - 1)["term"]),
+            )
+
+            def term_at(first: Column) -> Column:
+                def one(start: Column, j: Column) -> Column:
+                    run = F.slice(sorted_words, start + 1, F.coalesce(F.get(first, j + 1), F.size(sorted_words)) - start)
+                    term = F.get(sorted_words, start)["term"].alias("term")
+                    return F.struct(term, F.transform(run, lambda e: e["at"]).alias("places"))
+
+                return F.transform(first, one)
+
+            return bind(starts, term_at)
+
+        return bind(numbered, gather)
+
+    return bind(token_array, runs)
+
+
 def analysis(text: Column, drop_empty: bool = False, only: list[str] | None = None) -> Column:
     """``struct<doc_length, terms>`` of a text; ``only`` keeps these terms, the length still counts all."""
 

@@ -1,6 +1,6 @@
 import pytest
 
-from termloom import average_precision, build_index, compare_solvers, mean_average_precision
+from termloom import average_precision, build_index, compare_solvers, documents_containing, mean_average_precision
 
 RESULTS = [
     (1, 1, "a"), (1, 2, "b"), (1, 3, "c"),  # relevant: a, c, and d which is not returned
@@ -57,11 +57,9 @@ def test_compare_solvers(spark, micro):
 
 
 def test_judgements_cover_documents_that_no_solver_returned(spark, make_corpus):
-    import __spark_entry__ as registered
-
     texts = [f"x alpha beta gamma {'alpha beta ' * 5}"] * 12 + ["y prealpha beta gammas", "short one"]
     corpus = make_corpus(*texts)
     items = spark.createDataFrame([(1, "alpha beta gamma"), (2, "ort o"), (3, "nowhere at all here"), (4, "")], "query_id int, text string")
-    found = registered._containing(corpus, build_index(corpus).once(), items).collect()
-    wanted = {(q, str(i), 1) for q, t in ((1, "alpha beta gamma"), (2, "ort o"), (4, "")) for i, d in enumerate(texts, 1) if t in d}
+    found = documents_containing(corpus, build_index(corpus).once(), items).collect()
+    wanted = {(q, str(i)) for q, t in ((1, "alpha beta gamma"), (2, "ort o"), (4, "")) for i, d in enumerate(texts, 1) if t in d}
     assert {tuple(r) for r in found} == wanted and len(found) == len(wanted)
