@@ -6,6 +6,8 @@ without empty ones, so a phrase is found whatever stands between its words and h
 
 from __future__ import annotations
 
+import functools
+
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,38 +91,59 @@ def documents_containing(corpus: DataFrame, index: PhraseIndex | Index, items: D
     """``(query_id, id)``: the documents whose text has an item's text in it, character for character.
 
     ``items`` is ``(query_id, text)``, each id once; ``index`` is one of the corpus, of words or of their places.
-    The words of an item but its first and last, which may be parts of longer words, must all be known and follow one another
-    in a document; without their places the rarest of them must be there. Only texts of such documents are compared. Items of one or two words go by the words of the vocabulary that hold, end with or begin with theirs.
+    The words of an item but its first and last, which may be parts of longer words, must all be known and follow one
+    another in a document; without their places the rarest of them must be there. Only texts of such documents are
+    compared. Items of one or two words go by the words of the vocabulary that hold, end with or begin with theirs.
     Items without a letter are looked up among what stands between words; the empty text is in every document, and a
     null in none.
     """
-    items = durable(items.where(F.col("text").isNotNull()).select("query_id", "text"))
-    words = durable(_phrase_words(items))
+    split = tokens(F.col("text"), drop_empty=True)
+    items = durable(items.where(F.col("text").isNotNull()).select("query_id", "text", F.size(split).alias("n")))
+    # Which kinds of items there are decides which routes are taken: at most four rows.
+    kinds = {row[0] for row in items.select(F.least("n", F.lit(3))).distinct().collect()}
+    words = _phrase_words(items)
     inner = words.where("offset > 0 AND offset < n - 1")
     inner = inner.select("query_id", (F.col("n") - 2).alias("need"), (F.col("offset") - 1).alias("offset"), "term")
     edges = words.where("n <= 2").select(
         "query_id", "offset", F.translate("term", "ς", "σ").alias("key"),
         F.when(F.col("n") == 1, "holds").when(F.col("offset") == 0, "ends").otherwise("begins").alias("kind"),
     )
-    if isinstance(index, PhraseIndex):
-        candidates = _places_of(index, inner).select("query_id", "id").distinct()
-    else:
-        index = PhraseIndex(index.postings, durable(index.vocab.select("term", "df", F.col("df").alias("n_places"))))
-        candidates = _with_rarest(index, _anchors(_known(index.vocab, inner)))
-        candidates = candidates.select("query_id", "id").distinct()
-    candidates = durable(candidates.unionByName(_edge_documents(index, edges)))
+    found = []
+    if not isinstance(index, PhraseIndex):
+        index = PhraseIndex(index.postings, index.vocab.select("term", "df", F.col("df").alias("n_places")))
+        if 3 in kinds:
+            found.append(_with_rarest(index, durable(_anchors(_known(index.vocab, inner)))))
+    elif 3 in kinds:
+        found.append(_places_of(index, inner))
+    found = [rows.select("query_id", "id").distinct() for rows in found]
+    if kinds & {1, 2}:
+        found.append(_edge_documents(index, edges))
+    result = _with_text(corpus, items.drop("n"), functools.reduce(DataFrame.unionByName, found)) if found else None
+    if 0 in kinds:
+        wordless = items.where("n = 0")
+        between = _between_words(corpus, wordless, _lengths(wordless, "text"))
+        result = between if result is None else result.unionByName(between)
+    if result is None:
+        result = items.select("query_id", F.lit(None).cast(corpus.schema["id"].dataType).alias("id")).where(F.lit(False))
+    return result
+
+
+def _with_text(corpus: DataFrame, items: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Those of the candidates ``(query_id, id)`` whose text has the item's text in it."""
+    candidates = durable(candidates)
+    small = items.agg(skew.byte_size(items)).first()[0] <= skew.BROADCAST_BYTES
     asked = candidates.groupBy("query_id").agg(F.count("*").alias("asked"))
-    texts = items.withColumnRenamed("text", "item").join(asked, "query_id")
-    pairs = skew.lookup_join(candidates, durable(texts), "query_id", weight="asked", spread="id")
+    texts = items.withColumnRenamed("text", "item")
+    if small:
+        pairs = candidates.join(F.broadcast(texts), "query_id")
+    else:
+        pairs = skew.salted_join(candidates, texts, skew.hot_keys(asked, "query_id", "asked"), "query_id", "id")
     if pairs.agg(skew.byte_size(pairs)).first()[0] <= skew.BROADCAST_BYTES:
         met = corpus.select("id", "text").join(F.broadcast(pairs), "id")
     else:
         wanted = bloom.passing(corpus.select("id", "text"), bloom.filter_of(candidates, "id"))
-        met = wanted.join(candidates, "id").join(texts.drop("asked"), "query_id")
-    found = met.where(F.contains("text", "item")).select("query_id", "id")
-    wordless = items.where(F.size(tokens(F.col("text"), drop_empty=True)) == 0)
-    lengths = _lengths(wordless, "text")
-    return found.unionByName(_between_words(corpus, wordless, lengths)) if lengths else found
+        met = wanted.join(pairs, "id")
+    return met.where(F.contains("text", "item")).select("query_id", "id")
 
 
 def _phrase_words(phrases: DataFrame) -> DataFrame:
@@ -229,8 +252,6 @@ def _edge_documents(index: PhraseIndex, edges: DataFrame) -> DataFrame:
     """
     edges = durable(edges)
     lengths = _lengths(edges, "key")
-    if not lengths:
-        return edges.select("query_id", F.lit(None).cast("string").alias("id")).where(F.lit(False))
     spelled = F.translate("term", "ς", "σ")
     parts = index.vocab.select("term", "df", "n_places", F.inline(_windows(spelled, lengths)))
     small = edges.agg(skew.byte_size(edges)).first()[0] <= skew.BROADCAST_BYTES
