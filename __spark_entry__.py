@@ -181,7 +181,8 @@ def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _entries(docs: DataFrame) -> DataFrame:
-    rows = docs.select("id", "title", "url", "doc_length", F.posexplode("vector").alias("position", "e"))
+    # No vector is empty. Before the inner form the optimizer filters by length, and works a decoded vector out twice.
+    rows = docs.select("id", "title", "url", "doc_length", F.posexplode_outer("vector").alias("position", "e"))
     return _round(rows.select("id", "title", "url", "doc_length", "position", "e.word_id", "e.weight"), "weight")
 
 

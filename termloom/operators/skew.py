@@ -23,12 +23,27 @@ def byte_size(frame: DataFrame) -> Column:
 def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str, spread: str) -> DataFrame:
     """Inner join of rows with a lookup that has each key once, and in ``weight`` its number of rows.
 
-    The lookup is measured by a job of its own: a small one is broadcast and the rows stay where they are, a
-    larger one is joined by exchange with the rows of hot keys divided.
+    The lookup is measured by a job of its own: a small one is broadcast and the rows stay where they are. Of a larger
+    one the keys with most rows are broadcast, as many as fit, and only the rows of the others are exchanged, with
+    those of hot keys divided. Both read ``rows``, which should be kept or cheap to read.
     """
-    if lookup.agg(byte_size(lookup)).first()[0] <= BROADCAST_BYTES:
+    # Quarters of a power of two: at most 256 sizes come back.
+    size = F.floor(F.log2(F.greatest(F.col(weight), F.lit(1)).cast("double")) * 4)
+    found = lookup.groupBy(size.alias("size")).agg(byte_size(lookup).alias("bytes")).collect()
+    held, least = 0, None
+    for row in sorted(found, reverse=True):
+        held += row["bytes"]
+        if held > BROADCAST_BYTES:
+            break
+        least = row["size"]
+    if held <= BROADCAST_BYTES:
         return rows.join(F.broadcast(lookup.drop(weight)), key)
-    return salted_join(rows, lookup.drop(weight), hot_keys(lookup, key, weight), key, spread)
+    if least is None:
+        return salted_join(rows, lookup.drop(weight), hot_keys(lookup, key, weight), key, spread)
+    common, rare = lookup.where(size >= least), lookup.where(size < least)
+    others = rows.join(F.broadcast(common.select(key)), key, "left_anti")
+    exchanged = salted_join(others, rare.drop(weight), hot_keys(rare, key, weight), key, spread)
+    return rows.join(F.broadcast(common.drop(weight)), key).unionByName(exchanged)
 
 
 def hot_keys(sizes: DataFrame, key: str, weight: str) -> DataFrame:

@@ -11,6 +11,8 @@ Search results have one too: ``{"title", "url", "relevance"} TAB relevance``.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,10 +47,7 @@ def count_lines(index: Index) -> DataFrame:
 
 def vector_lines(index: Index) -> DataFrame:
     """One line for every document; one without tokens has an empty vector."""
-    index = index.once()
-    vectors_of = index.vectors().select("id", "vector")
-    docs = index.docs.select("id", "title", "url", "doc_length").join(vectors_of, "id", "left")
-    return _vector_lines(docs.withColumn("vector", F.coalesce("vector", F.array().cast(vectors.VECTOR_TYPE))))
+    return _vector_lines(index.vectors(every=True))
 
 
 def _vector_lines(docs: DataFrame) -> DataFrame:
@@ -73,8 +72,7 @@ def export_results(results: DataFrame, path: str) -> None:
 def export_text_index(index: Index, path: str) -> None:
     """Write the text datasets under a path that must not exist; texts are analysed once, words numbered once."""
     with published(index.spark, path) as work:
-        index = index.once()
-        index = _Numbered(index, durable(index.vocabulary()))
+        index = index.once().numbered()
         term_count_lines(index).write.text(f"{work}/temp")
         stats_lines(index).write.text(f"{work}/doc_info")
         word_lines(index).write.text(f"{work}/words")
@@ -82,26 +80,11 @@ def export_text_index(index: Index, path: str) -> None:
         vector_lines(index).write.text(f"{work}/vectorized")
 
 
-class _Numbered(Index):
-    """An index whose vocabulary, with word ids, is kept."""
-
-    def __init__(self, index: Index, vocab: DataFrame):
-        super().__init__(index.docs, index.stats, vocab, index.postings, index.idf_type, index.drop_empty)
-
-    def vocabulary(self) -> DataFrame:
-        return self.vocab.select("term", "df", "idf", "word_id")
-
-
 def parse_vector_lines(lines: DataFrame) -> DataFrame:
     """``(id, title, url, doc_length, vectorized)`` from ``d TAB json`` lines; the vector is still text."""
     parsed = vectors.parse_document_json(F.split_part("value", F.lit("\t"), F.lit(2)))
-    return lines.select(parsed.alias("d")).select(
-        "d.id",
-        "d.title",
-        "d.url",
-        F.col("d.docLength").alias("doc_length"),
-        F.col("d.vectorized").alias("vectorized"),
-    )
+    # By a generator, below which no filter is moved: a line is parsed once.
+    return lines.select(F.inline(F.array(parsed))).withColumnRenamed("docLength", "doc_length")
 
 
 def read_text_index(spark: SparkSession, path: str, idf_type: str = "log") -> Index:
@@ -132,34 +115,63 @@ def read_text_index(spark: SparkSession, path: str, idf_type: str = "log") -> In
     vocab = durable(words.withColumn("df", F.round(df).cast("long")))
 
     lines_of = spark.read.option("pathGlobFilter", "part*")
-    parsed = durable(parse_vector_lines(lines_of.text(f"{path}/vectorized")))
+    parsed = parse_vector_lines(lines_of.text(f"{path}/vectorized"))
     docs = parsed.drop("vectorized")
     total = docs.agg(F.coalesce(F.sum("doc_length"), F.lit(0)).alias("total_tokens")).select("total_tokens").scalar()
     stats = stats.select("n_docs", total.alias("total_tokens"), "avgdl")
-    entries = parsed.select("id", "doc_length", F.inline(vectors.decode(F.col("vectorized"))))
+    counts = None
     if path_exists(spark, f"{path}/counts"):
         counts = part("counts", ("word_id", "long"), ("id", "string"), ("tf", "long"))
         counts = counts.withColumn("id", F.url_decode("id"))
-        entries = entries.join(counts, ["id", "word_id"], "left")
-    else:
-        entries = entries.withColumn("tf", F.lit(None).cast("long"))
-    worked_back = F.round(F.try_divide("weight", "idf")).cast("long")
-    postings = lookup_join(entries, vocab, "word_id", weight="df", spread="id").select(
-        "term", "id", F.coalesce("tf", worked_back).alias("tf"), "doc_length", F.col("weight").alias("tfidf")
-    )
-    return TextIndex(docs, stats, vocab, postings, idf_type, drop_empty=False)
-
+    return TextIndex(docs, stats, vocab, parsed, counts, idf_type)
 
 
 class TextIndex(Index):
     """An index read from text: the word ids and the weights are the file's own."""
 
+    def __init__(self, docs, stats, vocab, parsed: DataFrame, counts: DataFrame | None, idf_type: str):
+        self.parsed = parsed
+        self.counts = counts
+        super().__init__(docs, stats, vocab, None, idf_type, drop_empty=False)
+
+    @property
+    def postings(self) -> DataFrame:
+        """A line of ``counts`` is a posting; only words and lengths are looked up. Without them weights are worked back."""
+        if self._postings is None:
+            if self.counts is None:
+                self._postings = self.weighted.drop("tfidf")
+            else:
+                # A task's documents fit a table in memory, and its postings need not be sorted.
+                lengths = self.docs.select("id", "doc_length").hint("shuffle_hash")
+                rows = lookup_join(self.counts, self.vocab.select("word_id", "term", "df"), "word_id", weight="df", spread="id")
+                self._postings = rows.join(lengths, "id").select("term", "id", "tf", "doc_length")
+        return self._postings
+
+    @postings.setter
+    def postings(self, frame: DataFrame | None) -> None:
+        self._postings = frame
+
+    @functools.cached_property
+    def weighted(self) -> DataFrame:
+        """``(term, id, tf, doc_length, tfidf)``, from the entries of the vectors and, where there are any, their counts."""
+        entries = self.parsed.select("id", "doc_length", F.inline(vectors.decode(F.col("vectorized"))))
+        if self.counts is None:
+            entries = entries.withColumn("tf", F.lit(None).cast("long"))
+        else:
+            entries = entries.join(self.counts, ["id", "word_id"], "left")
+        worked_back = F.round(F.try_divide("weight", "idf")).cast("long")
+        return lookup_join(entries, self.vocab, "word_id", weight="df", spread="id").select(
+            "term", "id", F.coalesce("tf", worked_back).alias("tf"), "doc_length", F.col("weight").alias("tfidf")
+        )
+
     def vocabulary(self) -> DataFrame:
         return self.vocab.select("term", "df", "idf", "word_id")
 
-    def __init__(self, docs, stats, vocab, weighted, idf_type, drop_empty):
-        super().__init__(docs, stats, vocab, weighted.drop("tfidf"), idf_type, drop_empty)
-        self.weighted = weighted
+    def vectors(self, every: bool = False) -> DataFrame:
+        """As for any index; the file has them, so nothing is joined."""
+        entries = vectors.decode(F.col("vectorized"))
+        found = self.parsed if every else self.parsed.where("vectorized <> ''")
+        return found.select("id", "title", "url", "doc_length", F.sort_array(entries).alias("vector"))
 
     def _weighted(self, vocab: DataFrame, postings: DataFrame | None = None) -> DataFrame:
         words = vocab.select("term", "df", *(["word_id"] if "word_id" in vocab.columns else []))

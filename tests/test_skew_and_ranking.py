@@ -92,3 +92,17 @@ def test_best_of_many_tasks_are_ranked_in_groups(spark, monkeypatch):
     assert sorted(map(tuple, grouped.collect())) == want and len(want) == 18
     plan = grouped._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2 and "SPARK_PARTITION_ID" in plan
+
+
+def test_commonest_keys_of_a_large_lookup_are_broadcast(spark, monkeypatch):
+    from termloom.operators import skew
+
+    rows = spark.range(1000).select(F.expr("CAST(least(id % 50, 10) AS STRING)").alias("key"), F.col("id").alias("row"))
+    lookup = rows.groupBy("key").agg(F.count("*").alias("n")).withColumn("value", F.concat(F.lit("v"), "key"))
+    want = sorted(map(tuple, skew.lookup_join(rows, lookup, "key", "n", "row").collect()))
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 200)
+    joined = skew.lookup_join(rows, lookup, "key", "n", "row")
+    assert "Union" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, joined.collect())) == want and len(want) == 1000
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 1)
+    assert sorted(map(tuple, skew.lookup_join(rows, lookup, "key", "n", "row").collect())) == want

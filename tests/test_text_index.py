@@ -106,3 +106,13 @@ def test_ids_with_tabs_line_ends_and_other_signs(spark, make_corpus, tmp_path):
     back = read_text_index(spark, path)
     assert sorted(map(tuple, back.postings.collect())) == sorted(map(tuple, index.postings.collect()))
     assert {r["id"] for r in search(back, "more", 9).collect()} == set(ids[1:])
+
+
+def test_vectors_are_read_without_a_join(spark, make_corpus, tmp_path):
+    path = str(tmp_path / "text")
+    index = build_index(make_corpus("the cat", "the dog", "123"))
+    export_text_index(index, path)
+    back = read_text_index(spark, path)
+    assert "Join" not in back.vectors()._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, back.vectors().collect())) == sorted(map(tuple, index.vectors().collect()))
+    assert {r["id"] for r in back.vectors(every=True).collect()} == {"1", "2", "3"}
