@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from termloom.functions.scoring import SOLVERS, Scorer, scorer
 from termloom.functions.text import tokens
 from termloom.operators import bloom, skew
+from termloom.session import durable
+
+# Queries that go with a posting in one row.
+LISTED = 256
 
 
 def query_terms(queries: DataFrame, drop_empty: bool = False) -> DataFrame:
@@ -67,17 +71,34 @@ def matching_postings(postings: DataFrame, known: DataFrame, small: bool) -> Dat
 
     A small query side is broadcast and the postings stay where they are. Otherwise both sides are exchanged
     by term, with the postings, and the queries, of the commonest terms divided over many tasks. Postings that a
-    filter of the query terms rules out are left where they are.
+    filter of the query terms rules out are left where they are. A posting meets lists of the queries that ask for
+    its term, and goes with them to the other postings of its document; there it becomes a row for each query, so
+    that what is added up per document is not exchanged.
     """
     columns = ["query_id", "id", "term", "tf", "doc_length", "idf", "qtf"]
     if small:
         return postings.join(F.broadcast(known.drop("df")), "term").select(*columns)
     sizes = known.groupBy("term").agg(F.first("df").alias("df"))
-    many_postings = skew.hot_keys(sizes, "term", "df")
-    many_queries = skew.hot_keys(_askers(known), "term", "askers").withColumnRenamed("splits", "copies")
-    hot = many_postings.join(many_queries, "term", "full")
+    lists = durable(_asker_lists(known))
+    per_term = lists.groupBy("term").agg(F.count("*").alias("lists"))
+    many_lists = skew.hot_keys(per_term, "term", "lists").join(per_term.where("lists > 1"), "term")
+    many_lists = many_lists.select("term", F.least("splits", F.col("lists").cast("int")).alias("copies"))
+    hot = skew.hot_keys(sizes, "term", "df").join(many_lists, "term", "full")
     wanted = bloom.passing(postings, bloom.filter_of(known, "term"))
-    return skew.salted_join(wanted, known.drop("df"), hot, "term", "id", "query_id").select(*columns)
+    met = skew.salted_join(wanted, lists, hot, "term", "id", "list").repartition("id")
+    # Given as an expression: see text.entries().
+    pairs = F.inline(F.arrays_zip("query_id", "qtf"))
+    return met.select("id", "term", "tf", "doc_length", "idf", pairs).select(*columns)
+
+
+def _asker_lists(known: DataFrame) -> DataFrame:
+    """``(term, list, idf, query_id, qtf)``: the queries of each term in lists of about ``LISTED`` at most, as two arrays."""
+    askers = _askers(known)
+    rows = skew.salted_join(known, askers, skew.hot_keys(askers, "term", "askers"), "term", "query_id")
+    part = F.pmod(F.xxhash64("query_id"), F.ceil(F.col("askers") / LISTED)).alias("list")
+    queries = F.collect_list(F.struct("query_id", "qtf")).alias("queries")
+    lists = rows.groupBy("term", part).agg(F.first("idf").alias("idf"), queries)
+    return lists.select("term", "list", "idf", "queries.query_id", "queries.qtf")
 
 
 def term_scores(matched: DataFrame, avgdl: Column, solvers: dict[str, str | Scorer]) -> DataFrame:

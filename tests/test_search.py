@@ -202,3 +202,31 @@ def test_exchanged_batch_reads_the_texts_once(spark, make_corpus):
     assert [r[:3] for r in small] == [r[:3] for r in large]
     plan = search_batch(build_index(corpus), queries, 3, broadcast=False)._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_replace" not in plan  # analysed texts and query words are kept
+
+
+def test_exchanged_postings_carry_lists_of_queries(spark, make_corpus, monkeypatch):
+    import re
+
+    from pyspark.sql import functions as F
+    from termloom import build_index, search_batch
+    from termloom.operators import querying
+
+    monkeypatch.setattr(querying, "LISTED", 3)
+    index = build_index(make_corpus("the cat cat", "the dog", "a bird", "the the bird", "123"), validate=False)
+    texts = ["the cat", "the the dog", "bird", "qqqq", "the bird bird", "a"] * 3
+    queries = spark.createDataFrame(list(enumerate(texts)), "query_id bigint, text string")
+    for solver in ("BM25", "Basic"):
+        near, far = (
+            sorted(map(tuple, search_batch(index, queries, 4, solver, broadcast=b).withColumn("relevance", F.round("relevance", 6)).collect()))
+            for b in (None, False)
+        )
+        assert near == far and near
+    terms = querying.query_terms(queries)
+    known = querying.known_terms(terms, index.vocab, small=False)
+    lists = querying._asker_lists(known)
+    assert lists.agg(F.sum(F.size("query_id"))).first()[0] == known.count()
+    met = querying.matching_postings(index.postings, known, small=False).groupBy("query_id", "id").count()
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline" in plan  # lists are unrolled beside their document
+    # What is added up per query and document is not exchanged by both.
+    assert not re.search(r"hashpartitioning\(query_id#\w+, id#", met._jdf.queryExecution().executedPlan().toString())
