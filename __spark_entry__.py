@@ -199,7 +199,8 @@ def vector_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = text_index.vector_lines(_index(spark, sf_dir)).select(
         *(F.get_json_object(line, path).alias(name) for name, path in names.items())
     )
-    entries = vectors.decode(F.col("vector"))
+    fields = fields.withColumn("entries", vectors.decode(F.col("vector")))  # a column, which is worked out once
+    entries = F.col("entries")
     total = F.aggregate(entries, F.lit(0.0), lambda sum_, e: sum_ + e["weight"])
     return _round(
         fields.select(
