@@ -116,3 +116,12 @@ def test_vectors_are_read_without_a_join(spark, make_corpus, tmp_path):
     assert "Join" not in back.vectors()._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, back.vectors().collect())) == sorted(map(tuple, index.vectors().collect()))
     assert {r["id"] for r in back.vectors(every=True).collect()} == {"1", "2", "3"}
+
+
+def test_postings_come_from_the_counts(spark, make_corpus, tmp_path):
+    path = str(tmp_path / "text")
+    index = build_index(make_corpus("the cat cat", "the dog", "123"))
+    export_text_index(index, path)
+    back = read_text_index(spark, path)
+    assert "weight" not in back.postings._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, back.postings.collect())) == sorted(map(tuple, index.postings.collect()))
