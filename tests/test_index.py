@@ -109,3 +109,10 @@ def test_word_ids_do_not_depend_on_partitions(spark, tables_corpus):
             assert found == expected
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_vectors_of_kept_texts_group_by_number(make_corpus):
+    index = build_index(make_corpus("the cat cat", "the dog", "123")).once()
+    grouped = index.vectors()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [doc#" in grouped and "Aggregate [id#" not in grouped  # long numbers, not texts, are sorted
+    assert {r["id"]: len(r["vector"]) for r in index.vectors(every=True).collect()} == {"1": 2, "2": 2, "3": 0}
