@@ -116,3 +116,14 @@ def test_vectors_of_kept_texts_group_by_number(make_corpus):
     grouped = index.vectors()._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [doc#" in grouped and "Aggregate [id#" not in grouped  # long numbers, not texts, are sorted
     assert {r["id"]: len(r["vector"]) for r in index.vectors(every=True).collect()} == {"1": 2, "2": 2, "3": 0}
+
+
+def test_rows_are_told_by_a_set_before_single_equalities(spark):
+    from termloom.plans.index import equals_any
+
+    values = [f"w{n}" for n in range(100)]
+    rows = spark.createDataFrame([("w7",), ("other",)], "term string").where(equals_any("term", values))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "INSET" in plan and plan.index("INSET") < plan.index(" = w99")
+    assert [r["term"] for r in rows.collect()] == ["w7"]
+    assert rows.where(equals_any("term", [])).collect() == []
