@@ -26,6 +26,16 @@ def decode(text: Column) -> Column:
     return F.when(text == "", F.array().cast(VECTOR_TYPE)).otherwise(F.transform(F.split(text, ";"), element))
 
 
+def encode_list(numbers: Column) -> Column:
+    """``1,20,3`` of an array of whole numbers."""
+    return F.array_join(numbers.cast("array<string>"), ",")
+
+
+def decode_list(text: Column) -> Column:
+    none = F.array().cast("array<bigint>")
+    return F.when(text == "", none).otherwise(F.split(text, ",").cast("array<bigint>"))
+
+
 def document_json(id: Column, title: Column, url: Column, doc_length: Column, vector: Column) -> Column:
     return F.to_json(
         F.struct(

@@ -4,7 +4,7 @@
 * ``doc_info``: ``documents TAB average length``
 * ``words``: ``word TAB idf TAB word id``
 * ``vectorized``: ``d TAB {"id", "title", "url", "docLength", "vectorized": "id:weight;..."}``
-* ``counts``: ``word id TAB document id TAB count``, the document id as in a URL, beside the four others, so that no count has to be worked back
+* ``counts``: ``document id TAB length TAB word id,... TAB count,...``, the document id as in a URL, beside the four others, so that no count has to be worked back
 
 Search results have one too: ``{"title", "url", "relevance"} TAB relevance``.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from termloom.functions import vectors
 from termloom.operators.skew import lookup_join
 from termloom.plans.index import Index, StoredIndex, bucket_limits, default_buckets, save_analysed
-from termloom.session import durable, path_exists, published
+from termloom.session import durable, path_exists, published, written
 
 
 def term_count_lines(index: Index) -> DataFrame:
@@ -38,11 +38,17 @@ def word_lines(index: Index) -> DataFrame:
 
 
 def count_lines(index: Index) -> DataFrame:
-    words = index.vocabulary().select("term", "df", "word_id")
-    rows = lookup_join(index.postings.select("term", "id", "tf"), words, "term", weight="df", spread="id")
-    # Any id, one with a tab or a line end too, is one field of one line.
-    fields = (F.col("word_id").cast("string"), F.url_encode("id"), F.col("tf").cast("string"))
-    return rows.select(F.concat_ws("\t", *fields).alias("value"))
+    """One line for every document."""
+    return _count_lines(index.vectors(every=True, counts=True))
+
+
+def _count_lines(docs: DataFrame) -> DataFrame:
+    # Any id, one with a tab or a line end too, is one field of one line. An unknown count is written as 0.
+    fields = (
+        F.url_encode("id"), F.col("doc_length").cast("string"),
+        vectors.encode_list(F.col("vector.word_id")), vectors.encode_list(F.col("tfs")),
+    )
+    return docs.select(F.concat_ws("\t", *fields).alias("value"))
 
 
 def vector_lines(index: Index) -> DataFrame:
@@ -70,14 +76,15 @@ def export_results(results: DataFrame, path: str) -> None:
 
 
 def export_text_index(index: Index, path: str) -> None:
-    """Write the text datasets under a path that must not exist; texts are analysed once, words numbered once."""
+    """Write the text datasets under a path that must not exist; texts are analysed once, words numbered and joined once."""
     with published(index.spark, path) as work:
         index = index.once().numbered()
         term_count_lines(index).write.text(f"{work}/temp")
         stats_lines(index).write.text(f"{work}/doc_info")
         word_lines(index).write.text(f"{work}/words")
-        count_lines(index).write.text(f"{work}/counts")
-        vector_lines(index).write.text(f"{work}/vectorized")
+        with written(index.vectors(every=True, counts=True), "vectors") as docs:
+            _count_lines(docs).write.text(f"{work}/counts")
+            _vector_lines(docs).write.text(f"{work}/vectorized")
 
 
 def parse_vector_lines(lines: DataFrame) -> DataFrame:
@@ -121,8 +128,11 @@ def read_text_index(spark: SparkSession, path: str, idf_type: str = "log") -> In
     stats = stats.select("n_docs", total.alias("total_tokens"), "avgdl")
     counts = None
     if path_exists(spark, f"{path}/counts"):
-        counts = part("counts", ("word_id", "long"), ("id", "string"), ("tf", "long"))
-        counts = counts.withColumn("id", F.url_decode("id"))
+        lists = (vectors.decode_list(F.col(name)).alias(name) for name in ("word_id", "tf"))
+        lines = part("counts", ("id", "string"), ("doc_length", "long"), ("word_id", "string"), ("tf", "string"))
+        # The lists are given as an expression: see text.entries().
+        counts = lines.select(F.url_decode("id").alias("id"), "doc_length", F.inline(F.arrays_zip(*lists)))
+        counts = counts.withColumn("tf", F.nullif("tf", F.lit(0)))
     return TextIndex(docs, stats, vocab, parsed, counts, idf_type)
 
 
@@ -136,15 +146,14 @@ class TextIndex(Index):
 
     @property
     def postings(self) -> DataFrame:
-        """A line of ``counts`` is a posting; only words and lengths are looked up. Without them weights are worked back."""
+        """A line of ``counts`` has the postings of a document; only words are looked up. Without it weights are worked back."""
         if self._postings is None:
             if self.counts is None:
                 self._postings = self.weighted.drop("tfidf")
             else:
-                # A task's documents fit a table in memory, and its postings need not be sorted.
-                lengths = self.docs.select("id", "doc_length").hint("shuffle_hash")
-                rows = lookup_join(self.counts, self.vocab.select("word_id", "term", "df"), "word_id", weight="df", spread="id")
-                self._postings = rows.join(lengths, "id").select("term", "id", "tf", "doc_length")
+                words = self.vocab.select("word_id", "term", "df")
+                rows = lookup_join(self.counts, words, "word_id", weight="df", spread="id")
+                self._postings = rows.select("term", "id", "tf", "doc_length")
         return self._postings
 
     @postings.setter
@@ -158,7 +167,7 @@ class TextIndex(Index):
         if self.counts is None:
             entries = entries.withColumn("tf", F.lit(None).cast("long"))
         else:
-            entries = entries.join(self.counts, ["id", "word_id"], "left")
+            entries = entries.join(self.counts.drop("doc_length"), ["id", "word_id"], "left")
         worked_back = F.round(F.try_divide("weight", "idf")).cast("long")
         return lookup_join(entries, self.vocab, "word_id", weight="df", spread="id").select(
             "term", "id", F.coalesce("tf", worked_back).alias("tf"), "doc_length", F.col("weight").alias("tfidf")
@@ -167,8 +176,10 @@ class TextIndex(Index):
     def vocabulary(self) -> DataFrame:
         return self.vocab.select("term", "df", "idf", "word_id")
 
-    def vectors(self, every: bool = False) -> DataFrame:
-        """As for any index; the file has them, so nothing is joined."""
+    def vectors(self, every: bool = False, counts: bool = False) -> DataFrame:
+        """As for any index; the file has them, so nothing is joined, unless their counts are wanted."""
+        if counts:
+            return super().vectors(every, counts)
         entries = vectors.decode(F.col("vectorized"))
         found = self.parsed if every else self.parsed.where("vectorized <> ''")
         return found.select("id", "title", "url", "doc_length", F.sort_array(entries).alias("vector"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from termloom import build_index, export_results, export_text_index, read_text_index, search
 from termloom.functions import vectors
+from termloom.operators import skew
 from termloom.sources import text_index
 
 
@@ -125,3 +126,37 @@ def test_postings_come_from_the_counts(spark, make_corpus, tmp_path):
     back = read_text_index(spark, path)
     assert "weight" not in back.postings._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, back.postings.collect())) == sorted(map(tuple, index.postings.collect()))
+
+
+def test_counts_have_a_line_for_each_document(spark, make_corpus, tmp_path):
+    """Postings meet the words alone: their documents' lengths are in their line."""
+    path = str(tmp_path / "text")
+    export_text_index(build_index(make_corpus(("a\tb", "the cat cat"), "the dog", "123")), path)
+    assert sorted(r[0] for r in spark.read.text(f"{path}/counts").collect()) == ["2\t2\t1,2\t1,1", "3\t0\t\t", "a%09b\t3\t0,2\t2,1"]
+    back = read_text_index(spark, path)
+    assert back.postings._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_words_are_joined_once_in_an_export(make_corpus, tmp_path, monkeypatch):
+    from termloom.plans import index as index_module
+
+    calls = []
+
+    def counting(*args, **kwargs):
+        calls.append(args[2])
+        return skew.lookup_join(*args, **kwargs)
+
+    monkeypatch.setattr(index_module, "lookup_join", counting)
+    monkeypatch.setattr(text_index, "lookup_join", counting)
+    export_text_index(build_index(make_corpus("the cat cat", "the dog")), str(tmp_path / "text"))
+    assert calls == ["term"]
+
+
+def test_unknown_counts_stay_unknown(spark, make_corpus, tmp_path):
+    """A text form without counts, written again."""
+    path = tmp_path / "text"
+    export_text_index(build_index(make_corpus("the cat cat", "the dog")), str(path))
+    (path / "counts").rename(tmp_path / "counts")
+    export_text_index(read_text_index(spark, str(path)), str(tmp_path / "again"))
+    back = read_text_index(spark, str(tmp_path / "again"))
+    assert {(r["term"], r["tf"]) for r in back.postings.collect()} == {("the", None), ("cat", 2), ("dog", 1)}
