@@ -18,9 +18,10 @@ def encode(vector: Column) -> Column:
 
 def decode(text: Column) -> Column:
     def element(part: Column) -> Column:
+        # Searches for the sign; split_part() makes an array of the parts each time. Without the sign there is no number.
+        weight = F.when(F.contains(part, F.lit(":")), F.substring_index(part, ":", -1)).otherwise("")
         return F.struct(
-            F.split_part(part, F.lit(":"), F.lit(1)).cast("long").alias("word_id"),
-            F.split_part(part, F.lit(":"), F.lit(2)).cast("double").alias("weight"),
+            F.substring_index(part, ":", 1).cast("long").alias("word_id"), weight.cast("double").alias("weight")
         )
 
     return F.when(text == "", F.array().cast(VECTOR_TYPE)).otherwise(F.transform(F.split(text, ";"), element))

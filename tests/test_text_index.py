@@ -160,3 +160,12 @@ def test_unknown_counts_stay_unknown(spark, make_corpus, tmp_path):
     export_text_index(read_text_index(spark, str(path)), str(tmp_path / "again"))
     back = read_text_index(spark, str(tmp_path / "again"))
     assert {(r["term"], r["tf"]) for r in back.postings.collect()} == {("the", None), ("cat", 2), ("dog", 1)}
+
+
+def test_vectors_are_parsed_without_arrays_of_parts(spark):
+    frame = spark.createDataFrame([("1:0.1;20:3.0E-7",), ("",)], "t string")
+    decoded = frame.select(vectors.decode(F.col("t")).alias("v"))
+    assert "split_part" not in decoded._jdf.queryExecution().analyzed().toString()
+    assert [[tuple(e) for e in r["v"]] for r in decoded.collect()] == [[(1, 0.1), (20, 3e-7)], []]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        spark.createDataFrame([("12",)], "t string").select(vectors.decode(F.col("t"))).collect()
