@@ -127,3 +127,9 @@ def test_rows_are_told_by_a_set_before_single_equalities(spark):
     assert "INSET" in plan and plan.index("INSET") < plan.index(" = w99")
     assert [r["term"] for r in rows.collect()] == ["w7"]
     assert rows.where(equals_any("term", [])).collect() == []
+
+
+def test_vocabulary_of_kept_texts_is_not_counted_again(make_corpus):
+    index = build_index(make_corpus("the cat cat", "the dog", "123")).once()
+    assert "Aggregate" not in index.vocab._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["term"]: r["df"] for r in index.vocab.collect()} == {"the": 2, "cat": 1, "dog": 1}
