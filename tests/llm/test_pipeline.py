@@ -3,13 +3,15 @@
 import collections
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
 from termloom.llm import language
-from termloom.llm.tables import staged
+from termloom.llm.tables import map_batches, staged
 from test_mixing import filled
 from test_secrets import plain
 from test_simhash import plain_components, plain_fingerprint
@@ -107,3 +109,16 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = staged(stage(spark, docs, SMALL), "stage")
         assert docs.count() == 0
+
+
+def test_a_task_hands_few_megabytes_to_python_at_a_time(spark):
+    """Texts of half a megabyte each: a batch, which the JVM and Python hold several times over, stays at 5 MB."""
+    texts = spark.range(40, numPartitions=1).withColumn("text", F.repeat(F.lit("words "), 90_000))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([[batch.nbytes], [batch.num_rows]], ["bytes", "rows"])
+
+    found = map_batches(texts, sizes, "bytes long, rows long").collect()
+    assert sum(r["rows"] for r in found) == 40
+    assert max(r["bytes"] for r in found) <= 5_000_000
