@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from termloom.functions.text import SEPARATOR, term_places, tokens
 from termloom.operators import bloom, skew
 from termloom.plans.index import PUSHED_VALUES, Index, bucket_limits, default_buckets, equals_any
-from termloom.session import durable, path_exists, published, qualified
+from termloom.session import durable, path_exists, published, qualified, refuse_existing
 from termloom.sources.corpus import text_bytes
 
 PLACES_SCHEMA = "term STRING, id STRING, places ARRAY<INT>"
@@ -59,6 +59,7 @@ def save_phrase_index(corpus: DataFrame, path: str, parts: int | None = None) ->
     by term, so a lookup skips the row groups of other words.
     """
     spark = corpus.sparkSession
+    refuse_existing(spark, path)
     if parts is None:
         parts = default_buckets(text_bytes(corpus), *bucket_limits(spark))
     dealt = corpus.select("id", "text").repartition(parts, "id")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from termloom import build_index, load_index, search
 from termloom.plans.index import damaged_files, default_buckets
+from termloom.plans.phrases import save_phrase_index
 from termloom.session import published
 
 
@@ -73,3 +74,14 @@ def test_never_more_buckets_than_the_catalog_allows(spark, make_corpus, tmp_path
             build_index(corpus, validate=False).save(str(tmp_path / "b"), buckets=4)
     finally:
         spark.conf.set("spark.sql.sources.bucketing.maxBuckets", before)
+
+
+def test_an_existing_path_is_refused_before_a_text_is_read(spark, make_corpus, tmp_path):
+    path = str(tmp_path / "out")
+    os.makedirs(path)
+    unread = make_corpus("a b").withColumn("text", F.raise_error(F.concat(F.lit("read "), "text")))
+    with pytest.raises(FileExistsError):
+        build_index(unread, validate=False).save(path)
+    with pytest.raises(FileExistsError):
+        save_phrase_index(unread, path)
+    assert os.listdir(tmp_path) == ["out"] and os.listdir(path) == []
