@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import operator
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -12,14 +13,17 @@ from termloom.functions.scoring import SOLVERS, Scorer, scorer
 from termloom.functions.text import tokens
 from termloom.operators import querying
 from termloom.operators.evaluation import average_precision, mean_average_precision
-from termloom.operators.ranking import top_n
-from termloom.plans.early import WORTHWHILE, best_candidates, possible
+from termloom.operators.ranking import SCORE_DECIMALS, top_n
+from termloom.plans.early import ROOM, WORTHWHILE, best_candidates, possible
 from termloom.plans.index import PUSHED_VALUES, Index
-from termloom.session import durable, published
+from termloom.session import durable, published, stored
 
 RESULT_COLUMNS = ("query_id", "rank", "id", "title", "url", "relevance")
 # What the vocabulary of a saved index has for early termination.
 BOUNDS = ("max_tf", "peak")
+# Groups of documents for each of the best n, of which the best give a bar; and the longest lists that have bars.
+GROUPS = 8
+MOST_BARRED = 1000
 
 
 def check_n(n: int) -> None:
@@ -147,12 +151,34 @@ def compare_results(
     return functools.reduce(DataFrame.unionByName, rows)
 
 
+def within_reach(summed: DataFrame, n: int, scores: tuple[str, ...]) -> DataFrame:
+    """``summed(query_id, id, *scores)`` without documents that are not among the ``n`` best of a query by any score.
+
+    Documents are divided into groups by their ids. There are ``n`` documents at least as good as the nth best of the
+    groups' best ones, which is a bar for the query: far fewer are left to be sorted. Ties stay. The bars, a row for each
+    query, are broadcast. ``summed`` is read twice.
+    """
+    group = F.pmod(F.xxhash64("id"), F.lit(GROUPS * n)).alias("group")
+    best = summed.groupBy("query_id", group).agg(*(F.max(name).alias(name) for name in scores))
+    nth = [F.get(F.sort_array(F.collect_list(name), asc=False), F.lit(n - 1)).alias(f"_bar_{name}") for name in scores]
+    bars = best.groupBy("query_id").agg(*nth)
+    reaches = [
+        F.coalesce(F.col(name) >= F.col(f"_bar_{name}") - F.abs(f"_bar_{name}") * ROOM - 10.0**-SCORE_DECIMALS, F.lit(True))
+        for name in scores
+    ]
+    left = summed.join(F.broadcast(bars), "query_id", "left").where(functools.reduce(operator.or_, reaches))
+    return left.select(*summed.columns)
+
+
 def ranked_by_solver(index: Index, queries: DataFrame, n: int) -> dict[str, DataFrame]:
     """``(query_id, rank, id, relevance)`` for each solver; the scores are worked out once and kept."""
     check_n(n)
     terms = durable(querying.query_terms(queries, index.drop_empty))
-    scores = _term_scores(index, terms, querying.measure(terms), {name: name for name in SOLVERS})
+    size = querying.measure(terms)
+    scores = _term_scores(index, terms, size, {name: name for name in SOLVERS})
     summed = scores.groupBy("query_id", "id").agg(*(F.sum(name).alias(name) for name in SOLVERS))
+    if size.small and 0 < n <= MOST_BARRED:
+        summed = within_reach(stored(summed, "scores"), n, tuple(SOLVERS))
     by_solver = F.array(*(F.struct(F.lit(name).alias("solver"), F.col(name).alias("relevance")) for name in SOLVERS))
     scored = summed.select("query_id", "id", F.inline(by_solver)).where("relevance <> 0")
     kept = durable(top_n(scored, n, per=("solver", "query_id")))

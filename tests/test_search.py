@@ -230,3 +230,38 @@ def test_exchanged_postings_carry_lists_of_queries(spark, make_corpus, monkeypat
     assert "Generate inline" in plan  # lists are unrolled beside their document
     # What is added up per query and document is not exchanged by both.
     assert not re.search(r"hashpartitioning\(query_id#\w+, id#", met._jdf.queryExecution().executedPlan().toString())
+
+
+def test_few_documents_are_ranked_for_both_solvers(spark):
+    """Bars leave all of the best of each query by any score, ties too, and far fewer documents than there are."""
+    from termloom.plans import search as plans
+
+    rows = spark.range(20_000).select(
+        (F.col("id") % 3).alias("query_id"), F.col("id").cast("string").alias("id"),
+        F.pmod(F.xxhash64("id"), F.lit(997)).cast("double").alias("BM25"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(5)).cast("double").alias("Basic"),
+    ).where("query_id < 2 OR id < 20")
+    left = plans.within_reach(rows, 5, ("BM25", "Basic"))
+    bars = {row[0]: row[1:] for row in left.groupBy("query_id").agg(F.count("*"), F.count_if(F.col("Basic") == 4)).collect()}
+    whole = {row[0]: row[1] for row in rows.groupBy("query_id").agg(F.count_if(F.col("Basic") == 4)).collect()}
+    assert {query: found[1] for query, found in bars.items()} == whole  # all tie for the best
+    assert bars[0][0] - bars[0][1] < 50 and bars[2][0] == rows.where("query_id = 2").count() == 6
+    for score in ("BM25", "Basic"):
+        best = [plans.top_n(f.withColumn("relevance", F.col(score)), 5).select("query_id", "rank", "id") for f in (rows, left)]
+        assert sorted(map(tuple, best[0].collect())) == sorted(map(tuple, best[1].collect()))
+
+
+def test_solvers_are_compared_with_bars_as_without(spark, tables_corpus, monkeypatch):
+    from termloom.plans import search as plans
+
+    index = build_index(tables_corpus, validate=False)
+    queries = spark.createDataFrame([(1, "the of and"), (2, "la le"), (3, "zzzz")], "query_id int, text string")
+    calls, within = [], plans.within_reach
+    monkeypatch.setattr(plans, "within_reach", lambda *given: calls.append(given[1]) or within(*given))
+    barred = plans.ranked_by_solver(index, queries, 4)
+    monkeypatch.setattr(plans, "MOST_BARRED", 0)
+    plain = plans.ranked_by_solver(index, queries, 4)
+    assert calls == [4] and set(barred) == {"BM25", "Basic"}
+    for solver, found in barred.items():
+        columns = ["query_id", "rank", "id", F.round("relevance", 9)]
+        rows = [sorted(map(tuple, f.select(*columns).collect())) for f in (found, plain[solver])]
+        assert rows[0] == rows[1] and len(rows[0]) > 4
