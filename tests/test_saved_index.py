@@ -151,3 +151,23 @@ def test_a_common_word_does_not_swell_a_bucket(spark, make_corpus, tmp_path):
     stored = build_index(make_corpus(*texts), validate=False).save(str(tmp_path / "index"), buckets=8)
     sizes = [r["count"] for r in stored.postings.groupBy(F.input_file_name()).count().collect()]
     assert sum(sizes) == 1200 and max(sizes) < 2 * 1200 / 8
+
+
+def test_postings_are_sorted_by_term_alone(spark, tables_corpus, tmp_path, monkeypatch):
+    """Each bucket by its own writer, also where a task has many of them; a sort that began with the bucket would compare whole words."""
+    from termloom.plans import index as plans
+
+    held, before, setting = [], spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"), plans.setting
+    monkeypatch.setattr(plans, "setting", lambda *given: held.append(given[1:]) or setting(*given))
+    index = build_index(tables_corpus, validate=False).save(str(tmp_path / "index"), buckets=40)
+    assert held == [("spark.sql.maxConcurrentOutputFileWriters", "40")]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    placed = index.postings.select("term", "id", "_metadata.file_name", F.monotonically_increasing_id().alias("at"))
+    rows = placed.select("file_name", "at", "term", F.expr("pmod(hash(id), 40)").alias("bucket")).collect()
+    files = {}
+    for file, _, term, bucket in sorted(rows):
+        files.setdefault(file, []).append((term.encode(), bucket))
+    assert len(files) == len({bucket for found in files.values() for _, bucket in found})
+    for file, found in files.items():
+        assert {bucket for _, bucket in found} == {int(file.split("_")[1].split(".")[0])}
+        assert [term for term, _ in found] == sorted(term for term, _ in found)
