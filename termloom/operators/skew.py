@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str, sprea
     one the keys with most rows are broadcast, as many as fit, and only the rows of the others are exchanged, with
     those of hot keys divided. Both read ``rows``, which should be kept or cheap to read.
     """
+    return functools.reduce(DataFrame.unionByName, lookup_parts(rows, lookup, key, weight, spread))
+
+
+def lookup_parts(rows: DataFrame, lookup: DataFrame, key: str, weight: str, spread: str) -> list[DataFrame]:
+    """The frames that :func:`lookup_join` puts together: rows that stay where they are, if any, and exchanged ones, if any."""
     # Quarters of a power of two: at most 256 sizes come back.
     size = F.floor(F.log2(F.greatest(F.col(weight), F.lit(1)).cast("double")) * 4)
     found = lookup.groupBy(size.alias("size")).agg(byte_size(lookup).alias("bytes")).collect()
@@ -37,13 +44,13 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str, sprea
             break
         least = row["size"]
     if held <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(lookup.drop(weight)), key)
+        return [rows.join(F.broadcast(lookup.drop(weight)), key)]
     if least is None:
-        return salted_join(rows, lookup.drop(weight), hot_keys(lookup, key, weight), key, spread)
+        return [salted_join(rows, lookup.drop(weight), hot_keys(lookup, key, weight), key, spread)]
     common, rare = lookup.where(size >= least), lookup.where(size < least)
     others = rows.join(F.broadcast(common.select(key)), key, "left_anti")
     exchanged = salted_join(others, rare.drop(weight), hot_keys(rare, key, weight), key, spread)
-    return rows.join(F.broadcast(common.drop(weight)), key).unionByName(exchanged)
+    return [rows.join(F.broadcast(common.drop(weight)), key), exchanged]
 
 
 def hot_keys(sizes: DataFrame, key: str, weight: str) -> DataFrame:

@@ -171,3 +171,19 @@ def test_postings_are_sorted_by_term_alone(spark, tables_corpus, tmp_path, monke
     for file, found in files.items():
         assert {bucket for _, bucket in found} == {int(file.split("_")[1].split(".")[0])}
         assert [term for term, _ in found] == sorted(term for term, _ in found)
+
+
+def test_common_postings_are_gathered_where_they_lie(spark, saved, monkeypatch):
+    from termloom.operators import skew
+
+    lazy, stored, _ = saved
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 200_000)
+    flat = ["id", "title", "doc_length", F.to_json("vector")]
+    vectors = stored.vectors()
+    assert rows(vectors, *flat) == rows(lazy.vectors(), *flat)
+    assert rows(stored.vectors(every=True), "id") == rows(stored.docs, "id")
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    # Of common words only documents are exchanged: neither a union of postings nor a second exchange by id.
+    assert "Union" not in plan and plan.count("Bucketed: true") >= 1
+    with_counts = stored.vectors(counts=True).select("id", F.to_json("vector"), F.size("tfs"), F.size("vector"))
+    assert all(r[2] == r[3] for r in with_counts.collect())
