@@ -1,10 +1,12 @@
 import random
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from termloom.llm import piece_codec
+from termloom.llm import piece_codec, registered
 from termloom.llm.piece_codec import MARK, PieceCodec
 
 MODEL = piece_codec.read_model(public_tokenizers.path("piece_bpe_32k.model"))
@@ -95,3 +97,25 @@ def test_verified_words_are_those_that_decode(monkeypatch):
     inner = codec._ids_of
     monkeypatch.setattr(codec, "_ids_of", lambda word, last: inner(word, last)[1:] if "lost" in word else inner(word, last))
     assert codec.encode_batch(["it is lost", "it is here", "", "lost"])[1].tolist() == [False, True, True, False]
+
+
+def test_batches_decode_as_single_lists():
+    lists = [*LIBRARY.encode(random_texts(60, 5)), [0, 5], [1, 300, 2], [], None, [1, 2], list(range(3, 259))]
+    codec, column = PieceCodec(MODEL), pa.array(lists, pa.list_(pa.int32()))
+    assert codec.decode_batch(column) == [codec.decode(ids) for ids in lists]
+    assert codec.decode_batch(column.slice(3, 20)) == [codec.decode(ids) for ids in lists[3:23]]
+    assert codec.decode_batch(column.slice(2, 0)) == []
+
+
+def test_op2_decodes_the_ids_that_it_returns(spark, monkeypatch):
+    small, encode = "/root/testdata/sf0.001", piece_codec.encode
+    assert all(r.round_trip for r in registered.op2_pieces(spark, small).select("round_trip").collect())
+    lost = (F.col("doc_id") % 2 == 0) & (F.size("ids") > 0)
+
+    def losing(*args, **named):
+        return encode(*args, **named).withColumn("ids", F.when(lost, F.expr("slice(ids, 1, size(ids) - 1)")).otherwise(F.col("ids")))
+
+    monkeypatch.setattr(piece_codec, "encode", losing)
+    rows = registered.op2_pieces(spark, small).select("doc_id", "n_ids", "round_trip").collect()
+    assert {r.round_trip for r in rows if r.doc_id % 2 == 0 and r.n_ids > 0} == {False}
+    assert all(r.round_trip for r in rows if r.doc_id % 2)
