@@ -6,6 +6,9 @@
 * ``vectorized``: ``d TAB {"id", "title", "url", "docLength", "vectorized": "id:weight;..."}``
 * ``counts``: ``document id TAB length TAB word id,... TAB count,...``, the document id as in a URL, beside the four others, so that no count has to be worked back
 
+The three datasets with a line or more for each document are compressed (gzip), which is undone wherever Hadoop or Spark
+reads text; ``doc_info`` and ``words`` are plain, as they are also opened as files.
+
 Search results have one too: ``{"title", "url", "relevance"} TAB relevance``.
 """
 
@@ -13,13 +16,13 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions import vectors
 from termloom.operators.skew import lookup_join
 from termloom.plans.index import Index, StoredIndex, bucket_limits, default_buckets, save_analysed
-from termloom.session import durable, path_exists, published, written
+from termloom.session import deleted, durable, moved, path_exists, published, setting
 
 
 def term_count_lines(index: Index) -> DataFrame:
@@ -39,26 +42,26 @@ def word_lines(index: Index) -> DataFrame:
 
 def count_lines(index: Index) -> DataFrame:
     """One line for every document."""
-    return _count_lines(index.vectors(every=True, counts=True))
+    return index.vectors(every=True, counts=True).select(_count_line().alias("value"))
 
 
-def _count_lines(docs: DataFrame) -> DataFrame:
+def _count_line() -> Column:
     # Any id, one with a tab or a line end too, is one field of one line. An unknown count is written as 0.
     fields = (
         F.url_encode("id"), F.col("doc_length").cast("string"),
         vectors.encode_list(F.col("vector.word_id")), vectors.encode_list(F.col("tfs")),
     )
-    return docs.select(F.concat_ws("\t", *fields).alias("value"))
+    return F.concat_ws("\t", *fields)
 
 
 def vector_lines(index: Index) -> DataFrame:
     """One line for every document; one without tokens has an empty vector."""
-    return _vector_lines(index.vectors(every=True))
+    return index.vectors(every=True).select(_vector_line().alias("value"))
 
 
-def _vector_lines(docs: DataFrame) -> DataFrame:
+def _vector_line() -> Column:
     json = vectors.document_json(*(F.col(c) for c in ("id", "title", "url", "doc_length", "vector")))
-    return docs.select(F.concat_ws("\t", F.lit("d"), json).alias("value"))
+    return F.concat_ws("\t", F.lit("d"), json)
 
 
 def result_lines(results: DataFrame) -> DataFrame:
@@ -76,15 +79,31 @@ def export_results(results: DataFrame, path: str) -> None:
 
 
 def export_text_index(index: Index, path: str) -> None:
-    """Write the text datasets under a path that must not exist; texts are analysed once, words numbered and joined once."""
+    """Write the text datasets under a path that must not exist; texts are analysed once, words numbered and joined once.
+
+    Both lines of a document are written by the task that puts its vector together: nothing of it is kept in between.
+    """
     with published(index.spark, path) as work:
         index = index.once().numbered()
-        term_count_lines(index).write.text(f"{work}/temp")
+        _compressed(term_count_lines(index)).text(f"{work}/temp")
         stats_lines(index).write.text(f"{work}/doc_info")
         word_lines(index).write.text(f"{work}/words")
-        with written(index.vectors(every=True, counts=True), "vectors") as docs:
-            _count_lines(docs).write.text(f"{work}/counts")
-            _vector_lines(docs).write.text(f"{work}/vectorized")
+        docs = index.vectors(every=True, counts=True)
+        each = {"counts": _count_line(), "vectorized": _vector_line()}
+        lines = F.array(*(F.struct(F.lit(name).alias("dataset"), line.alias("value")) for name, line in each.items()))
+        # A writer for each of the two datasets, or the lines would be sorted by their dataset first.
+        with setting(index.spark, "spark.sql.maxConcurrentOutputFileWriters", str(len(each))):
+            _compressed(docs.select(F.inline(lines))).partitionBy("dataset").text(f"{work}/lines")
+        for name in each:
+            if path_exists(index.spark, part := f"{work}/lines/dataset={name}"):
+                moved(index.spark, part, f"{work}/{name}")
+            else:  # there is no document
+                index.spark.createDataFrame([], "value string").write.text(f"{work}/{name}")
+        deleted(index.spark, f"{work}/lines")
+
+
+def _compressed(lines: DataFrame) -> DataFrameWriter:
+    return lines.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
 
 
 def parse_vector_lines(lines: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from termloom import build_index, export_results, export_text_index, read_text_index, search
+from termloom import build_index, export_results, export_text_index, read_text_index, search, session
 from termloom.functions import vectors
 from termloom.operators import skew
 from termloom.sources import text_index
@@ -169,3 +169,37 @@ def test_vectors_are_parsed_without_arrays_of_parts(spark):
     assert [[tuple(e) for e in r["v"]] for r in decoded.collect()] == [[(1, 0.1), (20, 3e-7)], []]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         spark.createDataFrame([("12",)], "t string").select(vectors.decode(F.col("t"))).collect()
+
+
+def test_large_datasets_are_compressed_and_nothing_else_is_left(spark, tables_corpus, tmp_path):
+    index = build_index(tables_corpus, validate=False)
+    path = tmp_path / "text"
+    export_text_index(index, str(path))
+    assert sorted(p.name for p in path.iterdir()) == ["counts", "doc_info", "temp", "vectorized", "words"]
+    lines = {
+        "counts": text_index.count_lines(index), "temp": text_index.term_count_lines(index),
+        "vectorized": text_index.vector_lines(index),
+    }
+    for name, wanted in lines.items():
+        files = [p for p in (path / name).iterdir() if p.name.startswith("part")]
+        assert files and all(p.name.endswith(".txt.gz") for p in files)
+        assert sorted(r[0] for r in spark.read.text(str(path / name)).collect()) == sorted(r[0] for r in wanted.collect())
+        size = sum(len(r[0].encode()) + 1 for r in wanted.collect())
+        assert 2 * sum(p.stat().st_size for p in files) < size
+    for name in ("words", "doc_info"):  # opened as they are by other readers
+        assert all(p.name.endswith(".txt") for p in (path / name).iterdir() if p.name.startswith("part"))
+
+
+def test_both_lines_of_a_document_are_written_at_once(spark, tables_corpus, tmp_path, monkeypatch):
+    """Vectors are put together once, and no table of them is kept for the second of the two datasets."""
+    kept, real = [], session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda spark, name: kept.append(name) or real(spark, name))
+    export_text_index(build_index(tables_corpus, validate=False), str(tmp_path / "text"))
+    assert sorted(kept) == ["analysed", "vocab"]
+
+
+def test_text_form_of_no_documents(spark, make_corpus, tmp_path):
+    path = str(tmp_path / "text")
+    export_text_index(build_index(make_corpus("a b").limit(0), validate=False), path)
+    back = read_text_index(spark, path)
+    assert back.summary().collect()[0][0] == 0 and back.postings.collect() == [] and back.vectors().collect() == []
